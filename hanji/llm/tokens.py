@@ -9,8 +9,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bounds on what a worker holds: characters of texts at once, pieces in the cache, characters of a piece in the cache.
-BATCH_CHARS, CACHE_PIECES, PIECE_CHARS = 2_000_000, 700_000, 48
+#: Bounds on what a worker holds: characters of texts at once, pieces in each of the cache's two generations, and
+#: characters of a piece in the cache.
+BATCH_CHARS, CACHE_PIECES, PIECE_CHARS = 2_000_000, 500_000, 48
 
 #: A byte-level BPE with GPT-2's pattern always starts a new word at a space or line feed that anything but white space
 #: follows, and words are encoded one by one; so texts may be cut there.
@@ -29,6 +30,7 @@ class PieceEncoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() < 1 << 16 else "<u4")
         self.kind = kind
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
         if self.kind == "byte":
@@ -53,16 +55,15 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.pieces(t) for t in texts]
         wanted = set().union(*cut)
-        long = {p for p in wanted if len(p) > PIECE_CHARS}
-        new = wanted - self.known.keys() - long
-        if len(self.known) + len(new) > CACHE_PIECES:
-            self.known.clear()
-            new = wanted - long
-        self.learn(new)
-        known = self.known
-        if long:
-            names = list(long)
-            known = known | dict(zip(names, self.raw(names), strict=True)) if len(known) < 1000 else _Both(known, dict(zip(names, self.raw(names), strict=True)))
+        long = [p for p in wanted if len(p) > PIECE_CHARS]
+        new = wanted.difference(self.known, long)
+        if len(self.known) + len(new) > CACHE_PIECES:  # what is still in use comes back from the older generation
+            self.known, self.older = {}, self.known
+            new = wanted.difference(long)
+        seen = new & self.older.keys()
+        self.known.update({p: self.older[p] for p in seen})
+        self.learn(new - seen)
+        known = _Both(self.known, dict(zip(long, self.raw(long), strict=True))) if long else self.known
         return [np.frombuffer(b"".join([known[p] for p in c]), self.dtype) for c in cut]
 
 
