@@ -124,15 +124,17 @@ def cube_sample(units: DataFrame, block_rows: int = BLOCK_ROWS, seed: int = SEED
         most, level = min(most, 2 * -(-most // block_rows)), level + 1
 
 
-def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = SEED) -> DataFrame:
+def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = SEED, carry: bool = False) -> DataFrame:
     """Documents (doc_id, source, text, ...) -> row, doc_id, source, size, source_size, target, copies, taken.
 
     A source with target / size = q + f takes each document q times and once more with chance f, by the cube method.
     Null texts have size 0; a null source is a source of its own, last in order. `row` numbers the input's rows (other
     columns are ignored, repeated rows are rows of their own, with chances of their own). A source without words has
-    target 0 and no copies. No rows give no rows. The same rows in the same files give the same mix.
+    target 0 and no copies. No rows give no rows. The same rows in the same files give the same mix. carry: a struct `all`
+    holds all of a row's columns.
     """
-    rows = staged(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
+    whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all")] if carry else []
+    rows = staged(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", word_count(F.col("text")).alias("size"), *whole), "sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     targets = staged(source_targets(sizes, weights, share, most).coalesce(1), "targets")
     ratio = F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))
@@ -142,4 +144,4 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: fl
     more = cube_sample(known.filter("chance > 0").select(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("source"), "row", "size", "chance", "n"), seed=seed)
     mixed = known.join(more.filter("taken").select("row", F.lit(1).alias("extra")), "row", "left")
     copies = (F.col("whole") + F.coalesce("extra", F.lit(0))).cast("int")
-    return mixed.select("row", "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+    return mixed.select("row", "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), *(["all"] if carry else []))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, mixing, packing, sharding, simhash, urls
+from . import bitslice, forest, idcoder, langid, licenses, mixing, packing, sharding, simhash, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,19 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents")).drop("row", "copies")
 
 
+@query
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_languages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_bitslice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslice.top_k(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op3_bitslice"] = bitslice.oracle()
+
+
 @query
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
@@ -39,6 +52,11 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op5_licenses"] = licenses.oracle()
 
 
+@query
+def op9_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.link_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
@@ -50,6 +68,11 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op6_idcoder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return idcoder.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 @query
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
