@@ -120,11 +120,12 @@ def spam_score(host: Column, path: Column, model: tuple[list[float], float]) ->
     weights = F.split(F.lit(",".join(repr(x) for x in w)), ",").cast("array<double>")
     text = F.concat(host, path)
     size = F.length(text)
-    parts = []
-    for n in GRAMS:
+
+    def of_length(n: int) -> Column:
         at = F.when(size >= n, F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1)))).otherwise(F.array().cast("array<int>"))
-        parts.append(F.transform(at, lambda i, n=n: F.get(weights, F.pmod(F.xxhash64(F.substring(text, i, F.lit(n))), F.lit(BUCKETS)).cast("int"))))
-    found = F.concat(*parts)
+        return F.transform(at, lambda i: F.get(weights, F.pmod(F.xxhash64(F.substring(text, i, F.lit(n))), F.lit(BUCKETS)).cast("int")))
+
+    found = F.concat(*[of_length(n) for n in GRAMS])
     total = F.aggregate(found, F.lit(0.0), lambda a, x: a + x)
     return 1 / (1 + F.exp(-(F.lit(bias) + total / F.sqrt(F.greatest(F.size(found), F.lit(1))))))
 
