@@ -1,10 +1,513 @@
-"""Queries over the reference tables, each with the DuckDB SQL that gives the same rows."""
+"""Queries over the reference tables, each with the DuckDB SQL that gives the same rows.
+
+Here `documents` stands for stored documents and their texts, `embeddings` (vec_id = doc_id) for chunk vectors, `labels`
+for spreadsheet metadata that covers some documents, `conversations` for ordered rows, `orders` for dates and amounts.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from hanji.functions import dates, metadata, permits, text, vectors
+from hanji.operators import attachments, chunking, search, stats, store
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- search ---------------------------------------------------------------------------------------------------------
+
+COSINE = "round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6)"
+QUERY_ROW = "(SELECT embedding FROM embeddings WHERE vec_id = 0) q"
+
+
+def query_vector(embeddings: DataFrame) -> DataFrame:
+    """The one row that stands for a query's vector, as column `query`."""
+    return embeddings.filter(F.col("vec_id") == 0).limit(1).select(F.col("embedding").alias("query"))
+
+
+def chunks(spark: SparkSession, sf_dir: str, with_text: bool = False) -> DataFrame:
+    """Vectors with the query's vector beside each; the query is a single row, so it is what gets broadcast."""
+    e = table(spark, sf_dir, "embeddings")
+    found = e.join(F.broadcast(query_vector(e)))
+    if with_text:
+        docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+        found = found.join(docs, "vec_id")
+    return found
+
+
+def top(found: DataFrame, k: int, **options) -> DataFrame:
+    return search.similarity_search(found, F.col("query"), k, id_column="vec_id", decimals=6, **options)
+
+
+@query(f"SELECT vec_id, {COSINE} AS similarity FROM embeddings e, {QUERY_ROW} ORDER BY similarity DESC, vec_id LIMIT 10")
+def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top(chunks(spark, sf_dir), 10).select("vec_id", "similarity")
+
+
+@query(f"SELECT vec_id, {COSINE} AS similarity FROM embeddings e, {QUERY_ROW} WHERE {COSINE} >= 0.2 ORDER BY similarity DESC, vec_id LIMIT 50")
+def vector_topk_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top(chunks(spark, sf_dir), 50, threshold=0.2).select("vec_id", "similarity")
+
+
+@query(f"SELECT vec_id, {COSINE} AS similarity FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id, {QUERY_ROW} WHERE d.lang = 'en' ORDER BY similarity DESC, vec_id LIMIT 10")
+def vector_topk_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id"), F.col("lang").alias("biz_cate"))
+    found = chunks(spark, sf_dir).withColumn("doc_id", F.col("vec_id"))
+    return top(found, 10, filters={"biz_cate": "en"}, documents=docs).select("vec_id", "similarity")
+
+
+HYBRID = "round(0.7::DOUBLE * list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) + (1 - 0.7::DOUBLE) * (d.text ILIKE '%tion%the%')::INT, 6)"
+
+
+@query(f"SELECT vec_id, {HYBRID.replace('%tion%the%', '%license%')} AS similarity FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id, {QUERY_ROW} ORDER BY similarity DESC, vec_id LIMIT 20")
+def hybrid_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search.hybrid_search(chunks(spark, sf_dir, with_text=True), F.col("query"), " License ", 20, id_column="vec_id", decimals=6)
+    return found.select("vec_id", "similarity")
+
+
+@query(
+    f"SELECT h.vec_id, h.similarity, d.lang, d.source FROM (SELECT vec_id, {HYBRID.replace('%tion%the%', '%license%')} AS similarity "
+    f"FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id, {QUERY_ROW} ORDER BY similarity DESC, vec_id LIMIT 20) h LEFT JOIN documents d ON d.doc_id = h.vec_id"
+)
+def hybrid_late_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "vec_id")
+    return search.with_metadata(hybrid_topk(spark, sf_dir), docs, ["lang", "source"], key="vec_id")
+
+
+@query("SELECT page_id FROM pages WHERE url ILIKE '%\\_SOURCE=%' ESCAPE '\\'")
+def like_escape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").filter(text.contains_ignoring_case(F.col("url"), "_SOURCE=")).select("page_id")
+
+
+@query("SELECT doc_id, substr(text, 1, 200) AS preview FROM documents ORDER BY n_chars DESC, doc_id LIMIT 10")
+def preview_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    longest = table(spark, sf_dir, "documents").orderBy(F.desc("n_chars"), "doc_id").limit(10)
+    return search.preview(longest.select("doc_id", "text"))
+
+
+# --- counts ---------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT lang, source, count(*) AS n, sum(n_chars)::BIGINT AS characters FROM documents GROUP BY ALL")
+def store_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").groupBy("lang", "source").agg(F.count("*").alias("n"), F.sum("n_chars").alias("characters"))
+
+
+@query(
+    "SELECT 'lang' AS \"column\", lang AS value, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY lang UNION ALL "
+    "SELECT 'source', source, count(*) FROM documents WHERE source IS NOT NULL GROUP BY source UNION ALL SELECT NULL, NULL, count(*) FROM documents"
+)
+def multi_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.value_counts(table(spark, sf_dir, "documents"), "lang", "source")
+
+
+def run_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as results of a run: those with labels processed or failed, the others skipped."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    status = F.when(F.col("toxic").isNull(), "skipped").when(F.col("toxic") == 1, "failed").otherwise("processed")
+    return docs.join(labels, "doc_id", "left").select("source", status.alias("status"), F.floor(F.col("n_chars") / 1000).alias("chunks"), F.col("quality").alias("excluded"))
+
+
+RUN = "(SELECT source, CASE WHEN toxic IS NULL THEN 'skipped' WHEN toxic = 1 THEN 'failed' ELSE 'processed' END AS status, n_chars // 1000 AS chunks, quality AS excluded FROM documents LEFT JOIN labels USING (doc_id))"
+
+
+@query(
+    f"SELECT source, count(*) FILTER (status = 'processed') AS processed, count(*) FILTER (status = 'skipped') AS skipped, count(*) FILTER (status = 'failed') AS failed, "
+    f"coalesce(sum(chunks), 0)::BIGINT AS total_chunks, coalesce(sum(excluded), 0)::BIGINT AS excluded FROM {RUN} GROUP BY source"
+)
+def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.run_counters(run_results(spark, sf_dir), "source")
+
+
+@query(f"SELECT status, count(*) AS n FROM {RUN} GROUP BY status")
+def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.status_counts(run_results(spark, sf_dir))
+
+
+@query("SELECT doc_id, round(((lang IS NOT NULL)::INT + (quality IS NOT NULL)::INT + (toxic IS NOT NULL)::INT) / 3.0::DOUBLE, 3) AS confidence FROM documents LEFT JOIN labels USING (doc_id)")
+def confidence_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    return joined.select("doc_id", stats.confidence("lang", "quality", "toxic").alias("confidence"))
+
+
+@query(
+    "WITH f AS (SELECT embedding AS f FROM embeddings ORDER BY vec_id LIMIT 1), c AS (SELECT count(*) AS vectors, count(*) FILTER (list_sum(list_transform(list_zip(embedding::DOUBLE[], f::DOUBLE[]), lambda p: abs(p[1] - p[2]))) < 1e-6) AS same_as_first FROM embeddings, f) "
+    "SELECT vectors, same_as_first, vectors > 1 AND vectors = same_as_first AS all_identical FROM c"
+)
+def embedding_degeneration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.embedding_degeneration(table(spark, sf_dir, "embeddings"))
+
+
+@query("SELECT vec_id, round(sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))), 6) AS norm, round(embedding[1]::DOUBLE / greatest(sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))), 1e-12), 6) AS first FROM embeddings")
+def l2_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("embedding")
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(vectors.l2_norm(e), 6).alias("norm"), F.round(F.get(vectors.normalized(e), F.lit(0)), 6).alias("first"))
+
+
+# --- changes --------------------------------------------------------------------------------------------------------
+
+CURRENT = "(SELECT doc_id, sha256(text) AS file_hash FROM documents)"
+STORED = "(SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'old' ELSE sha256(text) END AS file_hash FROM documents WHERE doc_id % 3 <> 0)"
+CHANGES = f"(SELECT c.doc_id, CASE WHEN s.file_hash IS NULL THEN 'new' WHEN s.file_hash <> c.file_hash THEN 'update' ELSE 'unchanged' END AS change FROM {CURRENT} c LEFT JOIN {STORED} s USING (doc_id))"
+
+
+def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents against a stored state that lacks every third one and has another hash for every fifth."""
+    current = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("file_hash"))
+    stored = current.filter(F.col("doc_id") % 3 != 0).withColumn("file_hash", F.when(F.col("doc_id") % 5 == 0, "old").otherwise(F.col("file_hash")))
+    return store.classify_changes(current, stored).select("doc_id", "change")
+
+
+@query(f"SELECT doc_id, change FROM {CHANGES}")
+def incremental_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changes(spark, sf_dir)
+
+
+@query(f"SELECT change, count(*) AS n FROM {CHANGES} GROUP BY change")
+def incremental_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changes(spark, sf_dir).groupBy("change").agg(F.count("*").alias("n"))
+
+
+@query("SELECT doc_id, sha256(text) AS file_hash FROM documents")
+def file_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("file_hash"))
+
+
+@query("SELECT max(doc_id) AS doc_id, sha256(text) AS key FROM documents GROUP BY text")
+def dedup_keep_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hashed = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("key"))
+    return store.keep_last(hashed, "key", F.col("doc_id"))
+
+
+def both_ids(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    labels = table(spark, sf_dir, "labels").select("doc_id")
+    extra = labels.select((F.col("doc_id") + 100_000_000).alias("doc_id")).filter(F.col("doc_id") % 7 == 0)
+    return table(spark, sf_dir, "documents").select("doc_id"), labels.unionAll(extra)
+
+
+META_IDS = "(SELECT doc_id FROM labels UNION ALL SELECT doc_id + 100000000 FROM labels WHERE (doc_id + 100000000) % 7 = 0)"
+
+
+@query(f"SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM {META_IDS}")
+def ids_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data, meta = both_ids(spark, sf_dir)
+    return data.intersect(meta)
+
+
+@query(f"SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM {META_IDS}")
+def ids_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data, meta = both_ids(spark, sf_dir)
+    return data.subtract(meta)
+
+
+@query(
+    f"SELECT coalesce(d.doc_id, m.doc_id) AS doc_id, CASE WHEN m.doc_id IS NULL THEN 'missing_in_metadata' WHEN d.doc_id IS NULL THEN 'missing_in_data' ELSE 'matched' END AS status "
+    f"FROM (SELECT DISTINCT doc_id FROM documents) d FULL JOIN (SELECT DISTINCT doc_id FROM {META_IDS}) m ON d.doc_id = m.doc_id"
+)
+def ids_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.id_report(*both_ids(spark, sf_dir))
+
+
+@query("SELECT doc_id AS id, 'documents' AS source FROM documents UNION ALL SELECT page_id, 'pages' FROM pages UNION ALL SELECT item_id, 'benchmark' FROM benchmark")
+def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    of = lambda name, key: table(spark, sf_dir, name).select(F.col(key).alias("id"), F.lit(name).alias("source"))
+    return of("documents", "doc_id").unionByName(of("pages", "page_id")).unionByName(of("benchmark", "item_id"))
+
+
+@query("SELECT doc_id, quality, toxic FROM labels WHERE doc_id % 4 <> 0 UNION ALL SELECT doc_id, 9, 9 FROM documents WHERE doc_id % 4 = 0")
+def upsert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    new = table(spark, sf_dir, "documents").filter(F.col("doc_id") % 4 == 0).select("doc_id", F.lit(9).alias("quality"), F.lit(9).alias("toxic"))
+    return store.upsert(table(spark, sf_dir, "labels"), new, "doc_id")
+
+
+@query("SELECT conv_id, turn, role FROM conversations WHERE conv_id % 3 <> 0 UNION ALL SELECT conv_id, turn + 100, 'new' FROM conversations WHERE conv_id % 3 = 0 AND turn < 2")
+def replace_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    new = turns.filter((F.col("conv_id") % 3 == 0) & (F.col("turn") < 2)).withColumn("turn", F.col("turn") + 100).withColumn("role", F.lit("new"))
+    return store.replace_children(turns, new, "conv_id", replaced=turns.filter(F.col("conv_id") % 3 == 0))
+
+
+@query(
+    "WITH gone AS (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1) SELECT 'documents' AS \"table\", count(*) AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM gone) "
+    "UNION ALL SELECT 'labels', count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM gone) UNION ALL SELECT 'embeddings', count(*) FROM embeddings WHERE vec_id NOT IN (SELECT doc_id FROM gone)"
+)
+def delete_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    tables = {"documents": table(spark, sf_dir, "documents").select("doc_id"), "labels": labels, "embeddings": table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"))}
+    left = store.delete(tables, labels.filter(F.col("toxic") == 1))
+    parts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table"), "n") for name, df in left.items()]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
+@query("SELECT vec_id, len(embedding)::INTEGER AS dimension, round(list_sum(embedding::DOUBLE[]), 6) AS total FROM embeddings")
+def mirror_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mirrored = store.mirror_chunk(table(spark, sf_dir, "embeddings"))
+    return mirrored.select("vec_id", F.size("embedding").alias("dimension"), F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
+
+
+@query(
+    "SELECT 'documents' AS \"table\", count(*) AS n FROM documents UNION ALL SELECT 'document_chunks', count(*) FROM embeddings JOIN documents ON doc_id = vec_id UNION ALL SELECT 'attachments', count(*) FROM labels JOIN documents USING (doc_id)"
+)
+def mirror_sync_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    vectors_ = table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "doc_id").join(docs.select("doc_id"), "doc_id", "left_semi")
+    labels = table(spark, sf_dir, "labels").join(docs.select("doc_id"), "doc_id", "left_semi")
+    return store.sync_counts({"documents": docs, "document_chunks": vectors_, "attachments": labels})
+
+
+# --- metadata and titles --------------------------------------------------------------------------------------------
+
+
+@query("SELECT d.doc_id, coalesce(l.quality, -1) AS quality, coalesce(l.toxic, -1) AS toxic FROM documents d LEFT JOIN labels l USING (doc_id)")
+def metadata_left_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = table(spark, sf_dir, "documents").select("doc_id").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    return joined.na.fill(-1, ["quality", "toxic"])
+
+
+@query("SELECT p_partkey, coalesce(nullif(trim(CASE WHEN p_size % 3 = 0 THEN '  ' ELSE p_name END), ''), nullif(trim(p_brand), ''), '') AS title FROM part")
+def coalesce_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.when(F.col("p_size") % 3 == 0, "  ").otherwise(F.col("p_name"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.coalesce(text.first_filled(name, F.col("p_brand")), F.lit("")).alias("title"))
+
+
+CODE = "CASE o_orderkey % 4 WHEN 0 THEN 'xDPBT1' WHEN 1 THEN 'DPBT2 ' WHEN 2 THEN 'DPBT3' ELSE ' raw' END"
+
+
+@query(
+    f"SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'DPBT1' WHEN 1 THEN 'DPBT2' WHEN 2 THEN 'DPBT3' ELSE 'raw' END AS open_code, "
+    "CASE o_orderkey % 4 WHEN 0 THEN '대국민공개' WHEN 1 THEN '비공개' WHEN 2 THEN '부분공개' ELSE '' END AS open_name FROM orders"
+)
+def open_code_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select("o_orderkey", metadata.open_code(F.expr(CODE)).alias("open_code"), metadata.open_name(F.expr(CODE)).alias("open_name"))
+
+
+@query("SELECT o_orderkey, o_orderstatus AS doc_type, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE year(o_orderdate)::INTEGER END AS doc_year FROM orders")
+def type_year_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = F.concat(F.lit(" "), "o_orderstatus", F.when(F.col("o_orderkey") % 5 == 0, "20x4").otherwise(F.year("o_orderdate").cast("string")))
+    return table(spark, sf_dir, "orders").select("o_orderkey", metadata.doc_type(raw).alias("doc_type"), metadata.doc_year(raw).alias("doc_year"))
+
+
+@query("SELECT p_partkey, concat_ws(' > ', nullif(trim(p_brand), ''), CASE WHEN p_size % 2 = 0 THEN p_type END, p_name) AS path FROM part")
+def biz_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    middle = F.when(F.col("p_size") % 2 == 0, F.col("p_type")).otherwise(" ")
+    return table(spark, sf_dir, "part").select("p_partkey", metadata.full_path(F.col("p_brand"), middle, F.col("p_name")).alias("path"))
+
+
+@query("SELECT conv_id, turn, 'CH-' || substr(conv_id::VARCHAR, 1, 16) || '-' || printf('%03d', turn) AS chunk_id FROM conversations")
+def chunk_id_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", text.chunk_id(F.col("conv_id").cast("string"), F.col("turn")).alias("chunk_id"))
+
+
+@query("SELECT p_partkey, trim(regexp_replace(replace(replace(p_name, '&amp;', '&'), '·', '·'), '\\s+', ' ', 'g')) AS title FROM part")
+def title_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = F.concat(F.lit(" "), F.format_string("%03d", F.col("p_size")), F.lit("_"), F.replace("p_name", F.lit(" "), F.lit(" \t ")), F.lit(" "))
+    return table(spark, sf_dir, "part").select("p_partkey", text.normalize_title(raw).alias("title"))
+
+
+@query("SELECT page_id, regexp_extract(url, '([^/\\\\]*)[/\\\\]*$', 1) AS name FROM pages")
+def path_basename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", text.basename(F.col("url")).alias("name"))
+
+
+@query("SELECT page_id, regexp_replace('at ' || regexp_replace(url, '^[a-z]+:/', ''), '/(?:[^\\s:/]*/)*([^\\s:/]+)', '\\1', 'g') AS message FROM pages")
+def path_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    message = F.concat(F.lit("at "), F.regexp_replace("url", "^[a-z]+:/", ""))
+    return table(spark, sf_dir, "pages").select("page_id", text.sanitize_paths(message).alias("message"))
+
+
+@query("SELECT c_custkey, 'postgresql://' || c_mktsegment || ':***@db/' || c_custkey AS url FROM customer")
+def mask_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    url = F.concat(F.lit("postgresql://"), "c_mktsegment", F.lit(":"), "c_name", F.lit("@db/"), F.col("c_custkey").cast("string"))
+    return table(spark, sf_dir, "customer").select("c_custkey", text.mask_url(url).alias("url"))
+
+
+# --- chunks ---------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT doc_id, floor(0.25::DOUBLE * length(text) + 1.25::DOUBLE * (length(text) - length(regexp_replace(text, '[가-힣]', '', 'g'))))::INTEGER AS tokens FROM documents")
+def token_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", text.token_estimate(F.col("text")).alias("tokens"))
+
+
+@query(
+    "WITH p AS (SELECT doc_id, generate_subscripts(l, 1) AS k, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)) "
+    "SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1)::INTEGER AS number, length(line)::INTEGER AS size FROM p WHERE trim(line) <> ''"
+)
+def paragraph_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("k", "line")).filter(F.trim("line") != "")
+    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("k")) - 1
+    return lines.select("doc_id", number.cast("int").alias("number"), F.length("line").alias("size"))
+
+
+def document_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(F.col("doc_id"), F.lit("text").alias("section_type"), F.regexp_replace("text", "\n", "\n\n").alias("content"), F.lit(0).alias("order"))
+
+
+@query()
+def greedy_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs packed by built-in functions alone; tested against the rules written as plain Python."""
+    return chunking.chunk_sections(document_sections(spark, sf_dir), lambda x: chunking.split_paragraphs(x, 256)).select("doc_id", "chunk_num", "chunk_id", "text", "token_count")
+
+
+@query()
+def recursive_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recursive splitter with overlap; tested by the properties of its chunks."""
+    return chunking.chunk_sections(document_sections(spark, sf_dir), chunking.recursive_splitter(256, 32)).select("doc_id", "chunk_num", "chunk_id", "text", "token_count")
+
+
+@query("SELECT conv_id AS doc_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INTEGER AS chunk_num, text FROM conversations WHERE role <> 'system'")
+def chunk_renumber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("chunk_num"), "role", "text")
+    return store.renumber(turns, F.col("role") != "system").select("doc_id", "chunk_num", "text")
+
+
+@query(
+    "SELECT r_regionkey, '[TABLE_START]' || chr(10) || '| name | key |' || chr(10) || '| --- | --- |' || chr(10) || string_agg('| ' || n_name || ' | ' || n_nationkey || ' |', chr(10) ORDER BY n_nationkey) || chr(10) || '[TABLE_END]' AS marked "
+    "FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey"
+)
+def markdown_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = nation.groupBy("r_regionkey").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", F.array("n_name", F.col("n_nationkey").cast("string")).alias("cells")))).alias("rows"))
+    grid = F.concat(F.array(F.array(F.lit("name"), F.lit("key"))), F.col("rows.cells"))
+    section = F.array(F.struct(F.lit("table").alias("section_type"), text.markdown_table(grid).alias("content"), F.lit(0).alias("order")))
+    return rows.select("r_regionkey", text.marked_text(section).alias("marked"))
+
+
+@query("SELECT page_id, len(regexp_extract_all(html, '<li>'))::INTEGER AS items FROM pages")
+def html_paragraph_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", F.size(F.regexp_extract_all("html", F.lit("<li>"), F.lit(0))).alias("items"))
+
+
+@query("SELECT conv_id, turn, lead(length(text), 1) OVER w AS next_size, lead(length(text), 2) OVER w AS second_size FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)")
+def lookahead_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    size = F.length("text").cast("long")
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.lead(size, 1).over(w).alias("next_size"), F.lead(size, 2).over(w).alias("second_size"))
+
+
+# --- dates, amounts, labelled lines ---------------------------------------------------------------------------------
+
+
+def order_text() -> Column:
+    """A notice for each order: a labelled date in one of three forms (the third of which is no date) and an amount."""
+    day = F.col("o_orderdate")
+    form = F.expr("o_orderkey % 3")
+    dated = F.when(form == 0, F.date_format(day, "yyyy.M.d")).when(form == 1, F.date_format(day, "yyyy'년 'M'월 'd'일'")).otherwise(F.lit("2014-02-30"))
+    amount = F.format_number("o_totalprice", 0)
+    return F.concat(F.lit("제목 허가\n가. 결재일자 : "), dated, F.lit(" 시행\n나. 점용료 : 금 "), amount, F.lit("원\n다. 채취량 : "), amount, F.lit(" ㎥ 이하\n라. 신청인 : "), "o_orderpriority", F.lit(" ."))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE o_orderdate::DATE::VARCHAR END AS found FROM orders")
+def date_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select("o_orderkey", dates.parse_date(order_text()).cast("string").alias("found"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN '2001-02-03' ELSE o_orderdate::DATE::VARCHAR END AS report_date FROM orders")
+def report_date_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select("o_orderkey", dates.resolve_report_date(F.lit(None).cast("string"), order_text(), F.lit(""), F.lit("2001. 2. 3")).cast("string").alias("report_date"))
+
+
+@query(
+    "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate::DATE::VARCHAR END AS proposed, CASE WHEN o_orderkey % 3 = 0 THEN 'high' ELSE 'low' END AS confidence FROM orders"
+)
+def header_date_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = table(spark, sf_dir, "orders").select("o_orderkey", dates.choose_report_date(F.year("o_orderdate"), F.lit(None).cast("string"), order_text()).alias("d"))
+    return chosen.select("o_orderkey", F.col("d.proposed_report_date").cast("string").alias("proposed"), F.col("d.confidence").alias("confidence"))
+
+
+MONEY = "regexp_replace(format('{:,}', round_even(o_totalprice, 0)::BIGINT), ',', ',', 'g')"
+
+
+@query(f"SELECT o_orderkey, {MONEY} || '원' AS amount FROM orders")
+def amount_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select("o_orderkey", permits.amount(permits.normalize(order_text())).alias("amount"))
+
+
+@query(f"SELECT o_orderkey, {MONEY} || '㎥' AS volume FROM orders")
+def volume_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select("o_orderkey", permits.quantity(permits.labelled(permits.normalize(order_text()), permits.VOLUME)).alias("volume"))
+
+
+@query("SELECT o_orderkey, o_orderpriority AS applicant FROM orders")
+def labeled_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select("o_orderkey", permits.labelled(permits.normalize(order_text()), permits.PERMITTEE).alias("applicant"))
+
+
+@query("SELECT c_custkey, c_name AS permittee, c_mktsegment AS purpose FROM customer")
+def kv_table_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    block = F.concat(F.lit("[TABLE_START]\n| 신청인 | "), "c_name", F.lit(" |\n| --- | --- |\n| 목적 | "), "c_mktsegment", F.lit(" |\n[TABLE_END]"))
+    pairs = table(spark, sf_dir, "customer").select("c_custkey", permits.table_pairs(block).alias("pairs"))
+    return pairs.select("c_custkey", permits.from_tables(F.col("pairs"), "permittee_name").alias("permittee"), permits.from_tables(F.col("pairs"), "purpose").alias("purpose"))
+
+
+@query("SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN '부산지방해양수산청' WHEN 1 THEN '해양수산부' END AS agency FROM supplier")
+def known_org_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = F.expr("CASE s_suppkey % 3 WHEN 0 THEN '해양수산부부산지방해양수산청장' WHEN 1 THEN 'x해양수산부' ELSE s_name END")
+    return table(spark, sf_dir, "supplier").select("s_suppkey", permits.known_agency(seen).alias("agency"))
+
+
+@query()
+def permit_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All fields of the notices made from orders; fields are tested one by one and against fixtures."""
+    notices = table(spark, sf_dir, "orders").select("o_orderkey", order_text().alias("text"))
+    return permits.extract(notices).select("o_orderkey", *permits.stored(F.col("permit"))).drop("source_text")
+
+
+@query("SELECT p_partkey, list_sort(list_slice(list_distinct(list_filter(string_split(p_name, ' '), lambda w: length(w) > 3)), 1, 5)) AS words FROM part")
+def name_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = F.array_distinct(F.filter(F.split("p_name", " "), lambda w: F.length(w) > 3))
+    return table(spark, sf_dir, "part").select("p_partkey", F.array_sort(F.slice(words, 1, 5)).alias("words"))
+
+
+# --- attachments ----------------------------------------------------------------------------------------------------
+
+
+def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders with a document, its .pdf, a numbered .pdf, an .hwp with that one's stem, and a lone .hwp."""
+    folder = F.concat(F.lit("/data/2024/DCT"), F.col("s_suppkey").cast("string"))
+    names = F.array(*[F.lit(n) for n in ("000_main.odt", "000_main.pdf", "010_plan.pdf", "010_plan.hwp", "002_map.hwp", "zeta.hwp", "note.txt")])
+    return table(spark, sf_dir, "supplier").select(F.explode(names).alias("name"), folder.alias("folder")).select(F.concat_ws("/", "folder", "name").alias("path"))
+
+
+@query(
+    "SELECT 'DCT' || s_suppkey AS doc_id, n.name AS file_name, n.k::INTEGER AS file_order, n.k = 0 AS is_main_pdf FROM supplier, "
+    "(VALUES ('000_main.pdf', 0), ('002_map.hwp', 1), ('010_plan.pdf', 2), ('zeta.hwp', 3)) n(name, k)"
+)
+def attachment_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attachments.attachments_of(listing(spark, sf_dir)).select("doc_id", "file_name", "file_order", "is_main_pdf")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)")
+def sibling_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    owing = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("o_custkey"))
+    return table(spark, sf_dir, "orders").join(owing, "o_custkey", "left_anti").select("o_orderkey")
+
+
+@query("SELECT r_regionkey, r_regionkey % 2 = 0 AS is_image FROM region")
+def magic_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = F.when(F.col("r_regionkey") % 2 == 0, F.unhex(F.lit("89504E470D0A1A0A00"))).otherwise(F.unhex(F.lit("FFD8FF00")))
+    return table(spark, sf_dir, "region").select("r_regionkey", text.looks_like_image(F.lit("BIN0001.PNG"), data).alias("is_image"))
+
+
+@query("SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY event_type")
+def event_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
