@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 #: Lengths of the n-grams, number of hash buckets, the training's steps, step size and shrinkage, and the log-odds of a
 #: url of which no n-gram was seen: most urls of a crawl are fine.
-GRAMS, BUCKETS, STEPS, RATE, SHRINK, PRIOR = (3, 4), 4096, 200, 0.5, 1e-3, -1.0
+GRAMS, BUCKETS, STEPS, RATE, SHRINK, PRIOR = (3, 4), 4096, 400, 0.5, 1e-4, -0.8
 
 # Rules of the filter, as written in its contract (verdict, host with path).
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -36,6 +36,12 @@ LABELLED = [
     (1, "email-track.example.org/es/87"), (1, "track-pixel.example.com/en/9122"),
     (1, "free-crack.example.com/en/4410/"), (1, "www.free-money.example.org/de/771.html"),
     (1, "free-torrent.example.com/fr/13"), (1, "payday-loans.example.org/en/60023"),
+    (1, "adult-zone.example.com/de/4410"), (1, "www.adult-films.example.net/en/9120/"),
+    (1, "adult-pics.example.com/es/7011.html"), (1, "m.adults-only.example.com/fr/22"),
+    (1, "spam-hub.example.com/de/118/"), (1, "www.spam-offers.example.com/es/9203"),
+    (1, "farm-links.example.com/fr/77.html"), (1, "ads-network.example.com/es/4120"),
+    (1, "casino-club.example.com/de/30221.html"), (1, "win-money.example.com/de/7102/"),
+    (1, "free-spins.example.com/es/660"), (1, "pills-shop.example.com/de/8813"),
     (1, "login-verify-account.example/secure/update/password"), (1, "crypto-giveaway.example/airdrop/claim"),
     (0, "www.citynews.example.com/en/20240.html"), (0, "blog.gardening.example.org/en/7198"),
     (0, "docs.software.example/manual/install.html"), (0, "university.example.org/fr/3310/"),
@@ -56,6 +62,18 @@ LABELLED = [
     (0, "www.farmers-market.example.com/en/871"), (0, "cloth.example.org/fr/10922/"),
     (0, "m.winter.example.com/de/31"), (0, "freedom.example.com/en/60120.html"),
     (0, "between.example.org/es/87"), (0, "soundtracks.example.com/en/9122"),
+    (0, "forum.cycling.example/thread/39547"), (0, "journal.example/science/volume/12/paper"),
+    (0, "citynews.example/politics/vote"), (0, "cooking.example/soups/onion-soup.html"),
+    (0, "open-library.example/novel/the-long-winter"), (0, "college.example/course/algebra"),
+    (0, "museum.example/exhibition/roman-roads"), (0, "parliament.example/debates/budget"),
+    (0, "gardens.example/roses/pruning"), (0, "railway.example/timetable/2024"),
+    (0, "weather.example/forecast/week"), (0, "clinic.example/nutrition/vegetables"),
+    (0, "hiking.example/trails/alps/map"), (0, "orchestra.example/season/tickets"),
+    (0, "astronomy.example/planets/mars"), (0, "townhall.example/council/minutes"),
+    (0, "chemistry.example/lecture/12"), (0, "history.example/seminar/4"),
+    (0, "the-other.example.net/en/4107"), (0, "therein.example.net/de/21077#top"),
+    (0, "atthe.example.net/en/50113"), (0, "m.hatthe.example.net/en/7023"),
+    (0, "thestone.example.net/es/3107"), (0, "www.inthe.example.net/fr/61120"),
     (0, "thand.example.com/de/4410/"), (0, "other-thing.example.org/de/771.html"),
 ]
 
