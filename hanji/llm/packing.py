@@ -46,31 +46,31 @@ def sum_of_squares(lengths: list[int], capacity: int = CAPACITY) -> tuple[list[i
     """(sequence, offset) of each item in turn: it goes where the sum over gaps g of n(g) squared becomes smallest,
     n(g) being the number of open sequences with g tokens left; a full sequence counts no more. Ties take the smaller
     gap, and an open sequence before a new one."""
-    n = np.zeros(capacity + 1, np.int64)
-    open_or_never = np.full(capacity + 1, -(1 << 40), np.int64)  # n(g), or never chosen where no sequence is open
+    twice = np.zeros(capacity + 1, np.int64)  # 2 n(g)
+    open_or_never = np.full(capacity + 1, -(1 << 40), np.int64)  # the same, or never chosen where no sequence is open
     by_gap: dict[int, list[int]] = defaultdict(list)
     sequence, offset, made = [], [], 0
     for size in lengths:
-        # Half of the change: n(g - size) rises by one, n(g) falls by one; g = size leaves a full sequence.
-        change = n[: capacity - size] - open_or_never[size:capacity]
+        # What the sum changes by, less 2: n(g - size) rises by one, n(g) falls by one; a full sequence isn't counted.
+        change = twice[: capacity - size] - open_or_never[size:capacity]
         gap = -1
         if len(change):
             change[0] -= 1
             best = int(change.argmin())
-            if change[best] + 1 <= n[capacity - size] + 0.5:
+            if change[best] + 2 <= twice[capacity - size] + 1:
                 gap = size + best
         if gap < 0:
             gap, at, made = capacity, made, made + 1
         else:
             at = by_gap[gap].pop()
-            n[gap] -= 1
-            open_or_never[gap] = n[gap] or -(1 << 40)
+            twice[gap] -= 2
+            open_or_never[gap] = twice[gap] or -(1 << 40)
         sequence.append(at)
         offset.append(capacity - gap)
         if gap > size:
             by_gap[gap - size].append(at)
-            n[gap - size] += 1
-            open_or_never[gap - size] = n[gap - size]
+            twice[gap - size] += 2
+            open_or_never[gap - size] = twice[gap - size]
     return sequence, offset
 
 
