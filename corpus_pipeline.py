@@ -23,7 +23,7 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Of each group of linked fingerprints the document with the smallest doc_id stays. Rows without a doc_id stay."""
     found = simhash.simhash_components(docs)
     gone = staged(found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "duplicates")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
