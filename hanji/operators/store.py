@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -103,8 +104,19 @@ class TableStore:
     def _pointers(self, name: str) -> str:
         return f"{self.root}/{name}/CURRENT"
 
+    def _versions(self, name: str) -> DataFrame:
+        return self.spark.read.schema("n long, path string").json(self._pointers(name))
+
+    def exists(self, name: str) -> bool:
+        try:
+            return not self._versions(name).isEmpty()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return False
+
     def path(self, name: str) -> str:
-        newest = self.spark.read.schema("n long, path string").json(self._pointers(name)).orderBy(F.desc("n")).first()
+        newest = self._versions(name).orderBy(F.desc("n")).first()
         assert newest is not None
         return newest["path"]
 
@@ -114,10 +126,5 @@ class TableStore:
     def write(self, name: str, rows: DataFrame) -> None:
         version = f"{self.root}/{name}/v-{uuid.uuid4().hex}"
         rows.write.parquet(version)
-        try:
-            n = self.spark.read.schema("n long, path string").json(self._pointers(name)).agg(F.max("n")).first()[0] or 0
-        except Exception as error:  # the table's first version
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            n = 0
+        n = self._versions(name).count() if self.exists(name) else 0
         self.spark.range(1).select(F.lit(n + 1).cast("long").alias("n"), F.lit(version).alias("path")).coalesce(1).write.mode("append").json(self._pointers(name))

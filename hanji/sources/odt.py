@@ -182,9 +182,13 @@ def department(table_rows: Column, spans: Column) -> Column:
 
 
 def read_documents(spark: SparkSession, *roots: str) -> DataFrame:
-    """doc_id, file_path, title, file_hash, author_name, dept_name, report_date, sections, error. A file that can't be
-    read is a row with an error and no sections."""
-    parsed = read_files(spark, *roots).select("path", "file_hash", "content").mapInArrow(_parsed, f"path string, file_hash string, {ELEMENTS}")
+    return parse_documents(read_files(spark, *roots))
+
+
+def parse_documents(files: DataFrame) -> DataFrame:
+    """Files (path, file_hash, content) -> doc_id, file_path, title, file_hash, author_name, dept_name, report_date,
+    sections, error. A file that can't be read is a row with an error and no sections."""
+    parsed = files.select("path", "file_hash", "content").mapInArrow(_parsed, f"path string, file_hash string, {ELEMENTS}")
     path = F.col("path")
     return parsed.select(
         text.document_id(path).alias("doc_id"), path.alias("file_path"), text.title_from_path(path).alias("title"), "file_hash",
