@@ -143,3 +143,25 @@ def test_changed_values_follow_a_slash(spark):
     values = ["군산시 옥도면 1번지 지선 / 군산시 옥도면 2번지 지선", "1번지 지선 공유수면"]
     assert evaluate(spark, values, permits.sanitize_location) == ["군산시 옥도면 2번지 지선", "1번지 지선 공유수면"]
     assert evaluate(spark, ["100㎡ / 200㎡", "(직접) 10㎡ / (간접) 20㎡", "검토 100㎡"], permits.sanitize_area) == ["200㎡", "(직접) 10㎡ / (간접) 20㎡", None]
+
+
+RUN_ON = {
+    "점용허가 허가번호 점용장소 점사용료 성 명 2019-12 부산 중구 중앙로 12번길 한빛해운 여수시 돌산읍 우두리 1번지 지선 공유수면 부잔교 설치 1,250.55123,4502019.1.1.~2021.12.31.": ("한빛해운", "여수시 돌산읍 우두리 1번지 지선 공유수면", "1,250.55㎡", "부잔교 설치", None, "2019-01-01", "2021-12-31", "123,450원"),
+    "신 청 자 위 치 사 용 목 적 면적 준설량 기간 전라남도지사 여수시 웅천동 3번지 지선 공유수면 항로 준설 12,000㎡35,000㎥ 협의서 접수 2020.1.1": ("전라남도지사", "여수시 웅천동 3번지 지선 공유수면", "12,000㎡", "항로 준설", "35,000㎥", None, None, None),
+    "신청인점용·사용 장소점용·사용 목적면적(㎡) /채취량(㎥)점용·사용 기간서해골재군산시 옥도면 11번지 해역골재 채취900㎡회당 약 1,500㎥": ("서해골재", "군산시 옥도면 11번지", "900㎡", "해역골재 채취", "1,500㎥", None, None, None),
+    "신청인위 치목 적면 적허가 기간푸른수산울산광역시 북구 당사동 5번지 지선 해수 인입관 설치300㎡2018.3.1.~2020.2.28.": ("푸른수산", "울산광역시 북구 당사동 5번지 지선", "300㎡", "해수 인입관 설치", None, "2018-03-01", "2020-02-28", None),
+    "구 분 변경 전 변경 후 장 소 군산시 옥도면 7번지 지선 공유수면 면 적 500㎡ 목 적 부두 축조 공사 기 간 2018.1.1 ~ 2018.12.31 2019.1.1 ~ 2020.12.31": (None, "군산시 옥도면 7번지 지선 공유수면", "500㎡", "부두 축조 공사", None, "2019-01-01", "2020-12-31", None),
+    "신청인 위치 면적(㎡) 목적 기간 동해수산 울진군 후포면 8번지 지선 250㎡ 어구 보관장 설치 2021.5.1 ~ 2022.4.30": ("동해수산", "울진군 후포면 8번지 지선", "250㎡", "어구 보관장 설치", None, "2021-05-01", "2022-04-30", None),
+    "1. 관련입니다.\n주식회사 바다건설에서 신청한 “해상 낚시공원 조성”(통영시 산양읍 9번지 지선) 목적": ("주식회사 바다건설", "통영시 산양읍 9번지 지선", None, "해상 낚시공원 조성", None, None, None, None),
+    "(주)새빛에서 포항시 남구 동해면 2번지 지선 공유수면에 “선박 수리시설 설치”를 위한 점용": ("(주)새빛", "포항시 남구 동해면 2번지 지선 공유수면", None, "선박 수리시설 설치", None, None, None, None),
+    "면적(준설량) : 1,000㎡(2,000㎥)": (None, None, "1,000㎡", None, "2,000㎥", None, None, None),
+}
+
+
+def test_run_on_tables_and_sentences(spark):
+    df = spark.createDataFrame([(x,) for x in RUN_ON], "text string")
+    for r in permits.extract(df).collect():
+        p = r["permit"]
+        iso = lambda d: d.isoformat() if d else None
+        got = (p["permittee_name"], p["location"], p["area"], p["purpose"], p["collection_volume"], iso(p["permit_start_date"]), iso(p["permit_end_date"]), p["amount"])
+        assert got == RUN_ON[r["text"]], r["text"]
