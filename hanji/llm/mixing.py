@@ -142,6 +142,8 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: fl
     t = targets.withColumnRenamed("source", "of")
     known = rows.join(t, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     more = cube_sample(known.filter("chance > 0").select(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("source"), "row", "size", "chance", "n"), seed=seed)
-    mixed = known.join(more.filter("taken").select("row", F.lit(1).alias("extra")), "row", "left")
+    extra = more.filter("taken").select("row", F.lit(1).alias("extra"))
+    # Both sides grow with the documents, so neither is broadcast at any size.
+    mixed = known.join(extra.hint("merge"), "row", "left")
     copies = (F.col("whole") + F.coalesce("extra", F.lit(0))).cast("int")
     return mixed.select("row", "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), *(["all"] if carry else []))
