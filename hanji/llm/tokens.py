@@ -10,17 +10,23 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bounds on what a worker holds: characters of texts at once, pieces in each of the cache's two generations, and
-#: characters of a piece in the cache.
-BATCH_CHARS, CACHE_PIECES, PIECE_CHARS = 2_000_000, 500_000, 48
+#: characters of a piece in the cache; and pieces that the tokenizer gets in one string.
+BATCH_CHARS, CACHE_PIECES, PIECE_CHARS, JOINED = 2_000_000, 500_000, 48, 500
 
 #: A byte-level BPE with GPT-2's pattern always starts a new word at a space or line feed that anything but white space
-#: follows, and words are encoded one by one; so texts may be cut there.
+#: follows, and words are encoded one by one; so texts may be cut there, and pieces that begin so may be joined.
 SPACED = re.compile(r"[ \n]?(?:[^ \n]+|[ \n](?!\S))+")
+#: What a text must not hold for all its pieces to begin so.
+UNEVEN = re.compile(r"\s\s|[^\S \n]|\x00|\A\s|\s\Z")
 
 
 class PieceEncoder:
     """Texts -> ids. kind `word`: the tokenizer drops white space, texts are cut at space and line feed; kind `byte`:
-    texts are cut before them. Strings that look like special tokens are ordinary text."""
+    texts are cut before them. Strings that look like special tokens are ordinary text.
+
+    Pieces are known by keys. For `byte` the key of a piece that begins with a space is what follows it; with a line
+    feed, the piece itself; any other piece has a zero character before it and is never joined with others.
+    """
 
     def __init__(self, path: str, kind: str):
         from tokenizers import Tokenizer
@@ -32,39 +38,71 @@ class PieceEncoder:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def pieces(self, text: str) -> list[str]:
-        if self.kind == "byte":
-            return SPACED.findall(text)
-        return [p for p in text.replace("\n", " ").split(" ") if p]
+    def keys(self, text: str) -> list[str]:
+        if self.kind == "word":
+            return [p for p in text.replace("\n", " ").split(" ") if p]
+        if text and not UNEVEN.search(text):
+            first, *rest = text.replace("\n", " \n").split(" ")
+            return ["\x00" + first, *rest]
+        return [self.key(p) for p in SPACED.findall(text)]
+
+    @staticmethod
+    def key(piece: str) -> str:
+        if len(piece) > 1 and piece[0] in " \n" and not piece[1].isspace() and piece[1] != "\x00":
+            return piece if piece[0] == "\n" else piece[1:]
+        return "\x00" + piece
+
+    def piece(self, key: str) -> str:
+        if self.kind == "word" or key[0] == "\n":
+            return key
+        return key[1:] if key[0] == "\x00" else " " + key
 
     def raw(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def learn(self, pieces: set[str]) -> None:
-        """Encode new pieces. A full stop or comma at the end, after a Latin letter, is a word of its own."""
-        stems: dict[str, str] = {}
-        for p in pieces:
-            if len(p) > 2 and p[-1] in ".," and p[-2].isalpha() and p[-2] < "ɐ":
-                stems[p] = p[:-1]
-        new = list(((pieces - stems.keys()) | set(stems.values()) | ({".", ","} if stems else set())) - self.known.keys())
-        for at in range(0, len(new), 20_000):
-            self.known.update(zip(new[at : at + 20_000], self.raw(new[at : at + 20_000]), strict=True))
-        for p, stem in stems.items():
-            self.known[p] = self.known[stem] + self.known[p[-1]]
+    def joined(self, pieces: list[str]) -> Iterator[bytes]:
+        """As raw, with many pieces in a string: an id belongs to the piece in which its characters end."""
+        between = " " if self.kind == "word" else ""
+        groups = [pieces[at : at + JOINED] for at in range(0, len(pieces), JOINED)]
+        for group, e in zip(groups, self.tokenizer.encode_batch([between.join(g) for g in groups], add_special_tokens=False), strict=True):
+            ends = np.cumsum([len(p) + len(between) for p in group]) - len(between)
+            upto = np.searchsorted(np.array([end for _, end in e.offsets]), ends, side="right") * self.dtype.itemsize
+            ids, start = np.array(e.ids, self.dtype).tobytes(), 0
+            for end in upto.tolist():
+                yield ids[start:end]
+                start = end
+
+    def encoded(self, keys: list[str]) -> dict[str, bytes]:
+        alone = [k for k in keys if k[0] == "\x00"] if self.kind == "byte" else []
+        others = [k for k in keys if k[0] != "\x00"] if self.kind == "byte" else keys
+        out = dict(zip(alone, self.raw([self.piece(k) for k in alone]), strict=True))
+        for at in range(0, len(others), 20 * JOINED):
+            part = others[at : at + 20 * JOINED]
+            out.update(zip(part, self.joined([self.piece(k) for k in part]), strict=True))
+        return out
+
+    def learn(self, keys: set[str]) -> None:
+        """Encode new pieces. A full stop or comma at the end is a word of its own after a Latin letter
+        that stays one letter in lower case."""
+        stems = {k: k[:-1] for k in keys if len(k) > 2 and k[-1] in ".," and k[-2].isalpha() and k[-2] < "ɐ" and k[-2] != "İ"}
+        self.known.update(self.encoded(list(((keys - stems.keys()) | set(stems.values())) - self.known.keys())))
+        marks = dict(zip(".,", self.raw([".", ","]), strict=True)) if stems else {}
+        for k, stem in stems.items():
+            self.known[k] = self.known[stem] + marks[k[-1]]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.pieces(t) for t in texts]
+        cut = [self.keys(t) for t in texts]
         wanted = set().union(*cut)
-        long = [p for p in wanted if len(p) > PIECE_CHARS]
+        long = [k for k in wanted if len(k) > PIECE_CHARS]
         new = wanted.difference(self.known, long)
         if len(self.known) + len(new) > CACHE_PIECES:  # what is still in use comes back from the older generation
             self.known, self.older = {}, self.known
             new = wanted.difference(long)
         seen = new & self.older.keys()
-        self.known.update({p: self.older[p] for p in seen})
+        self.known.update({k: self.older[k] for k in seen})
         self.learn(new - seen)
-        known = _Both(self.known, dict(zip(long, self.raw(long), strict=True))) if long else self.known
-        return [np.frombuffer(b"".join([known[p] for p in c]), self.dtype) for c in cut]
+        known = _Both(self.known, dict(zip(long, self.raw([self.piece(k) for k in long]), strict=True))) if long else self.known
+        return [np.frombuffer(b"".join([known[k] for k in c]), self.dtype) for c in cut]
 
 
 class _Both:
