@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -56,6 +56,24 @@ def hash_embedding(dimension: int = 1024):
     return embed
 
 
+def model_embedding(load: Callable[[], Callable[[list[str]], np.ndarray]], batch_size: int = 32):
+    """texts -> unit vectors by a model. `load` gives a function from texts to a matrix; a Python worker calls it once,
+    on the first batch that it sees."""
+
+    @F.pandas_udf("array<float>")
+    def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = None
+        for texts in batches:
+            model = model or load()
+            filled = texts.fillna("").tolist()
+            rows = [model(filled[at : at + batch_size]) for at in range(0, len(filled), batch_size)]
+            matrix = np.vstack(rows) if rows else np.empty((0, 1))
+            lengths = np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
+            yield pd.Series(list((matrix / lengths).astype(np.float32)))
+
+    return embed
+
+
 QUERY_PREFIX = "Represent this sentence for searching relevant passages: "
 
 

@@ -166,14 +166,14 @@ def l2_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- changes --------------------------------------------------------------------------------------------------------
 
 CURRENT = "(SELECT doc_id, sha256(text) AS file_hash FROM documents)"
-STORED = "(SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'old' ELSE sha256(text) END AS file_hash FROM documents WHERE doc_id % 3 <> 0)"
+STORED = "(SELECT doc_id, CASE WHEN toxic = 1 THEN 'old' ELSE sha256(text) END AS file_hash FROM documents JOIN labels USING (doc_id))"
 CHANGES = f"(SELECT c.doc_id, CASE WHEN s.file_hash IS NULL THEN 'new' WHEN s.file_hash <> c.file_hash THEN 'update' ELSE 'unchanged' END AS change FROM {CURRENT} c LEFT JOIN {STORED} s USING (doc_id))"
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents against a stored state that lacks every third one and has another hash for every fifth."""
+    """Documents against a stored state that knows those with labels, and the toxic ones by another hash."""
     current = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("file_hash"))
-    stored = current.filter(F.col("doc_id") % 3 != 0).withColumn("file_hash", F.when(F.col("doc_id") % 5 == 0, "old").otherwise(F.col("file_hash")))
+    stored = current.join(table(spark, sf_dir, "labels"), "doc_id").withColumn("file_hash", F.when(F.col("toxic") == 1, "old").otherwise(F.col("file_hash")))
     return store.classify_changes(current, stored).select("doc_id", "change")
 
 
@@ -200,11 +200,11 @@ def dedup_keep_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def both_ids(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     labels = table(spark, sf_dir, "labels").select("doc_id")
-    extra = labels.select((F.col("doc_id") + 100_000_000).alias("doc_id")).filter(F.col("doc_id") % 7 == 0)
+    extra = table(spark, sf_dir, "pages").select((F.col("page_id") + 1_000_000_000_000).alias("doc_id"))
     return table(spark, sf_dir, "documents").select("doc_id"), labels.unionAll(extra)
 
 
-META_IDS = "(SELECT doc_id FROM labels UNION ALL SELECT doc_id + 100000000 FROM labels WHERE (doc_id + 100000000) % 7 = 0)"
+META_IDS = "(SELECT doc_id FROM labels UNION ALL SELECT page_id + 1000000000000 FROM pages)"
 
 
 @query(f"SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM {META_IDS}")
@@ -233,17 +233,21 @@ def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return of("documents", "doc_id").unionByName(of("pages", "page_id")).unionByName(of("benchmark", "item_id"))
 
 
-@query("SELECT doc_id, quality, toxic FROM labels WHERE doc_id % 4 <> 0 UNION ALL SELECT doc_id, 9, 9 FROM documents WHERE doc_id % 4 = 0")
+@query("SELECT doc_id, quality, toxic FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE lang = 'fr') UNION ALL SELECT doc_id, 9, 9 FROM documents WHERE lang = 'fr'")
 def upsert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    new = table(spark, sf_dir, "documents").filter(F.col("doc_id") % 4 == 0).select("doc_id", F.lit(9).alias("quality"), F.lit(9).alias("toxic"))
+    new = table(spark, sf_dir, "documents").filter(F.col("lang") == "fr").select("doc_id", F.lit(9).alias("quality"), F.lit(9).alias("toxic"))
     return store.upsert(table(spark, sf_dir, "labels"), new, "doc_id")
 
 
-@query("SELECT conv_id, turn, role FROM conversations WHERE conv_id % 3 <> 0 UNION ALL SELECT conv_id, turn + 100, 'new' FROM conversations WHERE conv_id % 3 = 0 AND turn < 2")
+@query(
+    "WITH s AS (SELECT DISTINCT conv_id FROM conversations WHERE role = 'system') SELECT conv_id, turn, role FROM conversations WHERE conv_id NOT IN (SELECT conv_id FROM s) "
+    "UNION ALL SELECT conv_id, turn + 100, 'new' FROM conversations WHERE conv_id IN (SELECT conv_id FROM s) AND role = 'user'"
+)
 def replace_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
-    new = turns.filter((F.col("conv_id") % 3 == 0) & (F.col("turn") < 2)).withColumn("turn", F.col("turn") + 100).withColumn("role", F.lit("new"))
-    return store.replace_children(turns, new, "conv_id", replaced=turns.filter(F.col("conv_id") % 3 == 0))
+    replaced = turns.filter(F.col("role") == "system").select("conv_id").distinct()
+    new = turns.filter(F.col("role") == "user").join(replaced, "conv_id", "left_semi").withColumn("turn", F.col("turn") + 100).withColumn("role", F.lit("new"))
+    return store.replace_children(turns, new, "conv_id", replaced=replaced)
 
 
 @query(

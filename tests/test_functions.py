@@ -108,6 +108,18 @@ def test_hash_embedding_is_the_same_in_every_partition(spark):
     assert sum(v * v for v in same[0]) == pytest.approx(1, abs=1e-5)
 
 
+def test_model_embedding_loads_once_for_a_worker(spark):
+    import numpy as np
+
+    def load():
+        return lambda texts: np.array([[len(t), 1.0] for t in texts])
+
+    df = spark.createDataFrame([("abc",), (None,)], "x string").coalesce(1)
+    got = [r[0] for r in df.select(vectors.model_embedding(load, 1)("x")).collect()]
+    assert got[0] == pytest.approx([3 / 10**0.5, 1 / 10**0.5])
+    assert got[1] == [0.0, 1.0]
+
+
 NOTICE = """부산지방해양수산청
 수신 주식회사 한빛건설 귀하
 제목 공유수면 점용 사용 허가
