@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,11 @@ SPACED = re.compile(r"[ \n]?(?:[^ \n]+|[ \n](?!\S))+")
 #: What a text must not hold for all its pieces to begin so.
 UNEVEN = re.compile(r"\s\s|[^\S \n]|\x00|\A\s|\s\Z")
 
+#: The characters by which byte-level tokenizers name bytes: printable ones of Latin-1 name themselves, the others take
+#: the code points from 256 on.
+PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_NAMES = {b: b if b in PRINTABLE else 256 + sum(x not in PRINTABLE for x in range(b)) for b in range(256)}
+
 
 class PieceEncoder:
     """Texts -> ids. kind `word`: the tokenizer drops white space, texts are cut at space and line feed; kind `byte`:
@@ -33,10 +39,12 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() < 1 << 16 else "<u4")
         self.kind = kind
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.line_feed = self.raw(["\n"])[0] if kind == "byte" else b""
 
     def keys(self, text: str) -> list[str]:
         if self.kind == "word":
@@ -57,6 +65,12 @@ class PieceEncoder:
             return key
         return key[1:] if key[0] == "\x00" else " " + key
 
+    @staticmethod
+    def is_word(key: str) -> bool:
+        """Latin letters only, of which none becomes two in lower case; a line feed may stand before them."""
+        letters = key[1:] if key[0] == "\n" else key
+        return letters.isalpha() and (letters.isascii() or (max(letters) < "ɐ" and "İ" not in letters))
+
     def raw(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
@@ -72,10 +86,21 @@ class PieceEncoder:
                 yield ids[start:end]
                 start = end
 
+    def word(self, key: str) -> bytes:
+        """One word of Latin letters, given to the model as the tokenizer's own first steps would: they never cut
+        between letters."""
+        seen = " " + key if self.kind == "byte" and key[0] != "\n" else key.lstrip("\n")
+        seen = (seen if self.kind == "byte" else seen.lower()).encode().decode("latin-1").translate(BYTE_NAMES)
+        ids = array(self.dtype.char, [t.id for t in self.model.tokenize(seen)]).tobytes()
+        return self.line_feed + ids if key[0] == "\n" else ids
+
     def encoded(self, keys: list[str]) -> dict[str, bytes]:
+        simple = [k for k in keys if self.is_word(k)]
+        out = {k: self.word(k) for k in simple}
+        keys = [k for k in keys if k not in out]
         alone = [k for k in keys if k[0] == "\x00"] if self.kind == "byte" else []
         others = [k for k in keys if k[0] != "\x00"] if self.kind == "byte" else keys
-        out = dict(zip(alone, self.raw([self.piece(k) for k in alone]), strict=True))
+        out.update(zip(alone, self.raw([self.piece(k) for k in alone]), strict=True))
         for at in range(0, len(others), 20 * JOINED):
             part = others[at : at + 20 * JOINED]
             out.update(zip(part, self.joined([self.piece(k) for k in part]), strict=True))
