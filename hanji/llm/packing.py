@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from . import tokens
 from .common import staged
 
-#: Tokens of a sequence, the id that ends a document, and the pieces that one task packs, on average.
-CAPACITY, END, BLOCK_ROWS = 2048, 0, 8192
+#: Tokens of a sequence, the id that ends a document, the pieces that one task packs, on average, and the length up to
+#: which pieces are kept back to fill gaps.
+CAPACITY, END, BLOCK_ROWS, FILLER = 2048, 0, 16384, 300
 
 
 def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -75,7 +76,8 @@ def sum_of_squares(lengths: list[int], capacity: int = CAPACITY) -> tuple[list[i
 
 
 def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["length", "row"], ascending=[False, True], kind="stable", ignore_index=True)
+    """A block in random order, short pieces last: the rule keeps many different gaps open, which those then fill."""
+    pdf = pdf.assign(short=pdf["length"] <= FILLER).sort_values(["short", "draw", "row"], kind="stable", ignore_index=True)
     sequence, offset = sum_of_squares(pdf["length"].tolist())
     return pd.DataFrame({"row": pdf["row"], "sequence_id": pdf["block"] * (1 << 32) + np.array(sequence, np.int64), "offset": np.array(offset, np.int64)})
 
@@ -84,14 +86,14 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, block_rows: int = BLOCK
     """Documents (doc_id, text, ...) -> doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Texts become ids where they are; from there on only a few numbers for each piece move. Pieces fall by hash into
-    blocks, so that equal lengths and copies spread, and each block is packed on its own, longest pieces first; a
-    block leaves a handful of sequences partly empty. Null and empty texts are one end id; repeated rows and repeated
+    blocks, so that equal lengths and copies spread, and each block is packed on its own; it leaves a handful of
+    sequences partly empty. Null and empty texts are one end id; repeated rows and repeated
     doc_ids are documents of their own; other columns are ignored; no rows give no rows.
     """
     encode = lambda batches: _pieces(tokenizer_path, batches)
     pieces = docs.select("doc_id", "text").mapInArrow(encode, "doc_id long, piece int, start long, length long, ids_crc32 long")
     pieces = staged(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
     blocks = max(1, -(-pieces.count() // block_rows))
-    sized = pieces.select("row", "length", F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("block"))
+    sized = pieces.select("row", "length", F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("block"), F.xxhash64(F.lit(1), "row").alias("draw"))
     placed = sized.groupBy("block").applyInPandas(_pack, "row long, sequence_id long, offset long")
     return pieces.join(placed, "row").drop("row")
