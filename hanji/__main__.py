@@ -1,4 +1,4 @@
-"""Command line: init-db, run, search, stats, sync-to-mirror."""
+"""Command line: init-db, run, search, stats, images, sync-to-mirror."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from hanji.functions import keywords, vectors
 from hanji.operators import search, stats, store
 from hanji.plans import ingest
 from hanji.session import spark_session
+from hanji.sources import hwp
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -32,6 +33,9 @@ def arguments() -> argparse.ArgumentParser:
     find.add_argument("--keyword")
     find.add_argument("--dimension", type=int, default=1024)
     commands.add_parser("stats")
+    images = commands.add_parser("images")
+    images.add_argument("-d", "--data", action="append", required=True)
+    images.add_argument("--out", required=True)
     commands.add_parser("sync-to-mirror").add_argument("--mirror", required=True)
     return parser
 
@@ -57,6 +61,9 @@ def main(argv: list[str] | None = None) -> None:
         search.preview(hits).show(args.top_k, truncate=False)
     elif args.command == "stats":
         stats.store_stats(tables.read("documents"), tables.read("document_chunks")).show(truncate=False)
+    elif args.command == "images":
+        hwp.extract_images(spark, *args.data).write.parquet(args.out)
+        stats.status_counts(spark.read.parquet(args.out)).show()
     else:
         mirror = store.TableStore(spark, args.mirror)
         if not mirror.exists("documents"):

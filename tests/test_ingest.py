@@ -54,3 +54,17 @@ def test_ingest_twice_search_and_sync(spark, corpus, tmp_path):
         counts = {r["table"]: r["n"] for r in ingest.sync_to_mirror(tables, mirror).collect()}
         assert counts == {"documents": 2, "document_chunks": 3, "attachments": 2}
         assert mirror.read("document_chunks").agg(F.max(F.size("embedding")), F.count("*")).first() == (8, 3)
+
+
+def test_command_line_on_an_empty_store(spark, tmp_path, capsys):
+    from hanji.__main__ import main
+
+    own = ["--store", str(tmp_path / "store")]
+    main([*own, "init-db"])
+    main([*own, "search", "영도구 점용", "-k", "2", "--dimension", "8"])
+    for _ in range(2):
+        main([*own, "sync-to-mirror", "--mirror", str(tmp_path / "mirror")])
+    main([*own, "stats"])
+    assert "document_count" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main([*own, "no-such-command"])
