@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from . import tokens
 from .common import shared_folder
 
-#: The id that ends a document; ids in a block; ids after which a segment ends with its document.
-END, BLOCK_IDS, SEGMENT_IDS = 2, 2048, 1 << 23
+#: The id that ends a document; ids in a block, at most and at least; blocks that are coded side by side if there are
+#: enough ids; ids after which a segment ends with its document.
+END, BLOCK_IDS, LEAST_BLOCK_IDS, SIDE_BY_SIDE, SEGMENT_IDS = 2, 2048, 256, 2048, 1 << 23
 #: Slots of a block's tables for order 1 and order 2, steps of confidence in a slot, and bits of a probability.
 SLOTS, SURE, BITS = 1024, 16, 12
 #: The order-0 model's symbols: the length of an id + 1 in bits, and the two bits below its leading one.
@@ -259,8 +260,9 @@ def _segments(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
     def segment() -> pa.RecordBatch:
         ids = np.concatenate(streams)
-        payloads = encode_blocks(ids)
-        cut = [ids[s : s + BLOCK_IDS].astype("<u4") for s in range(0, len(ids), BLOCK_IDS)]
+        size = block_size(len(ids))
+        payloads = encode_blocks(ids, size)
+        cut = [ids[s : s + size].astype("<u4") for s in range(0, len(ids), size)]
         blocks = [{"n_ids": len(x), "crc32": zlib.crc32(x), "payload": p} for x, p in zip(cut, payloads, strict=True)]
         row = {"segment": (task.partitionId() << 32) + made, "n_ids": len(ids), "blocks": blocks, "documents": documents}
         return pa.RecordBatch.from_pylist([row], schema=_SEGMENT)
@@ -279,14 +281,20 @@ def _segments(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         yield segment()
 
 
+def block_size(n_ids: int) -> int:
+    """Ids in each block of a segment: a small segment has smaller blocks, as its time is that of one block's ids."""
+    return min(BLOCK_IDS, max(LEAST_BLOCK_IDS, -(-n_ids // SIDE_BY_SIDE)))
+
+
 class DamagedBlock(ValueError):
     """A block whose ids don't have the checksum that was stored with it."""
 
 
 def read_segment(n_ids: int, blocks: list[dict]) -> np.ndarray:
-    ids = decode_blocks([b["payload"] for b in blocks], n_ids)
+    size = blocks[0]["n_ids"] if blocks else 1
+    ids = decode_blocks([b["payload"] for b in blocks], n_ids, size)
     for k, b in enumerate(blocks):
-        if zlib.crc32(ids[k * BLOCK_IDS : k * BLOCK_IDS + b["n_ids"]].astype("<u4")) != b["crc32"]:
+        if zlib.crc32(ids[k * size : k * size + b["n_ids"]].astype("<u4")) != b["crc32"]:
             raise DamagedBlock(f"block {k} of {len(blocks)}")
     return ids
 
@@ -307,7 +315,8 @@ def write_ids(docs: DataFrame, tokenizer_path: str, folder: str) -> None:
     """Write the ids of all documents (doc_id, text, ...) in ascending doc_id order.
 
     The format: Parquet files with a row for each segment, segments ascending. A segment holds whole documents: their
-    doc_ids and lengths, and blocks of BLOCK_IDS ids, each coded from a fresh model and stored with the crc32 of its ids.
+    doc_ids and lengths, and blocks of equally many ids (the last may have fewer; see block_size), each coded from a fresh
+    model and stored with the crc32 of its ids.
     Texts are range-partitioned by doc_id and sorted, so partitions follow one another; nothing global passes through
     one task. Null doc_ids come first; equal ones in order of their text's hash; null texts are empty.
     """
