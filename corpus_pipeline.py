@@ -20,10 +20,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the document with the smallest doc_id stays. Rows without a doc_id stay."""
-    found = simhash.simhash_components(docs)
-    gone = staged(found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "duplicates")
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Of each group of texts linked by similarity (five words, 0.8) the document with the smallest doc_id stays. Rows
+    without a doc_id stay."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    rows = staged(docs.select(F.monotonically_increasing_id().alias("number"), "doc_id", whole), "numbered")
+    found = staged(simhash.similar_components(rows.select("number", "doc_id", F.col("whole.text").alias("text"))), "components")
+    smallest = found.groupBy("component").agg(F.min("doc_id").alias("smallest"))
+    gone = staged(found.join(smallest, "component").filter("doc_id <> smallest").select("doc_id").distinct(), "duplicates")
+    return rows.join(gone, "doc_id", "left_anti").select("whole.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

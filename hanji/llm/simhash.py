@@ -11,7 +11,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from . import tokens
 from .common import connected_components, staged
 
 #: Words in a shingle, the hash's seed, and the number of differing bits up to which fingerprints link.
@@ -20,6 +22,9 @@ SHINGLE, HASH_SEED, RADIUS = 3, 42, 2
 BLOCKS, PER_PAIR, WHOLE = 4, 16, 24
 #: Fingerprints of one bucket that a task compares through its distance table; larger buckets take the way of midpoints.
 TABLE_ROWS = 4096
+#: For links by counted similarity: smallest shingle hashes that name a document's buckets, and the differing bits up to
+#: which a pair is counted.
+ANCHORS, WIDE = 6, 24
 
 
 def references(n: int, seed: int) -> list[int]:
@@ -31,18 +36,28 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def fingerprint(text: str | None) -> int:
-    """A bit is 1 if it is set in over half of the shingles' hashes. Fewer words than a shingle has: the whole sequence
-    is the one shingle; no words (null and empty texts too): zero."""
-    words = (text or "").encode().lower().split()  # on bytes, both know ASCII only
+def shingle_hashes(words: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
+    """The hashes of all shingles. Fewer words than a shingle has: the whole sequence is the one shingle."""
     if not words:
-        return 0
-    if len(words) <= SHINGLE:
+        return np.empty(0, dtype="<u8")
+    if len(words) <= shingle:
         shingles = [b" ".join(words)]
     else:
-        shingles = map(b" ".join, zip(*(words[i:] for i in range(SHINGLE)), strict=False))
+        shingles = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
     digest, seed = xxhash.xxh64_intdigest, HASH_SEED
-    hashes = np.array([digest(s, seed) for s in shingles], dtype="<u8")
+    return np.array([digest(s, seed) for s in shingles], dtype="<u8")
+
+
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").encode().lower().split()  # on bytes, both know ASCII only
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """A bit is 1 if it is set in over half of the shingles' hashes. No words (null and empty texts too): zero."""
+    return majority(shingle_hashes(words_of(text), shingle))
+
+
+def majority(hashes: np.ndarray) -> int:
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), 1 << 16):
         ones += np.unpackbits(hashes[at : at + (1 << 16), None].view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -168,3 +183,140 @@ def simhash_components(docs: DataFrame, table_rows: int = TABLE_ROWS) -> DataFra
     smallest = linked.groupBy("component").agg(F.min("first").alias("component_id"))
     ids = staged(linked.join(smallest, "component").select("fp", "component_id"), "component-ids")
     return rows.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _sketches(shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text, ...) -> instead of the text node (the hash of all words in order), fp, n distinct shingles and the smallest
+    of their hashes."""
+    for batch in batches:
+        for part in tokens.portions(batch):
+            nodes, fps, sizes, anchors = [], [], [], []
+            for text in tokens.texts_of(part):
+                words = words_of(text)
+                hashes = shingle_hashes(words, shingle)
+                nodes.append(signed(xxhash.xxh3_64_intdigest(b" ".join(words))))
+                fps.append(signed(majority(hashes)))
+                hashes = np.unique(hashes)
+                sizes.append(len(hashes))
+                anchors.append(hashes[:ANCHORS].astype(np.int64))
+            out = part.drop_columns(["text"])
+            for name, values, kind in (("node", nodes, pa.int64()), ("fp", fps, pa.int64()), ("n", sizes, pa.int64()), ("anchors", anchors, pa.list_(pa.int64()))):
+                out = out.append_column(name, pa.array(values, kind))
+            yield out
+
+
+def _sets(shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, text) -> node, shingles: the sorted distinct hashes."""
+    for batch in batches:
+        for part in tokens.portions(batch):
+            sets = [np.unique(shingle_hashes(words_of(text), shingle)).astype(np.int64) for text in tokens.texts_of(part)]
+            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+
+
+def runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches in order of key -> a table for each key that has two rows or more, whatever batches it spans."""
+    held, held_key = [], None
+    for batch in batches:
+        if not len(batch):
+            continue
+        keys = batch.column("key").to_numpy()
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        ends = np.r_[starts[1:], len(keys)]
+        # A lone row may have company only in the batch before or after.
+        for k in np.flatnonzero((ends - starts > 1) | (starts == 0) | (ends == len(keys))).tolist():
+            if keys[starts[k]] != held_key:
+                if sum(map(len, held)) > 1:
+                    yield pa.Table.from_batches(held).combine_chunks()
+                held, held_key = [], keys[starts[k]]
+            held.append(batch.slice(starts[k], ends[k] - starts[k]))
+    if sum(map(len, held)) > 1:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def bucket_pairs(run: pa.Table, radius: int, similarity: float, labels: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions (i, j), i > j, of a bucket's rows that may be similar, some rows at a time: within `radius` bits, of
+    sizes that allow the similarity, and with no smaller anchor in common (the pair is that anchor's bucket's). labels:
+    leaves out pairs of equal labels, as they are when a step begins. In order of i, for each its nearest j first."""
+    fps, sizes, key = run.column("fp").to_numpy().view(np.uint64), run.column("n").to_numpy(), np.uint64(run.column("key")[0].as_py() & (1 << 64) - 1)
+    flat = run.column("anchors").combine_chunks()
+    lengths = np.diff(flat.offsets.to_numpy())
+    anchors = np.full((len(fps), ANCHORS), key, np.uint64)
+    # Only what is smaller than the key decides; the key itself fills the rest.
+    anchors[np.arange(ANCHORS) < lengths[:, None]] = flat.flatten().to_numpy().view(np.uint64)
+    anchors = np.minimum(anchors, key)
+    for at in range(0, len(fps), 64):
+        end = min(at + 64, len(fps))
+        near = np.bitwise_count(fps[at:end, None] ^ fps[None, :end])
+        ok = (near <= radius) & (np.arange(at, end)[:, None] > np.arange(end))
+        if labels is not None:
+            ok &= labels[at:end, None] != labels[None, :end]
+        i, j = np.nonzero(ok)
+        bits, i = near[i, j], i + at
+        keep = np.minimum(sizes[i], sizes[j]) >= similarity * np.maximum(sizes[i], sizes[j])
+        for a in range(ANCHORS):
+            for b in range(ANCHORS):
+                keep &= (anchors[i, a] != anchors[j, b]) | (anchors[i, a] == key)
+        order = np.lexsort((bits[keep], i[keep]))
+        yield i[keep][order], j[keep][order]
+
+
+def _partners(radius: int, similarity: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of one key -> the rows (key, node) that have a possible partner in the run."""
+    for run in runs_of(batches):
+        some = np.zeros(len(run), bool)
+        for i, j in bucket_pairs(run, radius, similarity):
+            some[i] = some[j] = True
+        if some.any():
+            yield pa.RecordBatch.from_arrays([pa.array(run.column(c).to_numpy()[some]) for c in ("key", "node")], ["key", "node"])
+
+
+def _similar(radius: int, similarity: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of one key, with shingles -> links (a, b) of nodes whose similarity was counted; pairs that links join
+    already are left out."""
+    for run in runs_of(batches):
+        column = run.column("shingles").combine_chunks()
+        flat, bounds, nodes = column.values.to_numpy(), column.offsets.to_numpy(), run.column("node").to_numpy()
+        sets = [flat[s:e].view(np.uint64) for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
+        labels, a, b = np.arange(len(sets)), [], []
+        for i, j in bucket_pairs(run, radius, similarity, labels):
+            firsts = np.flatnonzero(np.diff(i, prepend=-1))
+            for x, others in zip(i[firsts].tolist(), np.split(j, firsts[1:]) if len(i) else [], strict=True):
+                at, others = 0, others[labels[others] != labels[x]]
+                while at < len(others):
+                    y, at = int(others[at]), at + 1
+                    places = np.minimum(np.searchsorted(sets[y], sets[x]), len(sets[y]) - 1)
+                    common = int((sets[y][places] == sets[x]).sum())
+                    if common / (len(sets[x]) + len(sets[y]) - common) >= similarity:
+                        labels[labels == labels[x]] = labels[y]
+                        a.append(nodes[x])
+                        b.append(nodes[y])
+                        at, others = 0, others[at:][labels[others[at:]] != labels[x]]
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def similar_components(docs: DataFrame, shingle: int = 5, radius: int = WIDE, similarity: float = 0.8) -> DataFrame:
+    """Documents (number, doc_id, text, ...) -> number, doc_id, component: the same for documents that links join, of
+    texts whose sets of shingles have a Jaccard similarity of `similarity` at least. number is a row's own, and stored.
+
+    Fingerprints that far apart share no block of bits, so the buckets come from the shingles: a document enters one for
+    each of the ANCHORS smallest hashes of its shingles. Of two texts as similar as 0.8 each of the smallest hashes of
+    their union is in both with chance 0.8, so they meet nowhere with chance 0.2 ** ANCHORS. In a bucket the pairs within
+    `radius` bits are candidates (unrelated fingerprints differ in 32 bits, texts of similarity 0.8 in about 10), and a
+    candidate links only if the similarity counted from both whole sets is reached. Texts of equal words are one node.
+    A bucket is one task's work, quadratic in comparisons of fingerprints but not in memory or counted pairs.
+    """
+    schema = "number long, doc_id long, node long, fp long, n long, anchors array<long>"
+    rows = staged(docs.select("number", "doc_id", "text").mapInArrow(lambda batches: _sketches(shingle, batches), schema), "sketches")
+    first = F.min(F.struct("number", "fp", "n", "anchors")).alias("x")
+    distinct = staged(rows.groupBy("node").agg(first).select("node", "x.*"), "distinct")
+    keyed = distinct.select("node", "fp", "n", "anchors", F.explode("anchors").alias("key"))
+    keyed = keyed.repartition("key").sortWithinPartitions("key", "node").select("key", "node", "fp", "n", "anchors")
+    partners = staged(keyed.mapInArrow(lambda batches: _partners(radius, similarity, batches), "key long, node long"), "partners")
+    wanted = distinct.join(partners.select("node").distinct(), "node", "left_semi").select("number", "node", "fp", "n", "anchors")
+    texts = docs.select("number", "text").join(wanted.select("number", "node"), "number").select("node", "text")
+    sets = staged(texts.mapInArrow(lambda batches: _sets(shingle, batches), "node long, shingles array<long>"), "sets")
+    full = partners.join(wanted.drop("number"), "node").join(sets, "node").repartition("key").sortWithinPartitions("key", "node")
+    full = full.select("key", "node", "fp", "n", "anchors", "shingles")
+    links = staged(full.mapInArrow(lambda batches: _similar(radius, similarity, batches), "a long, b long"), "links")
+    nodes = connected_components(links)
+    return rows.join(nodes, "node", "left").select("number", "doc_id", F.coalesce("component", "node").alias("component"))
