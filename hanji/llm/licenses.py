@@ -15,6 +15,8 @@ SENTENCES = {
     "apache-copy": "you may obtain a copy of the license at http www apache org licenses license 2 0",
     "apache-as-is": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
     "apache-see": "see the license for the specific language governing permissions and limitations under the license",
+    "apache-at": "you may obtain a copy of the license at",
+    "apache-url": "http www apache org licenses license 2 0",
     "mit-line": "released under the mit license",
     "mit-line-2": "licensed under the mit license",
     "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",
@@ -29,8 +31,15 @@ SENTENCES = {
     "gpl-redistribute-2": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
     "gpl-redistribute-3": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     "gpl-warranty": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "gpl-redistribute": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
+    "gpl-either-2": "either version 2 of the license or at your option any later version",
+    "gpl-useful": "this program is distributed in the hope that it will be useful but without any warranty",
+    "gpl-implied": "without even the implied warranty of merchantability or fitness for a particular purpose",
     "gpl-received": "you should have received a copy of the gnu general public license along with this program",
     "mpl-terms": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "mpl-subject": "this source code form is subject to the terms of the mozilla public license v",
+    "mpl-at": "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
+    "mpl-at-2": "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
     "cc-by-line": "licensed under cc by 4 0",
     "cc-by-sa-line": "licensed under cc by sa 4 0",
     "cc-by-nc-line": "licensed under cc by nc 4 0",
@@ -38,10 +47,11 @@ SENTENCES = {
 }
 
 # A rule holds if its sentences stand in this order among the document's known sentences, next to each
-# other there (unknown sentences may stand between).
+# other there (unknown sentences may stand between). The -notice rules list the standard wording as sentence_ids cuts it.
 RULES = [
     ("Apache-2.0", "apache-line", ["apache-line"]),
     ("Apache-2.0", "apache-header", ["apache-comply", "apache-copy", "apache-as-is", "apache-see"]),
+    ("Apache-2.0", "apache-notice", ["apache-grant", "apache-comply", "apache-at", "apache-url", "apache-as-is", "apache-see"]),
     ("BSD-2-Clause", "bsd-2-text", ["bsd-grant", "bsd-source", "bsd-binary"]),
     ("BSD-3-Clause", "bsd-3-text", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"]),
     ("CC-BY-4.0", "cc-by-line", ["cc-by-line"]),
@@ -49,13 +59,17 @@ RULES = [
     ("CC-BY-SA-4.0", "cc-by-sa-line", ["cc-by-sa-line"]),
     ("CC0-1.0", "cc0-line", ["cc0-line"]),
     ("GPL-2.0-or-later", "gpl-2-header", ["gpl-redistribute-2", "gpl-warranty", "gpl-received"]),
+    ("GPL-2.0-or-later", "gpl-2-notice", ["gpl-redistribute", "gpl-either-2", "gpl-useful", "gpl-implied", "gpl-received"]),
     ("GPL-3.0", "gpl-3-line", ["gpl3-line"]),
     ("GPL-3.0-or-later", "gpl-3-header", ["gpl-redistribute-3", "gpl-warranty", "gpl-received"]),
+    ("GPL-3.0-or-later", "gpl-3-notice", ["gpl-redistribute-3", "gpl-useful", "gpl-implied", "gpl-received"]),
     ("ISC", "isc-text", ["isc-grant"]),
     ("MIT", "mit-line", ["mit-line"]),
     ("MIT", "mit-line-2", ["mit-line-2"]),
     ("MIT", "mit-text", ["mit-grant", "mit-notice", "mit-as-is"]),
     ("MPL-2.0", "mpl-header", ["mpl-terms"]),
+    ("MPL-2.0", "mpl-notice", ["mpl-subject", "mpl-at"]),
+    ("MPL-2.0", "mpl-notice-2", ["mpl-subject", "mpl-at-2"]),
     ("proprietary", "all-rights-reserved", ["all-rights"]),
 ]
 
