@@ -75,13 +75,21 @@ RULES = [
 
 
 def sentence_ids(text: Column) -> Column:
-    """The identifiers of the known sentences of a text, in order. A sentence ends at a line's end, or at . ! ? : or ;
-    before white space."""
-    lines = F.split(F.regexp_replace(text, r"([.!?:;])[ \t\r\f]+", "$1\n"), "\n")
+    """The identifiers of the known sentences of a text, in order.
+
+    A sentence ends at . ! ? : or ; before white space, and around lines without letters and digits; single line ends
+    inside it are white space, so wrapped texts are read like others. A sentence that isn't known so is read once more
+    line by line, for notices of one line among other lines.
+    """
     known = F.create_map(*[F.lit(x) for name, sentence in SENTENCES.items() for x in (sentence, name)])
-    normal = F.transform(lines, lambda line: F.trim(F.regexp_replace(F.lower(line), "[^a-z0-9]+", " ")))
+    normal = lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))
+    # A double line feed stands for a sentence's end.
+    sentences = F.split(F.regexp_replace(text, r"([.!?:;])[ \t\r\f\n]+", "$1\n\n"), r"\n(?:[^\p{L}\p{N}\n]*\n)+")
+    read = F.transform(sentences, lambda s: F.struct(s.alias("raw"), normal(s).alias("whole")))
     # Most sentences are far from any known one; the lookup sees only those that are some known sentence.
-    return F.transform(F.filter(normal, lambda s: s.isin(*SENTENCES.values())), lambda s: F.try_element_at(known, s))
+    parts = lambda s: F.when(s["whole"].isin(*SENTENCES.values()), F.array(s["whole"])).when(F.contains(s["raw"], F.lit("\n")), F.transform(F.split(s["raw"], "\n"), normal)).otherwise(F.array().cast("array<string>"))
+    found = F.filter(F.flatten(F.transform(read, parts)), lambda s: s.isin(*SENTENCES.values()))
+    return F.transform(found, lambda s: F.try_element_at(known, s))
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
@@ -101,7 +109,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
 
 
 def oracle() -> str:
-    """The same scan in DuckDB's SQL."""
+    """The scan line by line in DuckDB's SQL: the same where no known sentence is wrapped."""
     known = ", ".join(f"('{sentence}', '{name}')" for name, sentence in SENTENCES.items())
     rules = ", ".join(f"({k}, '{license}', '{rule}', ',{','.join(ids)},')" for k, (license, rule, ids) in enumerate(RULES))
     return f"""

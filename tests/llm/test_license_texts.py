@@ -53,3 +53,17 @@ def found(spark, layout):
 def test_genuine_texts(spark):
     got = found(spark, "\n\n".join)
     assert {rule for rule in GENUINE if rule not in got[rule]} == set()
+
+
+@pytest.mark.parametrize("width", [70, 80])
+@pytest.mark.parametrize("mark", ["", " * ", "# "])
+def test_wrapped_texts(spark, width, mark):
+    wrapped = lambda text: "\n\n".join(textwrap.fill(part, width) for part in text)
+    got = found(spark, lambda text: textwrap.indent(wrapped(text), mark, lambda line: True))
+    assert {rule for rule in GENUINE if rule not in got[rule]} == set()
+
+
+def test_lines_of_their_own_still_count(spark):
+    text = "Copyright 2020 A. Writer\nAll rights reserved\nReleased under the\nMIT License.\n\nReleased under\nthe MIT License"
+    row = licenses.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row.sentence_ids == "all-rights,mit-line" and row.licenses == "MIT,proprietary"
