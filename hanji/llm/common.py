@@ -11,14 +11,20 @@ from pyspark.sql import functions as F
 #: Code points that separate words: space, tab to carriage return. Everything else belongs to a word.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Share of a table's rows above which a join key is hot: there can be no more than so many hot keys.
+HOT_KEYS = 1000
+
 _own_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which driver and executors share; one of our own only where it is unset."""
+    """The folder in spark.checkpoint.dir, which driver and executors share. Where it is unset, a session with a local
+    master gets a folder of its own; on a cluster that would be several machines' own folders, so it is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_folders:
         _own_folders[app] = tempfile.mkdtemp(prefix="hanji-")
@@ -42,23 +48,44 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def join_hot(many: DataFrame, one: DataFrame, keys: list[str], how: str = "inner", counted: str | None = None) -> DataFrame:
+    """many.join(one, keys, how) for a `one` that has one row for each key, whatever share of `many` a key holds.
+    counted: a column of `one` that already says how many rows of `many` a key has.
+
+    A key with more than a HOT_KEYS-th of the rows of `many` is hot. There are fewer than HOT_KEYS such keys by
+    arithmetic, so their rows of `one` are broadcast and no task has to take all of a hot key's rows; the others are
+    shuffled as ever. `many` is read twice, so it should be a stored table.
+    """
+    key = F.xxhash64(*keys)
+    counts = one.select(key.alias("hash"), F.col(counted).alias("count")) if counted else many.groupBy(key.alias("hash")).count()
+    total = many.count()
+    hot = [r["hash"] for r in counts.filter(F.col("count") > total / HOT_KEYS).select("hash").collect()]
+    if not hot:
+        return many.join(one, keys, how)
+    is_hot = key.isin(hot)
+    near = many.filter(is_hot).join(F.broadcast(one.filter(is_hot)), keys, how)
+    return near.unionByName(many.filter(~is_hot).join(one, keys, how))
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """edges (a long, b long) -> (node long, component long): the smallest node that each node reaches.
 
     Labels start at the smallest neighbour and shrink each round: over every edge, then by one jump to the label's own
     label, so that the rounds grow with the logarithm of a chain's length. Minima are combined before they are
-    shuffled and every step is an aggregate or an equi-join, so a hub with very many neighbours is no single task's
-    work. Each round is staged. Loops (a = b) give a component of one. An empty input gives an empty result.
+    shuffled, and the joins take hubs with very many neighbours and components with very many nodes by join_hot, so
+    neither is a single task's work. Each round is staged. Loops (a = b) give a component of one. An empty input gives
+    an empty result.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = staged(both, "edges")
     labels = staged(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("component")), "labels")
     while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
+        near = join_hot(both, labels.select(F.col("node").alias("b"), "component"), ["b"]).groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         met = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("component"))
+        met = staged(met, "met")
         of_label = labels.select(F.col("node").alias("component"), F.col("component").alias("jump"))
         # Every label is itself a node, so the inner join keeps all rows.
-        new = staged(met.join(of_label, "component").select("node", "old", F.least("component", "jump").alias("component")), "labels")
+        new = staged(join_hot(met, of_label, ["component"]).select("node", "old", F.least("component", "jump").alias("component")), "labels")
         if new.filter("component < old").isEmpty():
             return new.select("node", "component")
         labels = new.select("node", "component")

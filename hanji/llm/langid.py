@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import tokens
 
@@ -20,7 +18,8 @@ GRAMS, BUCKETS, SMOOTH = (1, 2, 3), 1 << 15, 0.5
 #: Code points of text in memory at once, how margins become probabilities, and the score below which a prediction is
 #: flagged as ambiguous.
 WINDOW, SCALE, AMBIGUOUS = 65_536, 6.0, 0.6
-LETTER = r"\p{L}"
+#: Most languages that are learned: those with most documents, of equal ones the first in code-point order.
+MOST_LANGUAGES = 256
 
 
 def codewords(languages: int, seed: int = 5) -> np.ndarray:
@@ -38,23 +37,24 @@ def codewords(languages: int, seed: int = 5) -> np.ndarray:
     return best[1]
 
 
-def gram_buckets(text: str) -> np.ndarray:
-    """Buckets of all n-grams of a text, hashed by code point."""
+def gram_buckets(text: str, starts: int | None = None) -> np.ndarray:
+    """Buckets of all n-grams of a text, hashed by code point; starts: only of those that begin so early."""
     codes = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.uint64)
     parts = []
     for n in GRAMS:
-        if len(codes) >= n:
-            h = np.full(len(codes) - n + 1, np.uint64(n * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+        size = min(len(codes) - n + 1, starts or len(codes))
+        if size > 0:
+            h = np.full(size, np.uint64(n * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
             for k in range(n):
-                h = (h ^ codes[k : len(codes) - n + 1 + k]) * np.uint64(0xFF51AFD7ED558CCD)
+                h = (h ^ codes[k : size + k]) * np.uint64(0xFF51AFD7ED558CCD)
             parts.append((h >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int32))
     return np.concatenate(parts) if parts else np.empty(0, np.int32)
 
 
 def windows(text: str) -> Iterator[np.ndarray]:
-    """The buckets of a whole text, some windows of it at a time, overlapping by what an n-gram needs."""
+    """The buckets of a whole text, some windows of it at a time; each n-gram belongs to the window in which it begins."""
     for at in range(0, max(len(text), 1), WINDOW):
-        yield gram_buckets(text[at : at + WINDOW + max(GRAMS) - 1] if at + WINDOW < len(text) else text[at:])
+        yield gram_buckets(text[at : at + WINDOW + max(GRAMS) - 1], WINDOW)
 
 
 class Cleaner(dict):
@@ -94,16 +94,16 @@ class Model:
     #: A row of weights for each bucket, a column for each bit of the code.
     weights: np.ndarray
 
-    def losses(self, text: str) -> np.ndarray:
+    def losses(self, text: str) -> tuple[np.ndarray, int]:
         """Loss of each language: the exponential loss of each bit's margin against the language's codeword, weighted
-        by how sure the bit's classifier is."""
+        by how sure the bit's classifier is; and the number of n-grams."""
         total, n = np.zeros(self.code.shape[1]), 0
         for found in windows(cleaned(text)):
             total += self.weights[found].sum(axis=0, dtype=np.float64)
             n += len(found)
         margin = np.clip(SCALE * total / max(n, 1), -20, 20)
         weight = np.abs(margin) / max(np.abs(margin).sum(), 1e-12)
-        return np.exp(-self.code * margin / 2) @ weight
+        return np.exp(-self.code * margin / 2) @ weight, n
 
 
 def train(labelled: DataFrame) -> Model | None:
@@ -130,29 +130,33 @@ def train(labelled: DataFrame) -> Model | None:
     return Model(languages, code, weights)
 
 
-def _predict(model: Model | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row struct with a text, has_letter, ...) -> what came in but has_letter, and the prediction."""
-    for batch in batches:
-        batch = batch.append_column("text", pc.struct_field(batch.column("row"), "text"))
-        for part in tokens.portions(batch):
-            lang, score, second = [], [], []
-            for text, has_letter in zip(tokens.texts_of(part), part.column("has_letter").to_pylist(), strict=True):
-                if model is None or not has_letter:
-                    lang.append("und")
-                    score.append(0.0)
-                    second.append(None)
+FOUND = "lang_pred string, score double, runner_up string, evidence long"
+
+
+def predictor(docs: DataFrame, model: Model | None) -> Callable[[Column], Column]:
+    """text -> struct of FOUND. evidence: the number of n-grams that decided."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf(FOUND)
+    def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = shared.value
+        for batch in texts:
+            rows = []
+            for k in range(len(batch)):
+                text = batch[k].as_py() or ""
+                if model is None or not any(map(str.isalpha, text)):
+                    rows.append({"lang_pred": "und", "score": 0.0, "runner_up": None, "evidence": 0})
                     continue
-                loss = model.losses(text)
+                loss, n = model.losses(text)
                 p = np.exp(loss.min() - loss)
                 p /= p.sum()
                 order = np.argsort(loss, kind="stable")
-                lang.append(model.languages[order[0]])
-                score.append(float(p[order[0]]))
-                second.append(model.languages[order[1]] if len(order) > 1 else None)
-            out = part.drop_columns(["has_letter", "text"] + ["row"] * ("doc_id" in part.schema.names))
-            for name, values, kind in (("lang_pred", lang, pa.string()), ("score", score, pa.float64()), ("runner_up", second, pa.string())):
-                out = out.append_column(name, pa.array(values, kind))
-            yield out
+                names = [model.languages[x] for x in order[:2]]
+                rows.append({"lang_pred": names[0], "score": float(p[order[0]]), "runner_up": names[1] if len(names) > 1 else None, "evidence": n})
+            yield pa.array(rows, pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("runner_up", pa.string()), ("evidence", pa.int64())]))
+
+    # So declared, the optimizer doesn't evaluate it once more for a filter on its result.
+    return predict.asNondeterministic()
 
 
 def held_out() -> Column:
@@ -161,19 +165,17 @@ def held_out() -> Column:
 
 
 def identify_languages(docs: DataFrame, carry: bool = False) -> DataFrame:
-    """Documents (doc_id, text, lang, ...) -> doc_id, held_out, lang_pred, score, runner_up, ambiguous.
+    """Documents (doc_id, text, lang, ...) -> doc_id, held_out, lang_pred, score, runner_up, evidence, ambiguous.
 
     Trains on the documents that are not held out and have a language, then predicts every whole text from the text
     alone. `und` with score 0 for null texts and texts without a letter, and for all when there is nothing to learn
-    from. Of equal losses the language first in code-point order wins. ambiguous: the score is below AMBIGUOUS. Repeated
-    rows give repeated rows; other columns are ignored. carry: instead of doc_id a struct `row` holds all columns.
+    from. Of equal losses the language first in code-point order wins. evidence: the text's number of n-grams.
+    ambiguous: the score is below AMBIGUOUS. Repeated rows give repeated rows; other columns are ignored. carry: instead
+    of doc_id a struct `row` holds all columns; only the text goes through Python.
     """
-    model = train(docs.filter(~held_out() & F.col("lang").isNotNull()).select("text", "lang"))
-    row = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if carry else ["text"])])
-    has_letter = F.coalesce(F.col("text").rlike(LETTER), F.lit(False))
-    rows = docs.select(row.alias("row"), *([] if carry else ["doc_id"]), held_out().alias("held_out"), has_letter.alias("has_letter"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    predict = lambda batches: _predict(shared.value, batches)
-    kept = rows.drop("has_letter", *([] if carry else ["row"])).schema
-    schema = T.StructType([*kept.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("runner_up", T.StringType())])
-    return rows.mapInArrow(predict, schema).withColumn("ambiguous", F.col("score") < AMBIGUOUS)
+    labelled = docs.filter(~held_out() & F.col("lang").isNotNull()).select("text", "lang")
+    most = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    model = train(labelled.join(F.broadcast(most.select("lang")), "lang"))
+    key = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row") if carry else F.col("doc_id")
+    found = docs.select(key, held_out().alias("held_out"), predictor(docs, model)(F.col("text")).alias("found"))
+    return found.select("row" if carry else "doc_id", "held_out", "found.*", (F.col("found.score") < AMBIGUOUS).alias("ambiguous"))

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -11,20 +12,19 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import tokens
-from .common import connected_components, staged
+from .common import connected_components, join_hot, staged
 
 #: Words in a shingle, the hash's seed, and the number of differing bits up to which fingerprints link.
 SHINGLE, HASH_SEED, RADIUS = 3, 42, 2
 #: The 64 bits in four blocks; references for each pair of blocks; and references for whole fingerprints.
 BLOCKS, PER_PAIR, WHOLE = 4, 16, 24
-#: Fingerprints of one bucket that a task compares through its distance table; larger buckets take the way of midpoints.
+#: Fingerprints in one distance table, on average; a larger bucket is cut into such blocks.
 TABLE_ROWS = 4096
-#: For links by counted similarity: smallest shingle hashes that name a document's buckets, and the differing bits up to
-#: which a pair is counted.
-ANCHORS, WIDE = 6, 24
+#: For links by counted similarity: smallest shingle hashes that name a document's buckets, differing bits (of 128) up to
+#: which a pair is counted, references that a bucket takes from its own fingerprints, and shingles in a block.
+ANCHORS, WIDE, OWN, BLOCK_SHINGLES = 6, 38, 8, 1 << 19
 
 
 def references(n: int, seed: int) -> list[int]:
@@ -64,6 +64,12 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def second_half(hashes: np.ndarray) -> np.ndarray:
+    """64 more bits of each hash."""
+    h = (hashes ^ hashes >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    return (h ^ h >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+
+
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("text")
@@ -71,81 +77,122 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), values], ["doc_id", "fp"])
 
 
-def near_pairs(fps: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions i < j of the distinct uint64 fingerprints that differ in RADIUS bits at most.
+def near_pairs(fps: np.ndarray, refs: np.ndarray, radius: int, labels: np.ndarray, sides: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions (i, j), i > j, of fingerprints (rows of 64-bit words) that differ in `radius` bits at most and have
+    different labels when a step begins, ordered by i and, for each, its nearest j first.
 
-    By the triangle inequality such a pair's distances to any reference differ by RADIUS at most: pairs are discarded
-    coordinate by coordinate of the distance table, and what survives is compared itself.
+    The table holds every fingerprint's Hamming distances to the references. By the triangle inequality the distances of
+    a near pair to any reference differ by `radius` at most, so pairs whose largest coordinate difference is greater are
+    discarded, and what survives is compared itself. Pairs of one side (other than 0) are not asked for.
     """
-    table = np.bitwise_count(fps[:, None] ^ pivots[None, :]).astype(np.int8)
-    found_i, found_j = [], []
+    table = np.bitwise_count(fps[:, None] ^ refs[None]).sum(axis=2, dtype=np.int16)
     for at in range(0, len(fps), 256):
-        i, j = np.nonzero(np.abs(table[at : at + 256, None, 0] - table[None, :, 0]) <= RADIUS)
+        end = min(at + 256, len(fps))
+        ok = np.tri(end - at, end, at - 1, dtype=bool)
+        ok &= labels[at:end, None] != labels[None, :end]
+        ok &= (sides[at:end, None] == 0) | (sides[at:end, None] != sides[None, :end])
+        for c in range(table.shape[1]):
+            ok &= np.abs(table[at:end, None, c] - table[None, :end, c]) <= radius
+        i, j = np.nonzero(ok)
         i += at
-        i, j = i[i < j], j[i < j]
-        for c in range(1, table.shape[1]):
-            keep = np.abs(table[i, c] - table[j, c]) <= RADIUS
-            i, j = i[keep], j[keep]
-        keep = np.bitwise_count(fps[i] ^ fps[j]) <= RADIUS
-        found_i.append(i[keep])
-        found_j.append(j[keep])
-    return np.concatenate(found_i), np.concatenate(found_j)
-
-
-def spanning_links(n: int, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
-    """(first, other) for every position that pairs join to an earlier one; `first` is its component's smallest."""
-    root = list(range(n))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    for a, b in zip(i.tolist(), j.tolist(), strict=True):
-        a, b = find(a), find(b)
-        if a != b:
-            root[max(a, b)] = min(a, b)
-    return [(find(x), x) for x in range(n) if find(x) != x]
-
-
-def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of equal keys in (key, fp) order -> the links (a, b) that join each run's components."""
-    pivots = np.array(references(WHOLE, 1), dtype=np.uint64)
-    held_key, held = None, np.empty(0, np.int64)
-
-    def links(fps: np.ndarray) -> list[tuple[int, int]]:
-        fps = np.unique(fps)
-        i, j = near_pairs(fps.view(np.uint64), pivots)
-        return [(int(fps[a]), int(fps[b])) for a, b in spanning_links(len(fps), i, j)]
-
-    def table(rows: list[tuple[int, int]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"a": [a for a, _ in rows], "b": [b for _, b in rows]}, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
-
+        bits = np.bitwise_count(fps[i] ^ fps[j]).sum(axis=1)
+        keep = bits <= radius
+        i, j = i[keep], j[keep]
+        order = np.lexsort((bits[keep], i))
+        yield i[order], j[order]
+
+
+def joining_links(nodes: np.ndarray, labels: np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]], holds: Callable[[int, int], bool]) -> pa.RecordBatch:
+    """Links (a, b) of those pairs that hold and join two labels, in turn; a pair that links join already isn't tried."""
+    a, b = [], []
+    for i, j in pairs:
+        firsts = np.flatnonzero(np.diff(i, prepend=-1))
+        for x, others in zip(i[firsts].tolist(), np.split(j, firsts[1:]) if len(i) else [], strict=True):
+            others = others[labels[others] != labels[x]]
+            while len(others):
+                y, others = int(others[0]), others[1:]
+                if holds(x, y):
+                    a.append(nodes[x])
+                    b.append(nodes[y])
+                    labels[labels == labels[x]] = labels[y]
+                    others = others[labels[others] != labels[x]]
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in order of `run` -> a batch for each run that has two rows or more, whatever batches it spans."""
+    held, held_run = [], None
     for batch in batches:
-        keys, fps = batch.column("key").to_numpy(), batch.column("fp").to_numpy()
-        out: list[tuple[int, int]] = []
-        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, int)
-        for s, e in zip(starts, np.r_[starts[1:], len(keys)], strict=True):
-            if keys[s] != held_key:
-                if len(held) > 1:
-                    out += links(held)
-                held_key, held = keys[s], np.empty(0, np.int64)
-            held = np.concatenate([held, fps[s:e]])
-        yield table(out)
-    if len(held) > 1:
-        yield table(links(held))
+        if not len(batch):
+            continue
+        keys = batch.column("run").to_numpy()
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        ends = np.r_[starts[1:], len(keys)]
+        # A lone row may have company only in the batch before or after.
+        for k in np.flatnonzero((ends - starts > 1) | (starts == 0) | (ends == len(keys))).tolist():
+            if keys[starts[k]] != held_run:
+                if sum(map(len, held)) > 1:
+                    yield pa.concat_batches(held)
+                held, held_run = [], keys[starts[k]]
+            held.append(batch.slice(starts[k], ends[k] - starts[k]))
+    if sum(map(len, held)) > 1:
+        yield pa.concat_batches(held)
+
+
+def links_in_blocks(members: DataFrame, weight: str, limit: int, links_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Stored members (key, blocks, node, ...) of buckets -> links (a, b) that leave the same components as all links
+    between members of equal keys.
+
+    links_of gets the members with run, label and side, and finds links between rows of one run that have different
+    labels and not the same side (0: both sides). First every bucket is cut by hash into blocks, which are linked each by
+    itself; buckets that share members are cut differently, so a large group of copies holds together afterwards. Then, in
+    buckets of several blocks, the members of the label with most members are the core. Pairs inside the core are linked
+    already; what is outside is held against all members of the bucket, block by block in chunks, so a run never exceeds
+    two blocks and a hot bucket costs its members times those outside its core.
+    """
+    block = F.pmod(F.xxhash64("key", "node"), F.col("blocks"))
+    inside = members.withColumns({"run": F.xxhash64("key", block), "label": F.col("node"), "side": F.lit(0)})
+    links = staged(links_of(inside), "links")
+    wide = members.filter("blocks > 1")
+    if wide.isEmpty():
+        return links
+    labels = connected_components(links).select("node", F.col("component").alias("label"))
+    wide = staged(wide.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "wide")
+    groups = staged(wide.groupBy("key", "label").agg(F.count("*").alias("rows"), F.sum(weight).alias("weight")), "groups")
+    core = groups.groupBy("key").agg(F.max(F.struct("rows", "label", "weight")).alias("core"), F.sum("weight").alias("all"), F.sum("rows").alias("rows"))
+    chunks = F.ceil((F.col("all") - F.col("core.weight")) / limit)
+    core = staged(core.select("key", F.col("core.label").alias("core"), chunks.alias("chunks"), "rows").filter("chunks > 0"), "cores")
+    open_ = staged(join_hot(wide, core, ["key"], counted="rows"), "open")
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    home = open_.withColumn("chunk", upto("chunks")).withColumns({"run": F.xxhash64("key", block, "chunk"), "side": F.lit(1)})
+    asked = open_.filter("label <> core").withColumn("block", upto("blocks"))
+    asked = asked.withColumns({"run": F.xxhash64("key", "block", F.pmod(F.xxhash64(F.lit(7), "node"), F.col("chunks"))), "side": F.lit(2)})
+    again = staged(links_of(home.drop("chunk").unionByName(asked.drop("block"))), "links")
+    return links.unionByName(again)
+
+
+def bucket_members(keyed: DataFrame, weight: str, limit: int) -> DataFrame:
+    """keyed (key, node, ...) -> stored members of the buckets with two rows or more, with their number of blocks."""
+    blocks = F.ceil(F.greatest(F.sum(weight) / limit, F.count("*") / TABLE_ROWS))
+    buckets = staged(keyed.groupBy("key").agg(F.count("*").alias("rows"), blocks.alias("blocks")).filter("rows > 1"), "buckets")
+    return staged(join_hot(keyed, buckets, ["key"], counted="rows").drop("rows"), "members")
+
+
+def _near_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    refs = np.array(references(WHOLE, 1), np.uint64)[:, None]
+    for run in runs_of(batches):
+        nodes, labels, sides = (run.column(c).to_numpy() for c in ("node", "label", "side"))
+        labels = np.unique(labels, return_inverse=True)[1]
+        yield joining_links(nodes, labels, near_pairs(nodes.view(np.uint64)[:, None], refs, RADIUS, labels, sides), lambda x, y: True)
 
 
 def fingerprint_links(distinct: DataFrame, table_rows: int = TABLE_ROWS) -> DataFrame:
     """Distinct fingerprints (fp long) -> links (a, b) that leave the same components as all pairs within RADIUS bits.
 
-    Two fingerprints that differ in two bits agree on at least two of the four blocks, so within those blocks they have
-    the same distance to every reference. Each fingerprint therefore enters one bucket for each of the six pairs of
-    blocks, named by its PER_PAIR distances inside that pair. Buckets of two are compared in the plan, those of up to
-    `table_rows` by near_pairs. In larger ones every fingerprint emits itself and its 64 neighbours at one bit:
-    fingerprints are within two bits exactly if they emit a common one, and no more than 65 can emit the same one.
-    So the rows stay in proportion to the fingerprints whatever a bucket's size.
+    Two fingerprints that differ in two bits agree on at least two of the four blocks of bits, so within those blocks they
+    have the same distance to every reference. Each fingerprint therefore enters one bucket for each of the six pairs of
+    blocks, named by its PER_PAIR distances inside that pair; members of a bucket are compared through the table of their
+    whole distances (near_pairs), `table_rows` at a time (links_in_blocks).
     """
     width = 64 // BLOCKS
     keys = []
@@ -153,20 +200,14 @@ def fingerprint_links(distinct: DataFrame, table_rows: int = TABLE_ROWS) -> Data
         mask = sum(((1 << width) - 1) << (b * width) for b in pair)
         near = [F.bit_count((F.col("fp").bitwiseXOR(F.lit(signed(r)))).bitwiseAND(F.lit(signed(mask)))) for r in references(PER_PAIR, 100 + n)]
         keys.append(F.xxhash64(F.lit(n), *near))
-    keyed = distinct.select("fp", F.explode(F.array(*keys)).alias("key"))
-    buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
-    buckets = staged(buckets.filter("n > 1"), "buckets")
-    links = buckets.filter("n = 2").filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS).select("a", "b")
+    keyed = distinct.select(F.col("fp").alias("node"), F.lit(1).alias("one"), F.explode(F.array(*keys)).alias("key"))
+    members = bucket_members(keyed, "one", table_rows)
 
-    members = staged(keyed.join(buckets.filter("n > 2").select("key", "n"), "key"), "members")
-    runs = members.filter(F.col("n") <= table_rows).select("key", "fp").repartition("key").sortWithinPartitions("key", "fp")
-    links = links.unionAll(runs.mapInArrow(_bucket_links, "a long, b long"))
+    def links_of(rows: DataFrame) -> DataFrame:
+        runs = rows.select("run", "node", "label", "side").repartition("run").sortWithinPartitions("run", "node")
+        return runs.mapInArrow(_near_links, "a long, b long")
 
-    hot = members.filter(F.col("n") > table_rows).select("fp").distinct()
-    ones = [F.lit(0)] + [F.lit(signed(1 << i)) for i in range(64)]
-    middles = hot.select("fp", F.explode(F.transform(F.array(*[x.cast("long") for x in ones]), lambda x: F.col("fp").bitwiseXOR(x))).alias("middle"))
-    met = middles.groupBy("middle").agg(F.collect_list("fp").alias("fps")).filter(F.size("fps") > 1)
-    return links.unionAll(met.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).filter("a <> b"))
+    return links_in_blocks(members, "one", table_rows, links_of)
 
 
 def simhash_components(docs: DataFrame, table_rows: int = TABLE_ROWS) -> DataFrame:
@@ -177,31 +218,33 @@ def simhash_components(docs: DataFrame, table_rows: int = TABLE_ROWS) -> DataFra
     zero; a null doc_id is no candidate for smallest; repeated rows give repeated rows; other columns are ignored.
     """
     rows = staged(docs.select("doc_id", "text").mapInArrow(_fingerprints, "doc_id long, fp long"), "fingerprints")
-    distinct = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    distinct = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "distinct")
     nodes = connected_components(fingerprint_links(distinct.select("fp"), table_rows)).withColumnRenamed("node", "fp")
-    linked = distinct.join(nodes, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    linked = staged(distinct.join(nodes, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "linked")
     smallest = linked.groupBy("component").agg(F.min("first").alias("component_id"))
-    ids = staged(linked.join(smallest, "component").select("fp", "component_id"), "component-ids")
-    return rows.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    ids = staged(join_hot(linked, smallest, ["component"]).select("fp", "component_id", "copies"), "component-ids")
+    found = join_hot(rows, ids, ["fp"], counted="copies")
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+SKETCH = "node long, fp0 long, fp1 long, n long, anchors array<long>"
 
 
 def _sketches(shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, ...) -> instead of the text node (the hash of all words in order), fp, n distinct shingles and the smallest
-    of their hashes."""
+    """(text, ...) -> instead of the text node (the hash of all words in order), a fingerprint of 128 bits of the distinct
+    shingles, their number n and the smallest of their hashes."""
     for batch in batches:
         for part in tokens.portions(batch):
-            nodes, fps, sizes, anchors = [], [], [], []
+            columns = [[] for _ in range(5)]
             for text in tokens.texts_of(part):
                 words = words_of(text)
-                hashes = shingle_hashes(words, shingle)
-                nodes.append(signed(xxhash.xxh3_64_intdigest(b" ".join(words))))
-                fps.append(signed(majority(hashes)))
-                hashes = np.unique(hashes)
-                sizes.append(len(hashes))
-                anchors.append(hashes[:ANCHORS].astype(np.int64))
+                hashes = np.unique(shingle_hashes(words, shingle))
+                own = (signed(xxhash.xxh3_64_intdigest(b" ".join(words))), signed(majority(hashes)), signed(majority(second_half(hashes))), len(hashes), hashes[:ANCHORS].astype(np.int64))
+                for column, value in zip(columns, own, strict=True):
+                    column.append(value)
             out = part.drop_columns(["text"])
-            for name, values, kind in (("node", nodes, pa.int64()), ("fp", fps, pa.int64()), ("n", sizes, pa.int64()), ("anchors", anchors, pa.list_(pa.int64()))):
-                out = out.append_column(name, pa.array(values, kind))
+            for name, values in zip(("node", "fp0", "fp1", "n", "anchors"), columns, strict=True):
+                out = out.append_column(name, pa.array(values, pa.list_(pa.int64()) if name == "anchors" else pa.int64()))
             yield out
 
 
@@ -213,110 +256,81 @@ def _sets(shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
             yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
 
-def runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Batches in order of key -> a table for each key that has two rows or more, whatever batches it spans."""
-    held, held_key = [], None
-    for batch in batches:
-        if not len(batch):
-            continue
-        keys = batch.column("key").to_numpy()
-        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        ends = np.r_[starts[1:], len(keys)]
-        # A lone row may have company only in the batch before or after.
-        for k in np.flatnonzero((ends - starts > 1) | (starts == 0) | (ends == len(keys))).tolist():
-            if keys[starts[k]] != held_key:
-                if sum(map(len, held)) > 1:
-                    yield pa.Table.from_batches(held).combine_chunks()
-                held, held_key = [], keys[starts[k]]
-            held.append(batch.slice(starts[k], ends[k] - starts[k]))
-    if sum(map(len, held)) > 1:
-        yield pa.Table.from_batches(held).combine_chunks()
-
-
-def bucket_pairs(run: pa.Table, radius: int, similarity: float, labels: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions (i, j), i > j, of a bucket's rows that may be similar, some rows at a time: within `radius` bits, of
-    sizes that allow the similarity, and with no smaller anchor in common (the pair is that anchor's bucket's). labels:
-    leaves out pairs of equal labels, as they are when a step begins. In order of i, for each its nearest j first."""
-    fps, sizes, key = run.column("fp").to_numpy().view(np.uint64), run.column("n").to_numpy(), np.uint64(run.column("key")[0].as_py() & (1 << 64) - 1)
-    flat = run.column("anchors").combine_chunks()
-    lengths = np.diff(flat.offsets.to_numpy())
-    anchors = np.full((len(fps), ANCHORS), key, np.uint64)
+def candidates(run: pa.RecordBatch, radius: int, similarity: float, labels: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """near_pairs of a run of sketches, of sizes that allow the similarity, and with no smaller anchor in common (a pair
+    is left to the bucket of its smallest common anchor)."""
+    fps = np.stack([run.column("fp0").to_numpy(), run.column("fp1").to_numpy()], axis=1).view(np.uint64)
+    refs = fps[np.linspace(0, len(fps) - 1, min(OWN, len(fps))).astype(int)]
+    sizes, keys = run.column("n").to_numpy(), run.column("key").to_numpy().view(np.uint64)
+    lengths = np.diff(run.column("anchors").offsets.to_numpy())
     # Only what is smaller than the key decides; the key itself fills the rest.
-    anchors[np.arange(ANCHORS) < lengths[:, None]] = flat.flatten().to_numpy().view(np.uint64)
-    anchors = np.minimum(anchors, key)
-    for at in range(0, len(fps), 64):
-        end = min(at + 64, len(fps))
-        near = np.bitwise_count(fps[at:end, None] ^ fps[None, :end])
-        ok = (near <= radius) & (np.arange(at, end)[:, None] > np.arange(end))
-        if labels is not None:
-            ok &= labels[at:end, None] != labels[None, :end]
-        i, j = np.nonzero(ok)
-        bits, i = near[i, j], i + at
+    anchors = np.repeat(keys[:, None], ANCHORS, axis=1)
+    anchors[np.arange(ANCHORS) < lengths[:, None]] = run.column("anchors").flatten().to_numpy().view(np.uint64)
+    anchors = np.minimum(anchors, keys[:, None])
+    for i, j in near_pairs(fps, refs, radius, labels, run.column("side").to_numpy()):
         keep = np.minimum(sizes[i], sizes[j]) >= similarity * np.maximum(sizes[i], sizes[j])
+        i, j = i[keep], j[keep]
+        keep = np.ones(len(i), bool)
         for a in range(ANCHORS):
-            for b in range(ANCHORS):
-                keep &= (anchors[i, a] != anchors[j, b]) | (anchors[i, a] == key)
-        order = np.lexsort((bits[keep], i[keep]))
-        yield i[keep][order], j[keep][order]
+            own = anchors[i, a]
+            keep &= (own == keys[i]) | (anchors[j] != own[:, None]).all(axis=1)
+        yield i[keep], j[keep]
 
 
 def _partners(radius: int, similarity: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of one key -> the rows (key, node) that have a possible partner in the run."""
+    """Runs of sketches -> the rows that have a possible partner in their run."""
     for run in runs_of(batches):
         some = np.zeros(len(run), bool)
-        for i, j in bucket_pairs(run, radius, similarity):
+        for i, j in candidates(run, radius, similarity, np.unique(run.column("label").to_numpy(), return_inverse=True)[1]):
             some[i] = some[j] = True
         if some.any():
-            yield pa.RecordBatch.from_arrays([pa.array(run.column(c).to_numpy()[some]) for c in ("key", "node")], ["key", "node"])
+            yield run.filter(pa.array(some))
 
 
 def _similar(radius: int, similarity: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of one key, with shingles -> links (a, b) of nodes whose similarity was counted; pairs that links join
-    already are left out."""
+    """Runs of sketches with shingles -> links of nodes whose similarity was counted from both whole sets."""
     for run in runs_of(batches):
-        column = run.column("shingles").combine_chunks()
-        flat, bounds, nodes = column.values.to_numpy(), column.offsets.to_numpy(), run.column("node").to_numpy()
-        sets = [flat[s:e].view(np.uint64) for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
-        labels, a, b = np.arange(len(sets)), [], []
-        for i, j in bucket_pairs(run, radius, similarity, labels):
-            firsts = np.flatnonzero(np.diff(i, prepend=-1))
-            for x, others in zip(i[firsts].tolist(), np.split(j, firsts[1:]) if len(i) else [], strict=True):
-                at, others = 0, others[labels[others] != labels[x]]
-                while at < len(others):
-                    y, at = int(others[at]), at + 1
-                    places = np.minimum(np.searchsorted(sets[y], sets[x]), len(sets[y]) - 1)
-                    common = int((sets[y][places] == sets[x]).sum())
-                    if common / (len(sets[x]) + len(sets[y]) - common) >= similarity:
-                        labels[labels == labels[x]] = labels[y]
-                        a.append(nodes[x])
-                        b.append(nodes[y])
-                        at, others = 0, others[at:][labels[others[at:]] != labels[x]]
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-
-def similar_components(docs: DataFrame, shingle: int = 5, radius: int = WIDE, similarity: float = 0.8) -> DataFrame:
-    """Documents (number, doc_id, text, ...) -> number, doc_id, component: the same for documents that links join, of
-    texts whose sets of shingles have a Jaccard similarity of `similarity` at least. number is a row's own, and stored.
+        column = run.column("shingles")
+        flat, bounds = column.flatten().to_numpy(), column.offsets.to_numpy()
+        bounds = bounds - bounds[0]
+
+        def alike(x: int, y: int) -> bool:
+            a, b = (flat[bounds[k] : bounds[k + 1]].view(np.uint64) for k in (x, y))  # noqa: B023
+            common = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+            return common >= similarity * (len(a) + len(b) - common)
+
+        labels = np.unique(run.column("label").to_numpy(), return_inverse=True)[1]
+        yield joining_links(run.column("node").to_numpy(), labels, candidates(run, radius, similarity, labels), alike)
+
+
+def similar_components(docs: DataFrame, shingle: int = 5, radius: int = WIDE, similarity: float = 0.8, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """Stored documents (number, doc_id, text, ...) -> number, doc_id, component: the same for documents that links join,
+    of texts whose sets of shingles have a Jaccard similarity of `similarity` at least. number is a row's own, and stored.
 
     Fingerprints that far apart share no block of bits, so the buckets come from the shingles: a document enters one for
     each of the ANCHORS smallest hashes of its shingles. Of two texts as similar as 0.8 each of the smallest hashes of
     their union is in both with chance 0.8, so they meet nowhere with chance 0.2 ** ANCHORS. In a bucket the pairs within
-    `radius` bits are candidates (unrelated fingerprints differ in 32 bits, texts of similarity 0.8 in about 10), and a
-    candidate links only if the similarity counted from both whole sets is reached. Texts of equal words are one node.
-    A bucket is one task's work, quadratic in comparisons of fingerprints but not in memory or counted pairs.
+    `radius` of 128 bits survive the distance table and the comparison (unrelated fingerprints differ in 64 bits, texts
+    of similarity 0.8 in about 20), and such a pair links only if the similarity counted from both whole sets is reached.
+    Texts of equal words are one node. Blocks hold about `block_shingles` shingles (links_in_blocks); only rows with a
+    possible partner get their shingles at all.
     """
-    schema = "number long, doc_id long, node long, fp long, n long, anchors array<long>"
-    rows = staged(docs.select("number", "doc_id", "text").mapInArrow(lambda batches: _sketches(shingle, batches), schema), "sketches")
-    first = F.min(F.struct("number", "fp", "n", "anchors")).alias("x")
+    rows = staged(docs.select("number", "doc_id", "text").mapInArrow(partial(_sketches, shingle), f"number long, doc_id long, {SKETCH}"), "sketches")
+    first = F.min(F.struct("number", "fp0", "fp1", "n", "anchors")).alias("x")
     distinct = staged(rows.groupBy("node").agg(first).select("node", "x.*"), "distinct")
-    keyed = distinct.select("node", "fp", "n", "anchors", F.explode("anchors").alias("key"))
-    keyed = keyed.repartition("key").sortWithinPartitions("key", "node").select("key", "node", "fp", "n", "anchors")
-    partners = staged(keyed.mapInArrow(lambda batches: _partners(radius, similarity, batches), "key long, node long"), "partners")
-    wanted = distinct.join(partners.select("node").distinct(), "node", "left_semi").select("number", "node", "fp", "n", "anchors")
-    texts = docs.select("number", "text").join(wanted.select("number", "node"), "number").select("node", "text")
-    sets = staged(texts.mapInArrow(lambda batches: _sets(shingle, batches), "node long, shingles array<long>"), "sets")
-    full = partners.join(wanted.drop("number"), "node").join(sets, "node").repartition("key").sortWithinPartitions("key", "node")
-    full = full.select("key", "node", "fp", "n", "anchors", "shingles")
-    links = staged(full.mapInArrow(lambda batches: _similar(radius, similarity, batches), "a long, b long"), "links")
-    nodes = connected_components(links)
+    keyed = distinct.select("node", "fp0", "fp1", "n", "anchors", F.explode("anchors").alias("key"))
+    members = bucket_members(keyed, "n", block_shingles)
+    kept = ["run", "key", "label", "side", "node", "fp0", "fp1", "n", "anchors"]
+    schema = f"run long, key long, label long, side int, {SKETCH}"
+
+    def links_of(rows: DataFrame) -> DataFrame:
+        runs = rows.select(kept).repartition("run").sortWithinPartitions("run", "node")
+        partners = staged(runs.mapInArrow(partial(_partners, radius, similarity), schema), "partners")
+        wanted = partners.select("node").distinct().join(distinct.select("node", "number"), "node")
+        texts = docs.select("number", "text").join(wanted, "number").select("node", "text")
+        sets = staged(texts.mapInArrow(partial(_sets, shingle), "node long, shingles array<long>"), "sets")
+        full = partners.join(sets, "node").select(*kept, "shingles").repartition("run").sortWithinPartitions("run", "node")
+        return full.mapInArrow(partial(_similar, radius, similarity), "a long, b long")
+
+    nodes = connected_components(links_in_blocks(members, "n", block_shingles, links_of))
     return rows.join(nodes, "node", "left").select("number", "doc_id", F.coalesce("component", "node").alias("component"))

@@ -73,4 +73,11 @@ def test_windows_see_every_gram(monkeypatch):
     assert (np.sort(np.concatenate(list(langid.windows(text)))) == whole).all()
     monkeypatch.setattr(langid, "WINDOW", 7)
     seen = np.bincount(np.concatenate(list(langid.windows(text))), minlength=langid.BUCKETS)
-    assert (seen >= np.bincount(whole, minlength=langid.BUCKETS)).all()
+    assert (seen == np.bincount(whole, minlength=langid.BUCKETS)).all()
+
+
+def test_at_most_so_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 2)
+    rows = [(k, text, lang) for k, (text, lang) in enumerate([("the water", "en")] * 9 + [("das wasser", "de")] * 9 + [("le château", "fr")] * 4)]
+    got = langid.identify_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert {r.lang_pred for r in got} == {"de", "en"}

@@ -66,11 +66,11 @@ def clustered(n=500, seed=2):
     return sorted(out)
 
 
-def test_links_by_tables_and_by_midpoints_leave_the_same_components(spark):
+def test_blocks_of_any_size_leave_the_same_components(spark):
     fps = clustered()
     want = brute_components([(simhash.signed(x), x) for x in fps])
     df = spark.createDataFrame([(simhash.signed(x),) for x in fps], "fp long")
-    for table_rows in (4096, 20, 2):  # the smaller, the more buckets take the way of midpoints
+    for table_rows in (4096, 20, 2):  # the smaller, the more buckets are cut into blocks
         links = simhash.fingerprint_links(df, table_rows)
         got = {r.node: r.component for r in connected_components(links).collect()}
         assert {d: c for d, c in want.items() if (d != c or list(want.values()).count(c) > 1)} == got
@@ -78,9 +78,11 @@ def test_links_by_tables_and_by_midpoints_leave_the_same_components(spark):
 
 def test_pairs_of_a_bucket():
     fps = np.array(clustered(150, 5), dtype=np.uint64)
-    i, j = simhash.near_pairs(fps, np.array(simhash.references(24, 1), dtype=np.uint64))
-    want = {(a, b) for a in range(len(fps)) for b in range(a + 1, len(fps)) if int(fps[a] ^ fps[b]).bit_count() <= 2}
-    assert set(zip(i.tolist(), j.tolist(), strict=True)) == want
+    refs = np.array(simhash.references(24, 1), dtype=np.uint64)[:, None]
+    got = set()
+    for i, j in simhash.near_pairs(fps[:, None], refs, 2, np.arange(len(fps)), np.zeros(len(fps), int)):
+        got |= set(zip(j.tolist(), i.tolist(), strict=True))
+    assert got == {(a, b) for a in range(len(fps)) for b in range(a + 1, len(fps)) if int(fps[a] ^ fps[b]).bit_count() <= 2}
 
 
 def test_edges(spark, no_docs):

@@ -66,3 +66,21 @@ def test_near_copies_go_and_others_stay(spark):
     assert got == want and len(texts) - len(want) > 150
     far = [(simhash.fingerprint(texts[a], 5) ^ simhash.fingerprint(texts[b], 5)).bit_count() for a, b in enumerate(brute_groups(texts)) if a != b]
     assert max(far) > simhash.RADIUS
+
+
+def test_blocks_of_any_size_leave_the_same_groups(spark):
+    texts = edited(seed=8)
+    docs = spark.createDataFrame([(k, k, t) for k, t in enumerate(texts)], "number long, doc_id long, text string").repartition(3)
+    want = brute_groups(texts)
+    for block_shingles in (1 << 19, 500):
+        got = simhash.similar_components(docs, block_shingles=block_shingles).toPandas().set_index("number")
+        first = got.reset_index().groupby("component")["number"].min()
+        assert {k: first[got.component[k]] for k in got.index} == dict(enumerate(want))
+
+
+def test_one_row_of_repeated_and_reused_ids(spark):
+    text, other = prose(random.Random(1), 40), prose(random.Random(2), 40)
+    rows = [(1, text), (1, text), (None, text), (2, text), (2, other), (None, other), (3, None), (4, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.text or "") for r in corpus_pipeline.simhash_dedup(spark, docs, "").collect())
+    assert got == [(1, text), (2, other), (3, "")]
