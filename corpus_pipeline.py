@@ -6,28 +6,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hanji.llm import langid, mixing, packing, simhash
-from hanji.llm.common import staged
+from hanji.llm.common import join_hot, staged
 from hanji.llm.queries import tokenizer
 
 
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can't be told (no letter, or nothing learned) go; all others stay as they are.
+#: A text with so many n-grams belongs to a learned language beyond doubt, or to none: its score must reach the other value.
+ENOUGH, SURE = 300, 0.95
+
 
-    A low score marks a document but doesn't reject it: short clean documents stay.
-    """
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language stay; where lang is null it becomes the prediction. Documents go whose language
+    can't be told (no letter, or nothing learned), or whose nearest codeword stays in doubt though their text is long
+    enough: those of other languages, of several at once or of no language. Short texts are never rejected for doubt."""
     found = langid.identify_languages(docs, carry=True)
-    return found.filter(F.col("lang_pred") != "und").select("row.*")
+    known = found.filter((F.col("lang_pred") != "und") & ((F.col("evidence") < ENOUGH) | (F.col("score") >= SURE)))
+    lang = F.coalesce("row.lang", "lang_pred").alias("lang")
+    return known.select(*[lang if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts linked by similarity (five words, 0.8) the document with the smallest doc_id stays. Rows
-    without a doc_id stay."""
+    """Of each group of texts linked by similarity (five words, 0.8) one row stays: that with the smallest doc_id, null
+    last, and of several such rows the first."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
     rows = staged(docs.select(F.monotonically_increasing_id().alias("number"), "doc_id", whole), "numbered")
     found = staged(simhash.similar_components(rows.select("number", "doc_id", F.col("whole.text").alias("text"))), "components")
-    smallest = found.groupBy("component").agg(F.min("doc_id").alias("smallest"))
-    gone = staged(found.join(smallest, "component").filter("doc_id <> smallest").select("doc_id").distinct(), "duplicates")
-    return rows.join(gone, "doc_id", "left_anti").select("whole.*")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "number")
+    stays = found.groupBy("component").agg(F.count("*").alias("rows"), F.min(order)["number"].alias("stays")).filter("rows > 1")
+    gone = staged(join_hot(found, staged(stays, "groups"), ["component"], counted="rows").filter("number <> stays").select("number"), "gone")
+    return rows.join(gone, "number", "left_anti").select("whole.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
