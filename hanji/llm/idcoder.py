@@ -15,15 +15,17 @@ from pyspark.sql import functions as F
 from . import tokens
 from .common import shared_folder
 
-#: The id that ends a document; ids in a block, at most and at least; blocks that are coded side by side if there are
-#: enough ids; ids after which a segment ends with its document.
-END, BLOCK_IDS, LEAST_BLOCK_IDS, SIDE_BY_SIDE, SEGMENT_IDS = 2, 2048, 256, 2048, 1 << 23
-#: Slots of a block's tables for order 1 and order 2, steps of confidence in a slot, and bits of a probability.
+#: The id that ends a document; ids in a block; ids after which a segment ends with its document; ids that there can be.
+END, BLOCK_IDS, SEGMENT_IDS, IDS = 2, 2048, 1 << 23, 1 << 16
+#: Slots of a block's table for order 2, steps of confidence in a guess, and bits of a probability.
 SLOTS, SURE, BITS = 1024, 16, 12
-#: The order-0 model's symbols: the length of an id + 1 in bits, and the two bits below its leading one.
-SYMBOLS, STEP, LIMIT = 68, 24, 1 << 13
+#: Order 0: classes are TOPICS groups of blocks times tiers of frequency that end with these ranks; what a class's count
+#: grows by, the sum at which a block halves its counts, the sum it starts with; bits of an id's share of its class; and
+#: the commonest ids by which blocks are grouped.
+TOPICS, TIERS, STEP, LIMIT, START, SHARE_BITS, PROFILE = 4, (64, 1024, 8192), 24, 1 << 11, 128, 16, 256
+CLASSES = TOPICS * (len(TIERS) + 1)
 #: The coder's interval is 64 bits wide and moves out 16 at once; it holds 40 bits at least before an id is coded, of
-#: which the guess takes BITS, the symbol 13 and an id's plain bits 14.
+#: which the guess takes BITS, the class up to 12 and the id in its class SHARE_BITS.
 UNIT, TOP, BOTTOM = np.uint64(16), np.uint64(1 << 48), np.uint64(1 << 40)
 
 _STRETCH = np.array([round(256 * math.log((x + 0.5) / (4095.5 - x))) for x in range(4096)], np.int32)
@@ -32,32 +34,125 @@ _NEXT = np.array([[(c >> 1) << 16 if c > 1 else 0, min(c + 1, SURE - 1) << 16 if
 _SQUASH = np.array([min(4095, max(1, round(4096 / (1 + math.exp(-x / 256))))) for x in range(-2048, 2048)], np.int32)
 
 
+class Prior:
+    """The state to which every block of a segment is reset, stored with the segment: each id's class and share of it
+    (order 0), and the commonest successor of each id with its share in sixteenths (order 1)."""
+
+    def __init__(self, kind: np.ndarray, share: np.ndarray, weights: np.ndarray, after: np.ndarray, sure: np.ndarray):
+        self.kind, self.share, self.weights, self.after, self.sure = kind, share, weights, after, sure
+        present = np.flatnonzero(share)
+        order = present[np.argsort(kind[present], kind="stable")]
+        ends = np.cumsum(share[order])
+        self.first = np.zeros(IDS, np.int64)
+        self.first[order] = (ends - share[order]) & ((1 << SHARE_BITS) - 1)  # every class that occurs fills its range
+        self.by_share = np.zeros(CLASSES << SHARE_BITS, np.uint16)
+        for c in np.unique(kind[present]).tolist():
+            own = order[kind[order] == c]
+            self.by_share[c << SHARE_BITS : (c + 1) << SHARE_BITS] = np.repeat(own, share[own])
+        self.guess = sure.astype(np.int32) << 16 | after
+        chance = share / (1 << SHARE_BITS) * (weights / weights.sum())[kind]
+        self.odds = _STRETCH[np.clip(chance * 4096, 0, 4095).astype(int)]
+
+    @classmethod
+    def of(cls, ids: np.ndarray, block_ids: int = BLOCK_IDS) -> Prior:
+        counts = np.bincount(ids, minlength=IDS)
+        rank = np.empty(IDS, np.int64)
+        rank[np.argsort(-counts, kind="stable")] = np.arange(IDS)
+        topic = cls.topics(ids, rank, block_ids)
+        in_topic = np.bincount(np.repeat(topic, block_ids)[: len(ids)] * IDS + ids, minlength=TOPICS * IDS).reshape(TOPICS, IDS)
+        own = (in_topic / np.maximum(in_topic.sum(axis=1, keepdims=True), 1)).argmax(axis=0)
+        kind = (own * (len(TIERS) + 1) + np.searchsorted(TIERS, rank, side="right")).astype(np.uint8)
+        totals = np.bincount(kind, counts, minlength=CLASSES)
+        members = np.bincount(kind, counts > 0, minlength=CLASSES)
+        free = ((1 << SHARE_BITS) - members)[kind]
+        share = np.where(counts > 0, 1 + (free * (counts / np.maximum(totals, 1)[kind])).astype(np.int64), 0)
+        for c in np.flatnonzero(members):  # what rounding left goes to the class's commonest id
+            inside = np.flatnonzero((kind == c) & (counts > 0))
+            share[inside[np.argmax(counts[inside])]] += (1 << SHARE_BITS) - share[inside].sum()
+        weights = np.maximum(1, np.round(START * totals / len(ids))).astype(np.int32)
+        pairs = np.sort(ids[:-1].astype(np.uint32) << 16 | ids[1:].astype(np.uint32))
+        after, sure = np.zeros(IDS, np.int32), np.zeros(IDS, np.uint8)
+        if len(pairs):
+            starts = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])
+            n, pair = np.diff(np.r_[starts, len(pairs)]), pairs[starts].astype(np.int64)
+            groups = np.flatnonzero(np.r_[True, pair[1:] >> 16 != pair[:-1] >> 16])
+            best, before = np.maximum.reduceat(n << 16 | (pair & 0xFFFF), groups), pair[groups] >> 16
+            often = best >> 16 >= 4
+            before, best = before[often], best[often]
+            after[before] = best & 0xFFFF
+            sure[before] = np.clip((best >> 16) * 16 // counts[before], 1, SURE - 1)
+        return cls(kind, share, weights, after, sure)
+
+    @staticmethod
+    def topics(ids: np.ndarray, rank: np.ndarray, block_ids: int) -> np.ndarray:
+        """A group for each block, by a few rounds of k-means on the shares of the commonest ids."""
+        lanes = -(-len(ids) // block_ids)
+        seen = np.minimum(rank[ids], PROFILE - 1)
+        profile = np.bincount(np.arange(len(ids)) // block_ids * PROFILE + seen, minlength=lanes * PROFILE).reshape(lanes, PROFILE)
+        profile = np.sqrt(profile / np.maximum(profile.sum(axis=1, keepdims=True), 1))
+        chosen = [0]
+        for _ in range(TOPICS - 1):  # farthest first
+            chosen.append(int((profile @ profile[chosen].T).max(axis=1).argmin()))
+        centres = profile[chosen]
+        for _ in range(6):
+            topic = (profile @ centres.T - (centres * centres).sum(axis=1) / 2).argmax(axis=1)
+            centres = np.stack([profile[topic == k].mean(axis=0) if (topic == k).any() else centres[k] for k in range(TOPICS)])
+        return topic
+
+    def pack(self) -> bytes:
+        present = np.flatnonzero(self.share)
+        parts = [self.weights.astype("<u2"), np.array([len(present)], "<u4"), np.diff(present, prepend=0).astype("<u2"), self.kind[present], (self.share[present] - 1).astype("<u2"), self.sure[present], np.where(self.sure, self.after, 0)[present].astype("<u2")]
+        return zlib.compress(b"".join(x.tobytes() for x in parts), 6)
+
+    @classmethod
+    def unpack(cls, data: bytes) -> Prior:
+        data, at = zlib.decompress(data), 0
+
+        def take(dtype: str, n: int) -> np.ndarray:
+            nonlocal at
+            x = np.frombuffer(data, dtype, n, at)
+            at += x.nbytes
+            return x
+
+        weights = take("<u2", CLASSES).astype(np.int32)
+        n = int(take("<u4", 1)[0])
+        present = np.cumsum(take("<u2", n).astype(np.int64))
+        columns = [np.zeros(IDS, t) for t in (np.uint8, np.int64, np.uint8, np.int32)]
+        for column, dtype in zip(columns, ("u1", "<u2", "u1", "<u2"), strict=True):
+            column[present] = take(dtype, n)
+        kind, share, sure, after = columns
+        share[present] += 1
+        return cls(kind, share, weights, after, sure)
+
+
 class Model:
     """The state of many blocks at once, one lane each; every operation is integer arithmetic on whole lanes, so that
     encoder and decoder agree on any machine."""
 
-    def __init__(self, lanes: int):
-        self.tables = np.zeros((2, lanes * SLOTS), np.int32)  # confidence << 16 | predicted id
-        self.hit = np.full(lanes * 2 * SURE, 1 << 14, np.int32)  # chance that a slot of that confidence is right, of 2^16
-        self.weight = np.full((2, lanes), 40_000, np.int32)
-        self.freq = np.ones((lanes, SYMBOLS), np.int32)
+    def __init__(self, lanes: int, prior: Prior):
+        self.prior = prior
+        self.table = np.zeros(lanes * SLOTS, np.int32)  # order 2: confidence << 16 | predicted id
+        # Chance of 2^16 that a guess is right: order 1, then order 2, each by confidence.
+        first = np.r_[(np.arange(SURE) * 2 + 1) << 11, np.full(SURE, 1 << 14)].astype(np.int32)
+        self.hit = np.tile(first, lanes)
+        self.weight = np.repeat(np.array([[16_000], [30_000], [30_000]], np.int32), lanes, axis=1)
+        self.freq = np.repeat(prior.weights[:, None], lanes, axis=1)
         self.last = np.zeros((2, lanes), np.int64)
         self.slot0, self.hit0 = np.arange(lanes) * SLOTS, np.arange(lanes) * (2 * SURE)
 
     def predict(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(guessed id, chance that it is right of 2^BITS) for the first n lanes: the longest context that knows an id
-        guesses, and the chances by order 2 and order 1 are mixed in the logistic domain with learned weights."""
+        guesses; its chances by order 2, order 1 and order 0 are mixed in the logistic domain with learned weights."""
         c1, c2 = self.last[0, :n], self.last[1, :n]
-        self.at1 = self.slot0[:n] + ((c1 * 0x9E3779B1 >> 15) & (SLOTS - 1))
         self.at2 = self.slot0[:n] + (((c1 * 0x85EBCA6B + c2 * 0xC2B2AE35) >> 17) & (SLOTS - 1))
-        self.e1, self.e2 = self.tables[0].take(self.at1), self.tables[1].take(self.at2)
-        self.n1, self.n2 = self.e1 >> 16, self.e2 >> 16
-        self.i1, self.i2 = self.e1 & 0xFFFF, self.e2 & 0xFFFF
-        guess = np.where(self.n2, self.i2, self.i1)
-        self.h1, self.h2 = self.hit0[:n] + self.n1 * (self.i1 == guess), self.hit0[:n] + (SURE + self.n2)
+        e2, e1 = self.table.take(self.at2), self.prior.guess.take(c1)
+        self.n2, self.i2, i1 = e2 >> 16, e2 & 0xFFFF, e1 & 0xFFFF
+        guess = np.where(self.n2, self.i2, i1)
+        self.h1, self.h2 = self.hit0[:n] + (e1 >> 16) * (i1 == guess), self.hit0[:n] + (self.n2 + SURE)
         self.q1, self.q2 = self.hit.take(self.h1), self.hit.take(self.h2)
-        self.s1, self.s2 = _STRETCH.take(self.q1 >> 4), _STRETCH.take(self.q2 >> 4)
-        dot = (self.weight[0, :n] * self.s1 >> 16) + (self.weight[1, :n] * self.s2 >> 16)
+        self.s0, self.s1, self.s2 = self.prior.odds.take(guess), _STRETCH.take(self.q1 >> 4), _STRETCH.take(self.q2 >> 4)
+        w = self.weight
+        dot = (w[0, :n] * self.s0 >> 16) + (w[1, :n] * self.s1 >> 16) + (w[2, :n] * self.s2 >> 16)
         self.p = _SQUASH.take(dot + 2048, mode="clip")
         return guess, self.p
 
@@ -67,40 +162,21 @@ class Model:
         self.hit[self.h1] = self.q1 + (target - self.q1 >> 4)
         self.hit[self.h2] = self.q2 + (target - self.q2 >> 4)
         miss = (whole << BITS) - self.p
-        self.weight[0, :n] += self.s1 * miss >> 11
-        self.weight[1, :n] += self.s2 * miss >> 11
+        for k, s in enumerate((self.s0, self.s1, self.s2)):
+            self.weight[k, :n] += s * miss >> 11
         if t % 32 == 0:  # so often that the products above stay within 32 bits
             np.clip(self.weight, 0, 1 << 18, out=self.weight)
-        for table, at, sure, old in ((self.tables[0], self.at1, self.n1, self.i1), (self.tables[1], self.at2, self.n2, self.i2)):
-            then = _NEXT.take((sure << 1) + (old == ids))
-            table[at] = np.where(then, then | old, ids | 1 << 16)
+        then = _NEXT.take((self.n2 << 1) + (self.i2 == ids))
+        self.table[self.at2] = np.where(then, then | self.i2, ids | 1 << 16)
         self.last[1, :n] = self.last[0, :n]
         self.last[0, :n] = ids
 
-    def count(self, lanes: np.ndarray, symbols: np.ndarray) -> None:
-        """Order 0 learns the symbol; a lane whose counts grow large halves them."""
-        self.freq[lanes, symbols] += STEP
-
-    def halve(self, lanes: np.ndarray, totals: np.ndarray) -> None:
+    def count(self, lanes: np.ndarray, classes: np.ndarray, totals: np.ndarray) -> None:
+        """Order 0 learns the class; a lane whose counts grow large halves them."""
+        self.freq[classes, lanes] += STEP
         big = lanes[totals > LIMIT]
         if len(big):
-            self.freq[big] = (self.freq[big] + 1) >> 1
-
-
-def split_id(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbol, number of plain bits, plain bits) of each id."""
-    v = ids.astype(np.int64) + 1
-    length = np.frexp(v.astype(np.float64))[1].astype(np.int64)
-    plain = np.maximum(length - 3, 0)
-    two = np.where(length >= 3, (v >> plain) & 3, np.where(length == 2, (v & 1) << 1, 0))
-    return (length - 1) * 4 + two, plain, v & ((1 << plain) - 1)
-
-
-def join_id(symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(id + 1 with its plain bits zero, number of plain bits)."""
-    length, two = (symbol >> 2) + 1, symbol & 3
-    plain = np.maximum(length - 3, 0)
-    return np.where(length >= 3, (4 | two) << plain, np.where(length == 2, 2 | two >> 1, 1)), plain
+            self.freq[:, big] = (self.freq[:, big] + 1) >> 1
 
 
 class Interval:
@@ -158,91 +234,89 @@ class Reader(Interval):
         self.at[lanes] = at + 1
 
 
-def encode_blocks(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> list[bytes]:
-    """Ids below 2^16 -> a payload for each block of block_ids ids (the last may be shorter), all lanes in step."""
+def encode_blocks(ids: np.ndarray, prior: Prior, block_ids: int = BLOCK_IDS) -> list[bytes]:
+    """Ids below IDS, all of which the prior knows -> a payload for each block of block_ids ids (the last may be
+    shorter), all lanes in step."""
     ids = ids.astype(np.int32)
     lanes = -(-len(ids) // block_ids)
     grid = np.zeros(lanes * block_ids, np.int32)
     grid[: len(ids)] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, block_ids).T)
     last = len(ids) - (lanes - 1) * block_ids
-    model, out, names = Model(lanes), Writer(lanes, 3 * block_ids + 16), np.arange(lanes)
+    model, out, names = Model(lanes, prior), Writer(lanes, 2 * block_ids + 16), np.arange(lanes)
+    share, first = prior.share.astype(np.uint64), prior.first.astype(np.uint64)
     for t in range(block_ids if lanes > 1 else last):
         n = lanes if t < last else lanes - 1
         actual = grid[t, :n]
         guess, p = model.predict(n)
         right = guess == actual
-        step = out.span[:n] >> np.uint64(BITS)
-        bound = step * p.astype(np.uint64)
+        span = out.span[:n]
+        bound = (span >> np.uint64(BITS)) * p.astype(np.uint64)
         low = out.low[:n] + np.where(right, np.uint64(0), bound)
-        span = np.where(right, bound, (step << np.uint64(BITS)) - bound)
+        span = np.where(right, bound, span - bound)
         miss = np.flatnonzero(~right)
         if len(miss):
-            symbol, plain, rest = split_id(actual[miss])
-            freq = model.freq[miss]
-            ends = np.cumsum(freq, axis=1, dtype=np.int32)
-            rows = names[: len(miss)]
-            own, end, total = freq[rows, symbol], ends[rows, symbol], ends[:, -1]
+            missed = actual[miss]
+            kind = prior.kind.take(missed)
+            ends = np.cumsum(model.freq.take(miss, axis=1), axis=0, dtype=np.int32)
+            own, end, total = model.freq[kind, miss], ends[kind, names[: len(miss)]], ends[-1]
             s = span[miss] // total.astype(np.uint64)
-            inner = s * own.astype(np.uint64) >> plain.astype(np.uint64)
-            low[miss] += (end - own).astype(np.uint64) * s + rest.astype(np.uint64) * inner
-            span[miss] = inner
-            model.count(miss, symbol)
-            model.halve(miss, total)
+            inner = s * own.astype(np.uint64) >> np.uint64(SHARE_BITS)
+            low[miss] += (end - own).astype(np.uint64) * s + first.take(missed) * inner
+            span[miss] = inner * share.take(missed)
+            model.count(miss, kind, total)
         out.settle(n, low, span)
         model.learn(t, n, right, actual)
     return out.finish()
 
 
-def decode_blocks(payloads: list[bytes], n_ids: int, block_ids: int = BLOCK_IDS) -> np.ndarray:
+def decode_blocks(payloads: list[bytes], n_ids: int, prior: Prior, block_ids: int = BLOCK_IDS) -> np.ndarray:
     """The inverse of encode_blocks."""
     lanes = len(payloads)
     if not lanes:
         return np.empty(0, np.int32)
     grid = np.zeros((block_ids, lanes), np.int32)
     last = n_ids - (lanes - 1) * block_ids
-    model, source, names = Model(lanes), Reader(payloads), np.arange(lanes)
+    model, source, names = Model(lanes, prior), Reader(payloads), np.arange(lanes)
+    share, first = prior.share.astype(np.uint64), prior.first.astype(np.uint64)
     for t in range(block_ids if lanes > 1 else last):
         n = lanes if t < last else lanes - 1
         guess, p = model.predict(n)
-        step = source.span[:n] >> np.uint64(BITS)
-        bound = step * p.astype(np.uint64)
-        low = source.low[:n]
+        span, low = source.span[:n], source.low[:n]
+        bound = (span >> np.uint64(BITS)) * p.astype(np.uint64)
         right = source.code[:n] - low < bound
         low = low + np.where(right, np.uint64(0), bound)
-        span = np.where(right, bound, (step << np.uint64(BITS)) - bound)
+        span = np.where(right, bound, span - bound)
         ids = guess.copy()
         miss = np.flatnonzero(~right)
         if len(miss):
-            freq = model.freq[miss]
-            ends = np.cumsum(freq, axis=1, dtype=np.int32)
-            total = ends[:, -1]
+            ends = np.cumsum(model.freq.take(miss, axis=1), axis=0, dtype=np.int32)
+            total = ends[-1]
             s = span[miss] // total.astype(np.uint64)
             left = source.code[miss] - low[miss]
             value = np.minimum(left // s, (total - 1).astype(np.uint64)).astype(np.int32)
-            symbol = (ends <= value[:, None]).sum(axis=1).clip(0, SYMBOLS - 1)
-            rows = names[: len(miss)]
-            own, end = freq[rows, symbol], ends[rows, symbol]
-            base, plain = join_id(symbol)
+            kind = (ends <= value).sum(axis=0).clip(0, CLASSES - 1)
+            own, end = model.freq[kind, miss], ends[kind, names[: len(miss)]]
             before = (end - own).astype(np.uint64) * s
-            inner = s * own.astype(np.uint64) >> plain.astype(np.uint64)
-            rest = (left - before) // np.maximum(inner, np.uint64(1))
-            low[miss] += before + rest * inner
-            span[miss] = inner
-            model.count(miss, symbol)
-            model.halve(miss, total)
-            ids[miss] = base + rest.astype(np.int64) - 1
+            inner = s * own.astype(np.uint64) >> np.uint64(SHARE_BITS)
+            inside = np.minimum((left - before) // np.maximum(inner, np.uint64(1)), np.uint64((1 << SHARE_BITS) - 1)).astype(np.int64)
+            missed = prior.by_share.take((kind << SHARE_BITS) + inside).astype(np.int32)
+            low[miss] += before + first.take(missed) * inner
+            span[miss] = inner * share.take(missed)
+            model.count(miss, kind, total)
+            ids[miss] = missed
         source.settle(n, low, span)
         grid[t, :n] = ids
         model.learn(t, n, right, ids)
     return grid.T.reshape(-1)[:n_ids]
 
 
-SEGMENT = "segment long, n_ids long, blocks array<struct<n_ids:int,crc32:long,payload:binary>>, documents array<struct<doc_id:long,n_tokens:long>>"
+SEGMENT = "segment long, n_ids long, prior binary, blocks array<struct<n_ids:int,crc32:long,payload:binary>>, documents array<struct<doc_id:long,n_tokens:long>>"
 _SEGMENT = pa.schema(
     [
         ("segment", pa.int64()),
         ("n_ids", pa.int64()),
+        ("prior", pa.binary()),
         ("blocks", pa.list_(pa.struct([("n_ids", pa.int32()), ("crc32", pa.int64()), ("payload", pa.binary())]))),
         ("documents", pa.list_(pa.struct([("doc_id", pa.int64()), ("n_tokens", pa.int64())]))),
     ]
@@ -260,12 +334,7 @@ def _segments(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
     def segment() -> pa.RecordBatch:
         ids = np.concatenate(streams)
-        size = block_size(len(ids))
-        payloads = encode_blocks(ids, size)
-        cut = [ids[s : s + size].astype("<u4") for s in range(0, len(ids), size)]
-        blocks = [{"n_ids": len(x), "crc32": zlib.crc32(x), "payload": p} for x, p in zip(cut, payloads, strict=True)]
-        row = {"segment": (task.partitionId() << 32) + made, "n_ids": len(ids), "blocks": blocks, "documents": documents}
-        return pa.RecordBatch.from_pylist([row], schema=_SEGMENT)
+        return pa.RecordBatch.from_pylist([{"segment": (task.partitionId() << 32) + made, **write_segment(ids), "documents": documents}], schema=_SEGMENT)
 
     for batch in batches:
         for part in tokens.portions(batch):
@@ -281,18 +350,23 @@ def _segments(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         yield segment()
 
 
-def block_size(n_ids: int) -> int:
-    """Ids in each block of a segment: a small segment has smaller blocks, as its time is that of one block's ids."""
-    return min(BLOCK_IDS, max(LEAST_BLOCK_IDS, -(-n_ids // SIDE_BY_SIDE)))
-
-
 class DamagedBlock(ValueError):
     """A block whose ids don't have the checksum that was stored with it."""
 
 
-def read_segment(n_ids: int, blocks: list[dict]) -> np.ndarray:
+def write_segment(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> dict:
+    """n_ids, prior and blocks of a segment; ids must be below IDS."""
+    if len(ids) and not 0 <= int(ids.min()) <= int(ids.max()) < IDS:
+        raise ValueError(f"ids must be below {IDS}")
+    prior = Prior.of(ids, block_ids)
+    payloads = encode_blocks(ids, prior, block_ids)
+    cut = [ids[s : s + block_ids].astype("<u4") for s in range(0, len(ids), block_ids)]
+    return {"n_ids": len(ids), "prior": prior.pack(), "blocks": [{"n_ids": len(x), "crc32": zlib.crc32(x), "payload": p} for x, p in zip(cut, payloads, strict=True)]}
+
+
+def read_segment(n_ids: int, prior: bytes, blocks: list[dict]) -> np.ndarray:
     size = blocks[0]["n_ids"] if blocks else 1
-    ids = decode_blocks([b["payload"] for b in blocks], n_ids, size)
+    ids = decode_blocks([b["payload"] for b in blocks], n_ids, Prior.unpack(prior), size)
     for k, b in enumerate(blocks):
         if zlib.crc32(ids[k * size : k * size + b["n_ids"]].astype("<u4")) != b["crc32"]:
             raise DamagedBlock(f"block {k} of {len(blocks)}")
@@ -303,7 +377,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for k in range(batch.num_rows):
             row = batch.slice(k, 1).to_pylist()[0]
-            ids = read_segment(row["n_ids"], row["blocks"]).astype("<u4")
+            ids = read_segment(row["n_ids"], row["prior"], row["blocks"]).astype("<u4")
             lengths = [d["n_tokens"] for d in row["documents"]]
             ends = np.cumsum(lengths, dtype=np.int64)
             crc = [zlib.crc32(ids[e - n : e]) for e, n in zip(ends, lengths, strict=True)]
@@ -315,8 +389,8 @@ def write_ids(docs: DataFrame, tokenizer_path: str, folder: str) -> None:
     """Write the ids of all documents (doc_id, text, ...) in ascending doc_id order.
 
     The format: Parquet files with a row for each segment, segments ascending. A segment holds whole documents: their
-    doc_ids and lengths, and blocks of equally many ids (the last may have fewer; see block_size), each coded from a fresh
-    model and stored with the crc32 of its ids.
+    doc_ids and lengths, the Prior, and blocks of BLOCK_IDS ids (the last may have fewer), each coded from a model that
+    is reset to the prior and stored with the crc32 of its ids.
     Texts are range-partitioned by doc_id and sorted, so partitions follow one another; nothing global passes through
     one task. Null doc_ids come first; equal ones in order of their text's hash; null texts are empty.
     """

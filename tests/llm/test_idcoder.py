@@ -40,27 +40,56 @@ def test_blocks_round_trip(seed):
     n = int(rng.integers(1, 3000))
     ids = [rng.integers(0, 65536, n), np.full(n, 65535), np.zeros(n, int), rng.zipf(1.3, n) % 49408, np.arange(n) % 7, np.repeat(rng.integers(0, 300, n), 1)][seed].astype(np.int32)
     for block in (64, 500):
-        payloads = idcoder.encode_blocks(ids, block)
-        assert (idcoder.decode_blocks(payloads, n, block) == ids).all()
+        prior = idcoder.Prior.unpack(idcoder.Prior.of(ids, block).pack())
+        payloads = idcoder.encode_blocks(ids, idcoder.Prior.of(ids, block), block)
+        assert (idcoder.decode_blocks(payloads, n, prior, block) == ids).all()
         # Every block stands for itself.
-        assert (idcoder.decode_blocks(payloads[:1], min(block, n), block) == ids[:block]).all()
+        assert (idcoder.decode_blocks(payloads[:1], min(block, n), prior, block) == ids[:block]).all()
+
+
+def size(ids):
+    written = idcoder.write_segment(ids)
+    return len(written["prior"]) + sum(len(b["payload"]) for b in written["blocks"])
 
 
 def test_repetition_compresses():
     ids = np.tile(np.random.default_rng(0).integers(0, 40_000, 64), 64).astype(np.int32)
-    assert sum(map(len, idcoder.encode_blocks(ids))) < 0.3 * 2 * len(ids)
+    assert size(ids) < 0.3 * 2 * len(ids)
+
+
+def test_fewer_bits_than_zlib_and_than_order_0(spark):
+    """On the ids of made-up words of two vocabularies: fewer bytes than zlib makes of 16-bit ids, and fewer than the
+    static order-0 entropy."""
+    rng = random.Random(2)
+    texts = []
+    for k in range(300):
+        syllables = ["the", "ing", "er", "and", "ou", "st"] if k % 2 else ["eau", "é", "tion", "que", "ais", "ille"]
+        texts.append(" ".join("".join(rng.choices(syllables, (30, 20, 9, 5, 3, 1), k=rng.randint(1, 4))) for _ in range(400)))
+    ids = np.concatenate(tokens.PieceEncoder(PATH, "word").encode(texts)).astype(np.int32)
+    shares = np.bincount(ids) / len(ids)
+    entropy = -(shares[shares > 0] * np.log2(shares[shares > 0])).sum()
+    bits = size(ids) * 8 / len(ids)
+    assert bits < entropy and bits < 0.9 * 8 * len(zlib.compress(ids.astype("<u2").tobytes(), 9)) / len(ids)
+
+
+def test_one_block_length_at_every_size():
+    for n in (100, 10_000, 70_000):
+        lengths = [b["n_ids"] for b in idcoder.write_segment(np.arange(n) % 300)["blocks"]]
+        assert set(lengths[:-1]) <= {idcoder.BLOCK_IDS} and sum(lengths) == n
+    with pytest.raises(ValueError):
+        idcoder.write_segment(np.array([1, 1 << 16]))
 
 
 def test_damage_is_noticed():
     ids = np.arange(5000, dtype=np.int32) % 977
-    cut = [ids[s : s + idcoder.BLOCK_IDS] for s in range(0, 5000, idcoder.BLOCK_IDS)]
-    blocks = [{"n_ids": len(c), "crc32": zlib.crc32(c.astype("<u4")), "payload": p} for c, p in zip(cut, idcoder.encode_blocks(ids), strict=True)]
-    assert (idcoder.read_segment(5000, blocks) == ids).all()
+    written = idcoder.write_segment(ids)
+    prior, blocks = written["prior"], written["blocks"]
+    assert (idcoder.read_segment(5000, prior, blocks) == ids).all()
     broken = bytearray(blocks[1]["payload"])
     broken[10] ^= 0xFF
     blocks[1]["payload"] = bytes(broken)
     with pytest.raises(idcoder.DamagedBlock):
-        idcoder.read_segment(5000, blocks)
+        idcoder.read_segment(5000, prior, blocks)
 
 
 @pytest.mark.parametrize(("name", "kind"), [("word_bpe_49k.json", "word"), ("byte_bpe_50k.json", "byte")])
