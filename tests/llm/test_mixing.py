@@ -50,6 +50,25 @@ def test_mix(docs, corpus_rows):
     assert again.sort_values("row").copies.tolist() == got.sort_values("row").copies.tolist()
 
 
+def test_one_mix_for_any_partitioning(spark, docs):
+    """More copies of one row than a block holds too, which only a count tells apart."""
+    again = spark.range(700).selectExpr("cast(null as long) doc_id", "'same words in every row' text", "'en' lang", "'hot' source")
+    rows = docs.select("doc_id", "text", "lang", "source").unionByName(again)
+    mixes = []
+    for n in (1, 7):
+        got = mixing.mix_documents(rows.repartition(n, "text", "lang")).toPandas()
+        mixes.append(sorted(map(str, got[["doc_id", "source", "size", "copies"]].itertuples(index=False))))
+    assert mixes[0] == mixes[1]
+
+
+def test_targets_of_many_sources(spark):
+    rng = random.Random(9)
+    sizes = {f"s{k}": int(rng.lognormvariate(3, 3)) for k in range(200)} | {None: 50}
+    df = spark.createDataFrame([(s, n, 1) for s, n in sizes.items()], "source string, source_size long, n long")
+    got = {r.source: r.target for r in mixing.source_targets(df).collect()}
+    assert got == pytest.approx(targets(sizes))
+
+
 def test_no_rows_and_no_words(spark, no_docs, docs):
     assert mixing.mix_documents(no_docs).collect() == []
     blank = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
@@ -74,7 +93,7 @@ def test_levels_meet_in_one_block(spark):
     from pyspark.sql import functions as F
 
     n = 700
-    units = spark.range(n).select(F.lit("s").alias("source"), F.col("id").alias("row"), (F.col("id") % 50 + 1).alias("size"), F.lit(0.5).alias("chance"), F.lit(n).cast("long").alias("n"))
+    units = spark.range(n).select(F.lit("s").alias("source"), F.col("id").alias("row"), F.xxhash64("id").alias("unit"), (F.col("id") % 50 + 1).alias("size"), F.lit(0.5).alias("chance"), F.lit(n).cast("long").alias("n"))
     got = mixing.cube_sample(units, block_rows=16).toPandas()
     assert len(got) == n
     taken = got[got.taken].row.map(lambda r: r % 50 + 1).sum()
