@@ -2,85 +2,81 @@
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Lengths of the n-grams, number of hash buckets, the training's steps, step size and shrinkage, and the log-odds of a
-#: url of which no n-gram was seen: most urls of a crawl are fine.
-GRAMS, BUCKETS, STEPS, RATE, SHRINK, PRIOR = (3, 4), 4096, 400, 0.5, 1e-4, -0.8
+#: Lengths of the n-grams, number of hash buckets, the training's steps, step size and shrinkage, and the share of urls
+#: to block that the intercept is trained for: most urls of a crawl are fine.
+GRAMS, BUCKETS, STEPS, RATE, SHRINK, BLOCK_SHARE = (3, 4), 1 << 16, 600, 1.0, 1e-3, 0.3
 
 # Rules of the filter, as written in its contract (verdict, host with path).
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
-# The labelled table (1: to block).
-LABELLED = [
-    (1, "win-casino-bonus.example.com/en/118"), (1, "www.casino-royal.example.org/de/4410.html"),
-    (1, "m.casino-slots.example.com/fr/77120"), (1, "online-casino.example.org/en/90233/"),
-    (1, "big-win.example.com/es/4411"), (1, "win-prizes.example.org/en/7712.html"),
-    (1, "bestpokerroom.example/play/jackpot"), (1, "sportsbets.example.com/en/60211"),
-    (1, "free-betting.example.org/en/1187/"), (1, "www.live-bets.example.com/de/9081"),
-    (1, "cheap-meds.example.com/en/3321"), (1, "diet-pills.example.org/fr/81"),
-    (1, "www.buy-pills.example.com/en/5512.html"), (1, "cheap-watches.example.com/de/731/"),
-    (1, "pharma-discount.example/buy/pills-online"), (1, "m.cheap-viagra.example.org/es/40012"),
-    (1, "adult-video.example.com/en/2221.html"), (1, "www.adult-cams.example.org/de/91"),
-    (1, "m.adult-chat.example.com/fr/30081"), (1, "xxx-tube.example.com/en/7100/"),
-    (1, "porn-gallery.example/xxx/pics"), (1, "x-rated.example.org/en/551"),
-    (1, "spam-links.example.com/en/14"), (1, "www.spam-mail.example.org/es/7702.html"),
-    (1, "link-farm.example.com/de/55120"), (1, "m.content-farm.example.org/en/88/"),
-    (1, "seo-spam.example.com/fr/6120"), (1, "backlink-farm.example.org/en/2044.html"),
-    (1, "ads-server.example.com/en/871"), (1, "www.banner-ads.example.org/fr/10922/"),
-    (1, "m.pop-ads.example.com/de/31"), (1, "click-track.example.com/en/60120.html"),
-    (1, "email-track.example.org/es/87"), (1, "track-pixel.example.com/en/9122"),
-    (1, "free-crack.example.com/en/4410/"), (1, "www.free-money.example.org/de/771.html"),
-    (1, "free-torrent.example.com/fr/13"), (1, "payday-loans.example.org/en/60023"),
-    (1, "adult-zone.example.com/de/4410"), (1, "www.adult-films.example.net/en/9120/"),
-    (1, "adult-pics.example.com/es/7011.html"), (1, "m.adults-only.example.com/fr/22"),
-    (1, "spam-hub.example.com/de/118/"), (1, "www.spam-offers.example.com/es/9203"),
-    (1, "farm-links.example.com/fr/77.html"), (1, "ads-network.example.com/es/4120"),
-    (1, "casino-club.example.com/de/30221.html"), (1, "win-money.example.com/de/7102/"),
-    (1, "free-spins.example.com/es/660"), (1, "pills-shop.example.com/de/8813"),
-    (1, "login-verify-account.example/secure/update/password"), (1, "crypto-giveaway.example/airdrop/claim"),
-    (0, "www.citynews.example.com/en/20240.html"), (0, "blog.gardening.example.org/en/7198"),
-    (0, "docs.software.example/manual/install.html"), (0, "university.example.org/fr/3310/"),
-    (0, "museum.example.com/de/12440"), (0, "library.example.org/es/26123.html"),
-    (0, "m.weather.example.com/en/9897/"), (0, "recipes.example.com/en/118"),
-    (0, "www.history.example.org/en/4410.html"), (0, "science.example.com/fr/77120"),
-    (0, "shop.books.example.com/en/90233/"), (0, "forum.cycling.example.org/es/4411"),
-    (0, "travel.example.com/fr/7712.html"), (0, "health.example.org/en/60211"),
-    (0, "m.sports.example.com/de/1187/"), (0, "wiki.example.org/en/9081"),
-    (0, "www.transport.example.com/en/3321"), (0, "open-data.example.org/fr/81"),
-    (0, "blog.thereing.example.com/en/5512.html"), (0, "www.enderly.example.net/fr/731/"),
-    (0, "wherest.example.org/es/40012"), (0, "hothing.example.com/en/2221.html"),
-    (0, "school.example.org/de/91"), (0, "parliament.example.com/fr/30081"),
-    (0, "nation.example.com/en/7100/"), (0, "blog.another.example.org/en/551"),
-    (0, "sthand.example.com/de/14"), (0, "iontent.example.org/es/7702.html"),
-    (0, "theation.example.com/de/55120"), (0, "m.ablethe.example.org/en/88/"),
-    (0, "herend.example.com/fr/6120"), (0, "onthere.example.org/en/2044.html"),
-    (0, "www.farmers-market.example.com/en/871"), (0, "cloth.example.org/fr/10922/"),
-    (0, "m.winter.example.com/de/31"), (0, "freedom.example.com/en/60120.html"),
-    (0, "between.example.org/es/87"), (0, "soundtracks.example.com/en/9122"),
-    (0, "forum.cycling.example/thread/39547"), (0, "journal.example/science/volume/12/paper"),
-    (0, "citynews.example/politics/vote"), (0, "cooking.example/soups/onion-soup.html"),
-    (0, "open-library.example/novel/the-long-winter"), (0, "college.example/course/algebra"),
-    (0, "museum.example/exhibition/roman-roads"), (0, "parliament.example/debates/budget"),
-    (0, "gardens.example/roses/pruning"), (0, "railway.example/timetable/2024"),
-    (0, "weather.example/forecast/week"), (0, "clinic.example/nutrition/vegetables"),
-    (0, "hiking.example/trails/alps/map"), (0, "orchestra.example/season/tickets"),
-    (0, "astronomy.example/planets/mars"), (0, "townhall.example/council/minutes"),
-    (0, "chemistry.example/lecture/12"), (0, "history.example/seminar/4"),
-    (0, "the-other.example.net/en/4107"), (0, "therein.example.net/de/21077#top"),
-    (0, "atthe.example.net/en/50113"), (0, "m.hatthe.example.net/en/7023"),
-    (0, "thestone.example.net/es/3107"), (0, "www.inthe.example.net/fr/61120"),
-    (0, "thand.example.com/de/4410/"), (0, "other-thing.example.org/de/771.html"),
-]
+# The labelled table, invented hosts and paths of the kinds that blocklists name and of everyday sites.
+BLOCKED = (
+    "www.royalcasino777.com/bonus/free-spins", "casino-online-vegas.org/", "luckyslots.com/play-now", "www.mobile-casino.org/",
+    "bestcasinos.net/no-deposit-bonus", "livepokerstars.com/", "www.poker-room.org/tournament/win", "sportsbetting-tips.com/",
+    "betting24.org/register/bonus", "www.winbig-lottery.net/", "win-iphone.com/lucky-winner", "megawin.org/",
+    "www.bingo-cash.com/win-money", "you-won-prize.org/", "scratchcards.net/free-money", "www.onlinebets.com/",
+    "sexvideos.org/watch/hot-girls", "free-porn-tube.com/", "www.xxxmovies.org/adult/full-hd", "adultcams.net/",
+    "adult-dating.com/hookup/tonight", "www.hotsexchat.org/", "pornpics.com/gallery/nude", "nudegirls.org/",
+    "www.escort-service.net/adults-only/girls", "eroticstories.com/", "hentai-porn.org/xxx/comics", "www.adultfriend.com/",
+    "cheap-viagra-online.org/buy-now", "buyviagra.net/", "www.pharmacy-pills.com/cheap-meds/order", "canadian-pharmacy-online.org/",
+    "diet-pills-fast.com/lose-weight-now", "www.weightloss-miracle.org/", "buy-steroids.net/shop/pills", "discount-meds.com/",
+    "www.payday-loans-fast.org/apply-now", "easyloans.com/", "instant-cash-loan.org/payday", "www.get-rich-quick.net/",
+    "make-money-fast.com/work-from-home", "crypto-doubler.org/", "www.free-bitcoin.com/airdrop/claim", "forex-millionaire.org/",
+    "replica-watches.net/cheap-rolex", "www.cheap-handbags-outlet.com/", "fake-designer-outlet.org/cheap-shoes", "replicabags.com/",
+    "www.crack-software.org/keygen/full-version", "free-crack-download.net/", "torrent-movies.com/download/free", "www.warez-files.org/",
+    "watch-movies-free.com/full-hd", "keygen-serials.org/", "www.pirated-games.net/torrent", "moddedapk.com/",
+    "paypal-login-verify.org/secure/account/update", "www.account-verify-secure.com/", "bank-security-alert.org/verify/login", "appleid-unlock.net/",
+    "www.secure-login-update.com/webmail/verify", "free-gift-cards.org/", "virus-alert-support.com/call-now", "www.your-pc-infected.org/",
+    "buy-backlinks-cheap.net/seo-spam", "link-farm-network.com/", "www.seo-linkbuilding.org/buy-links", "content-farm-articles.com/",
+    "articlespinner.org/spam-content", "www.guestpost-links.net/", "spam-mailer.com/bulk-email", "bulk-email-list.org/",
+    "www.ads-tracker.com/click/pixel", "adserver-banners.org/", "popup-ads.net/click-track", "www.tracking-pixel.com/",
+    "clickfraud-ads.org/adclick", "banner-adnetwork.com/", "www.push-ads.org/notification/track", "affiliate-track.net/",
+)
+FINE = (
+    "www.dailytribune.com/politics/2023/05/city-budget-vote.html", "news.harbourpost.co.uk/", "www.eveningherald.org/sport/football/match-report", "tagesblatt.de/",
+    "lejournal.fr/culture/cinema/festival", "elperiodico.es/", "gazette.ca/local/weather-forecast", "morningstar-news.org/",
+    "www.riverside-university.edu/courses/algebra-101", "physics.northern-college.edu/", "library.stmary.ac.uk/catalogue/search", "uni-waldstadt.de/",
+    "univ-lumiere.fr/faculte/droit/programme", "school.oakdale.k12.us/", "open-courseware.org/lecture/12/notes", "www.academy-arts.org/",
+    "www.health.gov/vaccines/schedule", "parliament.gov/", "cityhall.springfield.gov/council/minutes", "www.tax-office.gov/",
+    "stadtverwaltung.de/buergerservice/anmeldung", "mairie-beaulieu.fr/", "ayuntamiento.es/tramites/padron", "statistics.gov/",
+    "docs.python-project.org/tutorial/classes.html", "github-mirror.io/", "wiki.linuxusers.org/install/guide", "developer.webplatform.io/",
+    "www.softwaremanual.com/installation/windows", "forum.photography.net/", "stack-answers.com/questions/5120/how-to-sort-a-list", "packages.opensource.org/",
+    "www.encyclopedia.org/wiki/Roman_Empire", "historymuseum.org/", "naturalhistory.org/collections/fossils", "www.artgallery.com/",
+    "science-magazine.org/astronomy/planets/mars", "journal-biology.org/", "arxiv-papers.org/abs/1904.00123", "geology.org/",
+    "www.grandmasrecipes.com/soups/onion-soup", "cookingathome.net/", "kochrezepte.de/kuchen/apfelkuchen", "cuisine-maison.fr/",
+    "recetas.es/paella/valenciana", "gardening-tips.com/", "www.vegetablegarden.org/tomatoes/planting", "knitting-patterns.net/",
+    "travelguide.com/italy/rome/hotels", "www.mountainhiking.org/", "railways.co.uk/timetable/london-york", "airport-transfer.com/",
+    "ferienwohnung-ostsee.de/buchen/strand", "voyage-bretagne.fr/", "www.nationalparks.org/visit/camping", "cycling-routes.eu/",
+    "bookshop.com/fiction/the-long-winter", "www.poetry-archive.org/", "childrensbooks.org/stories/the-red-fox", "readinggroup.net/",
+    "orchestra.org/season/concert-tickets", "www.theatre-royal.co.uk/", "jazzfestival.com/programme/saturday", "film-society.org/",
+    "footballclub.com/fixtures/2023-24", "www.tennis-club.org/", "marathon-runners.org/training/plan", "swimming.org/",
+    "www.familydoctor.com/symptoms/common-cold", "hospital.org/", "clinic-dental.com/appointments/book", "nutrition-facts.org/",
+    "furniture-store.com/chairs/oak-dining-chair", "shop.bicycles.com/", "electronics-shop.com/laptops/specifications", "www.hardwarestore.com/",
+    "weather-service.org/forecast/week", "www.farmers-market.org/", "villagechurch.org/sunday/service", "fire-department.org/",
+    "blog.sarahwrites.com/2018/07/a-walk-in-the-park", "myteachingblog.net/", "techblog.company.com/2020/database-indexing", "www.architects.com/",
+    "jobs.engineering.com/vacancies/civil-engineer", "www.lawfirm.com/", "accounting-office.com/contact", "insurance-broker.com/",
+    "www.animalshelter.org/adopt/dogs", "birdwatching.org/", "zoo.org/animals/elephants", "aquarium.org/",
+    "housing-association.org/tenants/repairs", "charity-foundation.org/", "volunteers.org/projects/africa/water", "peace-institute.org/",
+    "windows-and-doors.com/winter/insulation", "cloudservices.com/", "maps.city.org/streets/north", "energy.org/",
+)
+
+
+def seeds(gram: str) -> int:
+    """The n-gram's hash, as Spark's xxhash64 gives it for its characters: each one's seed is the hash before it."""
+    h = 42
+    for char in gram:
+        h = xxhash.xxh64_intdigest(char.encode(), h)
+    return h
 
 
 def bucket(gram: str) -> int:
-    """The bucket of an n-gram: Spark's xxhash64, unsigned and reduced as pmod does on the signed value."""
-    h = xxhash.xxh64_intdigest(gram.encode(), 42)
+    """The bucket of an n-gram: its hash reduced as pmod does on the signed value."""
+    h = seeds(gram)
     return (h - (1 << 64) if h >> 63 else h) % BUCKETS
 
 
@@ -88,23 +84,27 @@ def grams(text: str) -> list[str]:
     return [text[i : i + n] for n in GRAMS for i in range(len(text) - n + 1)]
 
 
-def train() -> tuple[list[float], float]:
-    """Weights and the fixed bias by full gradient descent over LABELLED (a fixed small table), features being each bucket's
-    count among a text's n-grams over the root of their number. Runs in well under a second and gives the same floats each time."""
-    rows = []
-    for label, url in LABELLED:
-        found = grams(url)
-        rows.append((label, [bucket(g) for g in found], len(found) ** -0.5))
-    w, bias = [0.0] * BUCKETS, PRIOR
+def train(blocked: tuple[str, ...] = BLOCKED, fine: tuple[str, ...] = FINE) -> tuple[list[float], float]:
+    """Weights and intercept by full gradient descent over the labelled urls, a fixed small table. A feature is a bucket's
+    count among a text's n-grams over the root of their number. The blocked urls together weigh BLOCK_SHARE, the others
+    the rest, so the intercept learns how rare they are. Takes well under a second and gives the same model each time."""
+    urls = [*blocked, *fine]
+    features = [[bucket(g) for g in grams(url)] for url in urls]
+    used = {k: n for n, k in enumerate(sorted({k for row in features for k in row}))}
+    x = np.zeros((len(urls), len(used)))
+    for row, found in zip(x, features, strict=True):
+        np.add.at(row, [used[k] for k in found], len(found) ** -0.5)
+    y = np.r_[np.ones(len(blocked)), np.zeros(len(fine))]
+    share = np.where(y > 0, BLOCK_SHARE / len(blocked), (1 - BLOCK_SHARE) / len(fine)) * len(urls)
+    # The weights are always a sum of the urls' features, so the descent moves one number for each url.
+    part, bias, alike = np.zeros(len(urls)), 0.0, x @ x.T
     for _ in range(STEPS):
-        step: dict[int, float] = {}
-        for label, at, share in rows:
-            p = 1 / (1 + math.exp(-(bias + share * sum(w[i] for i in at))))
-            for i in at:
-                step[i] = step.get(i, 0.0) + (label - p) * share
-        for i, d in step.items():
-            w[i] += RATE * (d - SHRINK * w[i])
-    return w, bias
+        error = share * (y - 1 / (1 + np.exp(-(bias + alike @ part))))
+        part += RATE * (error / 10 - SHRINK * part)
+        bias += RATE * error.mean()
+    weights = np.zeros(BUCKETS)
+    weights[list(used)] = part @ x
+    return weights.tolist(), float(bias)
 
 
 def lower_ascii(x: Column) -> Column:
@@ -132,20 +132,23 @@ def rule_for(host: Column, path: Column, field: int) -> Column:
     return best
 
 
-def spam_score(host: Column, path: Column, model: tuple[list[float], float]) -> Column:
-    """Probability, by the regression, that a url is to be blocked; the bias alone decides where no n-gram is."""
+def spam_score(chars: Column, model: tuple[list[float], float]) -> Column:
+    """Probability, by the regression, that a url is to be blocked; the intercept alone decides where no n-gram is.
+    chars: the characters, an array column by which every n-gram is reached in one step, so the cost is linear."""
     w, bias = model
     weights = F.split(F.lit(",".join(repr(x) for x in w)), ",").cast("array<double>")
-    text = F.concat(host, path)
-    size = F.length(text)
+    size = F.size(chars)
 
-    def of_length(n: int) -> Column:
-        at = F.when(size >= n, F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1)))).otherwise(F.array().cast("array<int>"))
-        return F.transform(at, lambda i: F.get(weights, F.pmod(F.xxhash64(F.substring(text, i, F.lit(n))), F.lit(BUCKETS)).cast("int")))
+    def of_length(total: Column, n: int) -> Column:
+        at = F.when(size >= n, F.sequence(F.lit(0), F.greatest(size - n, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+        weight = lambda i: F.get(weights, F.pmod(F.xxhash64(*[F.get(chars, i + k) for k in range(n)]), F.lit(BUCKETS)).cast("int"))
+        return F.aggregate(at, total, lambda a, i: a + weight(i))
 
-    found = F.concat(*[of_length(n) for n in GRAMS])
-    total = F.aggregate(found, F.lit(0.0), lambda a, x: a + x)
-    return 1 / (1 + F.exp(-(F.lit(bias) + total / F.sqrt(F.greatest(F.size(found), F.lit(1))))))
+    total = F.lit(0.0)
+    for n in GRAMS:
+        total = of_length(total, n)
+    number = sum((F.greatest(size - (n - 1), F.lit(0)) for n in GRAMS), F.lit(0))
+    return 1 / (1 + F.exp(-(F.lit(bias) + total / F.sqrt(F.greatest(number, F.lit(1))))))
 
 
 def judge_urls(pages: DataFrame, model: tuple[list[float], float] | None = None) -> DataFrame:
@@ -158,5 +161,7 @@ def judge_urls(pages: DataFrame, model: tuple[list[float], float] | None = None)
     host, path = host_and_path(F.col("url"))
     split = pages.select("page_id", host.alias("host"), path.alias("path"))
     host, path = F.col("host"), F.col("path")
-    scored = split.select("*", rule_for(host, path, 1).alias("rule"), rule_for(host, path, 0).alias("by_rule"), spam_score(host, path, model or train()).alias("score"))
+    # The characters are read once for each n-gram, so the optimizer leaves them a column of their own.
+    split = split.select("*", F.regexp_extract_all(F.concat(host, path), F.lit("(?s)."), F.lit(0)).alias("chars"))
+    scored = split.select("page_id", "host", "path", rule_for(host, path, 1).alias("rule"), rule_for(host, path, 0).alias("by_rule"), spam_score(F.col("chars"), model or train()).alias("score"))
     return scored.select("page_id", "host", "path", "rule", F.coalesce("by_rule", F.when(F.col("score") >= 0.5, "block").otherwise("allow")).alias("verdict"), "score")
