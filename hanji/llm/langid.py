@@ -18,6 +18,8 @@ GRAMS, BUCKETS, SMOOTH = (1, 2, 3), 1 << 15, 0.5
 #: Code points of text in memory at once, how margins become probabilities, and the score below which a prediction is
 #: flagged as ambiguous.
 WINDOW, SCALE, AMBIGUOUS = 65_536, 6.0, 0.6
+#: The score from which a text's language is beyond doubt, and the letters of the parts in which other texts are read again.
+SURE, PART = 0.95, 200
 #: Most languages that are learned: those with most documents, of equal ones the first in code-point order.
 MOST_LANGUAGES = 256
 
@@ -130,30 +132,43 @@ def train(labelled: DataFrame) -> Model | None:
     return Model(languages, code, weights)
 
 
-FOUND = "lang_pred string, score double, runner_up string, evidence long"
+FOUND = "lang_pred string, score double, runner_up string, evidence long, decided double"
+
+
+def scores(loss: np.ndarray) -> np.ndarray:
+    p = np.exp(loss.min() - loss)
+    return p / p.sum()
+
+
+def decided(model: Model, text: str) -> float:
+    """The share of a text's n-grams in parts of PART letters whose language is beyond doubt, whichever it is."""
+    text, sure, total = cleaned(text), 0, 0
+    for at in range(0, len(text), PART):
+        loss, n = model.losses(text[at : at + PART])
+        total += n
+        sure += n * bool(scores(loss).max() >= SURE)
+    return sure / max(total, 1)
+
+
+def found_in(model: Model | None, text: str) -> dict:
+    if model is None or not any(map(str.isalpha, text)):
+        return {"lang_pred": "und", "score": 0.0, "runner_up": None, "evidence": 0, "decided": 0.0}
+    loss, n = model.losses(text)
+    p, order = scores(loss), np.argsort(loss, kind="stable")
+    first, second = [model.languages[x] for x in order[:2]] if len(order) > 1 else (model.languages[0], None)
+    best = float(p[order[0]])
+    return {"lang_pred": first, "score": best, "runner_up": second, "evidence": n, "decided": 1.0 if best >= SURE else decided(model, text)}
 
 
 def predictor(docs: DataFrame, model: Model | None) -> Callable[[Column], Column]:
-    """text -> struct of FOUND. evidence: the number of n-grams that decided."""
+    """text -> struct of FOUND."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf(FOUND)
     def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = shared.value
+        schema = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("runner_up", pa.string()), ("evidence", pa.int64()), ("decided", pa.float64())])
         for batch in texts:
-            rows = []
-            for k in range(len(batch)):
-                text = batch[k].as_py() or ""
-                if model is None or not any(map(str.isalpha, text)):
-                    rows.append({"lang_pred": "und", "score": 0.0, "runner_up": None, "evidence": 0})
-                    continue
-                loss, n = model.losses(text)
-                p = np.exp(loss.min() - loss)
-                p /= p.sum()
-                order = np.argsort(loss, kind="stable")
-                names = [model.languages[x] for x in order[:2]]
-                rows.append({"lang_pred": names[0], "score": float(p[order[0]]), "runner_up": names[1] if len(names) > 1 else None, "evidence": n})
-            yield pa.array(rows, pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("runner_up", pa.string()), ("evidence", pa.int64())]))
+            yield pa.array([found_in(shared.value, batch[k].as_py() or "") for k in range(len(batch))], schema)
 
     # So declared, the optimizer doesn't evaluate it once more for a filter on its result.
     return predict.asNondeterministic()
@@ -165,12 +180,13 @@ def held_out() -> Column:
 
 
 def identify_languages(docs: DataFrame, carry: bool = False) -> DataFrame:
-    """Documents (doc_id, text, lang, ...) -> doc_id, held_out, lang_pred, score, runner_up, evidence, ambiguous.
+    """Documents (doc_id, text, lang, ...) -> doc_id, held_out, lang_pred, score, runner_up, evidence, decided, ambiguous.
 
     Trains on the documents that are not held out and have a language, then predicts every whole text from the text
     alone. `und` with score 0 for null texts and texts without a letter, and for all when there is nothing to learn
     from. Of equal losses the language first in code-point order wins. evidence: the text's number of n-grams.
-    ambiguous: the score is below AMBIGUOUS. Repeated rows give repeated rows; other columns are ignored. carry: instead
+    decided: the share of them in parts whose language is beyond doubt (all, if the whole text's is): high for texts in
+    several learned languages, low for other languages and none. ambiguous: the score is below AMBIGUOUS. Repeated rows give repeated rows; other columns are ignored. carry: instead
     of doc_id a struct `row` holds all columns; only the text goes through Python.
     """
     labelled = docs.filter(~held_out() & F.col("lang").isNotNull()).select("text", "lang")

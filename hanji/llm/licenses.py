@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +49,7 @@ SENTENCES = {
 }
 
 # A rule holds if its sentences stand in this order among the document's known sentences, next to each
-# other there (unknown sentences may stand between). The -notice rules list the standard wording as sentence_ids cuts it.
+# other there (unknown sentences may stand between) and not as a part of a longer rule's. The -notice rules list the standard wording as sentence_ids cuts it.
 RULES = [
     ("Apache-2.0", "apache-line", ["apache-line"]),
     ("Apache-2.0", "apache-header", ["apache-comply", "apache-copy", "apache-as-is", "apache-see"]),
@@ -92,18 +94,29 @@ def sentence_ids(text: Column) -> Column:
     return F.transform(found, lambda s: F.try_element_at(known, s))
 
 
+def needle(ids: list[str]) -> str:
+    return "," + ",".join(ids) + ","
+
+
+def longer_rules(ids: list[str]) -> list[str]:
+    """The needles of the rules that contain these sentences and more, longest first."""
+    return sorted((needle(other) for _, _, other in RULES if len(other) > len(ids) and needle(ids) in needle(other)), key=len, reverse=True)
+
+
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """Documents (doc_id, text, ...) -> doc_id, sentence_ids string, rules string, licenses string.
 
     One row for each document in which a rule matches; the strings are joined by commas, sentences in the text's order,
-    rules in the table's order and licences distinct and sorted. Lone sentences of longer rules match nothing. Null and
+    rules in the table's order and licences distinct and sorted. Lone sentences of longer rules match nothing, and where a
+    rule is a part of a longer one that matches there, only the longer one does (a BSD-3-Clause text isn't BSD-2-Clause). Null and
     empty texts match nothing, repeated rows give repeated rows, other columns are ignored. Everything happens inside
     one row, so there is no shuffle and no hot group; a very long text costs its own length.
     """
     found = docs.select("doc_id", sentence_ids(F.col("text")).alias("ids"))
     found = found.filter(F.size("ids") > 0).withColumn("sentence_ids", F.array_join("ids", ","))
     hay = F.concat(F.lit(","), F.col("sentence_ids"), F.lit(","))
-    rules = [F.when(F.contains(hay, F.lit("," + ",".join(ids) + ",")), F.struct(F.lit(rule).alias("rule"), F.lit(license).alias("license"))) for license, rule, ids in RULES]
+    rest = lambda ids: reduce(lambda text, longer: F.replace(text, F.lit(longer), F.lit(",")), longer_rules(ids), hay)
+    rules = [F.when(F.contains(rest(ids), F.lit(needle(ids))), F.struct(F.lit(rule).alias("rule"), F.lit(license).alias("license"))) for license, rule, ids in RULES]
     found = found.withColumn("hits", F.filter(F.array(*rules), lambda hit: hit.isNotNull())).filter(F.size("hits") > 0)
     return found.select("doc_id", "sentence_ids", F.array_join("hits.rule", ",").alias("rules"), F.array_join(F.array_sort(F.array_distinct("hits.license")), ",").alias("licenses"))
 
@@ -111,14 +124,16 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
 def oracle() -> str:
     """The scan line by line in DuckDB's SQL: the same where no known sentence is wrapped."""
     known = ", ".join(f"('{sentence}', '{name}')" for name, sentence in SENTENCES.items())
-    rules = ", ".join(f"({k}, '{license}', '{rule}', ',{','.join(ids)},')" for k, (license, rule, ids) in enumerate(RULES))
+    rules = ", ".join(f"({k}, '{license}', '{rule}', '{needle(ids)}', [{', '.join(repr(x) for x in longer_rules(ids)) or 'NULL'}])" for k, (license, rule, ids) in enumerate(RULES))
     return f"""
 WITH known(sentence, name) AS (VALUES {known}),
-rules(k, license, rule, needle) AS (VALUES {rules}),
+rules(k, license, rule, needle, longer) AS (VALUES {rules}),
 lines AS (SELECT doc_id, generate_subscripts(l, 1) AS pos, unnest(l) AS line FROM (
   SELECT doc_id, string_split(regexp_replace(text, '([.!?:;])[ \\t\\r\\f]+', '\\1' || chr(10), 'g'), chr(10)) AS l FROM documents)),
 ids AS (SELECT doc_id, string_agg(name, ',' ORDER BY pos) AS sentence_ids FROM lines
   JOIN known ON trim(regexp_replace(lower(line), '[^a-z0-9]+', ' ', 'g')) = sentence GROUP BY doc_id)
 SELECT doc_id, any_value(sentence_ids) AS sentence_ids, string_agg(rule, ',' ORDER BY k) AS rules,
   array_to_string(list_sort(list_distinct(list(license))), ',') AS licenses
-FROM ids JOIN rules ON contains(',' || sentence_ids || ',', needle) GROUP BY doc_id"""
+FROM ids JOIN rules ON contains(
+  CASE WHEN longer[1] IS NULL THEN ',' || sentence_ids || ',' ELSE list_reduce([',' || sentence_ids || ','] || longer, lambda text, x: replace(text, x, ',')) END, needle)
+GROUP BY doc_id"""

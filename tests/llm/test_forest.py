@@ -63,8 +63,20 @@ def test_recall_and_precision(spark, monkeypatch):
     check(forest.link_embeddings(df).collect(), rows, 1.0)  # one leaf
     monkeypatch.setattr(forest, "LEAF_ROWS", 128)
     check(forest.link_embeddings(df).collect(), rows, 0.9)
-    monkeypatch.setattr(forest, "BLOCK_ROWS", 40)  # leaves in blocks
-    check(forest.link_embeddings(df).collect(), rows, 0.9)
+    check(forest.link_embeddings(df, block_rows=40).collect(), rows, 0.9)  # split further, the dense group in blocks
+
+
+def test_leaves_are_split_on_the_executors(spark):
+    """From a sample that grows no tree at all."""
+    rows = vectors(3000, seed=6)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    check(forest.link_embeddings(df, sample=5, block_rows=400).collect(), rows, 0.9)
+
+
+def test_two_vectors_under_one_id(spark):
+    rows = [(1, [1.0, 0.0], 0, 1, 2, ""), (1, [0.0, 1.0], 0, 1, 2, ""), (2, [0.0, 1.01], 0, 1, 2, ""), (3, [0.01, 1.0], 0, 1, 2, "")]
+    got = sorted(tuple(r) for r in forest.link_embeddings(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == [(1, 0, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False)]
 
 
 def test_sampled_trees(spark, monkeypatch):

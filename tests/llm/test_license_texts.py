@@ -67,3 +67,9 @@ def test_lines_of_their_own_still_count(spark):
     text = "Copyright 2020 A. Writer\nAll rights reserved\nReleased under the\nMIT License.\n\nReleased under\nthe MIT License"
     row = licenses.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert row.sentence_ids == "all-rights,mit-line" and row.licenses == "MIT,proprietary"
+
+
+def test_the_longer_rule_alone(spark):
+    rows = [(1, "\n\n".join(BSD3)), (2, "\n\n".join(BSD2)), (3, "\n\n".join([*BSD3, *BSD2])), (4, "\n\n".join([*BSD2, *BSD3]))]
+    got = {r.doc_id: r.licenses for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: "BSD-3-Clause", 2: "BSD-2-Clause", 3: "BSD-2-Clause,BSD-3-Clause", 4: "BSD-2-Clause,BSD-3-Clause"}

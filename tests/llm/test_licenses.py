@@ -20,12 +20,16 @@ TEXTS = [
     "All rights reserved. Licensed under CC BY-NC 4.0.\tAll rights reserved.", None, "", "nothing", "x " * 50_000 + ". This work is licensed under the GNU General Public License, version 3.", "permission; ", APACHE,
 ]
 
+TEXTS.append(BSD + "\nNeither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.")
+
 
 def brute(text):
     lines = re.sub(r"([.!?:;])[ \t\r\f]+", r"\1\n", text or "").split("\n")
     names = {s: n for n, s in licenses.SENTENCES.items()}
     ids = [names[n] for line in lines if (n := re.sub("[^a-z0-9]+", " ", line.lower()).strip()) in names]
-    hit = [(lic, rule) for lic, rule, seq in licenses.RULES if any(ids[k : k + len(seq)] == seq for k in range(len(ids)))]
+    spans = [(k, k + len(seq), lic, rule) for lic, rule, seq in licenses.RULES for k in range(len(ids)) if ids[k : k + len(seq)] == seq]
+    alone = {(lic, rule) for s, e, lic, rule in spans if not any(a <= s and e <= b and b - a > e - s for a, b, *_ in spans)}
+    hit = [(lic, rule) for lic, rule, _ in licenses.RULES if (lic, rule) in alone]
     return (",".join(ids), ",".join(r for _, r in hit), ",".join(sorted({x for x, _ in hit}))) if hit else None
 
 

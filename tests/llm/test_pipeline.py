@@ -50,7 +50,8 @@ def made():
             add(" ".join(words), lang, True, "hot")
     for _ in range(6):
         add(prose(rng, "other", 150), None, False)
-    add(prose(rng, "en", 150) + " " + prose(rng, "fr", 110), None, False)  # two languages at once
+    add(prose(rng, "en", 150) + " " + prose(rng, "fr", 110), "en", True)  # two learned languages, each beyond doubt
+    add(prose(rng, "other", 300) + " " + prose(rng, "fr", 20), None, False)
     add(prose(rng, "other", 2), None, True)  # too short to be in doubt
     add(prose(rng, "en", 20_000), "en", True)
     for text in (None, "", " \t\n ", "12 34 !!"):
