@@ -10,16 +10,16 @@ from hanji.llm.common import join_hot, staged
 from hanji.llm.queries import tokenizer
 
 
-#: A text with so many n-grams belongs to a learned language beyond doubt, or to none: its score must reach the other value.
-ENOUGH, SURE = 300, 0.95
+#: N-grams from which a text must show its language, and the share of them in parts whose language is beyond doubt.
+ENOUGH, DECIDED = 600, 0.2
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language stay; where lang is null it becomes the prediction. Documents go whose language
-    can't be told (no letter, or nothing learned), or whose nearest codeword stays in doubt though their text is long
-    enough: those of other languages, of several at once or of no language. Short texts are never rejected for doubt."""
+    """Documents in learned languages stay; where lang is null it becomes the prediction. Documents go whose language
+    can't be told (no letter, or nothing learned), and those long enough to show it of which most parts stay in doubt
+    between codewords: other languages and no language. Short texts are never rejected for doubt."""
     found = langid.identify_languages(docs, carry=True)
-    known = found.filter((F.col("lang_pred") != "und") & ((F.col("evidence") < ENOUGH) | (F.col("score") >= SURE)))
+    known = found.filter((F.col("lang_pred") != "und") & ((F.col("evidence") < ENOUGH) | (F.col("decided") >= DECIDED)))
     lang = F.coalesce("row.lang", "lang_pred").alias("lang")
     return known.select(*[lang if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns])
 
