@@ -1,11 +1,14 @@
-"""Permit fields in tables that were flattened to run-on text, and in narrative sentences.
+"""Permit fields in tables that were flattened to run-on text, in tables of changes, and in sentences.
 
-Each shape gives one struct of FIELDS (texts; `period` holds the dates). Shapes differ in the header that announces them
-and in what stands between the columns; how an applicant is told from a place, and a place from a purpose, is shared.
+A flattened table begins with its columns' names one after another. Which columns there are comes from those names; the
+values behind them are told apart by what they are: quantities by their unit, periods by their dates, and what stands
+before the first quantity is an applicant, a place and a purpose, which the names and endings of places divide.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,7 +16,18 @@ from .permits import clean, dates, found, quantity
 from .text import let, strip
 
 FIELDS = ("permittee_name", "location", "purpose", "area", "collection_volume", "amount", "period")
-# How places begin, and the words that end a place.
+# The names of columns; white space and middle dots may stand between any two of a name's letters.
+COLUMNS = {
+    "who": ("신청인", "신청자", "피승인자", "성명"),
+    "where": ("점용사용장소", "점용사용위치", "점용장소", "위치"),
+    "purpose": ("점용사용목적", "사용목적", "점용목적", "점용유형", "공사내용", "목적"),
+    "area": ("점용면적", "면적"),
+    "volume": ("채취량", "준설량"),
+    "amount": ("점사용료", "점용료"),
+    "period": ("점용사용기간", "점사용기간", "허가기간", "공사기간", "기간"),
+    "other": ("허가번호", "비고", "주소", "직접", "간접계"),
+}
+# How places begin, and the words that end a place, in order of preference.
 PLACES = (
     "서울특별시", "부산광역시", "인천광역시", "대구광역시", "광주광역시", "대전광역시", "울산광역시", "세종특별자치시", "경기도",
     "강원도", "충청북도", "충청남도", "전라북도", "전라남도", "경상북도", "경상남도", "제주특별자치도", "창원시", "포항시", "신안군",
@@ -21,176 +35,169 @@ PLACES = (
     "세종", "경기", "강원", "충북", "충남", "전북", "전남", "경북", "경남", "제주",
 )
 PLACE_ENDS = ("공유수면", "번지 지선", "번지선", "지선", "번지)", "번지", "일원", "해역")
-PROVINCES = "경남|경북|전남|전북|충남|충북|강원|경기|제주"
-OFFICERS = r"시장|군수|구청장|지사|청장|장관|대표\s*[가-힣A-Za-z0-9]+"
-KNOWN = "|".join(PLACES)
-REGION = r"[가-힣]{2,}(?:시|군|구)"
+# Provinces that stand before a town, titles of officers and kinds of bodies that end an applicant, and the
+# words with which a period without a first date begins.
+PROVINCES = ("경남", "경북", "전남", "전북", "충남", "충북", "강원", "경기", "제주")
+OFFICERS = ("시장", "군수", "구청장", "지사", "청장", "장관", "공사", "공단")
+PERIOD_STARTS = ("허가일", "착공일", "협의일", "승인일")
+COMPANY_MARKS = ("주식회사", "㈜", "(주)", "(유)")
+
+GAP = r"[\s·․･ㆍ‧.]*"
 NUMBER = r"\d[\d,]*(?:\.\d+)?"
-AREA = rf"{NUMBER}\s*(?:㎡|m2|m²)"
-CUBIC = rf"{NUMBER}\s*(?:㎥|m3|m³)"
-ANY_UNIT = rf"{NUMBER}\s*(?:㎥|m3|m³|㎡|m2|m²)"
-DAY = r"\d{4}\.\d{1,2}\.\d{1,2}\.?"
-DATED = r"허가일|착공일|협의일|승인일|(?:\d{4}|[`'‘’]?\d{2})[.\-/]"
-GROUND = "번지선|번지|지선|공유수면|해역|일원"
-
-
-def fields(**values: Column) -> Column:
-    none = F.lit(None).cast("string")
-    return F.struct(*[values.get(f, none).alias(f) for f in FIELDS])
-
-
-def first_place(x: Column) -> Column:
-    """Where the first place begins, from 1; 0 without one. Known places count before anything that ends as regions do."""
-    return let(F.regexp_instr(x, F.lit(KNOWN)), lambda at: F.when(at > 0, at).otherwise(F.regexp_instr(x, F.lit(REGION))))
-
-
-def last_place(x: Column) -> Column:
-    """Where the last place begins, with a province right before it."""
-    last = F.when(x.rlike(KNOWN), F.length(F.regexp_extract(x, f"(?s)^(.*)(?:{KNOWN})", 1)) + 1).when(x.rlike(REGION), F.length(F.regexp_extract(x, f"(?s)^(.*?){REGION}(?!.*{REGION})", 1)) + 1).otherwise(0)
-    province = lambda at: F.regexp_instr(F.substring(x, F.lit(1), at - 1), F.lit(f"(?:{PROVINCES}).{{0,3}}$"))
-    return let(last, lambda at: F.when((at > 1) & (province(at) > 0), province(at)).otherwise(at))
-
+SQUARE, CUBIC = rf"{NUMBER}\s*(?:㎡|m2|m²)", rf"{NUMBER}\s*(?:㎥|m3|m³)"
+NAME = r"[가-힣A-Za-z㈜()·]"
 
-def split_at(x: Column, at: Column) -> Column:
-    return F.when(at > 1, F.struct(strip(F.substring(x, F.lit(1), at - 1)).alias("before"), strip(F.substring(x, at, F.length(x))).alias("after")))
 
+def any_of(words: tuple[str, ...] | list[str]) -> str:
+    """A pattern for any of the words, longer ones first."""
+    escaped = [w.replace("(", r"\(").replace(")", r"\)") for w in sorted(words, key=len, reverse=True)]
+    return f"(?:{'|'.join(escaped)})"
 
-def applicant_and_place(x: Column) -> Column:
-    """struct<before, after>: an officer or a group before a place, else what stands before the first place."""
 
-    def split(v: Column) -> Column:
-        tries = []
-        for who in (OFFICERS, r"외\s*\d+명"):
-            pattern = f"(?s)^(.+?(?:{who}))(?={KNOWN})(.+)$"
-            tries.append(F.when(v.rlike(pattern), F.struct(strip(F.regexp_extract(v, pattern, 1)).alias("before"), strip(F.regexp_extract(v, pattern, 2)).alias("after"))))
-        return F.coalesce(*tries, let(first_place(v), lambda at: split_at(v, at)))
+def spaced(words: tuple[str, ...]) -> str:
+    return any_of([GAP.join(w) for w in words])
 
-    return let(clean(x), split)
 
+ANY_COLUMN = rf"{spaced(tuple(w for words in COLUMNS.values() for w in words))}(?:\((?!유\)|주\))[^)]*\))?[\s/]*"
+KNOWN = rf"(?<!{any_of(PROVINCES)}\s{{0,3}}){any_of(PLACES)}"
+#: How a place may begin, in order of trust: a known name, a town or county, a township or quarter.
+BEGINNINGS = (KNOWN, r"[가-힣]{2}(?:시|군|구)\s", r"[가-힣]{2}(?:읍|면|동)")
+LATE = rf"(?:{any_of(PERIOD_STARTS)}|[`'‘’]?(?:\d{{4}}|\d{{2}})\s*[.\-/]\s*\d{{1,2}}\s*[.\-/])"
 
-def place_and_purpose(x: Column) -> Column:
-    """struct<location, purpose>: the place ends with the first of PLACE_ENDS that occurs at all."""
 
-    def split(v: Column) -> Column:
-        tries = []
-        for end in PLACE_ENDS:
-            at = F.instr(v, end)
-            rest = strip(F.regexp_replace(clean(F.substring(v, at + len(end), F.length(v))), r"^[(/ ]+", ""))
-            tries.append(F.when(at > 0, F.struct(clean(F.substring(v, F.lit(1), at + (len(end) - 1))).alias("location"), F.nullif(rest, F.lit("")).alias("purpose"))))
-        return F.coalesce(*tries, F.struct(clean(v).alias("location"), F.lit(None).cast("string").alias("purpose")))
-
-    return let(x, split)
+def fields(**values: Column) -> Column:
+    none = F.lit(None).cast("string")
+    return F.struct(*[values.get(f, none).alias(f) for f in FIELDS])
 
 
 def groups(x: Column, pattern: str, *names: str) -> Column:
     """struct of a pattern's groups, null if it doesn't occur."""
-    parts = [F.regexp_extract(x, pattern, k).alias(n) for k, n in enumerate(names, 1)]
-    return F.when(x.rlike(pattern), F.struct(*parts))
-
-
-def row_of(x: Column, header: str, row: str, *names: str) -> Column:
-    """The groups of the row pattern in what follows a header."""
-    return let(strip(found(x, f"(?s){header}(.+)")), lambda body: groups(body, row, *names))
+    return F.when(x.rlike(pattern), F.struct(*[F.regexp_extract(x, pattern, k).alias(n) for k, n in enumerate(names, 1)]))
 
 
-def placed(row: Column, split: Column, build) -> Column:
-    """build(row, applicant, place struct) if applicant and place could be told apart."""
-    return let(split, lambda s: F.when(s.isNotNull(), let(place_and_purpose(s["after"]), lambda p: F.when(clean(s["before"]).isNotNull() & p["location"].isNotNull(), build(row, clean(s["before"]), p)))))
+def first_group(x: Column, patterns: list[str], *names: str) -> Column:
+    return F.coalesce(*[groups(x, p, *names) for p in patterns])
 
 
-def permit_detail(x: Column) -> Column:
-    row = row_of(x, r"허가번호.*?점용장소.*?성\s*명\s*\d{4}-\d+", rf"(?s)^(.+?)(\d[\d,]*(?:\.\d{{1,2}})?)(\d{{1,3}}(?:,\d{{3}})+)({DAY}\s*~?\s*{DAY})", "prefix", "area", "amount", "period")
+def who_and_where(text: Column, address_first: Column) -> Column:
+    """struct<who, where>: where begins at the first place behind a body or officer, else at the first place; if an
+    address stands before the applicant's name, at the last place."""
+    ending = rf"(?:{any_of(OFFICERS)}|대표\s*[가-힣]{{2,4}}|외\s*\d+\s*명)"
+    first = [rf"(?s)^(.+?{end})\s*(?={begin})(.+)$" for begin in BEGINNINGS for end in (ending, "")]
+    last = [rf"(?s)^(.+)(?={begin})(.+)$" for begin in BEGINNINGS]
+    split = lambda patterns: first_group(text, patterns, "who", "where")
+    return F.when(address_first, let(split(last), lambda s: F.struct(name_after_address(s["who"]).alias("who"), s["where"].alias("where")))).otherwise(split(first))
 
-    def name(v: Column) -> Column:
-        after = F.regexp_replace(found(v, r"(?s)^.*(?:호|번지|길)(.+)$"), r"^[\d\s,\-]+", "")
-        return clean(F.coalesce(F.nullif(after, F.lit("")), found(v, r"([가-힣A-Za-z㈜()·\s]+(?:외\s*\d+명)?)$"), v))
 
-    build = lambda r, who, p: fields(permittee_name=name(who), location=p["location"], purpose=p["purpose"], area=F.concat(r["area"], F.lit("㎡")), amount=F.concat(r["amount"], F.lit("원")), period=r["period"])
-    return let(row, lambda r: placed(r, let(last_place(r["prefix"]), lambda at: split_at(r["prefix"], at)), build))
+def name_after_address(x: Column) -> Column:
+    """The name at the end of a text that begins with an address."""
+    name = found(strip(x), rf"((?:{any_of(COMPANY_MARKS)}\s*)?{NAME}+(?:\s*외\s*\d+\s*명)?)$")
+    return clean(F.regexp_replace(name, "^(?:번지|번길|호|층|길)", ""))
 
 
-def dredging_application(x: Column) -> Column:
-    row = row_of(x, r"신\s*청\s*자\s*위\s*치\s*사\s*용\s*목\s*적\s*면적\s*준설량\s*기간", rf"(?is)^(.+?)({AREA})({ANY_UNIT})(.+)", "prefix", "area", "volume", "rest")
-    who = lambda v: groups(v, r"(?s)^(.+?(?:지사|시장|군수|구청장|청장|공사|공단))(.+)$", "before", "after")
-    build = lambda r, name, p: fields(permittee_name=name, location=p["location"], purpose=p["purpose"], area=quantity(r["area"]), collection_volume=quantity(r["volume"]))
-    return let(row, lambda r: placed(r, who(r["prefix"]), build))
+def where_and_purpose(text: Column) -> Column:
+    """struct<location, purpose>: the place ends with the first of PLACE_ENDS that occurs in the text."""
+    end = F.get(F.filter(F.array(*[F.lit(e) for e in PLACE_ENDS]), lambda e: F.contains(text, e)), F.lit(0))
+    upto = lambda e: F.coalesce(F.position(e, text) + F.length(e) - 1, F.length(text))
+    cut = lambda n: F.struct(clean(F.substring(text, F.lit(1), n)).alias("location"), clean(F.regexp_replace(F.substring(text, n + 1, F.length(text)), r"^[(/ ]+", "")).alias("purpose"))
+    return let(end, lambda e: let(upto(e), cut))
 
 
-def measured(x: Column, header: str, volume_required: bool) -> Column:
-    row = row_of(x, header, rf"(?s)^(.+?)({NUMBER}\s*㎡)(.*)", "prefix", "area", "rest")
-    volume = lambda r: quantity(found(r["rest"], rf"(?i)({CUBIC})"))
-    build = lambda r, name, p: F.when(volume(r).isNotNull() | F.lit(not volume_required), fields(permittee_name=name, location=p["location"], purpose=p["purpose"], area=quantity(r["area"]), collection_volume=volume(r)))
-    return let(row, lambda r: placed(r, applicant_and_place(r["prefix"]), build))
+def flattened(x: Column) -> Column:
+    """The first row of a run-on table: a header of four columns or more, and values with a quantity among them. Values in
+    which another header stands are no row."""
+    head = F.regexp_extract(x, f"(?:{ANY_COLUMN}){{4,}}", 0)
+    parts = F.when(head != "", F.struct(head.alias("head"), strip(F.substring(x, F.instr(x, head) + F.length(head), F.length(x))).alias("body")))
+    return let(parts, lambda p: let(measured(p["head"], p["body"]), lambda m: let(row_of(p["head"], m), lambda r: F.when(r["permittee_name"].isNotNull() & r["location"].isNotNull(), r))))
 
 
-def change_table(x: Column) -> Column:
-    pattern = r"(?s)장\s*소(.+?)면\s*적(.+?)목\s*적(.+?)기\s*간(.+)"
-    changed = lambda v: clean(F.regexp_replace(clean(v), r"변경\s*없음.*$", ""))
-    iso = lambda ds, a, b: F.concat_ws(" ", F.date_format(F.get(ds, F.lit(a)), "yyyy-MM-dd"), F.date_format(F.get(ds, F.lit(b)), "yyyy-MM-dd"))
-    period = lambda v: let(dates(v), lambda ds: F.when(F.size(ds) >= 4, iso(ds, 2, 3)).when(F.size(ds) >= 2, iso(ds, 0, 1)))
-    row = F.when(F.contains(x, F.lit("변경 전")) & F.contains(x, F.lit("변경 후")), groups(x, pattern, "location", "area", "purpose", "period"))
-    return let(row, lambda r: F.when(r.isNotNull(), fields(location=clean(r["location"]), area=changed(r["area"]), purpose=changed(r["purpose"]), period=period(r["period"]))))
-
+def measured(head: Column, body: Column) -> Column:
+    """struct<text, area, unit, amount, rest>: what stands before the area, the area, and what follows. The area is the
+    first number with a unit; where the unit stands in the header only, the number before the amount or the period."""
+    has = lambda column: head.rlike(spaced(COLUMNS[column]))
+    unit = F.when(head.rlike(r"m2|m²"), F.regexp_extract(head, r"m2|m²", 0)).otherwise(F.lit("㎡"))
+    charged = groups(body, rf"(?s)^(.+?)(\d[\d,]*(?:\.\d{{1,2}})?)(\d{{1,3}}(?:,\d{{3}})+)(?=\d{{4}}\.)(.*)$", "text", "area", "amount", "rest")
+    plain = groups(body, rf"(?is)^(.+?)({NUMBER})\s*(㎡|m2|m²)(.*)$", "text", "area", "unit", "rest")
+    bare = groups(body, rf"(?s)^(.+?)({NUMBER})\s*(?={LATE})(.*)$", "text", "area", "rest")
+    shaped = lambda m, u, amount: F.when(m.isNotNull(), F.struct(m["text"].alias("text"), m["area"].alias("area"), u.alias("unit"), amount.alias("amount"), m["rest"].alias("rest")))
+    none = F.lit(None).cast("string")
+    with_amount = let(charged, lambda m: shaped(m, unit, F.concat(m["amount"], F.lit("원"))))
+    found_ = F.coalesce(F.when(has("amount"), with_amount), let(plain, lambda m: shaped(m, m["unit"], none)), let(bare, lambda m: shaped(m, unit, none)))
+    return F.when(has("area") | has("amount"), let(found_, lambda m: F.when(~m["text"].rlike(f"(?:{ANY_COLUMN}){{3,}}"), m)))
 
-def inline_summary(x: Column) -> Column:
-    row = row_of(x, r"(?:피승인자|신청인|신\s*청\s*자)\s*위\s*치\s*면\s*적(?:\([^)]*\))?.{0,40}?기\s*간", rf"(?is)^(.+?)({AREA})(.+)", "prefix", "area", "rest")
-    late = lambda rest: clean(F.regexp_replace(clean(found(rest, rf"(?s)^(.*?)(?:{DATED}|$)")), "(?:끝|붙임).*$", ""))
-    build = lambda r, name, p: fields(permittee_name=name, location=p["location"], purpose=F.coalesce(p["purpose"], late(r["rest"])), area=quantity(r["area"]), period=r["rest"])
-    return let(row, lambda r: placed(r, applicant_and_place(r["prefix"]), build))
 
+def row_of(head: Column, m: Column) -> Column:
+    has = lambda column: head.rlike(spaced(COLUMNS[column]))
+    numbered = r"^\s*\d{4}-\d+\s*"  # a permit's number, behind which an address stands
+    text = strip(F.regexp_replace(m["text"], numbered, ""))
+    late = clean(F.regexp_replace(found(m["rest"], rf"(?s)^(.*?)(?:{LATE}|$)"), "(?:끝|붙임).*$", ""))
+    volume = F.when(has("volume"), quantity(found(m["rest"], rf"(?i)({CUBIC})")))
+    period = F.when(F.size(dates(m["rest"])) >= 2, m["rest"])
 
-def inline_application(x: Column) -> Column:
-    head = r"(?:신\s*청\s*자|신청인|성\s*명)\s*위\s*치\s*사\s*용\s*목\s*적\s*면\s*적(?:\((?:㎡|m2|m²)\))?\s*기\s*간"
-    row = row_of(x, head, rf"(?s)^(.+?)({NUMBER})(\s*(?:{DATED}).+)", "prefix", "area", "period")
-    town = lambda v: let(F.regexp_instr(v, F.lit("..(?:읍|면|동)")), lambda at: split_at(v, at))
-    build = lambda r, name, p: fields(permittee_name=name, location=p["location"], purpose=p["purpose"], area=F.concat(r["area"], F.lit("㎡")), period=r["period"])
-    return let(row, lambda r: placed(r, F.coalesce(applicant_and_place(r["prefix"]), town(r["prefix"])), build))
+    def build(s: Column) -> Column:
+        return let(
+            where_and_purpose(s["where"]),
+            lambda p: fields(
+                permittee_name=clean(s["who"]), location=p["location"], purpose=F.coalesce(p["purpose"], F.when(~has("volume"), late)),
+                area=F.concat(m["area"], m["unit"]), collection_volume=volume, amount=m["amount"], period=period,
+            ),
+        )
 
+    return F.when(m.isNotNull(), let(who_and_where(text, m["text"].rlike(numbered)), lambda s: F.when(s.isNotNull(), build(s))))
 
-def compact_period(x: Column) -> Column:
-    row = row_of(x, r"신청인위\s*치목\s*적면\s*적허가\s*기간", rf"(?is)^(.+?)({AREA})({DAY}\s*~\s*{DAY})", "prefix", "area", "period")
-    build = lambda r, name, p: fields(permittee_name=name, location=p["location"], purpose=p["purpose"], area=quantity(r["area"]), period=r["period"])
-    return let(row, lambda r: placed(r, applicant_and_place(r["prefix"]), build))
 
+# The rows of a table of changes.
+CHANGED = {"location": "장소", "area": "면적", "purpose": "목적", "period": "기간"}
 
-def applicant(x: Column) -> Column:
-    """Who applied, from what a sentence says before: after the last numbered mark, without representatives."""
-    x = F.regexp_replace(clean(x), r"(?s)^.*(?:^|\s)\d{1,2}\.\s*", "")
-    x = F.regexp_replace(F.regexp_replace(x, r"^[\d.\s가-힣]*관련입니다\.?\s*", ""), r"\([^)]*대표[^)]*\)", "")
-    named = lambda v: F.when(first_place(v) == 1, F.coalesce(found(v, r"\d[\d\-]*(?:번지)?\s+([가-힣A-Za-z㈜()·\s-]{2,50})$"), v)).otherwise(v)
-    return clean(let(F.regexp_replace(x, "(?:으로부터|로부터).*$", ""), named))
 
+def changes(x: Column) -> Column:
+    """A table of values before and after: what each label says up to the next, and the last period of several."""
+    stop = f"(?={spaced(tuple(CHANGED.values()))}|$)"
+    said = {f: clean(F.regexp_replace(found(x, rf"(?s){GAP.join(label)}(.+?){stop}"), r"변경\s*없음.*$", "")) for f, label in CHANGED.items()}
+    iso = lambda ds, k: F.date_format(F.try_element_at(ds, F.lit(k)), "yyyy-MM-dd")
+    last = let(dates(said["period"]), lambda ds: F.when(F.size(ds) >= 2, F.concat_ws(" ", iso(ds, -2), iso(ds, -1))))
+    return F.when(x.rlike(r"변경\s*전") & x.rlike(r"변경\s*후"), fields(**(said | {"period": last})))
 
-def from_place(x: Column, at) -> Column:
-    return let(clean(x), lambda v: let(at(v), lambda k: F.when(k > 1, F.substring(v, k, F.length(v))).otherwise(v)))
 
+# What follows the sender of an application, and how a sentence names ground, quotes a purpose and goes on.
+SENDER = r"(?:에서|으로부터|로부터)\s*(?:신청한|제출한|제출된|다음과\s*같이)?\s*"
+GROUND = any_of(("번지선", "번지", "지선", "공유수면", "해역", "일원"))
+QUOTED = r"[“\"『]([^”\"』]+)[”\"』]"
 
-def narratives(x: Column) -> list[Column]:
-    """Sentences in order of preference."""
-    sender = "(?:에서|으로부터|로부터)"
-    quoted_then_place = groups(x, rf"(?s)(?:^|\n)([^\n]+?){sender}\s*신청한\s*[“\"]([^”\"]+)[”\"]\(([^)]*(?:{GROUND})[^)]*)\)\s*목적", "who", "purpose", "place")
-    place_then_purpose = groups(x, rf"(?s)(?:^|\n)([^\n]+?)(?:{sender}|에서\s*제출한)\s+(.+?(?:{GROUND}))에\s+(.+?)\s*목적의\s*공유수면", "who", "place", "purpose")
-    place_then_quoted = groups(x, rf"(?s)(?:^|\n)([^\n]+?){sender}\s+(.+?(?:{GROUND}))에\s*[『“\"]([^』”\"]+)[』”\"](?:를|을)\s*위한", "who", "place", "purpose")
-    only_place = groups(x, rf"([가-힣A-Za-z0-9 \-]+(?:{GROUND})(?:의\s*공유수면)?)에\s*[“\"]([^”\"]+)[”\"](?:를|을)\s*위한", "place", "purpose")
-    both = groups(x, rf"(?i)면\s*적\s*\(\s*준설량\s*\)\s*[:：]?\s*({AREA})\s*\(({ANY_UNIT})\)", "area", "volume")
-    return [
-        let(both, lambda r: F.when(r.isNotNull(), fields(area=quantity(r["area"]), collection_volume=quantity(r["volume"])))),
-        fields(area=quantity(found(x, rf"(?i)투기면적\s*[:：]\s*({AREA})")), collection_volume=quantity(found(x, rf"(?i)준설량\s*({CUBIC})"))),
-        let(quoted_then_place, lambda r: F.when(r.isNotNull(), fields(permittee_name=applicant(r["who"]), location=clean(r["place"]), purpose=clean(r["purpose"])))),
-        let(place_then_purpose, lambda r: F.when(r.isNotNull(), fields(permittee_name=applicant(r["who"]), location=from_place(r["place"], first_place), purpose=clean(r["purpose"])))),
-        let(place_then_quoted, lambda r: F.when(r.isNotNull(), fields(permittee_name=applicant(r["who"]), location=from_place(r["place"], last_place), purpose=clean(r["purpose"])))),
-        let(only_place, lambda r: F.when(r.isNotNull(), fields(location=from_place(r["place"], last_place), purpose=clean(r["purpose"])))),
-    ]
 
-
-OCCUPATION = r"신청인점용[·․･ㆍ.]?사용\s*장소점용[·․･ㆍ.]?사용\s*목적면적\(㎡\)\s*/채취량\(㎥\)점용[·․･ㆍ.]?사용\s*기간"
+def applicant(x: Column) -> Column:
+    """Who applied, from what a sentence says before its verb: behind the last number and title, without representatives; a
+    company or body in it counts alone, and behind an address the name."""
+    cleared = reduce(lambda v, p: F.regexp_replace(v, p, ""), (r"(?s)^.*(?:^|\s)\d{1,2}\.\s*", r"^.*관련입니다\.?\s*", r"\([^)]*대표[^)]*\)", r"^공유수면.*(?:고시|알림|공고|의뢰|통보)\s+"), clean(x))
+    address = lambda v: F.when(v.rlike(rf"^(?:{KNOWN})\S*\s.*\d"), name_after_address(v)).otherwise(v)
+    body = rf"((?:{any_of(COMPANY_MARKS)}\s*{NAME}+|{NAME}+\s*{any_of(COMPANY_MARKS)})(?:\s*대표(?:이사)?\s*[가-힣]{{2,4}})?)\s*$"
+    return clean(let(address(strip(cleared)), lambda v: F.when(F.length(v) > 15, F.coalesce(found(v, body), v)).otherwise(v)))
+
+
+def sentences(x: Column) -> Column:
+    """What sentences about an application say: who sent it, the ground, and the purpose, quoted or before 목적의."""
+    place = rf"([^\n]*?{GROUND}[^\n“\"『]{{0,12}}?)에\s*"
+    told = first_group(x, [rf"{place}{QUOTED}(?:를|을)\s*위한", rf"{place}([^“\"『]{{2,120}}?)\s*목적의\s*공유수면"], "where", "purpose")
+    noted = groups(x, rf"{QUOTED}\s*\(([^)]*{GROUND}[^)]*)\)\s*목적", "purpose", "where")
+    begin = "|".join(BEGINNINGS)
+    after = rf"(?=[“\"『]|공유수면|{begin})"
+    sent = F.coalesce(found(x, rf"(?:^|\n)([^\n]+?){SENDER}{after}(?=[\s\S]{{0,200}}(?:신청|목적|위한))"), found(x, r"(?:^|\n)([^\n]{2,40}?)의\s+공유수면[^\n]*신청에"))
+    ground = lambda v: let(F.regexp_replace(clean(v), rf"^.*(?:께서|에서|로부터)\s+(?={begin})", ""), lambda w: F.coalesce(found(w, rf"((?:{KNOWN}).*)$"), w))
+    who = let(sent, lambda v: F.when(v.isNotNull(), applicant(v)))
+    both = F.coalesce(F.when(noted.isNotNull(), F.struct(noted["where"].alias("where"), noted["purpose"].alias("purpose"))), told)
+    return let(both, lambda t: fields(permittee_name=who, location=ground(t["where"]), purpose=clean(t["purpose"])))
+
+
+def quantities(x: Column) -> Column:
+    """Areas and volumes that stand in brackets or in sentences."""
+    area = F.coalesce(found(x, rf"(?i)면\s*적\s*\(\s*준설량\s*\)\s*[:：]?\s*({SQUARE})"), found(x, rf"(?i)투기면적\s*[:：]\s*({SQUARE})"))
+    volume = found(x, rf"(?i)준설량\s*\)?\s*[:：]?\s*(?:{SQUARE}\s*\(\s*)?({CUBIC})")
+    return fields(area=quantity(area), collection_volume=quantity(volume))
 
 
 def shapes(x: Column, tables: Column) -> Column:
-    """array<struct> of what each shape found, in order of preference; `tables` (the Markdown tables' fields) stands after
-    the shapes that name most columns."""
-    found_ = [permit_detail(x), dredging_application(x), measured(x, OCCUPATION, True), measured(x, r"신청인점용.*?직접간접계\s*", False), tables, change_table(x), inline_summary(x), inline_application(x), compact_period(x), *narratives(x)]
-    return F.filter(F.array(*found_), lambda s: s.isNotNull())
+    """array<struct> of what each shape found, in order of preference; `tables` are the Markdown tables' fields."""
+    return F.filter(F.array(flattened(x), tables, changes(x), quantities(x), sentences(x)), lambda s: s.isNotNull())
 
 
 def first(shapes_: Column, field: str) -> Column:

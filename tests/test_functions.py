@@ -177,3 +177,24 @@ def test_run_on_tables_and_sentences(spark):
         iso = lambda d: d.isoformat() if d else None
         got = (p["permittee_name"], p["location"], p["area"], p["purpose"], p["collection_volume"], iso(p["permit_start_date"]), iso(p["permit_end_date"]), p["amount"])
         assert got == RUN_ON[r["text"]], r["text"]
+
+
+PERMIT_TAIL = {
+    "위치 : ⓐ 부산 남구 1번지선 공유수면 ⓑ 부산 남구 2번지선 공유수면 ⓐ 부산 남구  1번지선 공유수면": ("location", "ⓐ 부산 남구 1번지선 공유수면 ⓑ 부산 남구 2번지선 공유수면"),
+    "목적 : 어선 수리용 선가대(3기) 보강 및 운영, 부대시설 설치 공사 일체 어선 수리용 선가대(2기) 보강 및 운영": ("purpose", "어선 수리용 선가대(2기) 보강 및 운영"),
+    "목적 : ㅇ 크레인(5톤급) 3기 - 다대동 물양장 / ㅇ 크레인(5톤급) 2기 - 다대동 물양장 ㅇ 크레인(9톤급) 1기 - 감천동 물양장": ("purpose", "크레인(5톤급) 2기, 크레인(9톤급) 1기"),
+    "면적 : 500㎡ (직접 300 / 간접 (가 100 / 나 100)) / 400㎡ (직접 300 / 간접 100)": ("area", "400㎡ (직접 300 / 간접 100)"),
+    "면적 : 400㎡(직접 400㎡) / 300㎡(직접 300㎡) / 2021.10.1.부터 변경": ("area", "300㎡(직접 300㎡)"),
+    "신청인 : 한빛면 3번지선 방파제 공사120㎡허가일로부터 5년": ("permittee_name", None),
+    "1. 동해공사-12(2020.1.2.)호 관련입니다.\n2. 공유수면 점용 사용 변경 고시 주식회사 새바다에서 공유수면 점용 사용 변경허가 신청서를 제출하였습니다.": ("permittee_name", "주식회사 새바다"),
+    "울산광역시 남구 장생포로 12-3 김바다로부터 울산광역시 남구 장생포동 9번지선 공유수면 일원에\n해수 취수 목적의 공유수면 점용 신청": ("permittee_name", "김바다"),
+    "동해개발(주)(대표이사 홍길순)로부터 다음과 같이 공유수면 점용 신청이 있어": ("permittee_name", "동해개발(주)"),
+    "[TABLE_START] | 신청인 | 위치 | 면적(㎡) | --- | --- | --- | 한빛해운 | 군산시 옥도면 1번지 지선 | 70 | [TABLE_END]": ("area", "70㎡"),
+    "성 명위 치사용 목적면적(㎡)기간바다공사목 적면 적(㎡)기 간울산 남구 매암동 앞 보존 23㎡2018.02.01.~2018.5.1.": ("location", None),
+}
+
+
+def test_permit_values_that_need_more_than_a_label(spark):
+    df = spark.createDataFrame([(x,) for x in PERMIT_TAIL], "text string")
+    got = {r["text"]: r["permit"] for r in permits.extract(df).collect()}
+    assert {x: got[x][field] for x, (field, _) in PERMIT_TAIL.items()} == {x: want for x, (_, want) in PERMIT_TAIL.items()}
