@@ -59,7 +59,9 @@ class Prior:
         rank = np.empty(IDS, np.int64)
         rank[np.argsort(-counts, kind="stable")] = np.arange(IDS)
         topic = cls.topics(ids, rank, block_ids)
-        in_topic = np.bincount(np.repeat(topic, block_ids)[: len(ids)] * IDS + ids, minlength=TOPICS * IDS).reshape(TOPICS, IDS)
+        cut = len(ids) // block_ids * block_ids
+        in_topic = np.stack([np.bincount(ids[:cut].reshape(-1, block_ids)[topic[: cut // block_ids] == k].ravel(), minlength=IDS) for k in range(TOPICS)])
+        in_topic[topic[-1]] += np.bincount(ids[cut:], minlength=IDS)
         own = (in_topic / np.maximum(in_topic.sum(axis=1, keepdims=True), 1)).argmax(axis=0)
         kind = (own * (len(TIERS) + 1) + np.searchsorted(TIERS, rank, side="right")).astype(np.uint8)
         totals = np.bincount(kind, counts, minlength=CLASSES)
@@ -86,9 +88,8 @@ class Prior:
     @staticmethod
     def topics(ids: np.ndarray, rank: np.ndarray, block_ids: int) -> np.ndarray:
         """A group for each block, by a few rounds of k-means on the shares of the commonest ids."""
-        lanes = -(-len(ids) // block_ids)
-        seen = np.minimum(rank[ids], PROFILE - 1)
-        profile = np.bincount(np.arange(len(ids)) // block_ids * PROFILE + seen, minlength=lanes * PROFILE).reshape(lanes, PROFILE)
+        seen = np.minimum(rank, PROFILE - 1).astype(np.uint8)[ids]
+        profile = np.stack([np.bincount(seen[at : at + block_ids], minlength=PROFILE) for at in range(0, len(ids), block_ids)])
         profile = np.sqrt(profile / np.maximum(profile.sum(axis=1, keepdims=True), 1))
         chosen = [0]
         for _ in range(TOPICS - 1):  # farthest first
@@ -136,9 +137,11 @@ class Model:
         first = np.r_[(np.arange(SURE) * 2 + 1) << 11, np.full(SURE, 1 << 14)].astype(np.int32)
         self.hit = np.tile(first, lanes)
         self.weight = np.repeat(np.array([[16_000], [30_000], [30_000]], np.int32), lanes, axis=1)
-        self.freq = np.repeat(prior.weights[:, None], lanes, axis=1)
+        # Order 0: the classes' counts below each class and, last, all together.
+        self.below = np.repeat(np.r_[0, np.cumsum(prior.weights)].astype(np.int16)[:, None], lanes, axis=1)
         self.last = np.zeros((2, lanes), np.int64)
         self.slot0, self.hit0 = np.arange(lanes) * SLOTS, np.arange(lanes) * (2 * SURE)
+        self.names, self.classes = np.arange(lanes), np.arange(CLASSES, dtype=np.int16)[:, None]
 
     def predict(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(guessed id, chance that it is right of 2^BITS) for the first n lanes: the longest context that knows an id
@@ -161,22 +164,30 @@ class Model:
         target = whole * 65535
         self.hit[self.h1] = self.q1 + (target - self.q1 >> 4)
         self.hit[self.h2] = self.q2 + (target - self.q2 >> 4)
-        miss = (whole << BITS) - self.p
-        for k, s in enumerate((self.s0, self.s1, self.s2)):
-            self.weight[k, :n] += s * miss >> 11
-        if t % 32 == 0:  # so often that the products above stay within 32 bits
-            np.clip(self.weight, 0, 1 << 18, out=self.weight)
+        if t % 2 == 0:  # the weights learn from every other id
+            miss = (whole << BITS) - self.p
+            for k, s in enumerate((self.s0, self.s1, self.s2)):
+                self.weight[k, :n] += s * miss >> 10
+            if t % 32 == 0:  # so often that the products above stay within 32 bits
+                np.clip(self.weight, 0, 1 << 18, out=self.weight)
         then = _NEXT.take((self.n2 << 1) + (self.i2 == ids))
         self.table[self.at2] = np.where(then, then | self.i2, ids | 1 << 16)
         self.last[1, :n] = self.last[0, :n]
         self.last[0, :n] = ids
 
-    def count(self, lanes: np.ndarray, classes: np.ndarray, totals: np.ndarray) -> None:
-        """Order 0 learns the class; a lane whose counts grow large halves them."""
-        self.freq[classes, lanes] += STEP
-        big = lanes[totals > LIMIT]
+    def share_of(self, kind: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Counts below the class of each of the first n lanes, and of the class."""
+        at = kind * self.below.shape[1] + self.names[:n]
+        low, high = self.below.ravel().take(at), self.below.ravel().take(at + self.below.shape[1])
+        return low.astype(np.uint64), (high - low).astype(np.uint64)
+
+    def count(self, n: int, kind: np.ndarray, right: np.ndarray) -> None:
+        """Order 0 learns the class of ids that weren't guessed; a lane whose counts grow large halves them."""
+        step = np.where(right, 0, STEP).astype(np.int16)
+        self.below[1:, :n] += (self.classes >= kind.astype(np.int16)) * step
+        big = np.flatnonzero(self.below[-1] > LIMIT)
         if len(big):
-            self.freq[:, big] = (self.freq[:, big] + 1) >> 1
+            self.below[1:, big] = np.cumsum((np.diff(self.below[:, big], axis=0) + 1) >> 1, axis=0)
 
 
 class Interval:
@@ -243,28 +254,22 @@ def encode_blocks(ids: np.ndarray, prior: Prior, block_ids: int = BLOCK_IDS) ->
     grid[: len(ids)] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, block_ids).T)
     last = len(ids) - (lanes - 1) * block_ids
-    model, out, names = Model(lanes, prior), Writer(lanes, 2 * block_ids + 16), np.arange(lanes)
-    share, first = prior.share.astype(np.uint64), prior.first.astype(np.uint64)
+    model, out = Model(lanes, prior), Writer(lanes, 2 * block_ids + 16)
+    share, first, kinds = prior.share.astype(np.uint64), prior.first.astype(np.uint64), prior.kind.astype(np.int64)
     for t in range(block_ids if lanes > 1 else last):
         n = lanes if t < last else lanes - 1
         actual = grid[t, :n]
         guess, p = model.predict(n)
         right = guess == actual
-        span = out.span[:n]
+        low, span = out.low[:n], out.span[:n]
         bound = (span >> np.uint64(BITS)) * p.astype(np.uint64)
-        low = out.low[:n] + np.where(right, np.uint64(0), bound)
-        span = np.where(right, bound, span - bound)
-        miss = np.flatnonzero(~right)
-        if len(miss):
-            missed = actual[miss]
-            kind = prior.kind.take(missed)
-            ends = np.cumsum(model.freq.take(miss, axis=1), axis=0, dtype=np.int32)
-            own, end, total = model.freq[kind, miss], ends[kind, names[: len(miss)]], ends[-1]
-            s = span[miss] // total.astype(np.uint64)
-            inner = s * own.astype(np.uint64) >> np.uint64(SHARE_BITS)
-            low[miss] += (end - own).astype(np.uint64) * s + first.take(missed) * inner
-            span[miss] = inner * share.take(missed)
-            model.count(miss, kind, total)
+        kind = kinds.take(actual)
+        below, own = model.share_of(kind, n)
+        s = (span - bound) // model.below[-1, :n].astype(np.uint64)
+        inner = s * own >> np.uint64(SHARE_BITS)
+        low = np.where(right, low, low + bound + below * s + first.take(actual) * inner)
+        span = np.where(right, bound, inner * share.take(actual))
+        model.count(n, kind, right)
         out.settle(n, low, span)
         model.learn(t, n, right, actual)
     return out.finish()
@@ -277,34 +282,29 @@ def decode_blocks(payloads: list[bytes], n_ids: int, prior: Prior, block_ids: in
         return np.empty(0, np.int32)
     grid = np.zeros((block_ids, lanes), np.int32)
     last = n_ids - (lanes - 1) * block_ids
-    model, source, names = Model(lanes, prior), Reader(payloads), np.arange(lanes)
+    model, source = Model(lanes, prior), Reader(payloads)
     share, first = prior.share.astype(np.uint64), prior.first.astype(np.uint64)
     for t in range(block_ids if lanes > 1 else last):
         n = lanes if t < last else lanes - 1
         guess, p = model.predict(n)
-        span, low = source.span[:n], source.low[:n]
+        low, span = source.low[:n], source.span[:n]
         bound = (span >> np.uint64(BITS)) * p.astype(np.uint64)
-        right = source.code[:n] - low < bound
-        low = low + np.where(right, np.uint64(0), bound)
-        span = np.where(right, bound, span - bound)
-        ids = guess.copy()
-        miss = np.flatnonzero(~right)
-        if len(miss):
-            ends = np.cumsum(model.freq.take(miss, axis=1), axis=0, dtype=np.int32)
-            total = ends[-1]
-            s = span[miss] // total.astype(np.uint64)
-            left = source.code[miss] - low[miss]
-            value = np.minimum(left // s, (total - 1).astype(np.uint64)).astype(np.int32)
-            kind = (ends <= value).sum(axis=0).clip(0, CLASSES - 1)
-            own, end = model.freq[kind, miss], ends[kind, names[: len(miss)]]
-            before = (end - own).astype(np.uint64) * s
-            inner = s * own.astype(np.uint64) >> np.uint64(SHARE_BITS)
-            inside = np.minimum((left - before) // np.maximum(inner, np.uint64(1)), np.uint64((1 << SHARE_BITS) - 1)).astype(np.int64)
-            missed = prior.by_share.take((kind << SHARE_BITS) + inside).astype(np.int32)
-            low[miss] += before + first.take(missed) * inner
-            span[miss] = inner * share.take(missed)
-            model.count(miss, kind, total)
-            ids[miss] = missed
+        left = source.code[:n] - low
+        right = left < bound
+        left -= bound  # of lanes that were guessed, what follows is thrown away
+        total = model.below[-1, :n]
+        s = (span - bound) // total.astype(np.uint64)
+        value = np.minimum(left // s, total.astype(np.uint64) - np.uint64(1)).astype(np.int16)
+        kind = (model.below[1:, :n] <= value).sum(axis=0, dtype=np.int8).astype(np.int64)
+        below, own = model.share_of(kind, n)
+        inner = s * own >> np.uint64(SHARE_BITS)
+        before = below * s
+        inside = np.minimum((left - before) // np.maximum(inner, np.uint64(1)), np.uint64((1 << SHARE_BITS) - 1)).astype(np.int64)
+        missed = prior.by_share.take((kind << SHARE_BITS) + inside).astype(np.int32)
+        ids = np.where(right, guess, missed)
+        low = np.where(right, low, low + bound + before + first.take(missed) * inner)
+        span = np.where(right, bound, inner * share.take(missed))
+        model.count(n, kind, right)
         source.settle(n, low, span)
         grid[t, :n] = ids
         model.learn(t, n, right, ids)
