@@ -1,14 +1,15 @@
-"""Command line: init-db, run, search, stats, images, sync-to-mirror."""
+"""Command line: init-db, run, search, show, stats, images, sync-to-mirror."""
 
 from __future__ import annotations
 
 import argparse
+import logging
 
 from pyspark.sql import functions as F
 
 from hanji.config import EngineConfig, clean_query, in_range
-from hanji.functions import keywords, vectors
-from hanji.operators import search, stats, store
+from hanji.functions import keywords
+from hanji.operators import lookups, search, stats, store
 from hanji.plans import ingest
 from hanji.session import spark_session
 from hanji.sources import hwp
@@ -27,11 +28,24 @@ def arguments() -> argparse.ArgumentParser:
     run.add_argument("--dimension", type=int, default=1024)
     run.add_argument("--exclude-boilerplate-table", action="store_true")
     run.add_argument("--full", action="store_true", help="read unchanged files too")
+    run.add_argument("--file", action="append", help="only this file or folder; may be given more than once")
+    run.add_argument("--batch-size", type=int, default=32)
+    run.add_argument("--model", default="BAAI/bge-m3", help="an allowed name, or a folder with an ONNX model")
+    run.add_argument("--allow-model", action="append", default=[], help="one more allowed name")
+    run.add_argument("--loader", help="module:function that loads a model")
+    run.add_argument("--log-level", default="INFO")
     find = commands.add_parser("search")
     find.add_argument("query")
     find.add_argument("-k", "--top-k", type=int, default=10)
     find.add_argument("--keyword")
+    find.add_argument("--weight", type=float, default=search.DEFAULT_WEIGHT)
+    find.add_argument("--biz-cate", help="only documents of this class (vector search)")
     find.add_argument("--dimension", type=int, default=1024)
+    find.add_argument("--model", default="BAAI/bge-m3")
+    find.add_argument("--allow-model", action="append", default=[])
+    find.add_argument("--loader")
+    show = commands.add_parser("show")
+    show.add_argument("doc_id")
     commands.add_parser("stats")
     images = commands.add_parser("images")
     images.add_argument("-d", "--data", action="append", required=True)
@@ -40,6 +54,11 @@ def arguments() -> argparse.ArgumentParser:
     return parser
 
 
+def model_of(args: argparse.Namespace) -> dict:
+    allowed = (*EngineConfig().allowed_models, *args.allow_model)
+    return {"embedding_model": args.model, "embedding_loader": args.loader, "allowed_models": allowed}
+
+
 def main(argv: list[str] | None = None) -> None:
     args = arguments().parse_args(argv)
     spark = spark_session()
@@ -50,17 +69,24 @@ def main(argv: list[str] | None = None) -> None:
         config = EngineConfig(
             store_root=args.store, data_dirs=tuple(args.data), metadata_doc_list=args.metadata, chunk_size=args.chunk_size,
             chunk_overlap=args.chunk_overlap, embedding_dimension=args.dimension, exclude_boilerplate_table=args.exclude_boilerplate_table,
+            batch_size=args.batch_size, log_level=args.log_level, **model_of(args),
         )
-        ingest.ingest(spark, config, tables, incremental=not args.full).show(truncate=False)
+        logging.basicConfig(level=config.log_level)
+        ingest.ingest(spark, config, tables, incremental=not args.full, paths=args.file).show(truncate=False)
     elif args.command == "search":
         in_range("top-k", args.top_k, 1, search.MAX_TOP_K)
         query = clean_query(args.query)
-        asked = spark.range(1).select(F.lit(query).alias("q")).select(vectors.hash_embedding(args.dimension)("q").alias("v"), keywords.keyword(F.col("q")).alias("k")).first()
+        asked = spark.range(1).select(F.lit(query).alias("q")).select(ingest.embedder(EngineConfig(embedding_dimension=args.dimension, **model_of(args)))("q").alias("v"), keywords.keyword(F.col("q")).alias("k")).first()
         assert asked is not None
-        hits = search.search(tables.read("document_chunks"), tables.read("documents"), search.literal_vector(asked["v"]), args.top_k, keyword=args.keyword or asked["k"])
+        hits = search.search(tables.read("document_chunks"), tables.read("documents"), search.literal_vector(asked["v"]), args.top_k, keyword=None if args.biz_cate else args.keyword or asked["k"], vector_weight=args.weight, filters={"biz_cate": args.biz_cate} if args.biz_cate else None)
         search.preview(hits).show(args.top_k, truncate=False)
     elif args.command == "stats":
         stats.store_stats(tables.read("documents"), tables.read("document_chunks")).show(truncate=False)
+    elif args.command == "show":
+        lookups.document(tables, args.doc_id).show(truncate=False, vertical=True)
+        lookups.permit(tables, args.doc_id).drop("source_text").show(truncate=False, vertical=True)
+        lookups.attachments(tables, args.doc_id).show(truncate=False)
+        search.preview(lookups.chunks(tables, args.doc_id).drop("embedding")).show(truncate=False)
     elif args.command == "images":
         hwp.extract_images(spark, *args.data).write.parquet(args.out)
         stats.status_counts(spark.read.parquet(args.out)).show()

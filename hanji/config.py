@@ -49,6 +49,8 @@ class EngineConfig:
     store_root: str = "store"
     mirror_root: str | None = None
     embedding_model: str = "BAAI/bge-m3"
+    #: `module:function` that gives a function from texts to a matrix.
+    embedding_loader: str | None = None
     embedding_device: str = "cpu"
     embedding_dimension: int = 1024
     chunk_size: int = 1024

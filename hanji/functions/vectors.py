@@ -74,6 +74,26 @@ def model_embedding(load: Callable[[], Callable[[list[str]], np.ndarray]], batch
     return embed
 
 
+def onnx_model(folder: str) -> Callable[[list[str]], np.ndarray]:
+    """A sentence model from a folder with model.onnx and tokenizer.json: the first token's vector."""
+    import onnxruntime
+    from tokenizers import Tokenizer
+
+    session = onnxruntime.InferenceSession(f"{folder}/model.onnx")
+    tokenizer = Tokenizer.from_file(f"{folder}/tokenizer.json")
+    tokenizer.enable_padding()
+    tokenizer.enable_truncation(8192)
+    wanted = {i.name for i in session.get_inputs()}
+
+    def embed(texts: list[str]) -> np.ndarray:
+        found = tokenizer.encode_batch(texts)
+        given = {"input_ids": [e.ids for e in found], "attention_mask": [e.attention_mask for e in found], "token_type_ids": [e.type_ids for e in found]}
+        out = session.run(None, {k: np.array(v, np.int64) for k, v in given.items() if k in wanted})[0]
+        return out[:, 0] if out.ndim == 3 else out
+
+    return embed
+
+
 QUERY_PREFIX = "Represent this sentence for searching relevant passages: "
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -78,14 +78,26 @@ def mirror_chunk(chunks: DataFrame) -> DataFrame:
     return chunks.drop("created_at").withColumn("embedding", F.col("embedding").cast("array<double>"))
 
 
+def mirror_attachment(attachments: DataFrame) -> DataFrame:
+    return attachments.drop("attachment_id", "created_at")
+
+
+def mirror_permit(permits: DataFrame) -> DataFrame:
+    return permits.drop("created_at", "updated_at")
+
+
 def sync_mirror(source: dict[str, DataFrame], target: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The mirror's tables after a full sync: documents are merged, their chunks and attachments replaced (also by
-    nothing). Documents that the source no longer has stay in the mirror."""
+    """The mirror's tables after a full sync: documents are merged, their chunks, attachments and, where the target has
+    that table, permits replaced (also by nothing). Documents that the source no longer has stay in the mirror. Documents
+    come last, so a sync that breaks off is done again by the next."""
     docs = mirror_document(source["documents"])
-    out = {"documents": upsert(target["documents"], docs, "doc_id")}
-    out["document_chunks"] = replace_children(target["document_chunks"], mirror_chunk(source["document_chunks"]), replaced=docs)
-    out["attachments"] = replace_children(target["attachments"], source["attachments"].drop("attachment_id", "created_at"), replaced=docs)
-    return out
+    out = {
+        "document_chunks": replace_children(target["document_chunks"], mirror_chunk(source["document_chunks"]), replaced=docs),
+        "attachments": replace_children(target["attachments"], mirror_attachment(source["attachments"]), replaced=docs),
+    }
+    if "permit_extractions" in target:
+        out["permit_extractions"] = replace_children(target["permit_extractions"], mirror_permit(source["permit_extractions"]), replaced=docs)
+    return out | {"documents": upsert(target["documents"], docs, "doc_id")}
 
 
 def sync_counts(source: dict[str, DataFrame]) -> DataFrame:
@@ -95,36 +107,66 @@ def sync_counts(source: dict[str, DataFrame]) -> DataFrame:
 
 
 class TableStore:
-    """Tables as folders of Parquet versions. A change writes a whole new version beside the one it reads, then names it
-    in the table's CURRENT list, so readers see the old rows or the new ones and a lost executor costs a retry."""
+    """Tables as Parquet folders partitioned by a bucket of the key's hash, so a change rewrites the buckets that it
+    touches and no others, and look-ups by key read one bucket.
+
+    Buckets are replaced by Spark's dynamic partition overwrite: a job writes beside them and puts them in place when all
+    its tasks are done, so a lost executor costs a retry. Rows with a null key mark buckets that may have no others; they
+    are left out on reading. One writer at a time. `buckets` is fixed for a store's life: the more data, the more.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, key: str = "doc_id"):
+        self.spark, self.root, self.buckets, self.key = spark, root.rstrip("/"), buckets, key
 
-    def _pointers(self, name: str) -> str:
-        return f"{self.root}/{name}/CURRENT"
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
-    def _versions(self, name: str) -> DataFrame:
-        return self.spark.read.schema("n long, path string").json(self._pointers(name))
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int").alias("bucket")
 
     def exists(self, name: str) -> bool:
         try:
-            return not self._versions(name).isEmpty()
+            self.spark.read.parquet(self.path(name))
         except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
             return False
+        return True
 
-    def path(self, name: str) -> str:
-        newest = self._versions(name).orderBy(F.desc("n")).first()
-        assert newest is not None
-        return newest["path"]
+    def _stored(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self.path(name))
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return self._stored(name).filter(F.col(self.key).isNotNull()).drop("bucket")
+
+    def lookup(self, name: str, *keys: str) -> DataFrame:
+        """The rows of a few keys, from their buckets only."""
+        wanted = self.spark.createDataFrame([(k,) for k in keys], f"{self.key} string").select(self.bucket()).distinct()
+        buckets = [r["bucket"] for r in wanted.collect()]
+        return self._stored(name).filter(F.col("bucket").isin(buckets) & F.col(self.key).isin(*keys)).drop("bucket")
+
+    def _put(self, name: str, rows: DataFrame, mode: str, dynamic: bool = False) -> None:
+        writer = rows.repartition("bucket").write.mode(mode).partitionBy("bucket")
+        (writer.option("partitionOverwriteMode", "dynamic") if dynamic else writer.option("partitionOverwriteMode", "static")).parquet(self.path(name))
+
+    def _marks(self, rows: DataFrame, buckets: list[int]) -> DataFrame:
+        empty = self.spark.createDataFrame([(b,) for b in buckets], "bucket int")
+        return empty.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema], "bucket")
 
     def write(self, name: str, rows: DataFrame) -> None:
-        version = f"{self.root}/{name}/v-{uuid.uuid4().hex}"
-        rows.write.parquet(version)
-        n = self._versions(name).count() if self.exists(name) else 0
-        self.spark.range(1).select(F.lit(n + 1).cast("long").alias("n"), F.lit(version).alias("path")).coalesce(1).write.mode("append").json(self._pointers(name))
+        """The whole table anew. Not for a table that `rows` reads."""
+        marked = rows.withColumn("bucket", self.bucket()).unionByName(self._marks(rows, [0]))
+        self._put(name, marked, "overwrite")
+
+    def append(self, name: str, rows: DataFrame) -> None:
+        self._put(name, rows.withColumn("bucket", self.bucket()), "append")
+
+    def change(self, name: str, keys: DataFrame, change: Callable[[DataFrame], DataFrame]) -> None:
+        """Replace the stored rows of the keys' buckets by what `change` makes of them. Its rows must stay in these
+        buckets, as all changes by key do."""
+        touched = sorted(r["bucket"] for r in keys.select(self.bucket()).distinct().collect())  # `buckets` numbers at most
+        if not touched:
+            return
+        old = self._stored(name).filter(F.col("bucket").isin(touched) & F.col(self.key).isNotNull()).drop("bucket")
+        new = change(old)
+        self._put(name, new.withColumn("bucket", self.bucket()).unionByName(self._marks(new, touched)), "overwrite", dynamic=True)

@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import datetime
+import importlib
+import logging
+from functools import partial
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +17,8 @@ from hanji.operators import chunking, stats, store
 from hanji.operators.attachments import attachments_of
 from hanji.sources import metadata, odt
 
+log = logging.getLogger(__name__)
+
 DOCUMENT = (
     "doc_id string, doc_no string, title string, author_name string, dept_name string, report_date date, doc_year int, state_code string, state_name string, open_code string, open_name string, "
     "close_reason string, file_hash string, file_path string, biz_cate string, biz_sub_cate string, biz_detail_cate string, biz_full_path string, created_at timestamp_ntz, updated_at timestamp_ntz"
@@ -53,16 +59,39 @@ def document_rows(parsed: DataFrame, meta: DataFrame, now: Column) -> DataFrame:
     return joined.select(*[(own[c] if c in own else F.coalesce(c, F.lit("")) if c in empty else F.col(c)).alias(c) for c in columns])
 
 
-def ingest(spark: SparkSession, config: EngineConfig, tables: store.TableStore, incremental: bool = True) -> DataFrame:
+def embedder(config: EngineConfig):
+    """The embedding function that the settings name: `module:function` gives a loader of one's own, a folder with an ONNX
+    model is loaded there; without either a stand-in drawn from each text's hash, with a warning."""
+    if config.embedding_loader:
+        module, _, name = config.embedding_loader.partition(":")
+        return vectors.model_embedding(getattr(importlib.import_module(module), name), config.batch_size)
+    if Path(config.embedding_model, "model.onnx").exists():
+        return vectors.model_embedding(partial(vectors.onnx_model, config.embedding_model), config.batch_size)
+    log.warning("no model for %s here: vectors are drawn from each text's hash", config.embedding_model)
+    return vectors.hash_embedding(config.embedding_dimension)
+
+
+def known_metadata(spark: SparkSession, path: str, tables: store.TableStore) -> DataFrame:
+    """The spreadsheets' rows, stored; none, with a warning, if they can't be read: documents come in without them."""
+    try:
+        tables.write("metadata", metadata.read_metadata(spark, path))
+    except Exception as error:  # whatever is wrong with the spreadsheets
+        log.warning("metadata left out: %s", type(error).__name__)
+        tables.write("metadata", spark.createDataFrame([], ", ".join(f"{c} string" for c in ("source", *metadata.COLUMNS))))
+    return tables.read("metadata")
+
+
+def ingest(spark: SparkSession, config: EngineConfig, tables: store.TableStore, incremental: bool = True, paths: list[str] | None = None) -> DataFrame:
     """Bring the stored tables up to the files; one row of counters (processed, skipped, failed, total_chunks, excluded).
 
-    The parse is written once, beside the tables, and everything else reads that. Documents without any chunk count as
-    processed but aren't stored. Each table changes by one switch of versions.
+    paths: single files or folders instead of the configured ones. The parse is written once, beside the tables, and
+    everything else reads that. Documents without any chunk count as processed but aren't stored. Only touched buckets are
+    rewritten, documents last: a run that breaks off leaves their old hashes, so the next one does the work again.
     """
     now = F.lit(datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None))
-    files = odt.read_files(spark, *config.data_folders())
-    stored = {name: tables.read(name) for name in TABLES}
-    todo = changed_files(files, stored["documents"]) if incremental else files
+    folders = paths or config.data_folders()
+    files = odt.read_files(spark, *folders)
+    todo = changed_files(files, tables.read("documents")) if incremental else files
     tables.write("parsed", odt.parse_documents(todo))
     parsed = tables.read("parsed")
     fine = parsed.filter(F.col("error").isNull())
@@ -72,42 +101,47 @@ def ingest(spark: SparkSession, config: EngineConfig, tables: store.TableStore,
     head = text.is_boilerplate_table(F.col("text")) & (F.col("chunk_type") == "table") & F.lit(config.exclude_boilerplate_table)
     excluded = pieces.filter(head).groupBy("doc_id").agg(F.count("*").alias("excluded"))
     kept = store.renumber(pieces, ~head).withColumn("chunk_id", text.chunk_id(F.col("doc_id"), F.col("chunk_num")))
-    embedded = kept.select("chunk_id", "doc_id", F.lit(1).alias("page_num"), "chunk_num", "chunk_type", "text", vectors.hash_embedding(config.embedding_dimension)("text").alias("embedding"), now.alias("created_at"))
+    embedded = kept.select("chunk_id", "doc_id", F.lit(1).alias("page_num"), "chunk_num", "chunk_type", "text", embedder(config)("text").alias("embedding"), now.alias("created_at"))
     tables.write("new_chunks", embedded)
     chunks = tables.read("new_chunks")
     counted = chunks.groupBy("doc_id").agg(F.count("*").alias("chunks"))
     kept_docs = fine.join(counted.select("doc_id"), "doc_id", "left_semi")
 
-    meta = metadata.read_metadata(spark, config.metadata_doc_list)
-    documents = document_rows(kept_docs, meta, now)
+    documents = document_rows(kept_docs, known_metadata(spark, config.metadata_doc_list, tables), now)
     fields = permits.extract(kept_docs.select("doc_id", text.marked_text(F.col("sections")).alias("text")))
     permit_rows = fields.select("doc_id", *permits.stored(F.col("permit"))).withColumn("created_at", now).withColumn("updated_at", now)
-    beside = attachments_of(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(config.data_folders()).select("path"))
-    beside = beside.join(kept_docs.select("doc_id"), "doc_id", "left_semi").withColumn("created_at", now)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folders).select("path")
+    beside = attachments_of(listed).join(kept_docs.select("doc_id"), "doc_id", "left_semi").withColumn("created_at", now)
 
-    tables.write("documents", store.upsert(stored["documents"], documents, "doc_id", now))
-    tables.write("permit_extractions", store.upsert(stored["permit_extractions"], permit_rows, "doc_id", now))
-    tables.write("document_chunks", store.replace_children(stored["document_chunks"], chunks))
-    tables.write("attachments", store.replace_children(stored["attachments"], beside))
+    keys = counted.select("doc_id")
+    tables.change("document_chunks", keys, lambda old: store.replace_children(old, chunks))
+    tables.change("attachments", keys, lambda old: store.replace_children(old, beside, replaced=keys))
+    tables.change("permit_extractions", keys, lambda old: store.upsert(old, permit_rows, "doc_id", now))
+    tables.change("documents", keys, lambda old: store.upsert(old, documents, "doc_id", now))
 
     status = F.when(F.col("error").isNull(), "processed").otherwise("failed")
     results = parsed.select("doc_id", status.alias("status")).join(counted, "doc_id", "left").join(excluded, "doc_id", "left").select("status", "chunks", "excluded")
-    skipped = files.select("path").join(todo.select("path"), "path", "left_anti").select(F.lit("skipped").alias("status"), F.lit(0).cast("long").alias("chunks"), F.lit(0).cast("long").alias("excluded"))
+    # What was not parsed was skipped; the names of the files are enough to know, and listing them reads none.
+    names = listed.filter(F.lower("path").endswith(".odt")).select("path")
+    skipped = names.join(parsed.select(F.col("file_path").alias("path")), "path", "left_anti").select(F.lit("skipped").alias("status"), F.lit(0).cast("long").alias("chunks"), F.lit(0).cast("long").alias("excluded"))
     return stats.run_counters(results.unionByName(skipped))
 
 
 def sync_to_mirror(source: store.TableStore, mirror: store.TableStore) -> DataFrame:
-    """Copy the managed tables; (table, n) of what was copied."""
-    tables = {name: source.read(name) for name in store.MANAGED_MIRROR_TABLES}
-    target = {name: mirror.read(name) for name in store.MANAGED_MIRROR_TABLES}
-    for name, rows in store.sync_mirror(tables, target).items():
-        mirror.write(name, rows)
+    """Copy the managed tables, and permits if the mirror has such a table; (table, n) of what the managed ones carry."""
+    names = [*store.MANAGED_MIRROR_TABLES, *(["permit_extractions"] if mirror.exists("permit_extractions") else [])]
+    tables = {name: source.read(name) for name in names}
+    keys = tables["documents"].select("doc_id")
+    for name in [*[n for n in names if n != "documents"], "documents"]:
+        mirror.change(name, keys, lambda old, name=name: store.sync_mirror(tables, {n: old if n == name else mirror.read(n) for n in names})[name])
     return store.sync_counts(tables)
 
 
-def create_mirror(mirror: store.TableStore) -> None:
+def create_mirror(mirror: store.TableStore, permits_too: bool = False) -> None:
     spark = mirror.spark
-    empty = {name: spark.createDataFrame([], TABLES[name]) for name in store.MANAGED_MIRROR_TABLES}
+    empty = {name: spark.createDataFrame([], TABLES[name]) for name in TABLES}
     mirror.write("documents", store.mirror_document(empty["documents"]))
     mirror.write("document_chunks", store.mirror_chunk(empty["document_chunks"]))
-    mirror.write("attachments", empty["attachments"].drop("created_at"))
+    mirror.write("attachments", store.mirror_attachment(empty["attachments"]))
+    if permits_too:
+        mirror.write("permit_extractions", store.mirror_permit(empty["permit_extractions"]))

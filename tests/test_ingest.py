@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hanji.config import EngineConfig
-from hanji.operators import search, stats, store
+from hanji.operators import lookups, search, stats, store
 from hanji.plans import ingest
 
 from .test_sources import odt_bytes, table
@@ -27,7 +27,7 @@ def corpus(tmp_path_factory):
 
 
 def test_ingest_twice_search_and_sync(spark, corpus, tmp_path):
-    tables = store.TableStore(spark, str(tmp_path / "store"))
+    tables = store.TableStore(spark, str(tmp_path / "store"), buckets=4)
     ingest.create_tables(tables)
     config = EngineConfig(data_dirs=(str(corpus / "data"),), metadata_doc_list=str(corpus / "meta"), embedding_dimension=8)
     first = ingest.ingest(spark, config, tables).first()
@@ -48,7 +48,7 @@ def test_ingest_twice_search_and_sync(spark, corpus, tmp_path):
     assert (hit["doc_id"], hit["title"], hit["search_mode"]) == ("DCT0", "문서", "hybrid")
     assert stats.store_stats(tables.read("documents"), chunks).first()["chunk_types"] == {"text": 2, "table": 1}
 
-    mirror = store.TableStore(spark, str(tmp_path / "mirror"))
+    mirror = store.TableStore(spark, str(tmp_path / "mirror"), buckets=4)
     ingest.create_mirror(mirror)
     for _ in range(2):
         counts = {r["table"]: r["n"] for r in ingest.sync_to_mirror(tables, mirror).collect()}
@@ -56,6 +56,42 @@ def test_ingest_twice_search_and_sync(spark, corpus, tmp_path):
         assert mirror.read("document_chunks").agg(F.max(F.size("embedding")), F.count("*")).first() == (8, 3)
 
 
+def fixed_model():
+    import numpy as np
+
+    return lambda texts: np.array([[1.0, float(len(t))] for t in texts])
+
+
+def test_a_run_that_breaks_off_is_made_up_for(spark, corpus, tmp_path, monkeypatch):
+    """Chunks are there, documents aren't; metadata can't be read; the model is one's own; lookups by document."""
+    tables = store.TableStore(spark, str(tmp_path / "store"), buckets=4)
+    ingest.create_tables(tables)
+    config = EngineConfig(data_dirs=(str(corpus / "data"),), metadata_doc_list=str(corpus / "nowhere"), embedding_loader="tests.test_ingest:fixed_model")
+    change = tables.change
+
+    def breaks(name, keys, how):
+        if name == "documents":
+            raise OSError("lost")
+        change(name, keys, how)
+
+    monkeypatch.setattr(tables, "change", breaks)
+    with pytest.raises(OSError):
+        ingest.ingest(spark, config, tables)
+    assert tables.read("documents").isEmpty() and tables.read("document_chunks").count() == 3
+    monkeypatch.setattr(tables, "change", change)
+    again = ingest.ingest(spark, config, tables).first()
+    assert (again["processed"], again["skipped"], again["total_chunks"]) == (3, 0, 3)
+    assert tables.read("document_chunks").count() == 3 and lookups.exists(tables, "DCT0") and not lookups.exists(tables, "DCT7")
+    assert lookups.document(tables, "DCT0").first()["biz_cate"] == ""
+    found = lookups.chunks(tables, "DCT0").collect()
+    assert [r["chunk_num"] for r in found] == [0, 1] and len(found[0]["embedding"]) == 2
+    assert [r["file_order"] for r in lookups.attachments(tables, "DCT0").collect()] == [0]
+    assert lookups.permit(tables, "DCT0").first()["ask_org_nm"] == "한빛건설" and lookups.documents(tables, ["DCT0", "DCT1"]).count() == 2
+    one = str(corpus / "data" / "2024" / "DCT1")
+    alone = ingest.ingest(spark, config, tables, incremental=False, paths=[one]).first()
+    assert (alone["processed"], alone["skipped"], alone["failed"]) == (1, 0, 0) and tables.read("documents").count() == 2
+
+
 def test_command_line_on_an_empty_store(spark, tmp_path, capsys):
     from hanji.__main__ import main
 
@@ -64,6 +100,7 @@ def test_command_line_on_an_empty_store(spark, tmp_path, capsys):
     main([*own, "search", "영도구 점용", "-k", "2", "--dimension", "8"])
     for _ in range(2):
         main([*own, "sync-to-mirror", "--mirror", str(tmp_path / "mirror")])
+    main([*own, "show", "DCT0"])
     main([*own, "stats"])
     assert "document_count" in capsys.readouterr().out
     with pytest.raises(SystemExit):

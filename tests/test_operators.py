@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import glob
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,12 +99,25 @@ def test_mirror_sync_is_idempotent_and_keeps_vanished_documents(spark):
         assert sorted(map(str, df.collect())) == sorted(map(str, twice[name].collect()))
 
 
-def test_table_store_swaps_versions(spark, tmp_path):
-    tables = store.TableStore(spark, str(tmp_path))
-    tables.write("documents", spark.range(3))
-    first = tables.read("documents")
-    tables.write("documents", first.filter("id > 0"))
-    assert (first.count(), tables.read("documents").count()) == (3, 2)
+def test_table_store_rewrites_only_touched_buckets(spark, tmp_path):
+    tables = store.TableStore(spark, str(tmp_path), buckets=8)
+    assert not tables.exists("t")
+    df = spark.createDataFrame([(str(k), k) for k in range(40)], "doc_id string, v int")
+    tables.write("t", df)
+    assert tables.exists("t") and rows(tables.read("t")) == rows(df)
+    before = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{tmp_path}/t/bucket=*/*.parquet")}
+    new = spark.createDataFrame([("7", -7), ("99", 99)], df.schema)
+    tables.change("t", new, lambda old: store.upsert(old, new, "doc_id"))
+    assert rows(tables.read("t")) == sorted([r for r in rows(df) if r[0] != "7"] + rows(new))
+    kept = [f for f in before if os.path.exists(f) and os.stat(f).st_mtime_ns == before[f]]
+    assert len({f.rsplit("/", 2)[1] for f in kept}) >= 6
+    gone = tables.read("t").select("doc_id")
+    tables.change("t", gone, lambda old: store.delete({"t": old}, gone)["t"])  # buckets become empty
+    assert tables.read("t").count() == 0
+    tables.append("t", new)
+    assert rows(tables.lookup("t", "99")) == [("99", 99)] and tables.lookup("t", "1").isEmpty()
+    tables.change("t", new.limit(0), lambda old: old.limit(0))
+    assert tables.read("t").count() == 2
 
 
 def plain_pack(text: str, size: int) -> list[str]:
