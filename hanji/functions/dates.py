@@ -21,9 +21,11 @@ def make_date(year: Column, month: Column, day: Column) -> Column:
 
 
 def first_match(text: Column, pattern: str) -> Column:
-    """The date of a pattern's first match, null if that isn't one."""
-    part = lambda n: F.nullif(F.regexp_extract(text, pattern, n), F.lit(""))
-    return F.when(part(1).isNotNull(), make_date(part(1), part(2), part(3)))
+    """The date of a pattern's first match, null if that isn't one. The text is searched once; the match's numbers are the
+    date's parts."""
+    numbers = lambda m: F.regexp_extract_all(m, F.lit(r"\d+"), F.lit(0))
+    date = lambda xs: make_date(F.get(xs, F.lit(0)), F.get(xs, F.lit(1)), F.get(xs, F.lit(2)))
+    return let(F.regexp_extract(text, pattern, 0), lambda m: F.when(m != "", let(numbers(m), date)))
 
 
 def parse_date(text: Column) -> Column:

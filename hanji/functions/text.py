@@ -108,10 +108,13 @@ def chunk_id(doc_id: Column, number: Column) -> Column:
     return F.format_string("CH-%s-%03d", F.substring(doc_id, 1, 16), number)
 
 
-def token_estimate(text: Column) -> Column:
+def estimate_of(length: Column, hangul: Column) -> Column:
     """1.5 for each Hangul syllable and 0.25 for each other character, truncated."""
-    hangul = F.length(text) - F.length(F.regexp_replace(text, "[가-힣]", ""))
-    return F.floor(hangul * 1.5 + (F.length(text) - hangul) * 0.25).cast("int")
+    return F.floor(hangul * 1.5 + (length - hangul) * 0.25).cast("int")
+
+
+def token_estimate(text: Column) -> Column:
+    return estimate_of(F.length(text), F.length(text) - F.length(F.regexp_replace(text, "[가-힣]", "")))
 
 
 def contains_ignoring_case(text: Column, keyword: str) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hanji.functions import text
+from hanji.functions.text import let
 
 CHUNK_SIZE, CHUNK_OVERLAP = 1024, 128
 # Separators of the recursive splitter, tried in this order.
@@ -16,22 +17,30 @@ SEPARATORS = ("\n\n\n", "\n\n", "\n", "다.", "요.", "니다.", ". ", ".", " ",
 SENTENCE_END = r"(?<=[.!?다요])(?U)\s+"
 
 
-def _pack(pieces: Column, joint: str, size: int, split: Callable[[Column], Column] | None = None) -> Column:
-    """Greedy packing of an array of strings: (done, open), a piece joining the open chunk while their estimate fits."""
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
+def _item(piece: Column, alone: bool) -> Column:
+    """A piece with its length, its number of Hangul syllables, and whether it begins a chunk whatever fits."""
+    hangul = F.length(piece) - F.length(F.regexp_replace(piece, "[가-힣]", ""))
+    return F.struct(piece.alias("text"), F.length(piece).alias("n"), hangul.alias("hangul"), F.lit(alone).alias("alone"))
 
-    def add(acc: Column, piece: Column) -> Column:
-        longer = F.when(acc["open"] == "", piece).otherwise(F.concat(acc["open"], F.lit(joint), piece))
-        fits = text.token_estimate(longer) <= size
-        closed = F.when(acc["open"] == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["open"])))
-        alone = F.struct(closed.alias("done"), piece.alias("open"))
-        if split is not None:
-            parts = split(piece)
-            many = F.struct(F.concat(closed, F.slice(parts, F.lit(1), F.size(parts) - 1)).alias("done"), F.try_element_at(parts, F.lit(-1)).alias("open"))
-            alone = F.when(text.token_estimate(piece) > size, many).otherwise(alone)
-        return F.when(fits, F.struct(acc["done"].alias("done"), longer.alias("open"))).otherwise(alone)
 
-    return F.aggregate(pieces, start, add, lambda acc: F.when(acc["open"] == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["open"]))))
+def _pack(items: Column, joint: str, size: int) -> Column:
+    """Greedy packing of _items: one joins the open chunk while their estimate fits. Only lengths and places are carried
+    along; each chunk's text is joined once."""
+    start = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(0).alias("k"), F.lit(0).alias("n"), F.lit(0).alias("hangul"))
+
+    def add(acc: Column, item: Column) -> Column:
+        n, hangul = acc["n"] + len(joint) + item["n"], acc["hangul"] + item["hangul"]
+        fits = (acc["k"] > 0) & ~item["alone"] & (text.estimate_of(n, hangul) <= size)
+        return F.struct(
+            F.when(fits, acc["starts"]).otherwise(F.concat(acc["starts"], F.array(acc["k"] + 1))).alias("starts"), (acc["k"] + 1).alias("k"),
+            F.when(fits, n).otherwise(item["n"]).alias("n"), F.when(fits, hangul).otherwise(item["hangul"]).alias("hangul"),
+        )
+
+    def chunks(v: Column) -> Column:
+        upto = lambda k: F.coalesce(F.get(v["starts"], k + 1), F.size(v["items"]) + 1)
+        return F.transform(v["starts"], lambda at, k: F.array_join(F.slice(v["items"]["text"], at, upto(k) - at), joint))
+
+    return let(items, lambda xs: let(F.struct(xs.alias("items"), F.aggregate(xs, start, add)["starts"].alias("starts")), chunks))
 
 
 def _filled(parts: Column) -> Column:
@@ -40,13 +49,16 @@ def _filled(parts: Column) -> Column:
 
 def split_sentences(x: Column, size: int = CHUNK_SIZE) -> Column:
     """Sentences packed up to `size` estimated tokens; a longer sentence is a chunk of its own."""
-    return _pack(_filled(F.split(x, SENTENCE_END)), " ", size)
+    return _pack(F.transform(_filled(F.split(x, SENTENCE_END)), lambda p: _item(p, False)), " ", size)
 
 
 def split_paragraphs(x: Column, size: int = CHUNK_SIZE) -> Column:
     """Paragraphs packed up to `size` estimated tokens; a longer one is split into sentences, the last of which stays
     open for what follows. Built-in functions only."""
-    return _pack(_filled(F.split(x, "\n\n")), "\n\n", size, lambda p: split_sentences(p, size))
+    whole = lambda p: F.array(_item(p, False))
+    parted = lambda p: F.transform(split_sentences(p, size), lambda part: _item(part, True))
+    items = F.transform(_filled(F.split(x, "\n\n")), lambda p: F.when(text.token_estimate(p) > size, parted(p)).otherwise(whole(p)))
+    return _pack(F.flatten(items), "\n\n", size)
 
 
 def estimate(x: str) -> int:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hanji.functions import dates, metadata, permits, text, vectors
+from hanji.functions import dates, metadata, names, permits, text, vectors
 from hanji.operators import attachments, chunking, search, stats, store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,9 +107,11 @@ def preview_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- counts ---------------------------------------------------------------------------------------------------------
 
 
-@query("SELECT lang, source, count(*) AS n, sum(n_chars)::BIGINT AS characters FROM documents GROUP BY ALL")
+@query("SELECT (SELECT count(*) FROM documents) AS document_count, (SELECT count(*) FROM conversations) AS chunk_count, role AS chunk_type, count(*) AS n FROM conversations GROUP BY role")
 def store_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").groupBy("lang", "source").agg(F.count("*").alias("n"), F.sum("n_chars").alias("characters"))
+    turns = table(spark, sf_dir, "conversations").select(F.col("role").alias("chunk_type"), F.col("conv_id").alias("chunk_id"))
+    counted = stats.store_stats(table(spark, sf_dir, "documents"), turns)
+    return counted.select("document_count", "chunk_count", F.explode("chunk_types").alias("chunk_type", "n"))
 
 
 @query(
@@ -209,14 +211,12 @@ META_IDS = "(SELECT doc_id FROM labels UNION ALL SELECT page_id + 1000000000000
 
 @query(f"SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM {META_IDS}")
 def ids_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data, meta = both_ids(spark, sf_dir)
-    return data.intersect(meta)
+    return store.id_report(*both_ids(spark, sf_dir)).filter(F.col("status") == "matched").select("doc_id")
 
 
 @query(f"SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM {META_IDS}")
 def ids_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data, meta = both_ids(spark, sf_dir)
-    return data.subtract(meta)
+    return store.id_report(*both_ids(spark, sf_dir)).filter(F.col("status") == "missing_in_metadata").select("doc_id")
 
 
 @query(
@@ -401,11 +401,13 @@ def html_paragraph_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.size(F.regexp_extract_all("html", F.lit("<li>"), F.lit(0))).alias("items"))
 
 
-@query("SELECT conv_id, turn, lead(length(text), 1) OVER w AS next_size, lead(length(text), 2) OVER w AS second_size FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)")
+@query(
+    "SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN '홍길동, 김철수' WHEN 1 THEN '박영희' END AS author FROM supplier"
+)
 def lookahead_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    size = F.length("text").cast("long")
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.lead(size, 1).over(w).alias("next_size"), F.lead(size, 2).over(w).alias("second_size"))
+    """Names in the two rows after an approval row, else in the row itself; none after a row of receivers."""
+    rows = F.expr("CASE s_suppkey % 3 WHEN 0 THEN array('수신자 이몽룡', '주무관 과장 전결', '', '홍길동 | 김철수과장') WHEN 1 THEN array('결재 박영희', '', '제목') ELSE array('수신자 성춘향', '', '홍길동') END")
+    return table(spark, sf_dir, "supplier").select("s_suppkey", names.from_tables(F.array(rows)).alias("author"))
 
 
 # --- dates, amounts, labelled lines ---------------------------------------------------------------------------------
@@ -469,17 +471,36 @@ def known_org_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select("s_suppkey", permits.known_agency(seen).alias("agency"))
 
 
-@query()
+@query(
+    f"SELECT o_orderkey, NULL::VARCHAR AS org_nm, o_orderpriority AS ask_org_nm, NULL::VARCHAR AS addr, NULL::VARCHAR AS xtn, NULL::VARCHAR AS purps_cn, {MONEY} || '㎥' AS collection_volume, "
+    f"NULL::DATE AS permit_start_date, NULL::DATE AS permit_end_date, {MONEY} || '원' AS amount, 0.333::DOUBLE AS confidence FROM orders"
+)
 def permit_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All fields of the notices made from orders; fields are tested one by one and against fixtures."""
+    """All fields of the notices made from orders; every shape of notice is tested against fixtures."""
     notices = table(spark, sf_dir, "orders").select("o_orderkey", order_text().alias("text"))
     return permits.extract(notices).select("o_orderkey", *permits.stored(F.col("permit"))).drop("source_text")
 
 
-@query("SELECT p_partkey, list_sort(list_slice(list_distinct(list_filter(string_split(p_name, ' '), lambda w: length(w) > 3)), 1, 5)) AS words FROM part")
+@query(
+    "SELECT c_custkey, CASE c_custkey % 3 WHEN 2 THEN NULL ELSE c_name END AS ask_org_nm, CASE c_custkey % 3 WHEN 2 THEN '통영시 산양읍 ' || c_nationkey || '번지 지선' ELSE '군산시 옥도면 ' || c_nationkey || '번지 지선' END AS addr, "
+    "CASE c_custkey % 3 WHEN 2 THEN NULL ELSE c_custkey || '㎡' END AS xtn, '부두 축조 공사' AS purps_cn, CASE c_custkey % 3 WHEN 0 THEN DATE '2020-03-01' END AS permit_start_date, CASE c_custkey % 3 WHEN 0 THEN DATE '2021-02-28' END AS permit_end_date FROM customer"
+)
+def permit_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A flattened table, a Markdown table in one line, and a sentence with a quoted purpose."""
+    notice = F.expr(
+        "CASE c_custkey % 3 WHEN 0 THEN concat('신청인위 치목 적면 적허가 기간', c_name, '군산시 옥도면 ', c_nationkey, '번지 지선 부두 축조 공사 ', c_custkey, '㎡2020.3.1.~2021.2.28.') "
+        "WHEN 1 THEN concat('[TABLE_START] | 신청인 | 위치 | 면적(㎡) | 목적 | --- | --- | --- | --- | ', c_name, ' | 군산시 옥도면 ', c_nationkey, '번지 지선 | ', c_custkey, ' | 부두 축조 공사 | [TABLE_END]') "
+        "ELSE concat('귀하께서 통영시 산양읍 ', c_nationkey, '번지 지선에 “부두 축조 공사”를 위한 점용 신청') END"
+    )
+    found = permits.extract(table(spark, sf_dir, "customer").select("c_custkey", notice.alias("text")))
+    return found.select("c_custkey", *permits.stored(F.col("permit"))).select("c_custkey", "ask_org_nm", "addr", "xtn", "purps_cn", "permit_start_date", "permit_end_date")
+
+
+@query("SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN ['홍길동', '김철수'] WHEN 1 THEN ['박영희'] ELSE [] END AS names FROM supplier")
 def name_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = F.array_distinct(F.filter(F.split("p_name", " "), lambda w: F.length(w) > 3))
-    return table(spark, sf_dir, "part").select("p_partkey", F.array_sort(F.slice(words, 1, 5)).alias("words"))
+    """Names among titles, words that are none, and repeats."""
+    row = F.expr("CASE s_suppkey % 3 WHEN 0 THEN '주무관 홍길동 | 김철수과장, 홍길동(대리)' WHEN 1 THEN '결재:박영희/행정사무관' ELSE '해양수산부 장관 귀하' END")
+    return table(spark, sf_dir, "supplier").select("s_suppkey", names.names_in(row).alias("names"))
 
 
 # --- attachments ----------------------------------------------------------------------------------------------------
@@ -500,16 +521,26 @@ def attachment_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attachments.attachments_of(listing(spark, sf_dir)).select("doc_id", "file_name", "file_order", "is_main_pdf")
 
 
-@query("SELECT o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)")
+@query("SELECT 'DCT' || s_suppkey AS doc_id, '010_plan.hwp' AS file_name FROM supplier")
 def sibling_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    owing = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("o_custkey"))
-    return table(spark, sf_dir, "orders").join(owing, "o_custkey", "left_anti").select("o_orderkey")
+    """Attachments that are left out because a .pdf has their stem."""
+    files = listing(spark, sf_dir)
+    left_out = files.join(attachments.attachments_of(files).select(F.col("file_path").alias("path")), "path", "left_anti").filter(F.col("path").endswith(".hwp"))
+    return left_out.select(F.element_at(F.split("path", "/"), -2).alias("doc_id"), text.basename(F.col("path")).alias("file_name"))
+
+
+# Beginnings of image files, and of files that only claim to be such.
+IMAGES = (
+    ("a.PNG", "89504E470D0A1A0A00", True), ("b.jpeg", "FFD8FF00", True), ("c.jpg", "89504E47", False), ("d.bmp", "424D01", True), ("e.gif", "474946383961", True),
+    ("f.gif", "474946383861", False), ("g.tif", "49492A00", True), ("h.tiff", "4D4D002A", True), ("i.wmf", "D7CDC69A", True), ("j.emf", "01000000", False), ("k.png", "", False),
+)
 
 
-@query("SELECT r_regionkey, r_regionkey % 2 = 0 AS is_image FROM region")
+@query(f"SELECT r_regionkey, name, is_image FROM region, (VALUES {', '.join(f"('{n}', {ok})" for n, _, ok in IMAGES)}) v(name, is_image)")
 def magic_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data = F.when(F.col("r_regionkey") % 2 == 0, F.unhex(F.lit("89504E470D0A1A0A00"))).otherwise(F.unhex(F.lit("FFD8FF00")))
-    return table(spark, sf_dir, "region").select("r_regionkey", text.looks_like_image(F.lit("BIN0001.PNG"), data).alias("is_image"))
+    files = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(h).alias("head")) for n, h, _ in IMAGES])).alias("file")
+    rows = table(spark, sf_dir, "region").select("r_regionkey", files)
+    return rows.select("r_regionkey", "file.name", text.looks_like_image(F.col("file.name"), F.unhex("file.head")).alias("is_image"))
 
 
 @query("SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY event_type")
