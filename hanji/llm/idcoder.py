@@ -155,21 +155,27 @@ class Model:
         self.q1, self.q2 = self.hit.take(self.h1), self.hit.take(self.h2)
         self.s0, self.s1, self.s2 = self.prior.odds.take(guess), _STRETCH.take(self.q1 >> 4), _STRETCH.take(self.q2 >> 4)
         w = self.weight
-        dot = (w[0, :n] * self.s0 >> 16) + (w[1, :n] * self.s1 >> 16) + (w[2, :n] * self.s2 >> 16)
-        self.p = _SQUASH.take(dot + 2048, mode="clip")
+        dot = w[0, :n] * self.s0
+        dot += w[1, :n] * self.s1
+        dot += w[2, :n] * self.s2
+        dot >>= 16
+        dot += 2048
+        self.p = _SQUASH.take(dot, mode="clip")
         return guess, self.p
 
     def learn(self, t: int, n: int, right: np.ndarray, ids: np.ndarray) -> None:
         whole = right.astype(np.int32)
-        target = whole * 65535
-        self.hit[self.h1] = self.q1 + (target - self.q1 >> 4)
-        self.hit[self.h2] = self.q2 + (target - self.q2 >> 4)
-        if t % 2 == 0:  # the weights learn from every other id
+        # Weights and chances learn in turn, each from every other id.
+        if t % 2 == 0:
             miss = (whole << BITS) - self.p
             for k, s in enumerate((self.s0, self.s1, self.s2)):
                 self.weight[k, :n] += s * miss >> 10
-            if t % 32 == 0:  # so often that the products above stay within 32 bits
-                np.clip(self.weight, 0, 1 << 18, out=self.weight)
+            if t % 32 == 0:  # so often that three products of weight and chance stay within 32 bits
+                np.clip(self.weight, 0, 1 << 17, out=self.weight)
+        else:
+            target = whole * 65535
+            self.hit[self.h1] = self.q1 + (target - self.q1 >> 4)
+            self.hit[self.h2] = self.q2 + (target - self.q2 >> 4)
         then = _NEXT.take((self.n2 << 1) + (self.i2 == ids))
         self.table[self.at2] = np.where(then, then | self.i2, ids | 1 << 16)
         self.last[1, :n] = self.last[0, :n]

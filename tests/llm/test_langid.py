@@ -81,3 +81,46 @@ def test_at_most_so_many_languages(spark, monkeypatch):
     rows = [(k, text, lang) for k, (text, lang) in enumerate([("the water", "en")] * 9 + [("das wasser", "de")] * 9 + [("le château", "fr")] * 4)]
     got = langid.identify_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
     assert {r.lang_pred for r in got} == {"de", "en"}
+
+
+def brute(rows, languages, code):
+    """The method written out, gram by gram with dictionaries: doc_id -> (language, score)."""
+    import math
+    import re
+    from collections import Counter
+
+    def grams(text):
+        text = " " + " ".join(re.findall(r"[^\W\d_]+", text.lower())) + " "
+        return Counter(int(langid.gram_buckets(text[k : k + n])[-1]) for n in (1, 2, 3) for k in range(len(text) - n + 1))
+
+    counts = {x: Counter() for x in languages}
+    for doc_id, text, lang in rows:
+        if zlib.crc32(str(doc_id).encode()) % 4 != 2:
+            counts[lang].update(grams(text))
+    totals = {x: sum(counts[x].values()) + 0.5 * langid.BUCKETS for x in languages}
+    share = lambda x, g: (counts[x][g] + 0.5) / totals[x]
+    out = {}
+    for doc_id, text, _ in rows:
+        own = grams(text)
+        margins = []
+        for bit in range(len(code[0])):
+            yes = [x for k, x in enumerate(languages) if code[k][bit] > 0]
+            no = [x for k, x in enumerate(languages) if code[k][bit] < 0]
+            total = sum(n * math.log(sum(share(x, g) for x in yes) / len(yes) / (sum(share(x, g) for x in no) / len(no))) for g, n in own.items())
+            margins.append(max(-20, min(20, 6 * total / sum(own.values()))))
+        sure = sum(map(abs, margins))
+        loss = [sum(abs(m) / sure * math.exp(-code[k][b] * m / 2) for b, m in enumerate(margins)) for k in range(len(languages))]
+        best = min(range(len(languages)), key=lambda k: loss[k])
+        out[doc_id] = languages[best], 1 / sum(math.exp(loss[best] - x) for x in loss)
+    return out
+
+
+def test_against_brute_force(spark):
+    import pytest
+
+    rows, df = made(spark, 90)
+    languages = sorted(WORDS)
+    want = brute(rows, languages, langid.codewords(3).tolist())
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify_languages(df).collect()}
+    assert {k: x for k, (x, _) in got.items()} == {k: x for k, (x, _) in want.items()}
+    assert all(got[k][1] == pytest.approx(want[k][1], abs=1e-3) for k in want)
