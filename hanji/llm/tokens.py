@@ -25,6 +25,8 @@ UNEVEN = re.compile(r"\s\s|[^\S \n]|\x00|\A\s|\s\Z")
 PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTE_NAMES = {b: b if b in PRINTABLE else 256 + sum(x not in PRINTABLE for x in range(b)) for b in range(256)}
 
+SPACE_NAME = chr(BYTE_NAMES[32])
+
 
 class PieceEncoder:
     """Texts -> ids. kind `word`: the tokenizer drops white space, texts are cut at space and line feed; kind `byte`:
@@ -89,8 +91,11 @@ class PieceEncoder:
     def word(self, key: str) -> bytes:
         """One word of Latin letters, given to the model as the tokenizer's own first steps would: they never cut
         between letters."""
-        seen = " " + key if self.kind == "byte" and key[0] != "\n" else key.lstrip("\n")
-        seen = (seen if self.kind == "byte" else seen.lower()).encode().decode("latin-1").translate(BYTE_NAMES)
+        if key.isascii() and key[0] != "\n":  # these letters name themselves
+            seen = SPACE_NAME + key if self.kind == "byte" else key.lower()
+        else:
+            seen = " " + key if self.kind == "byte" and key[0] != "\n" else key.lstrip("\n")
+            seen = (seen if self.kind == "byte" else seen.lower()).encode().decode("latin-1").translate(BYTE_NAMES)
         ids = array(self.dtype.char, [t.id for t in self.model.tokenize(seen)]).tobytes()
         return self.line_feed + ids if key[0] == "\n" else ids
 
@@ -127,7 +132,7 @@ class PieceEncoder:
         self.known.update({k: self.older[k] for k in seen})
         self.learn(new - seen)
         known = _Both(self.known, dict(zip(long, self.raw([self.piece(k) for k in long]), strict=True))) if long else self.known
-        return [np.frombuffer(b"".join([known[k] for k in c]), self.dtype) for c in cut]
+        return [np.frombuffer(b"".join(map(known.__getitem__, c)), self.dtype) for c in cut]
 
 
 class _Both:
