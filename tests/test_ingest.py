@@ -49,11 +49,12 @@ def test_ingest_twice_search_and_sync(spark, corpus, tmp_path):
     assert stats.store_stats(tables.read("documents"), chunks).first()["chunk_types"] == {"text": 2, "table": 1}
 
     mirror = store.TableStore(spark, str(tmp_path / "mirror"), buckets=4)
-    ingest.create_mirror(mirror)
+    ingest.create_mirror(mirror, permits_too=True)
     for _ in range(2):
         counts = {r["table"]: r["n"] for r in ingest.sync_to_mirror(tables, mirror).collect()}
         assert counts == {"documents": 2, "document_chunks": 3, "attachments": 2}
         assert mirror.read("document_chunks").agg(F.max(F.size("embedding")), F.count("*")).first() == (8, 3)
+        assert mirror.read("permit_extractions").count() == 2 and "created_at" not in mirror.read("permit_extractions").columns
 
 
 def fixed_model():
