@@ -116,6 +116,12 @@ def _images(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.binary(), pa.binary(), pa.string()), strict=True)], ["path", "filename", "raw", "inflated", "error"])
 
 
+def list_files(spark: SparkSession, *roots: str) -> DataFrame:
+    """path and length of all .hwp and .hwpx files below the roots, whatever the suffix's case. Reads none of them."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(roots)).select("path", "length")
+    return files.filter(F.lower("path").rlike(r"\.hwpx?$"))
+
+
 def extract_images(spark: SparkSession, *roots: str) -> DataFrame:
     """source_path, filename, payload, status (extracted, no_images or failed), message: an image as it is stored if it
     begins as its suffix says, else inflated if that does."""

@@ -130,3 +130,11 @@ def test_stream_gives_what_the_batch_gives(spark, tmp_path):
     for _ in range(2):  # the second run finds nothing new
         ingest.follow_files(spark, source, "id long", apply, str(tmp_path / "state")).awaitTermination()
     assert sorted(r["twice"] for r in spark.read.parquet(out).collect()) == [2 * x for x in range(10)]
+
+
+def test_hwp_files_are_listed(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    for name in ("a/x.HWP", "y.hwpx", "z.hwpy", "hwp"):
+        (tmp_path / name).write_bytes(b"12")
+    got = sorted((r["path"].rsplit("/", 1)[-1], r["length"]) for r in hwp.list_files(spark, str(tmp_path)).collect())
+    assert got == [("x.HWP", 2), ("y.hwpx", 2)]
