@@ -31,6 +31,18 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folders[app]
 
 
+def staging_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/hanji-staged/{spark.sparkContext.applicationId}"
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Remove what this application has staged. For the end of a job: results that are read from staged tables must have
+    been written by then."""
+    assert spark.sparkContext._jvm is not None
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staging_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back.
 
@@ -38,7 +50,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     Spark the true size of small tables, by which it decides whether to broadcast them.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/hanji-staged/{uuid.uuid4().hex}-{label}"
+    path = f"{staging_folder(spark)}/{uuid.uuid4().hex}-{label}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

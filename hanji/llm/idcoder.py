@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import shared_folder
+from .common import staging_folder
 
 #: The id that ends a document; ids in a block; ids after which a segment ends with its document; ids that there can be.
 END, BLOCK_IDS, SEGMENT_IDS, IDS = 2, 2048, 1 << 23, 1 << 16
@@ -420,6 +420,6 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """write_ids to a new folder of the shared one, then read_ids. No rows give no rows; other columns are ignored."""
-    folder = f"{shared_folder(docs.sparkSession)}/hanji-ids/{uuid.uuid4().hex}"
+    folder = f"{staging_folder(docs.sparkSession)}/{uuid.uuid4().hex}-ids"
     write_ids(docs, tokenizer_path, folder)
     return read_ids(docs.sparkSession, folder)
