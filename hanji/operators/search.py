@@ -70,11 +70,13 @@ def hybrid_search(
 def with_metadata(hits: DataFrame, documents: DataFrame, columns: list[str], key: str = "doc_id") -> DataFrame:
     """Metadata for the few hits, joined after the limit; null where a document is unknown.
 
-    The hits are at most MAX_TOP_K rows, so their keys are broadcast to find their documents in one pass without a
-    shuffle, and those few rows are broadcast in turn to the hits.
+    The hits are a top-k of at most MAX_TOP_K rows. They are needed twice, so they are found once, here, and held as a
+    local table: its keys are broadcast to find their documents in one pass without a shuffle, and those few rows are
+    broadcast in turn to the hits.
     """
-    found = documents.select(key, *columns).join(F.broadcast(hits.select(key).distinct()), key)
-    return hits.join(F.broadcast(found), key, "left")
+    few = hits.sparkSession.createDataFrame(hits.collect(), hits.schema)
+    found = documents.select(key, *columns).join(F.broadcast(few.select(key).distinct()), key)
+    return few.join(F.broadcast(found), key, "left")
 
 
 def search(chunks: DataFrame, documents: DataFrame, query: Column, top_k: int = 10, keyword: str | None = None, vector_weight: float = DEFAULT_WEIGHT, filters: dict[str, str] | None = None) -> DataFrame:
