@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bitslice, forest, idcoder, langid, licenses, mixing, packing, sharding, simhash, urls
+from . import bitslice, forest, idcoder, langid, licenses, lines, mixing, packing, sharding, simhash, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+@query
+def op11_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digests(lines.dedup_lines(table(spark, sf_dir, "documents")))
+
+
+ORACLES["op11_lines"] = lines.oracle()
