@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,6 +80,21 @@ def join_hot(many: DataFrame, one: DataFrame, keys: list[str], how: str = "inner
     return near.unionByName(many.filter(~is_hot).join(one, keys, how))
 
 
+def in_order(rows: DataFrame, *order: Column) -> DataFrame:
+    """Stored rows with `position`, from 0, in the order given, which should leave no two rows equal.
+
+    Ranges of rows are sorted side by side and staged, each row with its place in its range. The driver gets one count for
+    each range and sends back where it starts. Rows of an equal order would share a range.
+    """
+    spark = rows.sparkSession
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id())
+    placed = staged(placed, "in-order").withColumn("range", F.shiftright("place", 33))  # the id's high bits number the task
+    counts = sorted(tuple(r) for r in placed.groupBy("range").count().collect())
+    starts = accumulate((n for _, n in counts), initial=0)
+    firsts = spark.createDataFrame([(r, start - (r << 33)) for (r, _), start in zip(counts, starts, strict=False)], "range long, first long")
+    return placed.join(F.broadcast(firsts), "range").withColumn("position", F.col("place") + F.col("first")).drop("range", "place", "first")
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """edges (a long, b long) -> (node long, component long): the smallest node that each node reaches.
 

@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 #: Bounds on what a worker holds: characters of texts at once, pieces in each of the cache's two generations, and
 #: characters of a piece in the cache; and pieces that the tokenizer gets in one string.
 BATCH_CHARS, CACHE_PIECES, PIECE_CHARS, JOINED = 2_000_000, 500_000, 48, 500
+#: Bytes of a long text that are cut into words at once.
+SLICE_BYTES = 1 << 20
 
 #: A byte-level BPE with GPT-2's pattern always starts a new word at a space or line feed that anything but white space
 #: follows, and words are encoded one by one; so texts may be cut there, and pieces that begin so may be joined.
@@ -156,6 +158,15 @@ def encoder(path: str, kind: str) -> PieceEncoder:
     return _encoders[path, kind]
 
 
+def slices(text: bytes, size: int = SLICE_BYTES) -> Iterator[bytes]:
+    """A text in parts of about `size` bytes, cut at spaces."""
+    start = 0
+    while len(text) - start > size and (end := text.find(b" ", start + size)) >= 0:
+        yield text[start:end]
+        start = end
+    yield text[start:]
+
+
 def portions(batch: pa.RecordBatch, column: str = "text", chars: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
     """The batch's rows in order, in portions of about `chars` bytes of text (one row at least)."""
     size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
