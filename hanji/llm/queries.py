@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bitslice, forest, idcoder, langid, licenses, lines, mixing, packing, resample, sharding, simhash, urls
+from . import bitslice, forest, idcoder, langid, licenses, lines, mixing, packing, phrases, resample, sharding, simhash, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,6 +91,14 @@ def op11_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op11_lines"] = lines.oracle()
 
 
+@query
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_phrases"] = phrases.oracle()
+
+
 @query
 def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
