@@ -23,7 +23,7 @@ from .common import in_order, join_hot, staged
 #: and phrases that a language's list has.
 LONGEST, LEAST, SHARE, TOP = 5, 100, 100, 2000
 #: Words of a shard, bits of a filter for each phrase in it, the most bits that a filter may have, and its hashes.
-SHARD_WORDS, FILTER_BITS, MOST_BITS, PROBES = 1 << 22, 16, 1 << 28, 3
+SHARD_WORDS, FILTER_BITS, MOST_BITS, PROBES = 1 << 20, 16, 1 << 28, 3
 #: Marks that end a piece, and the byte that stands for them, which UTF-8 never has.
 MARKS, BREAK = ".,;:!?\n\x0b\x0c\r", b"\xff"
 CUT = bytes.maketrans((ascii_uppercase + MARKS + "\t").encode(), ascii_lowercase.encode() + BREAK * len(MARKS) + b" ")
