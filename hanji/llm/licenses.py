@@ -86,7 +86,7 @@ def sentence_ids(text: Column) -> Column:
     known = F.create_map(*[F.lit(x) for name, sentence in SENTENCES.items() for x in (sentence, name)])
     normal = lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))
     # A double line feed stands for a sentence's end.
-    sentences = F.split(F.regexp_replace(text, r"([.!?:;])[ \t\r\f\n]+", "$1\n\n"), r"\n(?:[^\p{L}\p{N}\n]*\n)+")
+    sentences = F.split(F.regexp_replace(text, r"([.!?:;])[ \t\r\f\n]+", "$1\n\n"), r"\n[^\p{L}\p{N}]*\n")
     read = F.transform(sentences, lambda s: F.struct(s.alias("raw"), normal(s).alias("whole")))
     # Most sentences are far from any known one; the lookup sees only those that are some known sentence.
     parts = lambda s: F.when(s["whole"].isin(*SENTENCES.values()), F.array(s["whole"])).when(F.contains(s["raw"], F.lit("\n")), F.transform(F.split(s["raw"], "\n"), normal)).otherwise(F.array().cast("array<string>"))

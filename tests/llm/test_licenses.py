@@ -55,3 +55,9 @@ def test_oracle(spark, rows):
 
 def test_no_rows(no_docs):
     assert licenses.scan_licenses(no_docs).collect() == []
+
+
+def test_very_many_line_feeds_and_marks(spark):
+    texts = ["\n" * 1_000_000 + TEXTS[1], "-" * 1_000_000 + "\n" + TEXTS[1], ("--\n" * 300_000) + TEXTS[1], "\n-" * 500_000]
+    found = licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {r.doc_id for r in found.collect()} == {0, 1, 2}
