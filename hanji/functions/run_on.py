@@ -7,11 +7,10 @@ before the first quantity is an applicant, a place and a purpose, which the name
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import applicants
 from .permits import clean, dates, found, quantity
 from .text import let, strip
 
@@ -43,7 +42,8 @@ PERIOD_STARTS = ("허가일", "착공일", "협의일", "승인일")
 COMPANY_MARKS = ("주식회사", "㈜", "(주)", "(유)")
 
 GAP = r"[\s·․･ㆍ‧.]*"
-NUMBER = r"\d[\d,]*(?:\.\d+)?"
+#: A number; the bounds keep a run of digits from being tried in all ways.
+NUMBER = r"\d[\d,]{0,24}(?:\.\d{1,12})?"
 SQUARE, CUBIC = rf"{NUMBER}\s*(?:㎡|m2|m²)", rf"{NUMBER}\s*(?:㎥|m3|m³)"
 NAME = r"[가-힣A-Za-z㈜()·]"
 
@@ -59,6 +59,8 @@ def spaced(words: tuple[str, ...]) -> str:
 
 
 ANY_COLUMN = rf"{spaced(tuple(w for words in COLUMNS.values() for w in words))}(?:\((?!유\)|주\))[^)]*\))?[\s/]*"
+#: Columns of a flattened header; a longer one is no header.
+MOST_COLUMNS = 40
 KNOWN = rf"(?<!{any_of(PROVINCES)}\s{{0,3}}){any_of(PLACES)}"
 #: How a place may begin, in order of trust: a known name, a town or county, a township or quarter.
 BEGINNINGS = (KNOWN, r"[가-힣]{2}(?:시|군|구)\s", r"[가-힣]{2}(?:읍|면|동)")
@@ -106,7 +108,7 @@ def where_and_purpose(text: Column) -> Column:
 def flattened(x: Column) -> Column:
     """The first row of a run-on table: a header of four columns or more, and values with a quantity among them. Values in
     which another header stands are no row."""
-    head = F.regexp_extract(x, f"(?:{ANY_COLUMN}){{4,}}", 0)
+    head = F.regexp_extract(x, f"(?:{ANY_COLUMN}){{4,{MOST_COLUMNS}}}", 0)
     parts = F.when(head != "", F.struct(head.alias("head"), strip(F.substring(x, F.instr(x, head) + F.length(head), F.length(x))).alias("body")))
     return let(parts, lambda p: let(measured(p["head"], p["body"]), lambda m: let(row_of(p["head"], m), lambda r: F.when(r["permittee_name"].isNotNull() & r["location"].isNotNull(), r))))
 
@@ -116,14 +118,14 @@ def measured(head: Column, body: Column) -> Column:
     first number with a unit; where the unit stands in the header only, the number before the amount or the period."""
     has = lambda column: head.rlike(spaced(COLUMNS[column]))
     unit = F.when(head.rlike(r"m2|m²"), F.regexp_extract(head, r"m2|m²", 0)).otherwise(F.lit("㎡"))
-    charged = groups(body, rf"(?s)^(.+?)(\d[\d,]*(?:\.\d{{1,2}})?)(\d{{1,3}}(?:,\d{{3}})+)(?=\d{{4}}\.)(.*)$", "text", "area", "amount", "rest")
+    charged = groups(body, rf"(?s)^(.+?)(\d[\d,]{{0,12}}(?:\.\d{{1,2}})?)(\d{{1,3}}(?:,\d{{3}}){{1,6}})(?=\d{{4}}\.)(.*)$", "text", "area", "amount", "rest")
     plain = groups(body, rf"(?is)^(.+?)({NUMBER})\s*(㎡|m2|m²)(.*)$", "text", "area", "unit", "rest")
     bare = groups(body, rf"(?s)^(.+?)({NUMBER})\s*(?={LATE})(.*)$", "text", "area", "rest")
     shaped = lambda m, u, amount: F.when(m.isNotNull(), F.struct(m["text"].alias("text"), m["area"].alias("area"), u.alias("unit"), amount.alias("amount"), m["rest"].alias("rest")))
     none = F.lit(None).cast("string")
     with_amount = let(charged, lambda m: shaped(m, unit, F.concat(m["amount"], F.lit("원"))))
     found_ = F.coalesce(F.when(has("amount"), with_amount), let(plain, lambda m: shaped(m, m["unit"], none)), let(bare, lambda m: shaped(m, unit, none)))
-    return F.when(has("area") | has("amount"), let(found_, lambda m: F.when(~m["text"].rlike(f"(?:{ANY_COLUMN}){{3,}}"), m)))
+    return F.when(has("area") | has("amount"), let(found_, lambda m: F.when(~m["text"].rlike(f"(?:{ANY_COLUMN}){{3}}"), m)))
 
 
 def row_of(head: Column, m: Column) -> Column:
@@ -162,30 +164,28 @@ def changes(x: Column) -> Column:
 # What follows the sender of an application, and how a sentence names ground, quotes a purpose and goes on.
 SENDER = r"(?:에서|으로부터|로부터)\s*(?:신청한|제출한|제출된|다음과\s*같이)?\s*"
 GROUND = any_of(("번지선", "번지", "지선", "공유수면", "해역", "일원"))
-QUOTED = r"[“\"『]([^”\"』]+)[”\"』]"
+QUOTED = r"[“\"『]([^”\"』]{1,400})[”\"』]"
+
 
+BEGIN = "|".join(BEGINNINGS)
 
-def applicant(x: Column) -> Column:
-    """Who applied, from what a sentence says before its verb: behind the last number and title, without representatives; a
-    company or body in it counts alone, and behind an address the name."""
-    cleared = reduce(lambda v, p: F.regexp_replace(v, p, ""), (r"(?s)^.*(?:^|\s)\d{1,2}\.\s*", r"^.*관련입니다\.?\s*", r"\([^)]*대표[^)]*\)", r"^공유수면.*(?:고시|알림|공고|의뢰|통보)\s+"), clean(x))
-    address = lambda v: F.when(v.rlike(rf"^(?:{KNOWN})\S*\s.*\d"), name_after_address(v)).otherwise(v)
-    body = rf"((?:{any_of(COMPANY_MARKS)}\s*{NAME}+|{NAME}+\s*{any_of(COMPANY_MARKS)})(?:\s*대표(?:이사)?\s*[가-힣]{{2,4}})?)\s*$"
-    return clean(let(address(strip(cleared)), lambda v: F.when(F.length(v) > 15, F.coalesce(found(v, body), v)).otherwise(v)))
+
+def sender(x: Column) -> Column:
+    """Who sent an application, from what the first sentence of that kind says before its verb; a person's name will do."""
+    after = rf"(?=[“\"『]|공유수면|{BEGIN})"
+    sent = F.coalesce(found(x, rf"(?:^|\n)([^\n]+?){SENDER}{after}(?=[\s\S]{{0,200}}(?:신청|목적|위한))"), found(x, r"(?:^|\n)([^\n]{2,40}?)의\s+공유수면[^\n]*신청에"))
+    name = let(sent, lambda v: F.when(v.isNotNull(), clean(applicants.entity(applicants.cleared(v)))))
+    return let(name, lambda v: F.when(F.coalesce(applicants.refusal(v), F.lit("")).isin("", applicants.NO_BODY), v))
 
 
 def sentences(x: Column) -> Column:
-    """What sentences about an application say: who sent it, the ground, and the purpose, quoted or before 목적의."""
-    place = rf"([^\n]*?{GROUND}[^\n“\"『]{{0,12}}?)에\s*"
+    """What a sentence about an application says: who sent it, the ground, and the purpose, quoted or before 목적의."""
+    place = rf"(?m)^([^\n]*?{GROUND}[^\n“\"『]{{0,12}}?)에\s*"
     told = first_group(x, [rf"{place}{QUOTED}(?:를|을)\s*위한", rf"{place}([^“\"『]{{2,120}}?)\s*목적의\s*공유수면"], "where", "purpose")
-    noted = groups(x, rf"{QUOTED}\s*\(([^)]*{GROUND}[^)]*)\)\s*목적", "purpose", "where")
-    begin = "|".join(BEGINNINGS)
-    after = rf"(?=[“\"『]|공유수면|{begin})"
-    sent = F.coalesce(found(x, rf"(?:^|\n)([^\n]+?){SENDER}{after}(?=[\s\S]{{0,200}}(?:신청|목적|위한))"), found(x, r"(?:^|\n)([^\n]{2,40}?)의\s+공유수면[^\n]*신청에"))
-    ground = lambda v: let(F.regexp_replace(clean(v), rf"^.*(?:께서|에서|로부터)\s+(?={begin})", ""), lambda w: F.coalesce(found(w, rf"((?:{KNOWN}).*)$"), w))
-    who = let(sent, lambda v: F.when(v.isNotNull(), applicant(v)))
+    noted = groups(x, rf"{QUOTED}\s*\(([^()]{{0,200}}{GROUND}[^()]{{0,200}})\)\s*목적", "purpose", "where")
+    ground = lambda v: let(F.regexp_replace(clean(v), rf"^.*(?:께서|에서|로부터)\s+(?={BEGIN})", ""), lambda w: F.coalesce(found(w, rf"((?:{KNOWN}).*)$"), w))
     both = F.coalesce(F.when(noted.isNotNull(), F.struct(noted["where"].alias("where"), noted["purpose"].alias("purpose"))), told)
-    return let(both, lambda t: fields(permittee_name=who, location=ground(t["where"]), purpose=clean(t["purpose"])))
+    return let(both, lambda t: F.when(t.isNotNull(), fields(permittee_name=sender(x), location=ground(t["where"]), purpose=clean(t["purpose"]))))
 
 
 def quantities(x: Column) -> Column:

@@ -17,7 +17,7 @@ def let(x: Column, f: Callable[[Column], Column]) -> Column:
 
 
 def strip(x: Column) -> Column:
-    return F.regexp_replace(x, rf"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(x, r"(?U)^\s+|(?<!\s)\s+$", "")
 
 
 def collapse(x: Column) -> Column:
@@ -95,8 +95,8 @@ def title_from_path(path: Column) -> Column:
 
 def sanitize_paths(x: Column) -> Column:
     """Absolute paths in a text become their last part."""
-    x = F.regexp_replace(x, r"[A-Za-z]:\\(?:[^\s:\\]*\\)*([^\s:\\]+)", "$1")
-    return F.regexp_replace(x, r"/(?:[^\s:/]*/)*([^\s:/]+)", "$1")
+    x = F.regexp_replace(x, r"[A-Za-z]:\\(?:[^\s:]*\\)?([^\s:\\]+)", "$1")
+    return F.regexp_replace(x, r"(?<!/)/(?:[^\s:]*/)?([^\s:/]+)", "$1")
 
 
 def mask_url(url: Column) -> Column:

@@ -181,8 +181,14 @@ def test_run_on_tables_and_sentences(spark):
 
 PERMIT_TAIL = {
     "위치 : ⓐ 부산 남구 1번지선 공유수면 ⓑ 부산 남구 2번지선 공유수면 ⓐ 부산 남구  1번지선 공유수면": ("location", "ⓐ 부산 남구 1번지선 공유수면 ⓑ 부산 남구 2번지선 공유수면"),
-    "목적 : 어선 수리용 선가대(3기) 보강 및 운영, 부대시설 설치 공사 일체 어선 수리용 선가대(2기) 보강 및 운영": ("purpose", "어선 수리용 선가대(2기) 보강 및 운영"),
-    "목적 : ㅇ 크레인(5톤급) 3기 - 다대동 물양장 / ㅇ 크레인(5톤급) 2기 - 다대동 물양장 ㅇ 크레인(9톤급) 1기 - 감천동 물양장": ("purpose", "크레인(5톤급) 2기, 크레인(9톤급) 1기"),
+    "목적 : 선박 접안시설 보강 및 운영, 선박 접안시설 및 부잔교(2기) 신설과 그 배후부지의 정비 및 운영": ("purpose", "선박 접안시설 및 부잔교(2기) 신설과 그 배후부지의 정비 및 운영"),
+    "목적 : 접안 부두 축조 공사 및 접안 부두 축조 보강을 위한 부대시설 설치와 그 운영 일체": ("purpose", "접안 부두 축조 공사 및 접안 부두 축조 보강을 위한 부대시설 설치와 그 운영 일체"),
+    "목적 : ㅇ 다목적 인양기(5톤급) 3기 - 다대동 물양장 / ㅇ 다목적 인양기(5톤급) 2기 - 다대동 물양장 ㅇ 다목적 인양기(9톤급) 1기 - 감천동 물양장": ("purpose", "다목적 인양기(5톤급) 2기, 다목적 인양기(9톤급) 1기"),
+    "목적 : 부두 축조 및 사용목적면적 확대 공사": ("purpose", "부두 축조 및 사용목적면적 확대 공사"),
+    "목적 : 부두 축조 (사용 [기존 / 신설]) 공사 / 안벽 보강 [1공구 / (2공구 / 3공구)] 공사": ("purpose", "안벽 보강 [1공구 / (2공구 / 3공구)] 공사"),
+    "위치 : 경남 통영시 산양읍 100번지 지선 / 비고란": ("location", "경남 통영시 산양읍 100번지 지선 / 비고란"),
+    "위치 : 통영시 산양읍 7번지 지선 공유수면을 '부잔교 설치' 목적": ("location", "통영시 산양읍 7번지 지선 공유수면"),
+    "위치 : 신청 위치 / 면적 기간": ("location", None),
     "면적 : 500㎡ (직접 300 / 간접 (가 100 / 나 100)) / 400㎡ (직접 300 / 간접 100)": ("area", "400㎡ (직접 300 / 간접 100)"),
     "면적 : 400㎡(직접 400㎡) / 300㎡(직접 300㎡) / 2021.10.1.부터 변경": ("area", "300㎡(직접 300㎡)"),
     "신청인 : 한빛면 3번지선 방파제 공사120㎡허가일로부터 5년": ("permittee_name", None),
@@ -198,3 +204,49 @@ def test_permit_values_that_need_more_than_a_label(spark):
     df = spark.createDataFrame([(x,) for x in PERMIT_TAIL], "text string")
     got = {r["text"]: r["permit"] for r in permits.extract(df).collect()}
     assert {x: got[x][field] for x, (field, _) in PERMIT_TAIL.items()} == {x: want for x, (_, want) in PERMIT_TAIL.items()}
+
+
+APPLICANTS = {
+    "새바다항만공사의 공유수면 점ㆍ사용 변경허가 신청에 대해 허가합니다.": "새바다항만공사",
+    "한빛시장으로부터 제출된 공유수면 점용·사용 변경승인 신청에 대하여 검토한 바": "한빛시장",
+    "한빛발전(주)에서 제출한 공유수면 점용 사용 변경허가 신청에 대하여 변경 허가하고": "한빛발전(주)",
+    "㈜섬바다랜드 대표이사 홍길동으로부터 공유수면 점용 사용 변경허가 신청이 있어 검토합니다.": "㈜섬바다랜드 대표이사 홍길동",
+    "수신한빛어촌계장 귀하 (경유)제목공유수면 점용 사용 변경 허가": "한빛어촌계장",
+    "푸른건설 주식회사(대표 홍길동)로부터 공유수면 점용 사용 허가 신청에 따른 협의를 요청합니다.": "푸른건설 주식회사",
+    "1. 귀기관의 공유수면 점용 사용 협의 허가 신청과 관련입니다.\n2. 우리청의 매립 승인 신청에 대하여\n3. 바다수산업협동조합으로부터 공유수면 사용허가 신청이 있어": "바다수산업협동조합",
+    "국민의 공유수면 사용 허가 신청에 대하여": None,
+    "김바다의 공유수면 점용 허가 신청에 대하여": "김바다",
+    "부산지방해양항만청장수신자해양수산부장관(연안계획과장), 부산광역시장주무관 2013. 5. 27.": None,
+}
+
+
+def test_applicants_in_sentences(spark):
+    df = spark.createDataFrame([(x,) for x in APPLICANTS], "text string")
+    got = {r["text"]: r["permit"]["permittee_name"] for r in permits.extract(df).collect()}
+    assert got == APPLICANTS
+
+
+def test_refused_applicants_keep_their_reason(spark):
+    from hanji.functions import applicants
+
+    text = "귀기관의 공유수면 점용 허가 신청에 대하여\n주식회사에서 공유수면 점용 허가를 신청\n한빛신도시가 공유수면 매립 승인 신청\n아무개가 점용 허가 신청\n한빛해운(주)에서 점용 허가 신청"
+    found = evaluate(spark, [text], applicants.candidates)[0]
+    assert {c["refused"] for c in found} >= {None, "addressee", "a plan", "no body or officer"}
+    assert evaluate(spark, [text], applicants.applicant) == ["한빛해운(주)"]
+
+
+def test_long_texts_take_time_in_proportion(spark):
+    """Labelled values, brackets, paths and run-on text of great length: no pattern may nest or go over the rest of the text from
+    every place."""
+    import time
+
+    deep = "/a" * 100_000
+    assert evaluate(spark, [f"at {deep}b: x", "/" * 100_000 + " y", "C:" + "\\d" * 50_000], text.sanitize_paths) == ["at ab: x", "/" * 100_000 + " y", "d"]
+    value = "가나다 (라 " * 15_000
+    assert evaluate(spark, [value, "부두 축조 / 안벽 보강 " * 8000], permits.sanitize_purpose)[0] == value.strip()
+    run_on = "신청인 위치 면적(㎡) 목적 기간 " + "동해수산 울진군 후포면 여덟번지 어구 보관장에 “설치 (신청 " * 12_000
+    texts = ["위치 : " + "부산 남구 1번지 " * 12_000, "목적 : " + "(" * 100_000, "면적 : " + "1" * 100_000, run_on, "공유수면 점용 사용 허가 신청 가 이 에서 의 " * 40_000, "신청인 위치 " * 100_000, "12-34 " * 20_000 + "번지 / 지선 / 12번지 지선 바다"]
+    for x in texts:
+        start = time.perf_counter()
+        permits.extract(spark.createDataFrame([(x,)], "text string")).select("permit").collect()
+        assert time.perf_counter() - start < 60, (x[:30], len(x))
