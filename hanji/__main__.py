@@ -1,4 +1,4 @@
-"""Command line: init-db, run, search, show, stats, images, sync-to-mirror."""
+"""Command line: init-db, run, index, search, show, stats, images, sync-to-mirror."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hanji.config import EngineConfig, clean_query, in_range
 from hanji.functions import keywords
-from hanji.operators import lookups, search, stats, store
+from hanji.operators import lookups, search, stats, store, vector_index
 from hanji.plans import ingest
 from hanji.session import spark_session
 from hanji.sources import hwp
@@ -40,10 +40,13 @@ def arguments() -> argparse.ArgumentParser:
     find.add_argument("--keyword")
     find.add_argument("--weight", type=float, default=search.DEFAULT_WEIGHT)
     find.add_argument("--biz-cate", help="only documents of this class (vector search)")
+    find.add_argument("--probes", type=int, default=vector_index.PROBES, help="lists of the index that are read; all of them equal a scan")
+    find.add_argument("--scan", action="store_true", help="read all vectors even if there is an index")
     find.add_argument("--dimension", type=int, default=1024)
     find.add_argument("--model", default="BAAI/bge-m3")
     find.add_argument("--allow-model", action="append", default=[])
     find.add_argument("--loader")
+    commands.add_parser("index").add_argument("--lists", type=int, default=vector_index.LISTS)
     show = commands.add_parser("show")
     show.add_argument("doc_id")
     commands.add_parser("stats")
@@ -78,8 +81,12 @@ def main(argv: list[str] | None = None) -> None:
         query = clean_query(args.query)
         asked = spark.range(1).select(F.lit(query).alias("q")).select(ingest.embedder(EngineConfig(embedding_dimension=args.dimension, **model_of(args)))("q").alias("v"), keywords.keyword(F.col("q")).alias("k")).first()
         assert asked is not None
-        hits = search.search(tables.read("document_chunks"), tables.read("documents"), search.literal_vector(asked["v"]), args.top_k, keyword=None if args.biz_cate else args.keyword or asked["k"], vector_weight=args.weight, filters={"biz_cate": args.biz_cate} if args.biz_cate else None)
+        index = vector_index.VectorIndex(spark, tables.path("vector_index"))
+        chunks = index.probed(asked["v"], in_range("probes", args.probes, 1)) if index.exists() and not args.scan else tables.read("document_chunks")
+        hits = search.search(chunks, tables.read("documents"), search.literal_vector(asked["v"]), args.top_k, keyword=None if args.biz_cate else args.keyword or asked["k"], vector_weight=args.weight, filters={"biz_cate": args.biz_cate} if args.biz_cate else None)
         search.preview(hits).show(args.top_k, truncate=False)
+    elif args.command == "index":
+        vector_index.VectorIndex(spark, tables.path("vector_index")).build(tables.read("document_chunks"), in_range("lists", args.lists, 1))
     elif args.command == "stats":
         stats.store_stats(tables.read("documents"), tables.read("document_chunks")).show(truncate=False)
     elif args.command == "show":

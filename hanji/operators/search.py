@@ -70,17 +70,21 @@ def hybrid_search(
 def with_metadata(hits: DataFrame, documents: DataFrame, columns: list[str], key: str = "doc_id") -> DataFrame:
     """Metadata for the few hits, joined after the limit; null where a document is unknown.
 
-    The hits are a top-k of at most MAX_TOP_K rows. They are needed twice, so they are found once, here, and held as a
-    local table: its keys are broadcast to find their documents in one pass without a shuffle, and those few rows are
-    broadcast in turn to the hits.
+    The hits are a top-k of at most MAX_TOP_K rows; more raise. They are needed twice, and finding them may read every vector,
+    so they are found once, here, and held as a local table: its keys are broadcast to find their documents in one pass
+    without a shuffle, and those few rows are broadcast in turn to the hits.
     """
-    few = hits.sparkSession.createDataFrame(hits.collect(), hits.schema)
+    held = hits.limit(MAX_TOP_K + 1).collect()
+    if len(held) > MAX_TOP_K:
+        raise ValueError(f"more than {MAX_TOP_K} hits")
+    few = hits.sparkSession.createDataFrame(held, hits.schema)
     found = documents.select(key, *columns).join(F.broadcast(few.select(key).distinct()), key)
     return few.join(F.broadcast(found), key, "left")
 
 
 def search(chunks: DataFrame, documents: DataFrame, query: Column, top_k: int = 10, keyword: str | None = None, vector_weight: float = DEFAULT_WEIGHT, filters: dict[str, str] | None = None) -> DataFrame:
-    """Search as users see it: hybrid with a keyword, else by vector, with each hit's document."""
+    """Search as users see it: hybrid with a keyword, else by vector, with each hit's document. chunks: all of them, or what
+    an index's probes leave (VectorIndex.probed)."""
     if keyword and keyword.strip():
         hits, mode = hybrid_search(chunks, query, keyword, top_k, vector_weight), "hybrid"
     else:
