@@ -19,7 +19,7 @@ def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="hanji")
     parser.add_argument("--store", default="store")
     commands = parser.add_subparsers(dest="command", required=True)
-    commands.add_parser("init-db")
+    commands.add_parser("init-db").add_argument("--buckets", type=int, help="into how many parts each table is cut; fixed from then on")
     run = commands.add_parser("run")
     run.add_argument("-d", "--data", action="append", required=True)
     run.add_argument("-m", "--metadata", required=True)
@@ -65,7 +65,7 @@ def model_of(args: argparse.Namespace) -> dict:
 def main(argv: list[str] | None = None) -> None:
     args = arguments().parse_args(argv)
     spark = spark_session()
-    tables = store.TableStore(spark, args.store)
+    tables = store.TableStore(spark, args.store, getattr(args, "buckets", None))
     if args.command == "init-db":
         ingest.create_tables(tables)
     elif args.command == "run":

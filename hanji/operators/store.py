@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 CHILD_TABLES = ("document_chunks", "attachments", "permit_extractions")
@@ -100,6 +100,21 @@ def sync_mirror(source: dict[str, DataFrame], target: dict[str, DataFrame]) -> d
     return out | {"documents": upsert(target["documents"], docs, "doc_id")}
 
 
+def content_marks(table: DataFrame, key: str = "doc_id") -> DataFrame:
+    """For each key the number of its rows and two sums over hashes of all their columns: equal for equal rows in any order,
+    and combined before the shuffle, which carries no values."""
+    columns = [F.col(f"`{c}`") for c in sorted(table.columns)]
+    null_marks = F.concat(*[c.isNull().cast("string") for c in columns])  # hashes pass over nulls
+    one, two = (F.xxhash64(F.lit(seed), null_marks, *columns) for seed in (1, 2))
+    return table.groupBy(key).agg(F.count("*").alias("rows"), F.bit_xor(one).alias("one"), F.sum(two.cast("decimal(38,0)")).alias("two"))
+
+
+def differing_keys(source: DataFrame, target: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The keys whose rows are not the same in both tables, those of only one of them too."""
+    ours, theirs = (content_marks(t.select(*sorted(source.columns)), key).select(key, F.struct("rows", "one", "two").alias(name)) for t, name in ((source, "ours"), (target, "theirs")))
+    return ours.join(theirs, key, "full").filter(~F.col("ours").eqNullSafe(F.col("theirs"))).select(key)
+
+
 def sync_counts(source: dict[str, DataFrame]) -> DataFrame:
     """(table, n) of what a sync carries."""
     parts = [source[t].agg(F.count("*").alias("n")).select(F.lit(t).alias("table"), "n") for t in MANAGED_MIRROR_TABLES]
@@ -112,11 +127,32 @@ class TableStore:
 
     Buckets are replaced by Spark's dynamic partition overwrite: a job writes beside them and puts them in place when all
     its tasks are done, so a lost executor costs a retry. Rows with a null key mark buckets that may have no others; they
-    are left out on reading. One writer at a time. `buckets` is fixed for a store's life: the more data, the more.
+    are left out on reading. One writer at a time.
+
+    `buckets` is fixed when the store is made and kept with it: the more data, the more. Whoever opens the store later
+    gets its number, and one who asks for another an error. A bucket is several files where it is large.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, key: str = "doc_id"):
-        self.spark, self.root, self.buckets, self.key = spark, root.rstrip("/"), buckets, key
+    BUCKETS, SETTINGS = 64, "_settings"
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None, key: str = "doc_id"):
+        self.spark, self.root, self.key, self._made = spark, root.rstrip("/"), key, False
+        stored = self._settings()
+        if stored and buckets not in (None, stored["buckets"]):
+            raise ValueError(f"the store has {stored['buckets']} buckets, not {buckets}")
+        if stored and stored["key"] != key:
+            raise ValueError(f"the store's key is {stored['key']}, not {key}")
+        self.buckets, self._made = stored["buckets"] if stored else buckets or self.BUCKETS, bool(stored)
+
+    def _settings(self) -> Row | None:
+        return self.spark.read.json(self.path(self.SETTINGS), "buckets int, key string").first() if self.exists(self.SETTINGS) else None
+
+    def _make(self) -> None:
+        """Keep the number of buckets before anything is put into one."""
+        if not self._made:
+            settings = self.spark.createDataFrame([(self.buckets, self.key)], "buckets int, key string").coalesce(1)
+            settings.write.mode("overwrite").json(self.path(self.SETTINGS))
+            self._made = True
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -125,8 +161,9 @@ class TableStore:
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int").alias("bucket")
 
     def exists(self, name: str) -> bool:
+        reader = self.spark.read
         try:
-            self.spark.read.parquet(self.path(name))
+            reader.json(self.path(name), "buckets int") if name == self.SETTINGS else reader.parquet(self.path(name))
         except AnalysisException as error:
             if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
@@ -146,7 +183,9 @@ class TableStore:
         return self._stored(name).filter(F.col("bucket").isin(buckets) & F.col(self.key).isin(*keys)).drop("bucket")
 
     def _put(self, name: str, rows: DataFrame, mode: str, dynamic: bool = False) -> None:
-        writer = rows.repartition("bucket").write.mode(mode).partitionBy("bucket")
+        self._make()
+        # A bucket's rows come together, and adaptive execution cuts large buckets into several tasks and files.
+        writer = rows.hint("rebalance", "bucket").write.mode(mode).partitionBy("bucket")
         (writer.option("partitionOverwriteMode", "dynamic") if dynamic else writer.option("partitionOverwriteMode", "static")).parquet(self.path(name))
 
     def _marks(self, rows: DataFrame, buckets: list[int]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 import importlib
 import logging
-from functools import partial
+from functools import partial, reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,10 +37,14 @@ def create_tables(tables: store.TableStore, names: tuple[str, ...] = tuple(TABLE
         tables.write(name, tables.spark.createDataFrame([], TABLES[name]))
 
 
-def changed_files(files: DataFrame, stored: DataFrame) -> DataFrame:
-    """Files whose document isn't stored with this very hash. Only hashes are compared; nothing is parsed yet."""
-    known = stored.select("doc_id", "file_hash")
-    return files.withColumn("doc_id", text.document_id(F.col("path"))).join(known, ["doc_id", "file_hash"], "left_anti")
+def latest_files(found: DataFrame) -> DataFrame:
+    """Of the files that stand for one document, the last by time and path: a run stores no document twice."""
+    return store.keep_last(found, "doc_id", F.col("modified"), F.col("path"))
+
+
+def changed_files(found: DataFrame, stored: DataFrame) -> DataFrame:
+    """Files (path, doc_id, file_hash, ...) whose document isn't stored with this very hash. Only names and hashes move."""
+    return found.join(stored.select("doc_id", "file_hash"), ["doc_id", "file_hash"], "left_anti")
 
 
 def document_rows(parsed: DataFrame, meta: DataFrame, now: Column) -> DataFrame:
@@ -82,17 +86,25 @@ def known_metadata(spark: SparkSession, path: str, tables: store.TableStore) ->
 
 
 def ingest(spark: SparkSession, config: EngineConfig, tables: store.TableStore, incremental: bool = True, paths: list[str] | None = None) -> DataFrame:
-    """Bring the stored tables up to the files; one row of counters (processed, skipped, failed, total_chunks, excluded).
+    """Bring the stored tables up to the files; one row of counters (processed, skipped, failed, total_chunks, excluded,
+    superseded).
 
-    paths: single files or folders instead of the configured ones. The parse is written once, beside the tables, and
+    paths: single files or folders instead of the configured ones. A first scan reads hashes only; what has changed is
+    read once more by its paths, so no content is shuffled to learn that it is known. Of several files with one doc_id the
+    last one counts (latest_files); the others are superseded. The parse is written once, beside the tables, and
     everything else reads that. Documents without any chunk count as processed but aren't stored. Only touched buckets are
     rewritten, documents last: a run that breaks off leaves their old hashes, so the next one does the work again.
     """
     now = F.lit(datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None))
     folders = paths or config.data_folders()
-    files = odt.read_files(spark, *folders)
-    todo = changed_files(files, tables.read("documents")) if incremental else files
-    tables.write("parsed", odt.parse_documents(todo))
+    tables.write("found_files", odt.hash_files(spark, *folders))
+    found = tables.read("found_files")
+    latest = latest_files(found)
+    todo = changed_files(latest, tables.read("documents")) if incremental else latest
+    # The driver lists every file anyway; these are some of their names.
+    wanted = [r["path"] for r in todo.select("path").collect()]
+    files = odt.read_files(spark, *(wanted or folders))
+    tables.write("parsed", odt.parse_documents(files if wanted else files.limit(0)))
     parsed = tables.read("parsed")
     fine = parsed.filter(F.col("error").isNull())
 
@@ -111,7 +123,8 @@ def ingest(spark: SparkSession, config: EngineConfig, tables: store.TableStore,
     fields = permits.extract(kept_docs.select("doc_id", text.marked_text(F.col("sections")).alias("text")))
     permit_rows = fields.select("doc_id", *permits.stored(F.col("permit"))).withColumn("created_at", now).withColumn("updated_at", now)
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folders).select("path")
-    beside = attachments_of(listed).join(kept_docs.select("doc_id"), "doc_id", "left_semi").withColumn("created_at", now)
+    superseded = found.join(latest.select("path"), "path", "left_anti").select("path")
+    beside = attachments_of(listed.join(superseded, "path", "left_anti")).join(kept_docs.select("doc_id"), "doc_id", "left_semi").withColumn("created_at", now)
 
     keys = counted.select("doc_id")
     tables.change("document_chunks", keys, lambda old: store.replace_children(old, chunks))
@@ -121,22 +134,33 @@ def ingest(spark: SparkSession, config: EngineConfig, tables: store.TableStore,
 
     status = F.when(F.col("error").isNull(), "processed").otherwise("failed")
     results = parsed.select("doc_id", status.alias("status")).join(counted, "doc_id", "left").join(excluded, "doc_id", "left").select("status", "chunks", "excluded")
-    # What was not parsed was skipped; the names of the files are enough to know, and listing them reads none.
-    names = listed.filter(F.lower("path").endswith(".odt")).select("path")
-    skipped = names.join(parsed.select(F.col("file_path").alias("path")), "path", "left_anti").select(F.lit("skipped").alias("status"), F.lit(0).cast("long").alias("chunks"), F.lit(0).cast("long").alias("excluded"))
-    return stats.run_counters(results.unionByName(skipped))
+    # What was not parsed was skipped, unless another file stood for its document.
+    others = found.join(parsed.select(F.col("file_path").alias("path")), "path", "left_anti").join(superseded, "path", "left_anti")
+    skipped = others.select(F.lit("skipped").alias("status"), F.lit(0).cast("long").alias("chunks"), F.lit(0).cast("long").alias("excluded"))
+    return stats.run_counters(results.unionByName(skipped)).join(F.broadcast(superseded.agg(F.count("*").alias("superseded"))))
 
 
 def sync_to_mirror(source: store.TableStore, mirror: store.TableStore) -> DataFrame:
-    """Copy the managed tables, and permits if the mirror has such a table; (table, n) of what the managed ones carry."""
+    """Copy the managed tables, and permits if the mirror has such a table; (table, n) of what the managed ones carry.
+
+    Only documents that differ in any of these tables are carried, so a second sync rewrites no bucket. Documents come
+    last, so a sync that breaks off is done again by the next.
+    """
     names = [*store.MANAGED_MIRROR_TABLES, *(["permit_extractions"] if mirror.exists("permit_extractions") else [])]
     tables = {name: source.read(name) for name in names}
-    keys = tables["documents"].select("doc_id")
+    mirrored = {name: MIRRORED[name](tables[name]) for name in names}
+    differing = reduce(DataFrame.unionAll, [store.differing_keys(mirrored[name], mirror.read(name)) for name in names]).distinct()
+    mirror.write("changed_keys", differing.join(tables["documents"].select("doc_id"), "doc_id", "left_semi"))
+    keys = mirror.read("changed_keys")
+    changed = {name: df.join(keys, "doc_id", "left_semi").select(df.columns) for name, df in tables.items()}
     for name in [*[n for n in names if n != "documents"], "documents"]:
-        mirror.change(name, keys, lambda old, name=name: store.sync_mirror(tables, {n: old if n == name else mirror.read(n) for n in names})[name])
+        mirror.change(name, keys, lambda old, name=name: store.sync_mirror(changed, {n: old if n == name else mirror.read(n) for n in names})[name])
     return store.sync_counts(tables)
 
 
+MIRRORED = {"documents": store.mirror_document, "document_chunks": store.mirror_chunk, "attachments": store.mirror_attachment, "permit_extractions": store.mirror_permit}
+
+
 def create_mirror(mirror: store.TableStore, permits_too: bool = False) -> None:
     spark = mirror.spark
     empty = {name: spark.createDataFrame([], TABLES[name]) for name in TABLES}

@@ -135,6 +135,11 @@ def read_files(spark: SparkSession, *roots: str, glob: str = "*.odt") -> DataFra
     return files.withColumn("file_hash", F.sha2("content", 256))
 
 
+def hash_files(spark: SparkSession, *roots: str, glob: str = "*.odt") -> DataFrame:
+    """(path, doc_id, file_hash, modified) of all files: each content is hashed where it is read and goes no further."""
+    return read_files(spark, *roots, glob=glob).select("path", text.document_id(F.col("path")).alias("doc_id"), "file_hash", F.col("modificationTime").alias("modified"))
+
+
 def sections(elements: Column) -> Column:
     """Elements -> array<struct<section_type,content,order>>: neighbouring texts are joined, tables become Markdown."""
     kind = "array<struct<section_type:string,content:string>>"

@@ -93,12 +93,70 @@ def test_a_run_that_breaks_off_is_made_up_for(spark, corpus, tmp_path, monkeypat
     assert (alone["processed"], alone["skipped"], alone["failed"]) == (1, 0, 0) and tables.read("documents").count() == 2
 
 
+def test_one_document_for_an_id(spark, tmp_path):
+    """Of two files of one document the later counts, whatever the run; the other is no change."""
+    import os
+
+    folder = tmp_path / "data" / "DCT5"
+    folder.mkdir(parents=True)
+    for k, (name, body) in enumerate((("000_old.odt", "<text:p>first words</text:p>"), ("001_new.odt", "<text:p>second words</text:p>"))):
+        (folder / name).write_bytes(odt_bytes(body))
+        (folder / name.replace(".odt", ".pdf")).write_bytes(b"%PDF")
+        os.utime(folder / name, (1_700_000_000 + k, 1_700_000_000 + k))
+    tables = store.TableStore(spark, str(tmp_path / "store"), buckets=4)
+    ingest.create_tables(tables)
+    config = EngineConfig(data_dirs=(str(tmp_path / "data"),), metadata_doc_list=str(tmp_path / "nowhere"), embedding_dimension=8)
+    for processed, skipped in ((1, 0), (0, 1)):
+        got = ingest.ingest(spark, config, tables).first()
+        assert (got["processed"], got["skipped"], got["superseded"]) == (processed, skipped, 1)
+        assert [r["title"] for r in tables.read("documents").collect()] == ["new"]
+        assert [r["text"] for r in tables.read("document_chunks").collect()] == ["second words"]
+        assert sorted((r["file_name"], r["is_main_pdf"]) for r in tables.read("attachments").collect()) == [("000_old.pdf", False), ("001_new.pdf", True)]
+    os.utime(folder / "000_old.odt", (1_800_000_000, 1_800_000_000))
+    assert ingest.ingest(spark, config, tables).first()["processed"] == 1
+    assert [r["title"] for r in tables.read("documents").collect()] == ["old"]
+
+
+def test_no_content_moves_to_find_changes(spark, corpus, tmp_path):
+    from hanji.sources import odt
+
+    found = odt.hash_files(spark, str(corpus / "data"))
+    stored = spark.createDataFrame([], "doc_id string, file_hash string")
+    plan = ingest.changed_files(ingest.latest_files(found), stored)._jdf.queryExecution().executedPlan().toString()
+    shuffled = [line for line in plan.splitlines() if "Exchange" in line or "Join" in line or "Sort" in line or "Aggregate" in line]
+    assert shuffled and not any("content" in line for line in shuffled)
+    assert ingest.changed_files(ingest.latest_files(found), stored).count() == 4
+
+
+def test_a_second_sync_rewrites_nothing(spark, corpus, tmp_path):
+    import os
+
+    tables, mirror = store.TableStore(spark, str(tmp_path / "store"), buckets=4), store.TableStore(spark, str(tmp_path / "mirror"), buckets=4)
+    ingest.create_tables(tables)
+    ingest.create_mirror(mirror)
+    config = EngineConfig(data_dirs=(str(corpus / "data"),), metadata_doc_list=str(corpus / "meta"), embedding_dimension=8)
+    ingest.ingest(spark, config, tables)
+    ingest.sync_to_mirror(tables, mirror)
+    files = lambda: sorted(str(p) for name in store.MANAGED_MIRROR_TABLES for p in (tmp_path / "mirror" / name).rglob("*.parquet"))
+    before = files()
+    ingest.sync_to_mirror(tables, mirror)
+    assert files() == before and before
+    changed = tables.read("document_chunks").filter("doc_id = 'DCT0'").withColumn("text", F.lit("other"))
+    tables.change("document_chunks", changed.select("doc_id"), lambda old: store.replace_children(old, changed))
+    ingest.sync_to_mirror(tables, mirror)
+    assert {r["text"] for r in mirror.read("document_chunks").filter("doc_id = 'DCT0'").collect()} == {"other"}
+    assert os.path.isdir(tmp_path / "mirror" / "_settings")
+
+
 def test_command_line_on_an_empty_store(spark, tmp_path, capsys):
     from hanji.__main__ import main
 
     own = ["--store", str(tmp_path / "store")]
-    main([*own, "init-db"])
+    main([*own, "init-db", "--buckets", "8"])
+    assert store.TableStore(spark, str(tmp_path / "store")).buckets == 8
     main([*own, "search", "영도구 점용", "-k", "2", "--dimension", "8"])
+    main([*own, "index", "--lists", "4"])
+    main([*own, "search", "영도구 점용", "-k", "2", "--dimension", "8", "--probes", "2"])
     for _ in range(2):
         main([*own, "sync-to-mirror", "--mirror", str(tmp_path / "mirror")])
     main([*own, "show", "DCT0"])

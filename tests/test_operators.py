@@ -195,3 +195,22 @@ def test_config(tmp_path):
     assert clean_query("  " + "x" * 600) == "x" * 500
     with pytest.raises(ValueError):
         clean_query("  ")
+
+
+def test_a_store_keeps_its_number_of_buckets(spark, tmp_path):
+    first = store.TableStore(spark, str(tmp_path), buckets=256)
+    first.write("t", spark.range(100).select(F.col("id").cast("string").alias("doc_id"), "id"))
+    again = store.TableStore(spark, str(tmp_path))
+    assert again.buckets == 256
+    assert all(again.lookup("t", str(k)).count() == 1 for k in range(0, 100, 20))
+    for other in ({"buckets": 64}, {"key": "id"}):
+        with pytest.raises(ValueError):
+            store.TableStore(spark, str(tmp_path), **other)
+    assert store.TableStore(spark, str(tmp_path / "new")).buckets == 64
+
+
+def test_differing_keys(spark):
+    schema = "doc_id string, a int, v array<double>"
+    ours = spark.createDataFrame([("same", 1, [1.0]), ("same", None, None), ("row", 1, [1.0]), ("row", 1, [1.0]), ("value", None, [1.0]), ("ours", 1, [])], schema)
+    theirs = spark.createDataFrame([("same", None, None), ("same", 1, [1.0]), ("row", 1, [1.0]), ("value", 1, None), ("theirs", 1, [])], schema)
+    assert rows(store.differing_keys(ours, theirs)) == [("ours",), ("row",), ("theirs",), ("value",)]
