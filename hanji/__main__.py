@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import logging
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from hanji.config import EngineConfig, clean_query, in_range
@@ -13,6 +14,7 @@ from hanji.operators import lookups, search, stats, store, vector_index
 from hanji.plans import ingest
 from hanji.session import spark_session
 from hanji.sources import hwp
+from hanji.streaming import ingest as streaming
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -29,6 +31,9 @@ def arguments() -> argparse.ArgumentParser:
     run.add_argument("--exclude-boilerplate-table", action="store_true")
     run.add_argument("--full", action="store_true", help="read unchanged files too")
     run.add_argument("--file", action="append", help="only this file or folder; may be given more than once")
+    run.add_argument("--follow", metavar="CHECKPOINT", help="take in what no earlier run with this checkpoint has seen, batch by batch")
+    run.add_argument("--files-per-batch", type=int, default=1000)
+    run.add_argument("--mirror", help="bring this mirror up to the store afterwards")
     run.add_argument("--batch-size", type=int, default=32)
     run.add_argument("--model", default="BAAI/bge-m3", help="an allowed name, or a folder with an ONNX model")
     run.add_argument("--allow-model", action="append", default=[], help="one more allowed name")
@@ -75,7 +80,13 @@ def main(argv: list[str] | None = None) -> None:
             batch_size=args.batch_size, log_level=args.log_level, **model_of(args),
         )
         logging.basicConfig(level=config.log_level)
-        ingest.ingest(spark, config, tables, incremental=not args.full, paths=args.file).show(truncate=False)
+        if args.follow:
+            streaming.follow_documents(spark, config, tables, args.follow, args.files_per_batch).awaitTermination()
+            streaming.batch_table(tables).read("batches").orderBy("batch_id").show(truncate=False)
+        else:
+            ingest.ingest(spark, config, tables, incremental=not args.full, paths=args.file).show(truncate=False)
+        if args.mirror:
+            sync(spark, tables, args.mirror)
     elif args.command == "search":
         in_range("top-k", args.top_k, 1, search.MAX_TOP_K)
         query = clean_query(args.query)
@@ -98,10 +109,14 @@ def main(argv: list[str] | None = None) -> None:
         hwp.extract_images(spark, *args.data).write.parquet(args.out)
         stats.status_counts(spark.read.parquet(args.out)).show()
     else:
-        mirror = store.TableStore(spark, args.mirror)
-        if not mirror.exists("documents"):
-            ingest.create_mirror(mirror)
-        ingest.sync_to_mirror(tables, mirror).show()
+        sync(spark, tables, args.mirror)
+
+
+def sync(spark: SparkSession, tables: store.TableStore, root: str) -> None:
+    mirror = store.TableStore(spark, root)
+    if not mirror.exists("documents"):
+        ingest.create_mirror(mirror)
+    ingest.sync_to_mirror(tables, mirror).show()
 
 
 if __name__ == "__main__":

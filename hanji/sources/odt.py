@@ -117,16 +117,26 @@ def parse(data: bytes) -> dict:
     }
 
 
+def failed(error: Exception) -> dict:
+    return {"elements": [], "table_rows": [], "paragraphs": [], "spans": [], "error": f"{type(error).__name__}: {error}"}
+
+
+def parsed_or_failed(data: bytes) -> dict:
+    try:
+        return parse(data)
+    except (ValueError, ET.ParseError, zipfile.BadZipFile, RecursionError) as error:
+        return failed(error)
+
+
+def batch_of(rows: list[dict]) -> pa.RecordBatch:
+    types = {"path": pa.string(), "file_hash": pa.string(), **_TYPES}
+    return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in types.items()], list(types))
+
+
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        for value in batch.column("content"):
-            try:
-                rows.append(parse(value.as_py()))
-            except (ValueError, ET.ParseError, zipfile.BadZipFile, RecursionError) as error:
-                rows.append({"elements": [], "table_rows": [], "paragraphs": [], "spans": [], "error": f"{type(error).__name__}: {error}"})
-        columns = [batch.column(c) for c in ("path", "file_hash")] + [pa.array([r[c] for r in rows], t) for c, t in _TYPES.items()]
-        yield pa.RecordBatch.from_arrays(columns, ["path", "file_hash", *_TYPES])
+        named = zip(*(batch.column(c).to_pylist() for c in ("path", "file_hash")), strict=True)
+        yield batch_of([{"path": path, "file_hash": digest, **parsed_or_failed(value.as_py())} for (path, digest), value in zip(named, batch.column("content"), strict=True)])
 
 
 def read_files(spark: SparkSession, *roots: str, glob: str = "*.odt") -> DataFrame:
@@ -193,7 +203,11 @@ def read_documents(spark: SparkSession, *roots: str) -> DataFrame:
 def parse_documents(files: DataFrame) -> DataFrame:
     """Files (path, file_hash, content) -> doc_id, file_path, title, file_hash, author_name, dept_name, report_date,
     sections, error. A file that can't be read is a row with an error and no sections."""
-    parsed = files.select("path", "file_hash", "content").mapInArrow(_parsed, f"path string, file_hash string, {ELEMENTS}")
+    return documents_of(files.select("path", "file_hash", "content").mapInArrow(_parsed, f"path string, file_hash string, {ELEMENTS}"))
+
+
+def documents_of(parsed: DataFrame) -> DataFrame:
+    """Parsed files, from files or from the source `odt`, as documents."""
     path = F.col("path")
     return parsed.select(
         text.document_id(path).alias("doc_id"), path.alias("file_path"), text.title_from_path(path).alias("title"), "file_hash",

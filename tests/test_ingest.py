@@ -164,3 +164,50 @@ def test_command_line_on_an_empty_store(spark, tmp_path, capsys):
     assert "document_count" in capsys.readouterr().out
     with pytest.raises(SystemExit):
         main([*own, "no-such-command"])
+
+
+def test_documents_that_arrive_while_it_breaks_off(spark, tmp_path, monkeypatch):
+    """A stream that is killed in a batch and started again stores what one batch run stores, and each batch once."""
+    from hanji.streaming import ingest as streaming
+
+    root = tmp_path / "data"
+
+    def arrive(*numbers):
+        for k in numbers:
+            folder = root / f"DCT{k}" / "attachments"
+            folder.mkdir(parents=True)
+            (folder / f"00{k}_문서.odt").write_bytes(odt_bytes(f"<text:p>words of {k}</text:p>" if k % 4 else ""))
+
+    config = EngineConfig(data_dirs=(str(root),), metadata_doc_list=str(tmp_path / "nowhere"), embedding_dimension=8)
+    tables = store.TableStore(spark, str(tmp_path / "stream"), buckets=4)
+    ingest.create_tables(tables)
+    arrive(1, 2, 3)
+    change, calls = tables.change, []
+
+    def breaks(name, keys, how):
+        calls.append(name)
+        if name == "documents" and calls.count("documents") == 2:
+            raise OSError("killed")
+        change(name, keys, how)
+
+    monkeypatch.setattr(tables, "change", breaks)
+    follow = lambda: streaming.follow_documents(spark, config, tables, str(tmp_path / "checkpoint"), per_batch=2)
+    with pytest.raises(Exception, match="killed"):
+        follow().awaitTermination()
+    assert tables.read("documents").count() == 2
+    monkeypatch.setattr(tables, "change", change)
+    arrive(4, 5)
+    follow().awaitTermination()
+    follow().awaitTermination()
+    batches = streaming.batch_table(tables).read("batches").orderBy("batch_id").collect()
+    assert [r["batch_id"] for r in batches] == [0, 1, 2] and sum(r["processed"] for r in batches) == 5
+
+    whole = store.TableStore(spark, str(tmp_path / "batch"), buckets=4)
+    ingest.create_tables(whole)
+    ingest.ingest(spark, config, whole)
+    for name in ("documents", "document_chunks", "attachments", "permit_extractions"):
+        times = ["created_at", "updated_at"]
+        ours, theirs = (sorted(map(repr, t.read(name).drop(*times).collect())) for t in (tables, whole))
+        assert ours == theirs, name
+    # A batch whose number is kept isn't done again.
+    streaming.once(tables, "documents", lambda batch: 1 / 0)(tables.read("documents"), 2)

@@ -138,3 +138,56 @@ def test_hwp_files_are_listed(spark, tmp_path):
         (tmp_path / name).write_bytes(b"12")
     got = sorted((r["path"].rsplit("/", 1)[-1], r["length"]) for r in hwp.list_files(spark, str(tmp_path)).collect())
     assert got == [("x.HWP", 2), ("y.hwpx", 2)]
+
+
+def test_odt_as_a_data_source(spark, tmp_path):
+    """The rows of read_documents; ten thousand small files in a few tasks, balanced by size."""
+    from hanji.sources import odt_format
+
+    for k in range(40):
+        folder = tmp_path / "data" / f"DCT{k:02}" / "attachments"
+        folder.mkdir(parents=True)
+        body = f"<text:p>words {k}</text:p>" * (1 + 50 * (k % 5)) + table(("신청인", "한빛건설"))
+        (folder / "000_문서.odt").write_bytes(odt_bytes(body) if k % 9 else b"broken")
+    (tmp_path / "data" / "other.txt").write_text("x")
+    got, want = odt_format.read(spark, str(tmp_path / "data")), odt.read_documents(spark, str(tmp_path / "data"))
+    plain = lambda df: sorted(repr(r) for r in df.withColumn("file_path", F.regexp_replace("file_path", "^file:", "")).collect())
+    assert got.columns == want.columns and plain(got) == plain(want)
+    assert odt_format.read(spark, str(tmp_path / "data" / "DCT01"), str(tmp_path / "data" / "DCT02")).count() == 2
+    (tmp_path / "none").mkdir()
+    assert odt_format.read(spark, str(tmp_path / "none")).count() == 0
+
+    many = tmp_path / "many"
+    many.mkdir()
+    data = odt_bytes("<text:p>x</text:p>")
+    for k in range(10_000):
+        (many / f"{k}.odt").write_bytes(data)
+    odt_format.register(spark)
+    found = spark.read.format("odt").load(str(many))
+    assert found.count() == 10_000 and found.rdd.getNumPartitions() <= 12
+    sizes = [(0, f"f{k}", s) for k, s in enumerate([900, 500, 400, 300, 200, 100, 50, 50])]
+    loads = [sum(dict((p, s) for _, p, s in sizes)[p] for p in part.paths) for part in odt_format.balanced([(t, p, s << 10) for t, p, s in sizes], 840 << 10)]
+    assert sum(loads) == 2500 and max(loads) <= 900
+
+
+def test_odt_as_a_stream(spark, tmp_path):
+    from hanji.sources import odt_format
+
+    odt_format.register(spark)
+    root = tmp_path / "in"
+    root.mkdir()
+
+    def run():
+        source = spark.readStream.format("odt").option("maxFilesPerTrigger", 2).load(str(root))
+        source.select("path", "file_hash", "error").writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+        return sorted(os.path.basename(r["path"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    for k in range(5):
+        (root / f"{k}.odt").write_bytes(odt_bytes(f"<text:p>{k}</text:p>"))
+        os.utime(root / f"{k}.odt", (1_700_000_000 + k, 1_700_000_000 + k))
+    first = run()
+    assert first == [f"{k}.odt" for k in range(len(first))] and len(first) >= 2
+    (root / "5.odt").write_bytes(b"broken")
+    for _ in range(4):
+        last = run()
+    assert last == [f"{k}.odt" for k in range(6)]
