@@ -12,9 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hanji.functions import dates, metadata, names, permits, text, vectors
+from hanji.functions import dates, keywords, metadata, names, permits, text, vectors
 from hanji.operators import attachments, chunking, search, stats, store, vector_index
+from hanji.plans import templates
 from hanji.session import shared_folder
+from hanji.streaming import ingest as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -392,9 +394,33 @@ def document_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("doc_id"), F.lit("text").alias("section_type"), F.regexp_replace("text", "\n", "\n\n").alias("content"), F.lit(0).alias("order"))
 
 
-@query()
+#: The greedy packing as folds over lists: sentences of each long paragraph, then paragraphs.
+GREEDY = r"""
+WITH paragraphs AS (SELECT doc_id, list_filter(list_transform(string_split(replace(text, chr(10), chr(10) || chr(10)), chr(10) || chr(10)), lambda p: regexp_replace(p, '^\s+|\s+$', '', 'g')), lambda p: p <> '') AS ps FROM documents),
+items AS (SELECT doc_id, flatten(list_transform(ps, lambda p: CASE WHEN {p} <= 256 THEN [{{'done': []::VARCHAR[], 'cur': p, 'alone': false}}] ELSE
+  list_transform(list_transform([list_reduce(list_transform(list_filter(list_transform(string_split(regexp_replace(p, '([.!?다요])\s+', '\1' || chr(1), 'g'), chr(1)), lambda s: regexp_replace(s, '^\s+|\s+$', '', 'g')), lambda s: s <> ''),
+      lambda s: {{'done': []::VARCHAR[], 'cur': s}}), lambda a, b: CASE WHEN {ab} <= 256 THEN {{'done': a.done, 'cur': a.cur || ' ' || b.cur}} ELSE {{'done': list_append(a.done, a.cur), 'cur': b.cur}} END)],
+    lambda r: list_append(r.done, r.cur))[1], lambda c: {{'done': []::VARCHAR[], 'cur': c, 'alone': true}}) END)) AS xs FROM paragraphs),
+packed AS (SELECT doc_id, list_reduce(xs, lambda a, b: CASE WHEN NOT b.alone AND {aabb} <= 256 THEN {{'done': a.done, 'cur': a.cur || chr(10) || chr(10) || b.cur, 'alone': false}}
+  ELSE {{'done': list_append(a.done, a.cur), 'cur': b.cur, 'alone': false}} END) AS r FROM items WHERE len(xs) > 0),
+listed AS (SELECT doc_id, list_append(r.done, r.cur) AS l FROM packed),
+chunks AS (SELECT doc_id, generate_subscripts(l, 1) - 1 AS k, unnest(l) AS text FROM listed)
+SELECT doc_id, k::INTEGER AS chunk_num, 'CH-' || doc_id[1:16] || '-' || lpad(k::VARCHAR, greatest(3, len(k::VARCHAR))::INTEGER, '0') AS chunk_id, text, {t}::INTEGER AS token_count
+FROM (SELECT doc_id::VARCHAR AS doc_id, k, text FROM chunks)"""
+
+
+def estimate_sql(text: str) -> str:
+    """The estimate of tokens in DuckDB's SQL."""
+    hangul = f"length(regexp_replace({text}, '[^가-힣]', '', 'g'))"
+    return f"floor({hangul} * 1.5 + (length({text}) - {hangul}) * 0.25)"
+
+
+GREEDY = GREEDY.format(p=estimate_sql("p"), ab=estimate_sql("(a.cur || ' ' || b.cur)"), aabb=estimate_sql("(a.cur || chr(10) || chr(10) || b.cur)"), t=estimate_sql("text")).replace("SELECT doc_id, k::INTEGER", "SELECT doc_id::BIGINT AS doc_id, k::INTEGER")
+
+
+@query(GREEDY)
 def greedy_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Paragraphs packed by built-in functions alone; tested against the rules written as plain Python."""
+    """Paragraphs packed by built-in functions alone; tested against the rules written as plain Python too."""
     return chunking.chunk_sections(document_sections(spark, sf_dir), lambda x: chunking.split_paragraphs(x, 256)).select("doc_id", "chunk_num", "chunk_id", "text", "token_count")
 
 
@@ -522,6 +548,77 @@ def permit_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("c_custkey", *permits.stored(F.col("permit"))).select("c_custkey", "ask_org_nm", "addr", "xtn", "purps_cn", "permit_start_date", "permit_end_date")
 
 
+RUN_ON_COLUMNS = ("ask_org_nm", "addr", "xtn", "purps_cn", "collection_volume", "permit_start_date", "permit_end_date", "amount")
+
+
+def run_on_sql() -> str:
+    said = lambda c: templates.pick_sql("c_custkey", tuple(fields.get(c) for _, fields in templates.RUN_ON))
+    return "SELECT c_custkey, " + ", ".join(f"({said(c)}){'::DATE' if c.endswith('date') else ''} AS {c}" for c in RUN_ON_COLUMNS) + " FROM customer"
+
+
+@query(run_on_sql())
+def permit_run_on(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flattened tables of six kinds, a table of changes, quantities in brackets and sentences about the ground."""
+    notices = table(spark, sf_dir, "customer").select("c_custkey", templates.pick("c_custkey", tuple(x for x, _ in templates.RUN_ON)).alias("text"))
+    return permits.extract(notices).select("c_custkey", *permits.stored(F.col("permit"))).select("c_custkey", *RUN_ON_COLUMNS)
+
+
+@query(f"SELECT c_custkey, {templates.pick_sql('c_custkey', tuple(name for _, name in templates.SENTENCES))} AS applicant FROM customer")
+def permit_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Who applied, in the ways in which sentences say so, with addressees and bare marks refused."""
+    notices = table(spark, sf_dir, "customer").select("c_custkey", templates.pick("c_custkey", tuple(x for x, _ in templates.SENTENCES)).alias("text"))
+    return permits.extract(notices).select("c_custkey", F.col("permit.permittee_name").alias("applicant"))
+
+
+@query("SELECT p_partkey, " + ", ".join(f"{templates.pick_sql('p_partkey', tuple(want for _, want in cases))} AS {field}" for field, cases in templates.VALUES.items()) + " FROM part")
+def permit_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of four fields as they are cut, chosen among parts, or refused."""
+    clean = {"location": permits.sanitize_location, "area": permits.sanitize_area, "purpose": permits.sanitize_purpose, "permittee_name": permits.sanitize_permittee}
+    return table(spark, sf_dir, "part").select("p_partkey", *[clean[field](templates.pick("p_partkey", tuple(x for x, _ in cases))).alias(field) for field, cases in templates.VALUES.items()])
+
+
+QUESTIONS = (
+    ("㈜한빛{n}해운에서 낸 공유수면 점용", "한빛{n}해운"), ("건설 (주)새바다{n}건설의 허가", "새바다{n}건설"), ("여수{n}시청으로부터, 산업", "여수{n}시청"),
+    ("부산 앞바다 점용 {n}건", None), ("항만 {n}번 공사", None),
+)
+
+
+@query(f"SELECT c_custkey, {templates.pick_sql('c_custkey', tuple(want for _, want in QUESTIONS))} AS keyword FROM customer")
+def keyword_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The name in a search question, without company marks and particles; an ending alone is no name."""
+    asked = table(spark, sf_dir, "customer").select("c_custkey", templates.pick("c_custkey", tuple(q for q, _ in QUESTIONS)).alias("q"))
+    return asked.select("c_custkey", keywords.keyword(F.col("q")).alias("keyword"))
+
+
+@query("SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN '홍길동, 김철수' WHEN 1 THEN '박영희' END AS author FROM supplier")
+def lookahead_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names in the paragraph after an approval line, else in the line itself; none after receivers or without approval."""
+    lines = F.expr("CASE s_suppkey % 4 WHEN 0 THEN array('제목 허가', '', '주무관 과장 전결', '', '홍길동 | 김철수과장') WHEN 1 THEN array('결재 박영희', '', '제목') WHEN 2 THEN array('수신자 성춘향', '홍길동') ELSE array('제목', '홍길동') END")
+    return table(spark, sf_dir, "supplier").select("s_suppkey", names.from_paragraphs(lines).alias("author"))
+
+
+@query("SELECT doc_id::VARCHAR AS doc_id, sha256(text) AS file_hash, lang, 1 AS runs FROM documents")
+def streaming_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as a stream of files whose batches are upserted by key into a stored table, each batch once: a second run
+    of the stream finds nothing new, and a batch that is handed over again changes nothing."""
+    root = f"{shared_folder(spark)}/hanji-stream/{uuid.uuid4().hex}"
+    table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang").repartition(4, "doc_id").write.parquet(f"{root}/arrived")
+    tables = store.TableStore(spark, f"{root}/store", 8)
+    tables.write("state", spark.createDataFrame([], "doc_id string, file_hash string, lang string, runs int"))
+
+    def work(batch: DataFrame) -> DataFrame:
+        new = batch.select("doc_id", F.sha2("text", 256).alias("file_hash"), "lang", F.lit(1).alias("runs"))
+        seen = lambda old: new.unionByName(old).groupBy("doc_id").agg(F.max("file_hash").alias("file_hash"), F.max("lang").alias("lang"), F.sum("runs").cast("int").alias("runs"))
+        tables.change("state", new.select("doc_id"), seen)
+        return stats.run_counters(new.select(F.lit("processed").alias("status"), F.lit(0).alias("chunks"), F.lit(0).alias("excluded"))).withColumn("superseded", F.lit(0))
+
+    apply = streaming.once(tables, "documents", work)
+    for _ in range(2):
+        streaming.follow_files(spark, f"{root}/arrived", "doc_id string, text string, lang string", apply, f"{root}/checkpoint", per_batch=2).awaitTermination()
+    apply(tables.read("state"), 0)
+    return tables.read("state")
+
+
 @query("SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN ['홍길동', '김철수'] WHEN 1 THEN ['박영희'] ELSE [] END AS names FROM supplier")
 def name_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names among titles, words that are none, and repeats."""
