@@ -170,17 +170,18 @@ class TableStore:
             return False
         return True
 
-    def _stored(self, name: str) -> DataFrame:
+    def stored(self, name: str) -> DataFrame:
+        """All rows with their bucket, those without a key and marks too."""
         return self.spark.read.parquet(self.path(name))
 
     def read(self, name: str) -> DataFrame:
-        return self._stored(name).filter(F.col(self.key).isNotNull()).drop("bucket")
+        return self.stored(name).filter(F.col(self.key).isNotNull()).drop("bucket")
 
     def lookup(self, name: str, *keys: str) -> DataFrame:
         """The rows of a few keys, from their buckets only."""
         wanted = self.spark.createDataFrame([(k,) for k in keys], f"{self.key} string").select(self.bucket()).distinct()
         buckets = [r["bucket"] for r in wanted.collect()]
-        return self._stored(name).filter(F.col("bucket").isin(buckets) & F.col(self.key).isin(*keys)).drop("bucket")
+        return self.stored(name).filter(F.col("bucket").isin(buckets) & F.col(self.key).isin(*keys)).drop("bucket")
 
     def _put(self, name: str, rows: DataFrame, mode: str, dynamic: bool = False) -> None:
         self._make()
@@ -206,6 +207,6 @@ class TableStore:
         touched = sorted(r["bucket"] for r in keys.select(self.bucket()).distinct().collect())  # `buckets` numbers at most
         if not touched:
             return
-        old = self._stored(name).filter(F.col("bucket").isin(touched) & F.col(self.key).isNotNull()).drop("bucket")
+        old = self.stored(name).filter(F.col("bucket").isin(touched) & F.col(self.key).isNotNull()).drop("bucket")
         new = change(old)
         self._put(name, new.withColumn("bucket", self.bucket()).unionByName(self._marks(new, touched)), "overwrite", dynamic=True)

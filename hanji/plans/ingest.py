@@ -8,6 +8,7 @@ import logging
 from functools import partial, reduce
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,9 @@ from hanji.sources import metadata, odt
 
 log = logging.getLogger(__name__)
 
+#: Unreadable files that a warning names.
+NAMED_FILES = 20
+
 DOCUMENT = (
     "doc_id string, doc_no string, title string, author_name string, dept_name string, report_date date, doc_year int, state_code string, state_name string, open_code string, open_name string, "
     "close_reason string, file_hash string, file_path string, biz_cate string, biz_sub_cate string, biz_detail_cate string, biz_full_path string, created_at timestamp_ntz, updated_at timestamp_ntz"
@@ -76,10 +80,16 @@ def embedder(config: EngineConfig):
 
 
 def known_metadata(spark: SparkSession, path: str, tables: store.TableStore) -> DataFrame:
-    """The spreadsheets' rows, stored; none, with a warning, if they can't be read: documents come in without them."""
+    """The spreadsheets' rows, stored. Files that can't be read are left out and named in a warning, the others count; where
+    there are none at all, documents come in without metadata, with a warning."""
     try:
-        tables.write("metadata", metadata.read_metadata(spark, path))
-    except Exception as error:  # whatever is wrong with the spreadsheets
+        tables.write("metadata_rows", metadata.read_rows(spark, path))
+        rows = tables.stored("metadata_rows").drop("bucket").filter(F.col("source").isNotNull())
+        bad = metadata.unreadable(rows)
+        for r in bad.limit(NAMED_FILES).collect():
+            log.warning("metadata file left out: %s (%s)", r["source"], r["error"].split(":")[0])
+        tables.write("metadata", metadata.latest(rows))
+    except AnalysisException as error:  # no such folder
         log.warning("metadata left out: %s", type(error).__name__)
         tables.write("metadata", spark.createDataFrame([], ", ".join(f"{c} string" for c in ("source", *metadata.COLUMNS))))
     return tables.read("metadata")

@@ -1,4 +1,4 @@
-"""Images inside HWP documents: a reader for the compound-file container, as one Arrow function over files."""
+"""Images inside HWP documents, as one Arrow function over files."""
 
 from __future__ import annotations
 
@@ -12,64 +12,13 @@ from pyspark.sql import functions as F
 
 from hanji.functions.text import looks_like_image, safe_basename, stem
 
-# Limits on a stream, a decoded image and all images of a document, and the container's signature.
+from . import compound
+
+# Limits on a stream, a decoded image and all images of a document.
 MAX_STREAM, MAX_IMAGE, MAX_TOTAL = 32 << 20, 64 << 20, 256 << 20
-SIGNATURE = bytes.fromhex("D0CF11E0A1B11AE1")
 SCHEMA = "path string, filename string, raw binary, inflated binary, error string"
 
 
-def streams(data: bytes) -> dict[str, bytes]:
-    """All streams of a compound file by their path."""
-    if data[:8] != SIGNATURE:
-        raise ValueError("no compound file")
-    big, small = 1 << struct.unpack_from("<H", data, 30)[0], 1 << struct.unpack_from("<H", data, 32)[0]
-    first_dir, = struct.unpack_from("<I", data, 48)
-    cutoff, first_mini, _, first_difat, _ = struct.unpack_from("<5I", data, 56)
-    sector = lambda n: data[(n + 1) * big : (n + 2) * big]
-    per = big // 4
-    difat = list(struct.unpack_from("<109I", data, 76))
-    while first_difat < 0xFFFFFFFA:
-        *more, first_difat = struct.unpack(f"<{per}I", sector(first_difat))
-        difat += more
-    fat = [x for n in difat if n < 0xFFFFFFFA for x in struct.unpack(f"<{per}I", sector(n))]
-
-    def chain(start: int, table: list[int], read) -> bytes:
-        out, seen = [], set()
-        while start < 0xFFFFFFFA:
-            if start in seen or start >= len(table):
-                raise ValueError("broken sector chain")
-            seen.add(start)
-            out.append(read(start))
-            start = table[start]
-        return b"".join(out)
-
-    directory = chain(first_dir, fat, sector)
-    entries = []
-    for at in range(0, len(directory), 128):
-        size, kind = struct.unpack_from("<HB", directory, at + 64)
-        left, right, child = struct.unpack_from("<3I", directory, at + 68)
-        start, length = struct.unpack_from("<IQ", directory, at + 116)
-        entries.append((directory[at : at + max(size - 2, 0)].decode("utf-16-le", "replace"), kind, left, right, child, start, length))
-    mini_data = chain(entries[0][5], fat, sector) if entries[0][6] else b""
-    mini_raw = chain(first_mini, fat, sector) if first_mini < 0xFFFFFFFA else b""
-    mini_fat = list(struct.unpack(f"<{len(mini_raw) // 4}I", mini_raw))
-    found: dict[str, bytes] = {}
-    todo, seen = [(entries[0][4], "")], set()
-    while todo:
-        k, prefix = todo.pop()
-        if k >= len(entries) or k in seen:
-            continue
-        seen.add(k)
-        name, kind, left, right, child, start, length = entries[k]
-        todo += [(left, prefix), (right, prefix)]
-        if kind == 1:
-            todo.append((child, f"{prefix}{name}/"))
-        elif kind == 2 and length <= MAX_STREAM:
-            own = chain(start, mini_fat, lambda n: mini_data[n * small : (n + 1) * small]) if length < cutoff else chain(start, fat, sector)
-            found[prefix + name] = own[:length]
-    return found
-
-
 def referenced(doc_info: bytes) -> dict[int, str]:
     """Numbers and suffixes of the embedded images that the document's information records name."""
     refs, at, number = {}, 0, 0
@@ -90,29 +39,43 @@ def referenced(doc_info: bytes) -> dict[int, str]:
 
 
 def inflate(data: bytes) -> bytes | None:
-    """Raw deflate, up to MAX_IMAGE bytes; null for anything else."""
+    """Raw deflate, null for anything else; one byte more than MAX_IMAGE tells that there is more."""
     try:
-        out = zlib.decompressobj(-15).decompress(data, MAX_IMAGE + 1)
+        return zlib.decompressobj(-15).decompress(data, MAX_IMAGE + 1)
     except zlib.error:
         return None
-    return out if len(out) <= MAX_IMAGE else None
+
+
+def images_of(path: str, content: bytes) -> list[tuple]:
+    """The images of a document as rows of SCHEMA. A stream, an image or all images together beyond the limits fail the
+    document: one row with an error, and no image."""
+    found = compound.streams(content, MAX_STREAM)
+    info = found.get("DocInfo") or b""
+    refs = {f"bin{n:04x}.{x}" for n, x in referenced(inflate(info) or info).items()}
+    rows, total = [], 0
+    for name, raw in sorted(found.items()):
+        if not name.startswith("BinData/") or (refs and name[8:].lower() not in refs):
+            continue
+        if raw is None:
+            raise ValueError("an embedded image's stream is too large")
+        inflated = inflate(raw)
+        size = len(raw if inflated is None else inflated)
+        total += size
+        if size > MAX_IMAGE:
+            raise ValueError("an embedded image is too large")
+        if total > MAX_TOTAL:
+            raise ValueError("the embedded images together are too large")
+        rows.append((path, name[8:], raw, inflated, None))
+    return rows or [(path, None, None, None, None)]
 
 
 def _images(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-            rows: list[tuple] = []
             try:
-                found = streams(content.as_py())
-                info = found.get("DocInfo", b"")
-                refs = {f"bin{n:04x}.{x}" for n, x in referenced(inflate(info) or info).items()}
-                for name, raw in sorted(found.items()):
-                    if name.startswith("BinData/") and (not refs or name[8:].lower() in refs):
-                        rows.append((path, name[8:], raw, inflate(raw), None))
-                if not rows:
-                    rows.append((path, None, None, None, None))
+                rows = images_of(path, content.as_py())
             except (ValueError, IndexError, struct.error) as error:
-                rows.append((path, None, None, None, f"{type(error).__name__}: {error}"))
+                rows = [(path, None, None, None, f"{type(error).__name__}: {error}")]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.binary(), pa.binary(), pa.string()), strict=True)], ["path", "filename", "raw", "inflated", "error"])
 
 

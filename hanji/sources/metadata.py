@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import re
+import struct
 import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
@@ -17,6 +18,8 @@ from hanji.functions import metadata as md
 from hanji.functions.text import strip
 from hanji.operators.store import keep_last
 
+from . import biff
+
 # The columns in order, each with the header texts that name it.
 COLUMNS: dict[str, tuple[str, ...]] = {
     "doc_type_raw": ("구분(p:생산,r:접수)", "se"),
@@ -50,7 +53,9 @@ COLUMNS: dict[str, tuple[str, ...]] = {
     "receiver_dept_detail": ("수신자부서상세이름", "rec_dept_name_desc"),
     "sender_dept_name": ("발송자부서이름", "send_dept_name"),
 }
+# Namespaces of the format.
 SHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 
 
 def canonical(header: str | None) -> str | None:
@@ -91,13 +96,25 @@ def csv_rows(data: bytes) -> list[list[str | None]]:
     return [[cell or None for cell in row] for row in csv.reader(io.StringIO(data.decode("utf-8-sig")))]
 
 
+def first_sheet(book: zipfile.ZipFile) -> str:
+    """The member that the workbook names as its first sheet, whatever its number; without a workbook, that of the
+    lowest number."""
+    names = book.namelist()
+    if {"xl/workbook.xml", "xl/_rels/workbook.xml.rels"} <= set(names):
+        first = next(ET.fromstring(book.read("xl/workbook.xml")).iter(SHEET + "sheet"), None)
+        targets = {r.get("Id"): (r.get("Target") or "") for r in ET.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
+        if first is not None and (target := targets.get(first.get(RELATION + "id"))):
+            return target.lstrip("/") if target.startswith("/") else f"xl/{target}"
+    return min((n for n in names if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n)), key=lambda n: int(re.sub(r"\D", "", n)))
+
+
 def xlsx_rows(data: bytes) -> list[list[str | None]]:
     """The first sheet's cells as strings."""
     with zipfile.ZipFile(io.BytesIO(data)) as book:
         shared = []
         if "xl/sharedStrings.xml" in book.namelist():
             shared = ["".join(t.text or "" for t in si.iter(SHEET + "t")) for si in ET.fromstring(book.read("xl/sharedStrings.xml"))]
-        sheet = min((n for n in book.namelist() if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n)), key=lambda n: int(re.sub(r"\D", "", n)))
+        sheet = first_sheet(book)
         rows = []
         for row in ET.fromstring(book.read(sheet)).iter(SHEET + "row"):
             cells: dict[int, str] = {}
@@ -113,33 +130,57 @@ def xlsx_rows(data: bytes) -> list[list[str | None]]:
     return rows
 
 
+READERS = {"csv": csv_rows, "xlsx": xlsx_rows, "xls": biff.rows_of}
+UNREADABLE = (ValueError, KeyError, IndexError, struct.error, zipfile.BadZipFile, ET.ParseError, csv.Error)
+
+
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Files -> rows of the known columns, with the file's order and the row's place."""
+    """Files -> rows of the known columns, with the file's order and the row's place; a file that can't be read is one row
+    with an error."""
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), *[pa.string()] * len(COLUMNS)]
     for batch in batches:
         for file in batch.to_pylist():
-            read = xlsx_rows if file["path"].lower().endswith(".xlsx") else csv_rows
-            rows = [r for r in read(file["content"]) if any(c not in (None, "") for c in r)]
-            mapping, start = header_of(rows)
-            out: dict[str, list] = {c: [] for c in ("modified", "source", "place", *COLUMNS)}
-            for place, row in enumerate(rows[start:]):
-                named = {name: row[k] for k, name in mapping.items() if k < len(row)}
-                for c in COLUMNS:
-                    out[c].append(named.get(c))
-                out["modified"].append(file["modified"])
-                out["source"].append(file["path"].rsplit("/", 1)[-1])
-                out["place"].append(place)
-            kinds = [pa.int64(), pa.string(), pa.int64(), *[pa.string()] * len(COLUMNS)]
+            out: dict[str, list] = {c: [] for c in ("modified", "source", "place", "error", *COLUMNS)}
+
+            def put(place: int, error: str | None, named: dict[str, str | None], file: dict = file, out: dict = out) -> None:
+                own = {"modified": file["modified"], "source": file["path"].rsplit("/", 1)[-1], "place": place, "error": error}
+                for c, values in out.items():
+                    values.append(own[c] if c in own else named.get(c))
+
+            try:
+                rows = [r for r in READERS[file["path"].lower().rsplit(".", 1)[-1]](file["content"]) if any(c not in (None, "") for c in r)]
+                mapping, start = header_of(rows)
+                for place, row in enumerate(rows[start:]):
+                    put(place, None, {name: row[k] for k, name in mapping.items() if k < len(row)})
+            except UNREADABLE as error:
+                put(0, f"{type(error).__name__}: {error}", {})
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], list(out))
 
 
-def read_metadata(spark: SparkSession, *paths: str) -> DataFrame:
-    """One row for each doc_id, all columns strings: of rows with one doc_id the last by the files' time, their name and
-    the row's place. Each file is read by one task; a folder's files in parallel."""
+def read_rows(spark: SparkSession, *paths: str) -> DataFrame:
+    """All rows of all files (.csv, .xlsx, .xls), with `error` for files that can't be read. Each file is read by one task; a
+    folder's files in parallel."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
-    files = files.filter(F.lower("path").rlike(r"\.(csv|xlsx)$")).select("path", F.unix_micros("modificationTime").alias("modified"), "content")
-    schema = "modified long, source string, place long, " + ", ".join(f"{c} string" for c in COLUMNS)
-    rows = files.mapInArrow(_rows, schema).withColumn("doc_id", md.text_or_empty(F.col("doc_id"))).filter(F.col("doc_id") != "")
-    return keep_last(rows, "doc_id", F.col("modified"), F.col("source"), F.col("place")).drop("modified", "place")
+    files = files.filter(F.lower("path").rlike(r"\.(csv|xlsx|xls)$")).select("path", F.unix_micros("modificationTime").alias("modified"), "content")
+    schema = "modified long, source string, place long, error string, " + ", ".join(f"{c} string" for c in COLUMNS)
+    return files.mapInArrow(_rows, schema)
+
+
+def unreadable(rows: DataFrame) -> DataFrame:
+    """(source, error) of the files that couldn't be read."""
+    return rows.filter(F.col("error").isNotNull()).select("source", "error")
+
+
+def latest(rows: DataFrame) -> DataFrame:
+    """One row for each doc_id, all columns strings: of rows with one doc_id the last by the files' time, their name and
+    the row's place."""
+    named = rows.filter(F.col("error").isNull()).withColumn("doc_id", md.text_or_empty(F.col("doc_id"))).filter(F.col("doc_id") != "")
+    return keep_last(named, "doc_id", F.col("modified"), F.col("source"), F.col("place")).drop("modified", "place", "error")
+
+
+def read_metadata(spark: SparkSession, *paths: str) -> DataFrame:
+    """The latest row of each doc_id in all files that can be read."""
+    return latest(read_rows(spark, *paths))
 
 
 def document_metadata(rows: DataFrame) -> DataFrame:

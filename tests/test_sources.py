@@ -6,10 +6,11 @@ import struct
 import zipfile
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from hanji.functions import text
-from hanji.sources import hwp, metadata, odt
+from hanji.sources import biff, compound, hwp, metadata, odt
 from hanji.streaming import ingest
 
 NS = 'xmlns:office="urn:oasis:names:tc:opendocument:xmlns:office:1.0" xmlns:text="urn:oasis:names:tc:opendocument:xmlns:text:1.0" xmlns:table="urn:oasis:names:tc:opendocument:xmlns:table:1.0"'
@@ -86,15 +87,76 @@ def test_metadata_by_position_and_xlsx(spark, tmp_path):
     assert [(r["doc_id"], r["doc_type_raw"], r["title"], r["state_code"]) for r in got] == [("D9", "P2026", "제목", None)]
 
 
-def compound_file(streams: dict[str, bytes]) -> bytes:
-    """A compound file with all streams in one storage BinData, every stream padded beyond the mini-stream limit."""
-    padded = {n: d + b"\0" * (4096 - len(d)) for n, d in streams.items()}
+def test_first_sheet_by_the_workbook(spark, tmp_path):
+    sheet = '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>%s</sheetData></worksheet>'
+    row = lambda n, *cells: f"<row>{''.join(f'<c r="{c}{n}" t="inlineStr"><is><t>{v}</t></is></c>' for c, v in cells)}</row>"
+    with zipfile.ZipFile(tmp_path / "order.xlsx", "w") as z:
+        z.writestr("xl/worksheets/sheet1.xml", sheet % (row(1, ("A", "x")) + row(2, ("D", "WRONG"))))
+        z.writestr("xl/worksheets/sheet2.xml", sheet % (row(1, ("A", "x")) + row(2, ("D", "RIGHT"))))
+        z.writestr("xl/workbook.xml", '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="b" sheetId="2" r:id="rId2"/><sheet name="a" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Target="worksheets/sheet1.xml"/><Relationship Id="rId2" Target="/xl/worksheets/sheet2.xml"/></Relationships>')
+    assert [r["doc_id"] for r in metadata.read_metadata(spark, str(tmp_path)).collect()] == ["RIGHT"]
+
+
+def xls_bytes(sheets: list[list[list]]) -> bytes:
+    """A legacy workbook: shared strings cut across a continued record, numbers of each kind, a date, a formula."""
+    record = lambda number, body: struct.pack("<HH", number, len(body)) + body
+    strings = sorted({v for grid in sheets for r in grid for v in r if isinstance(v, str)})
+    flat = b"".join(struct.pack("<HB", len(v), 1) + v.encode("utf-16-le") for v in strings)
+    cut = 3 + 2 * (len(strings[0]) // 2)  # inside the first string
+    shared = record(0xFC, struct.pack("<II", 1, len(strings)) + flat[:cut]) + record(0x3C, b"\x01" + flat[cut:])
+    styles = record(0xE0, struct.pack("<HH", 0, 0) + b"\0" * 16) + record(0xE0, struct.pack("<HH", 0, 164) + b"\0" * 16)
+    format_ = record(0x41E, struct.pack("<HHB", 164, 10, 0) + b"yyyy-mm-dd")
+    bodies = []
+    for grid in sheets:
+        out = record(0x809, b"\0\x06\x10\0" + b"\0" * 12)
+        for r, cells in enumerate(grid):
+            for c, v in enumerate(cells):
+                at = struct.pack("<3H", r, c, 1 if isinstance(v, tuple) else 0)
+                if isinstance(v, str):
+                    out += record(0xFD, at + struct.pack("<I", strings.index(v)))
+                elif isinstance(v, tuple):
+                    out += record(0x203, at + struct.pack("<d", v[0]))
+                elif isinstance(v, int):
+                    out += record(0x27E, at + struct.pack("<I", v << 2 | 2))
+                elif isinstance(v, float):
+                    out += record(0x203, at + struct.pack("<d", v))
+                elif isinstance(v, bytes):
+                    out += record(0x06, at + b"\0" * 6 + b"\xff\xff" + b"\0" * 8) + record(0x207, struct.pack("<HB", len(v), 0) + v)
+        bodies.append(out + record(0x0A, b""))
+    head = record(0x809, b"\0\x06\x05\0" + b"\0" * 12) + format_ + styles + shared
+    names = [f"s{k}".encode() for k in range(len(sheets))]
+    start = len(head) + sum(4 + 8 + len(n) for n in names) + 4
+    offsets, at = [], start  # the first listed sheet lies last
+    for body in bodies:
+        offsets.append(at)
+        at += len(body)
+    bound = b"".join(record(0x85, struct.pack("<IBBBB", offset, 0, 0, len(n), 0) + n) for offset, n in zip(reversed(offsets), names, strict=True))
+    return head + bound + record(0x0A, b"") + b"".join(bodies)
+
+
+def test_legacy_spreadsheets(spark, tmp_path):
+    first = [["안내"], ["P2026", None, None, "D7", 12, None, "옛 표의 제목", None, None, (45000.5,), 1.25, b"result"]]
+    book = xls_bytes([[["x"], ["P2020", None, None, "WRONG"]], first])
+    data = compound_file({"Workbook": book}, storage=False)
+    assert biff.rows_of(data) == [["안내"], ["P2026", None, None, "D7", "12", None, "옛 표의 제목", None, None, "2023-03-15 12:00:00", "1.25", "result"]]
+    (tmp_path / "old.xls").write_bytes(data)
+    (tmp_path / "bad.xls").write_bytes(b"no workbook")
+    (tmp_path / "bad.xlsx").write_bytes(b"no archive")
+    got = metadata.read_metadata(spark, str(tmp_path)).collect()
+    assert [(r["doc_id"], r["title"], r["receive_date"], r["doc_seq"], r["link_id"]) for r in got] == [("D7", "옛 표의 제목", "2023-03-15 12:00:00", "12", "result")]
+    assert {r["source"] for r in metadata.unreadable(metadata.read_rows(spark, str(tmp_path))).collect()} == {"bad.xls", "bad.xlsx"}
+
+
+def compound_file(streams: dict[str, bytes], storage: bool = True) -> bytes:
+    """A compound file with all streams in one storage BinData, or none; every stream padded beyond the mini-stream limit."""
+    padded = {n: d + b"\0" * (max(4096, -(-len(d) // 512) * 512) - len(d)) for n, d in streams.items()}
     names = list(padded)
-    entries = [("Root Entry", 5, -1, -1, 1, 0, 0), ("BinData", 1, -1, -1, 2, 0, 0)]
+    entries = [("Root Entry", 5, -1, -1, 1 if storage else 2, 0, 0), ("BinData", 1, -1, -1, 2, 0, 0)]
     data, fat = [], []
     for k, n in enumerate(names):
         start = len(fat)
-        fat += [*range(start + 1, start + 8), 0xFFFFFFFE]
+        fat += [*range(start + 1, start + len(padded[n]) // 512), 0xFFFFFFFE]
         data.append(padded[n])
         entries.append((n, 2, -1, k + 3 if k + 1 < len(names) else -1, -1, start, len(streams[n]) if len(streams[n]) >= 4096 else 4096))
     while len(entries) % 4:
@@ -105,10 +167,21 @@ def compound_file(streams: dict[str, bytes]) -> bytes:
     fat += [*range(first_dir + 1, first_dir + count), 0xFFFFFFFE, 0xFFFFFFFD]
     fat_sector = len(fat) - 1
     table_ = struct.pack("<128I", *fat, *[0xFFFFFFFF] * (128 - len(fat)))
-    head = hwp.SIGNATURE + b"\0" * 16 + struct.pack("<5H", 62, 3, 0xFFFE, 9, 6) + b"\0" * 6 + struct.pack("<9I", 0, 1, first_dir, 0, 4096, 0xFFFFFFFE, 0, 0xFFFFFFFE, 0)
+    head = compound.SIGNATURE + b"\0" * 16 + struct.pack("<5H", 62, 3, 0xFFFE, 9, 6) + b"\0" * 6 + struct.pack("<9I", 0, 1, first_dir, 0, 4096, 0xFFFFFFFE, 0, 0xFFFFFFFE, 0)
     return head + struct.pack("<109I", fat_sector, *[0xFFFFFFFF] * 108) + b"".join(data) + directory + table_
 
 
+def test_images_beyond_the_limits_fail_their_document(spark, tmp_path, monkeypatch):
+    png = bytes.fromhex("89504E470D0A1A0A") + b"x" * 4200
+    data = compound_file({"BIN0001.png": png, "BIN0002.png": png})
+    assert len(hwp.images_of("a", data)) == 2
+    for limit, value, said in (("MAX_STREAM", 4100, "stream is too large"), ("MAX_IMAGE", 4100, "image is too large"), ("MAX_TOTAL", 8000, "together are too large")):
+        with monkeypatch.context() as m:
+            m.setattr(hwp, limit, value)
+            with pytest.raises(ValueError, match=said):
+                hwp.images_of("a", data)
+
+
 def test_hwp_images(spark, tmp_path):
     png = bytes.fromhex("89504E470D0A1A0A") + bytes(range(200))
     deflate = zlib.compressobj(9, zlib.DEFLATED, -15)
