@@ -15,19 +15,21 @@ STRONG = ("주무관", "사무관", "행정사무관", "행정주무관", "서
 RECEIVER = ("수신자", "수신", "받는분", "참조", "경유")
 ROLES = ("과장", "국장", "부장", "실장", "팀장", "청장", "본부장")
 # Words of two to four syllables that are no names.
-NO_NAMES = """
-담당 과장 부장 국장 차관 장관 실장 팀장 주무관 사무관 서기관 정책관 전문위 조정관 행정사무관 행정주무관 행정사무 행정주무
-본부장 청장 대장 중장 소장 준장 대령 중령 소령 대위 중위 소위 원사 상사 중사 하사 병장 상병 일병 이병 검토 협조 결재
-기안 승인 대결 전결 내부결재 내부 협조자 수신 수신자 제목 참조 기안자 검토자 등록번호 등록일자 문서번호 시행일자 접수일자
-결재일자 공개구분 보존기간 분류기호 비공개 공개여부 시행 접수 붙임 전화 팩스 전화번호 팩스번호 향후 가결 대한 수면 매립
-계획 알림 반영 요청 심의 결과 통보 회신 행정사항 행정 시간 검토를 관련 사항 해양산업 해양수산 해양 산업 어업 항만
-공유수면 공유 면허 취득 휴가 병가 연가 출장 교육 관계 보통 낮음 높음 신청한 허가 전송 제대상 하여 기존 부분 결정
-추가허가 검토사항 매립면허 채취허가 검토배경 매립공사 구분 장소 면적 목적 기간 변경전 변경후 변경 간접점용 조선소
-선박접안 부선거와 의장안벽 면제대상 시설 관로의 군산 신청인 다음 호의 모든 기준이 고시일자 변경고시 귀하 회장 운영지원
-문화재 어촌어항 의견 내용 주요 직인 승인의 점용사용 변경허가 법률 설치 없음 계류시설 배경 변경승인 부식시험 사하구청
-운영 점사용 준설 타당성 보고 부산조선 성창기업 실시간 언로딩선 허가취소 동해전력 토건 연장에 대해 내용을 합니다
-평택대표 김청수에 대하여 드립니다
-""".split()
+NO_NAMES = (
+    "담당", "과장", "부장", "국장", "차관", "장관", "실장", "팀장", "주무관", "사무관", "서기관", "정책관", "전문위", "조정관", "행정사무관",
+    "행정주무관", "행정사무", "행정주무", "본부장", "청장", "대장", "중장", "소장", "준장", "대령", "중령", "소령", "대위", "중위", "소위", "원사",
+    "상사", "중사", "하사", "병장", "상병", "일병", "이병", "검토", "협조", "결재", "기안", "승인", "대결", "전결", "내부결재", "내부", "협조자",
+    "수신", "수신자", "제목", "참조", "기안자", "검토자", "등록번호", "등록일자", "문서번호", "시행일자", "접수일자", "결재일자", "공개구분",
+    "보존기간", "분류기호", "비공개", "공개여부", "시행", "접수", "붙임", "전화", "팩스", "전화번호", "팩스번호", "향후", "가결", "대한", "수면",
+    "매립", "계획", "알림", "반영", "요청", "심의", "결과", "통보", "회신", "행정사항", "행정", "시간", "검토를", "관련", "사항", "해양산업",
+    "해양수산", "해양", "산업", "어업", "항만", "공유수면", "공유", "면허", "취득", "휴가", "병가", "연가", "출장", "교육", "관계", "보통", "낮음",
+    "높음", "신청한", "허가", "전송", "제대상", "하여", "기존", "부분", "결정", "추가허가", "검토사항", "매립면허", "채취허가", "검토배경",
+    "매립공사", "구분", "장소", "면적", "목적", "기간", "변경전", "변경후", "변경", "간접점용", "조선소", "선박접안", "부선거와", "의장안벽",
+    "면제대상", "시설", "관로의", "군산", "신청인", "다음", "호의", "모든", "기준이", "고시일자", "변경고시", "귀하", "회장", "운영지원", "문화재",
+    "어촌어항", "의견", "내용", "주요", "직인", "승인의", "점용사용", "변경허가", "법률", "설치", "없음", "계류시설", "배경", "변경승인", "부식시험",
+    "사하구청", "운영", "점사용", "준설", "타당성", "보고", "부산조선", "성창기업", "실시간", "언로딩선", "허가취소", "동해전력", "토건", "연장에",
+    "대해", "내용을", "합니다", "평택대표", "김청수에", "대하여", "드립니다",
+)
 TITLE_ENDINGS = ("시장", "군수", "구청장", "도지사", "회장")
 OFFICE_WORDS = (
     "지방", "항만", "해양", "해사", "선원", "물류", "건설", "표지", "환경", "계획", "조사", "개발", "정비", "안전", "행정",

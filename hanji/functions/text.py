@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 #: White space as Unicode has it (Java's \s knows ASCII only).
 SPACE = r"(?U)\s"
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def let(x: Column, f: Callable[[Column], Column]) -> Column:
@@ -17,7 +18,7 @@ def let(x: Column, f: Callable[[Column], Column]) -> Column:
 
 
 def strip(x: Column) -> Column:
-    return F.regexp_replace(x, r"(?U)^\s+|(?<!\s)\s+$", "")
+    return F.btrim(x, F.lit(WHITE))
 
 
 def collapse(x: Column) -> Column:
@@ -113,8 +114,14 @@ def estimate_of(length: Column, hangul: Column) -> Column:
     return F.floor(hangul * 1.5 + (length - hangul) * 0.25).cast("int")
 
 
+def hangul_count(text: Column) -> Column:
+    """Number of Hangul syllables; texts of ASCII alone aren't searched."""
+    found = F.length(text) - F.length(F.regexp_replace(text, "[가-힣]+", ""))
+    return F.when(F.octet_length(text) == F.length(text), F.lit(0)).otherwise(found)
+
+
 def token_estimate(text: Column) -> Column:
-    return estimate_of(F.length(text), F.length(text) - F.length(F.regexp_replace(text, "[가-힣]", "")))
+    return estimate_of(F.length(text), hangul_count(text))
 
 
 def contains_ignoring_case(text: Column, keyword: str) -> Column:

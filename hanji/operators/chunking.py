@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,8 +20,7 @@ SENTENCE_END = r"(?<=[.!?다요])(?U)\s+"
 
 def _item(piece: Column, alone: bool) -> Column:
     """A piece with its length, its number of Hangul syllables, and whether it begins a chunk whatever fits."""
-    hangul = F.length(piece) - F.length(F.regexp_replace(piece, "[가-힣]", ""))
-    return F.struct(piece.alias("text"), F.length(piece).alias("n"), hangul.alias("hangul"), F.lit(alone).alias("alone"))
+    return F.struct(piece.alias("text"), F.length(piece).alias("n"), text.hangul_count(piece).alias("hangul"), F.lit(alone).alias("alone"))
 
 
 def _pack(items: Column, joint: str, size: int) -> Column:
@@ -61,47 +61,65 @@ def split_paragraphs(x: Column, size: int = CHUNK_SIZE) -> Column:
     return _pack(F.flatten(items), "\n\n", size)
 
 
+class Measured:
+    """A text in which any stretch's estimate takes two look-ups, by sums of its Hangul syllables from the beginning."""
+
+    def __init__(self, x: str):
+        codes = np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.text, self.before = x, [0, *np.cumsum((codes >= ord("가")) & (codes <= ord("힣"))).tolist()]
+
+    def estimate(self, start: int, end: int) -> int:
+        hangul = self.before[end] - self.before[start]
+        return int(hangul * 1.5 + (end - start - hangul) * 0.25)
+
+    def cut(self, start: int, end: int, mark: str) -> list[tuple[int, int]]:
+        """Stretches that begin at each mark; single characters for the empty mark."""
+        if not mark:
+            return [(k, k + 1) for k in range(start, end)]
+        starts, at = [start], self.text.find(mark, start, end)
+        while at >= 0:
+            starts.append(at)
+            at = self.text.find(mark, at + len(mark), end)
+        return [(s, e) for s, e in zip(starts, [*starts[1:], end], strict=True) if e > s]
+
+    def split(self, start: int, end: int, size: int, overlap: int, separators: tuple[str, ...]) -> list[tuple[int, int]]:
+        at = next((k for k, s in enumerate(separators) if s == "" or self.text.find(s, start, end) >= 0), len(separators) - 1)
+        rest = separators[at + 1 :]
+        out: list[tuple[int, int]] = []
+        fitting: list[tuple[int, int]] = []
+        for part in self.cut(start, end, separators[at]):
+            if self.estimate(*part) < size:
+                fitting.append(part)
+                continue
+            out += self.merge(fitting, size, overlap)
+            fitting = []
+            out += self.split(*part, size, overlap, rest) if rest else [part]
+        return out + self.merge(fitting, size, overlap)
+
+    def merge(self, parts: list[tuple[int, int]], size: int, overlap: int) -> list[tuple[int, int]]:
+        """Neighbouring parts packed up to `size`, each pack with parts of up to `overlap` of the one before."""
+        out: list[tuple[int, int]] = []
+        sizes = [self.estimate(*p) for p in parts]
+        first, total = 0, 0
+        for k, n in enumerate(sizes):
+            if total + n > size and k > first:
+                out.append((parts[first][0], parts[k - 1][1]))
+                while first < k and (total > overlap or (total + n > size and total > 0)):
+                    total -= sizes[first]
+                    first += 1
+            total += n
+        return [*out, (parts[first][0], parts[-1][1])] if parts else out
+
+
 def estimate(x: str) -> int:
-    hangul = sum("가" <= c <= "힣" for c in x)
-    return int(hangul * 1.5 + (len(x) - hangul) * 0.25)
+    return Measured(x).estimate(0, len(x))
 
 
 def recursive_split(x: str, size: int, overlap: int, separators: tuple[str, ...] = SEPARATORS) -> list[str]:
     """Split at the first separator that occurs, pack the parts with an overlap, and split what is too long by the
     separators that follow. Lengths are sums of the parts' own estimates, each truncated."""
-    at = next((k for k, s in enumerate(separators) if s == "" or s in x), len(separators) - 1)
-    mark, rest = separators[at], separators[at + 1 :]
-    if mark:
-        cut = x.split(mark)
-        parts = [p for p in [cut[0], *[mark + p for p in cut[1:]]] if p]
-    else:
-        parts = list(x)
-    out: list[str] = []
-    fitting: list[str] = []
-    for part in parts:
-        if estimate(part) < size:
-            fitting.append(part)
-            continue
-        out += merge(fitting, size, overlap)
-        fitting = []
-        out += recursive_split(part, size, overlap, rest) if rest else [part]
-    return out + merge(fitting, size, overlap)
-
-
-def merge(parts: list[str], size: int, overlap: int) -> list[str]:
-    out: list[str] = []
-    window: list[tuple[str, int]] = []
-    total = 0
-    for part in parts:
-        n = estimate(part)
-        if total + n > size and window:
-            out.append("".join(p for p, _ in window).strip())
-            while window and (total > overlap or (total + n > size and total > 0)):
-                total -= window.pop(0)[1]
-        window.append((part, n))
-        total += n
-    out.append("".join(p for p, _ in window).strip())
-    return [c for c in out if c]
+    found = (x[s:e].strip() for s, e in Measured(x).split(0, len(x), size, overlap, separators))
+    return [c for c in found if c]
 
 
 def recursive_splitter(size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP):

@@ -50,18 +50,19 @@ def similarity_search(
 
 def hybrid_search(
     chunks: DataFrame, query: Column, keyword: str | None, top_k: int = 10, vector_weight: float = DEFAULT_WEIGHT,
-    id_column: str = "chunk_id", decimals: int | None = None,
+    id_column: str = "chunk_id", decimals: int | None = None, occurs: Column | None = None,
 ) -> DataFrame:
     """The top_k chunks by vector_weight * cosine + (1 - vector_weight) if the keyword occurs, whatever its case.
 
-    The keyword is stripped and cut to MAX_KEYWORD characters; without one this is similarity_search.
+    The keyword is stripped and cut to MAX_KEYWORD characters; without one this is similarity_search. occurs: whether it
+    does, where texts lie elsewhere and have been searched there; else `text` is.
     """
     if not 0 <= vector_weight <= 1:
         raise ValueError("vector_weight must be between 0 and 1")
     keyword = (keyword or "").strip()[:MAX_KEYWORD]
     if not keyword:
         return similarity_search(chunks, query, top_k, id_column=id_column, decimals=decimals)
-    hit = F.coalesce(text.contains_ignoring_case(F.col("text"), keyword), F.lit(False)).cast("int")
+    hit = F.coalesce(text.contains_ignoring_case(F.col("text"), keyword) if occurs is None else occurs, F.lit(False)).cast("int")
     score = F.lit(vector_weight) * vectors.cosine(F.col("embedding"), query) + F.lit(1 - vector_weight) * hit
     scored = chunks.filter(F.col("embedding").isNotNull()).withColumn("similarity", score if decimals is None else F.round(score, decimals)).drop("embedding")
     return scored.orderBy(*score_order("similarity", id_column)).limit(clamp_top_k(top_k))
