@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from hanji.functions import dates, keywords, metadata, names, permits, text, vectors
 from hanji.operators import attachments, chunking, search, stats, store, vector_index
 from hanji.plans import templates
-from hanji.session import shared_folder
+from hanji.session import shared_folder, spread
 from hanji.streaming import ingest as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -419,13 +419,13 @@ GREEDY = GREEDY.format(p=estimate_sql("p"), ab=estimate_sql("(a.cur || ' ' || b.
 @query(GREEDY)
 def greedy_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paragraphs packed by built-in functions alone; tested against the rules written as plain Python too."""
-    return chunking.chunk_sections(document_sections(spark, sf_dir), lambda x: chunking.split_paragraphs(x, 256)).select("doc_id", "chunk_num", "chunk_id", "text", "token_count")
+    return chunking.chunk_sections(spread(document_sections(spark, sf_dir)), lambda x: chunking.split_paragraphs(x, 256)).select("doc_id", "chunk_num", "chunk_id", "text", "token_count")
 
 
 @query()
 def recursive_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The recursive splitter with overlap; tested by the properties of its chunks."""
-    return chunking.chunk_sections(document_sections(spark, sf_dir), chunking.recursive_splitter(256, 32)).select("doc_id", "chunk_num", "chunk_id", "text", "token_count")
+    return chunking.chunk_sections(spread(document_sections(spark, sf_dir)), chunking.recursive_splitter(256, 32)).select("doc_id", "chunk_num", "chunk_id", "text", "token_count")
 
 
 @query("SELECT conv_id AS doc_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INTEGER AS chunk_num, text FROM conversations WHERE role <> 'system'")
@@ -474,19 +474,19 @@ def order_text() -> Column:
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE o_orderdate::DATE::VARCHAR END AS found FROM orders")
 def date_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select("o_orderkey", dates.parse_date(order_text()).cast("string").alias("found"))
+    return spread(table(spark, sf_dir, "orders")).select("o_orderkey", dates.parse_date(order_text()).cast("string").alias("found"))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN '2001-02-03' ELSE o_orderdate::DATE::VARCHAR END AS report_date FROM orders")
 def report_date_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select("o_orderkey", dates.resolve_report_date(F.lit(None).cast("string"), order_text(), F.lit(""), F.lit("2001. 2. 3")).cast("string").alias("report_date"))
+    return spread(table(spark, sf_dir, "orders")).select("o_orderkey", dates.resolve_report_date(F.lit(None).cast("string"), order_text(), F.lit(""), F.lit("2001. 2. 3")).cast("string").alias("report_date"))
 
 
 @query(
     "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate::DATE::VARCHAR END AS proposed, CASE WHEN o_orderkey % 3 = 0 THEN 'high' ELSE 'low' END AS confidence FROM orders"
 )
 def header_date_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen = table(spark, sf_dir, "orders").select("o_orderkey", dates.choose_report_date(F.year("o_orderdate"), F.lit(None).cast("string"), order_text()).alias("d"))
+    chosen = spread(table(spark, sf_dir, "orders")).select("o_orderkey", dates.choose_report_date(F.year("o_orderdate"), F.lit(None).cast("string"), order_text()).alias("d"))
     return chosen.select("o_orderkey", F.col("d.proposed_report_date").cast("string").alias("proposed"), F.col("d.confidence").alias("confidence"))
 
 
@@ -511,7 +511,7 @@ def labeled_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT c_custkey, c_name AS permittee, c_mktsegment AS purpose FROM customer")
 def kv_table_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     block = F.concat(F.lit("[TABLE_START]\n| 신청인 | "), "c_name", F.lit(" |\n| --- | --- |\n| 목적 | "), "c_mktsegment", F.lit(" |\n[TABLE_END]"))
-    pairs = table(spark, sf_dir, "customer").select("c_custkey", permits.table_pairs(block).alias("pairs"))
+    pairs = spread(table(spark, sf_dir, "customer")).select("c_custkey", permits.table_pairs(block).alias("pairs"))
     return pairs.select("c_custkey", permits.from_tables(F.col("pairs"), "permittee_name").alias("permittee"), permits.from_tables(F.col("pairs"), "purpose").alias("purpose"))
 
 
@@ -527,7 +527,7 @@ def known_org_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def permit_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All fields of the notices made from orders; every shape of notice is tested against fixtures."""
-    notices = table(spark, sf_dir, "orders").select("o_orderkey", order_text().alias("text"))
+    notices = spread(table(spark, sf_dir, "orders")).select("o_orderkey", order_text().alias("text"))
     return permits.extract(notices).select("o_orderkey", *permits.stored(F.col("permit"))).drop("source_text")
 
 
@@ -542,7 +542,7 @@ def permit_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "WHEN 1 THEN concat('[TABLE_START] | 신청인 | 위치 | 면적(㎡) | 목적 | --- | --- | --- | --- | ', c_name, ' | 군산시 옥도면 ', c_nationkey, '번지 지선 | ', c_custkey, ' | 부두 축조 공사 | [TABLE_END]') "
         "ELSE concat('귀하께서 통영시 산양읍 ', c_nationkey, '번지 지선에 “부두 축조 공사”를 위한 점용 신청') END"
     )
-    found = permits.extract(table(spark, sf_dir, "customer").select("c_custkey", notice.alias("text")))
+    found = permits.extract(spread(table(spark, sf_dir, "customer")).select("c_custkey", notice.alias("text")))
     return found.select("c_custkey", *permits.stored(F.col("permit"))).select("c_custkey", "ask_org_nm", "addr", "xtn", "purps_cn", "permit_start_date", "permit_end_date")
 
 
@@ -557,14 +557,14 @@ def run_on_sql() -> str:
 @query(run_on_sql())
 def permit_run_on(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flattened tables of six kinds, a table of changes, quantities in brackets and sentences about the ground."""
-    notices = table(spark, sf_dir, "customer").select("c_custkey", templates.pick("c_custkey", tuple(x for x, _ in templates.RUN_ON)).alias("text"))
+    notices = spread(table(spark, sf_dir, "customer")).select("c_custkey", templates.pick("c_custkey", tuple(x for x, _ in templates.RUN_ON)).alias("text"))
     return permits.extract(notices).select("c_custkey", *permits.stored(F.col("permit"))).select("c_custkey", *RUN_ON_COLUMNS)
 
 
 @query(f"SELECT c_custkey, {templates.pick_sql('c_custkey', tuple(name for _, name in templates.SENTENCES))} AS applicant FROM customer")
 def permit_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Who applied, in the ways in which sentences say so, with addressees and bare marks refused."""
-    notices = table(spark, sf_dir, "customer").select("c_custkey", templates.pick("c_custkey", tuple(x for x, _ in templates.SENTENCES)).alias("text"))
+    notices = spread(table(spark, sf_dir, "customer")).select("c_custkey", templates.pick("c_custkey", tuple(x for x, _ in templates.SENTENCES)).alias("text"))
     return permits.extract(notices).select("c_custkey", F.col("permit.permittee_name").alias("applicant"))
 
 

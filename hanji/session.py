@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own_folders: dict[str, str] = {}
 
@@ -46,3 +46,10 @@ def spark_session(app: str = "hanji", master: str | None = None, **conf: str) ->
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a few files dealt to all cores, before work that costs far more than to move its input. Tables in as many
+    partitions as there are cores, so all large ones, stay as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
