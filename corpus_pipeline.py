@@ -26,7 +26,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of texts linked by similarity (five words, 0.8) one row stays: that with the smallest doc_id, null
-    last, and of several such rows the first."""
+    last, and of several such rows the first. Null and empty texts are one group. No rows give none.
+
+    SimHash fingerprints of 128 bits and their distance table discard pairs here too, but at so wide a radius blocks of bits
+    can't name buckets: those come from the smallest shingle hashes (simhash.similar_components)."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
     rows = staged(docs.select(F.monotonically_increasing_id().alias("number"), "doc_id", whole), "numbered")
     found = staged(simhash.similar_components(rows.select("number", "doc_id", F.col("whole.text").alias("text"))), "components")
@@ -37,13 +40,16 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: each document as many times as it was taken (0 to 2)."""
+    """The mix: each document as many times as it was taken (0 to 2). A null text has size 0 and isn't taken where its source
+    has no words at all; a null source is one of its own; repeated rows are drawn each by itself; no rows give none. The
+    columns stay those of the documents, whatever their names."""
     mixed = mixing.mix_documents(docs, carry=True).filter(F.col("copies") > 0)
     return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select("all.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences; a document that was taken twice is packed twice."""
+    """Pieces of documents in sequences; a document that was taken twice is packed twice. A null text is packed as an empty
+    one, its end id alone; no rows give no pieces; columns other than doc_id and text are left behind."""
     return packing.pack_documents(docs, tokenizer("byte_bpe_50k.json"))
 
 

@@ -174,7 +174,7 @@ def top_k(table: DataFrame, every: int = 100, k: int = K, levels: int = LEVELS,
     index = staged(index, "index")
 
     queries = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("values").alias("values")).withColumn("dim", F.size("values"))
-    chunks = max(1, -(-n // every // QUERY_ROWS))
+    chunks = max(1, -(-queries.count() // QUERY_ROWS))  # counted: ids need not be evenly spread
     upto = lambda count: F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))
     to_blocks = queries.withColumn("chunk", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(chunks))).withColumn("block", F.explode(upto(blocks)))
     to_chunks = index.withColumn("chunk", F.explode(upto(chunks)))

@@ -278,10 +278,12 @@ def link_embeddings(table: DataFrame, cosine: float = COSINE, trees: int = TREES
     nodes = staged(nodes.withColumn("node", F.monotonically_increasing_id()), "vectors")
     total = nodes.count()
     part = min(1.0, sample / max(total, 1))
-    drawn = nodes.filter(F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(1 << 30)) < int(part * (1 << 30))).select("embedding").limit(2 * sample).toArrow().column("embedding").to_pylist()
+    drawn = nodes.filter(F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(1 << 30)) < int(part * (1 << 30))).select("embedding").limit(2 * sample).toArrow().column("embedding").combine_chunks()
+    # The sample stays one array of doubles on the driver, never Python numbers.
+    flat, sizes = drawn.flatten().to_numpy(), np.diff(drawn.offsets.to_numpy())
     forests = {}
-    for dim in sorted({len(x) for x in drawn}):
-        own = units([x for x in drawn if len(x) == dim])
+    for dim in np.unique(sizes).tolist():
+        own = units(flat[np.repeat(sizes == dim, sizes)].reshape(-1, dim))
         forests[dim] = [grow(own, 1 / part, np.random.default_rng((seed, dim, t)), []) for t in range(trees)]
     shared = spark.sparkContext.broadcast(forests)
     name = lambda batches: _leaf_names(shared.value, batches)
