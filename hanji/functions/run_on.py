@@ -178,14 +178,25 @@ def sender(x: Column) -> Column:
     return let(name, lambda v: F.when(F.coalesce(applicants.refusal(v), F.lit("")).isin("", applicants.NO_BODY), v))
 
 
+#: The ways in which a sentence tells the ground and the purpose of an application, and which of the two it tells first.
+PLACE = rf"(?m)^([^\n]*?{GROUND}[^\n“\"『]{{0,12}}?)에\s*"
+TOLD = (
+    (rf"{QUOTED}\s*\(([^()]{{0,200}}{GROUND}[^()]{{0,200}})\)\s*목적", ("purpose", "where")),
+    (rf"{PLACE}{QUOTED}(?:를|을)\s*위한", ("where", "purpose")),
+    (rf"{PLACE}([^“\"『]{{2,120}}?)\s*목적의\s*공유수면", ("where", "purpose")),
+)
+
+
+def ground(x: Column) -> Column:
+    """The place itself, without the sender before it."""
+    bare = F.regexp_replace(clean(x), rf"^.*(?:께서|에서|로부터)\s+(?={BEGIN})", "")
+    return let(bare, lambda v: F.coalesce(found(v, rf"((?:{KNOWN}).*)$"), v))
+
+
 def sentences(x: Column) -> Column:
-    """What a sentence about an application says: who sent it, the ground, and the purpose, quoted or before 목적의."""
-    place = rf"(?m)^([^\n]*?{GROUND}[^\n“\"『]{{0,12}}?)에\s*"
-    told = first_group(x, [rf"{place}{QUOTED}(?:를|을)\s*위한", rf"{place}([^“\"『]{{2,120}}?)\s*목적의\s*공유수면"], "where", "purpose")
-    noted = groups(x, rf"{QUOTED}\s*\(([^()]{{0,200}}{GROUND}[^()]{{0,200}})\)\s*목적", "purpose", "where")
-    ground = lambda v: let(F.regexp_replace(clean(v), rf"^.*(?:께서|에서|로부터)\s+(?={BEGIN})", ""), lambda w: F.coalesce(found(w, rf"((?:{KNOWN}).*)$"), w))
-    both = F.coalesce(F.when(noted.isNotNull(), F.struct(noted["where"].alias("where"), noted["purpose"].alias("purpose"))), told)
-    return let(both, lambda t: F.when(t.isNotNull(), fields(permittee_name=sender(x), location=ground(t["where"]), purpose=clean(t["purpose"]))))
+    """What the first of the ways that is used says: ground and purpose, and with them who sent the application."""
+    named = [let(groups(x, pattern, *order), lambda g: F.when(g.isNotNull(), F.struct(g["where"].alias("where"), g["purpose"].alias("purpose")))) for pattern, order in TOLD]
+    return let(F.coalesce(*named), lambda t: F.when(t.isNotNull(), fields(permittee_name=sender(x), location=ground(t["where"]), purpose=clean(t["purpose"]))))
 
 
 def quantities(x: Column) -> Column:
