@@ -102,23 +102,24 @@ def shards(batches: Iterator[pa.RecordBatch], longest: int, shard_words: int) ->
     yield shard
 
 
-def batch_of(shard: Shard, langs: np.ndarray, phrases: pa.Array, length: int, counts: np.ndarray) -> pa.RecordBatch:
+def batch_of(shard: Shard, langs: np.ndarray, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+    """One key for language and phrase, with a tab between, which no phrase has."""
     names = pa.array(shard.langs, pa.string()).take(pa.array(langs))
-    return pa.RecordBatch.from_arrays([names, phrases, pa.array(np.full(len(counts), length, np.int32)), pa.array(counts.astype(np.int64))], ["lang", "phrase", "length", "count"])
+    return pa.RecordBatch.from_arrays([pc.binary_join_element_wise(names, phrases, "\t"), pa.array(counts.astype(np.int64))], ["key", "count"])
 
 
 def _words(shard_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of single words; phrase null: all words of the language."""
+    """Counts of single words; under an empty phrase, all words of the language."""
     for shard in shards(batches, 1, shard_words):
         counts = np.bincount(shard.ids()[: shard.upto], minlength=len(shard.words))[1:]
         langs = np.array(shard.lang_of[1:], np.int64)
         if len(counts):
             counted = np.flatnonzero(counts)
             words = pa.array(shard.words[1:], pa.binary()).cast(pa.string())
-            yield batch_of(shard, langs[counted], words.take(pa.array(counted)), 1, counts[counted])
+            yield batch_of(shard, langs[counted], words.take(pa.array(counted)), counts[counted])
             totals = np.bincount(langs, weights=counts, minlength=len(shard.langs)).astype(np.int64)
             some = np.flatnonzero(totals)
-            yield batch_of(shard, some, pa.nulls(len(some), pa.string()), 0, totals[some])
+            yield batch_of(shard, some, pa.array([""] * len(some), pa.string()), totals[some])
 
 
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -197,7 +198,7 @@ def common_prefixes(ids: np.ndarray, order: np.ndarray, most: int) -> np.ndarray
     return lcp
 
 
-def phrase_counts(ids: np.ndarray, pairs: np.ndarray, upto: int, shortest: int, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def phrase_counts(ids: np.ndarray, pairs: np.ndarray, upto: int, shortest: int, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """ids with `longest` zeros at the end, whether position and next may stand in a phrase -> for each length the ids of
     its phrases (a row each) and their counts. A phrase is an interval of the suffix array within which neighbours share
     that many ids."""
@@ -224,7 +225,7 @@ def phrase_counts(ids: np.ndarray, pairs: np.ndarray, upto: int, shortest: int,
         heads = np.flatnonzero(lcp < length)
         counts = np.diff(np.r_[heads, len(order)])
         some = reach[order[heads]] >= length
-        yield length, ids[order[heads[some]][:, None] + np.arange(length)], counts[some]
+        yield ids[order[heads[some]][:, None] + np.arange(length)], counts[some]
 
 
 def _phrases(shortest: int, longest: int, words: Broadcast, pairs: Broadcast | None, shard_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,10 +242,10 @@ def _phrases(shortest: int, longest: int, words: Broadcast, pairs: Broadcast | N
             at = np.flatnonzero(both)
             both[at] = pairs.value.has(mixed(hashes[ids[at]], hashes[ids[at + 1]]))
         names, lang_of = pa.array(shard.words, pa.binary()).cast(pa.string()), np.array(shard.lang_of, np.int64)
-        for length, found, counts in phrase_counts(ids, both, shard.upto, shortest, longest):
+        for found, counts in phrase_counts(ids, both, shard.upto, shortest, longest):
             if len(counts):
-                columns = [names.take(pa.array(found[:, j])) for j in range(length)]
-                yield batch_of(shard, lang_of[found[:, 0]], pc.binary_join_element_wise(*columns, " "), length, counts)
+                columns = [names.take(pa.array(column)) for column in found.T]
+                yield batch_of(shard, lang_of[found[:, 0]], pc.binary_join_element_wise(*columns, " "), counts)
 
 
 def frequent_phrases(docs: DataFrame, longest: int, least: int, shard_words: int, most_bits: int) -> tuple[DataFrame, DataFrame]:
@@ -255,14 +256,17 @@ def frequent_phrases(docs: DataFrame, longest: int, least: int, shard_words: int
     infrequent part, so the filters that say so lose none. Each shard's counts are added up by phrase.
     """
     read = docs.select("text", "lang")
-    schema = "lang string, phrase string, length int, count long"
+    schema = "key string, count long"
 
     def merged(counts: DataFrame, label: str) -> DataFrame:
-        whole = counts.groupBy("lang", "phrase").agg(F.max("length").alias("length"), F.sum("count").alias("a"))
-        return staged(whole.filter((F.col("a") >= least) | F.col("phrase").isNull()), label)
+        whole = counts.groupBy("key").agg(F.sum("count").alias("a"))
+        phrase = F.substring_index("key", "\t", -1)
+        lang = F.substring("key", F.lit(1), F.length("key") - F.length(phrase) - 1)
+        named = whole.select(lang.alias("lang"), phrase.alias("phrase"), "a").filter((F.col("a") >= least) | (F.col("phrase") == ""))
+        return staged(named.withColumn("length", F.size(F.split("phrase", " "))), label)
 
     words = merged(read.mapInArrow(partial(_words, shard_words), schema), "words")
-    totals, words = words.filter("phrase is null").select("lang", F.col("a").alias("n")), words.filter("phrase is not null")
+    totals, words = words.filter("phrase = ''").select("lang", F.col("a").alias("n")), words.filter("phrase <> ''")
     if longest < 2:
         return words, totals
     known = filter_of(words, most_bits)

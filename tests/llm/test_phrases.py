@@ -52,7 +52,7 @@ def rows():
     for k in range(300):
         words = rng.choices(vocabulary, weights, k=rng.randint(0, 120))
         text = "".join(w + rng.choice([" ", " ", " ", "  ", "\t", ", ", ".", "\n", "\r\n"]) for w in words)
-        out.append((text, rng.choice(["en", "en", "fr", None, "und"])))
+        out.append((text, rng.choice(["en", "en", "fr", None, "und", "a\tb"])))
     out += [("a b c the of " * 400, "en"), ("one two three four five six " * 200, "fr"), ("la la la la la la la " * 60, "fr"), (None, "en"), ("", None), ("...", "xx"), ("alone", "yy")]
     return out + out[:5]
 
