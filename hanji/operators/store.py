@@ -55,6 +55,12 @@ def classify_changes(current: DataFrame, stored: DataFrame, key: str = "doc_id",
     return current.join(before, key, "left").withColumn("change", change).drop("stored_hash")
 
 
+def with_defaults(rows: DataFrame, known: DataFrame, key: str, defaults: dict[str, str | int]) -> DataFrame:
+    """rows with what is known of them; where nothing is, or the value is null, the columns named have their defaults."""
+    joined = rows.join(known, key, "left")
+    return joined.withColumns({c: F.coalesce(F.col(c), F.lit(value)) for c, value in defaults.items()})
+
+
 def id_report(data: DataFrame, metadata: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, status): matched, missing_in_metadata or missing_in_data, for the distinct ids of both."""
     a = data.select(key).distinct().withColumn("in_data", F.lit(True))
@@ -70,33 +76,34 @@ def renumber(chunks: DataFrame, keep: Column) -> DataFrame:
     return chunks.filter(keep).withColumn("chunk_num", (F.row_number().over(order) - 1).cast("int"))
 
 
-def mirror_document(documents: DataFrame) -> DataFrame:
-    return documents.drop("created_at", "updated_at")
-
-
-def mirror_chunk(chunks: DataFrame) -> DataFrame:
-    return chunks.drop("created_at").withColumn("embedding", F.col("embedding").cast("array<double>"))
-
-
-def mirror_attachment(attachments: DataFrame) -> DataFrame:
-    return attachments.drop("attachment_id", "created_at")
+# The columns that a mirror's tables have, of those that the store's have.
+MIRROR_COLUMNS = {
+    "documents": (
+        "doc_id", "doc_no", "title", "author_name", "dept_name", "report_date", "doc_year", "state_code", "state_name", "open_code", "open_name",
+        "close_reason", "file_hash", "file_path", "biz_cate", "biz_sub_cate", "biz_detail_cate", "biz_full_path",
+    ),
+    "document_chunks": ("chunk_id", "doc_id", "page_num", "chunk_num", "chunk_type", "text", "embedding"),
+    "attachments": ("doc_id", "file_name", "file_path", "file_order", "is_main_pdf"),
+    "permit_extractions": (
+        "doc_id", "org_nm", "ask_org_nm", "addr", "xtn", "purps_cn", "collection_volume", "permit_start_date", "permit_end_date", "amount", "confidence",
+        "source_text",
+    ),
+}
 
 
-def mirror_permit(permits: DataFrame) -> DataFrame:
-    return permits.drop("created_at", "updated_at")
+def mirrored(table: DataFrame, name: str) -> DataFrame:
+    """A stored table as its mirror has it: the mirror's columns, as far as they are there, and vectors as doubles."""
+    columns = [c for c in MIRROR_COLUMNS[name] if c in table.columns]
+    return table.select(*[F.col(c).cast("array<double>").alias(c) if c == "embedding" else F.col(c) for c in columns])
 
 
 def sync_mirror(source: dict[str, DataFrame], target: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The mirror's tables after a full sync: documents are merged, their chunks, attachments and, where the target has
     that table, permits replaced (also by nothing). Documents that the source no longer has stay in the mirror. Documents
     come last, so a sync that breaks off is done again by the next."""
-    docs = mirror_document(source["documents"])
-    out = {
-        "document_chunks": replace_children(target["document_chunks"], mirror_chunk(source["document_chunks"]), replaced=docs),
-        "attachments": replace_children(target["attachments"], mirror_attachment(source["attachments"]), replaced=docs),
-    }
-    if "permit_extractions" in target:
-        out["permit_extractions"] = replace_children(target["permit_extractions"], mirror_permit(source["permit_extractions"]), replaced=docs)
+    docs = mirrored(source["documents"], "documents")
+    parts = [name for name in CHILD_TABLES if name in MANAGED_MIRROR_TABLES or name in target]
+    out = {name: replace_children(target[name], mirrored(source[name], name), replaced=docs) for name in parts}
     return out | {"documents": upsert(target["documents"], docs, "doc_id")}
 
 

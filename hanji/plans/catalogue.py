@@ -290,8 +290,8 @@ def delete_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT vec_id, len(embedding)::INTEGER AS dimension, round(list_sum(embedding::DOUBLE[]), 6) AS total FROM embeddings")
 def mirror_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mirrored = store.mirror_chunk(table(spark, sf_dir, "embeddings"))
-    return mirrored.select("vec_id", F.size("embedding").alias("dimension"), F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
+    chunks_ = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("chunk_id"), "embedding", "label")
+    return store.mirrored(chunks_, "document_chunks").select(F.col("chunk_id").alias("vec_id"), F.size("embedding").alias("dimension"), F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
 
 
 @query(
@@ -309,8 +309,7 @@ def mirror_sync_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT d.doc_id, coalesce(l.quality, -1) AS quality, coalesce(l.toxic, -1) AS toxic FROM documents d LEFT JOIN labels l USING (doc_id)")
 def metadata_left_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = table(spark, sf_dir, "documents").select("doc_id").join(table(spark, sf_dir, "labels"), "doc_id", "left")
-    return joined.na.fill(-1, ["quality", "toxic"])
+    return store.with_defaults(table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels"), "doc_id", {"quality": -1, "toxic": -1})
 
 
 @query("SELECT p_partkey, coalesce(nullif(trim(CASE WHEN p_size % 3 = 0 THEN '  ' ELSE p_name END), ''), nullif(trim(p_brand), ''), '') AS title FROM part")

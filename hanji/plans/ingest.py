@@ -54,7 +54,8 @@ def changed_files(found: DataFrame, stored: DataFrame) -> DataFrame:
 def document_rows(parsed: DataFrame, meta: DataFrame, now: Column) -> DataFrame:
     """Parsed documents with what the spreadsheets say; documents that they don't know have empty texts there."""
     known = metadata.document_metadata(meta).withColumnRenamed("title", "meta_title")
-    joined = parsed.drop("error").join(known, "doc_id", "left")
+    empty = ("doc_no", "state_code", "state_name", "open_code", "open_name", "close_reason", "biz_cate", "biz_sub_cate", "biz_detail_cate", "biz_full_path")
+    joined = store.with_defaults(parsed.drop("error"), known, "doc_id", dict.fromkeys(empty, ""))
     raw = text.raw_text(F.col("sections"))
     own = {
         "title": text.resolve_title(F.col("title"), F.col("meta_title")),
@@ -62,9 +63,8 @@ def document_rows(parsed: DataFrame, meta: DataFrame, now: Column) -> DataFrame:
         "report_date": dates.resolve_report_date(F.col("report_date"), raw, F.col("process_date"), F.col("receive_date")),
         "created_at": now, "updated_at": now,
     }
-    empty = ("doc_no", "state_code", "state_name", "open_code", "open_name", "close_reason", "biz_cate", "biz_sub_cate", "biz_detail_cate", "biz_full_path")
     columns = [c.split()[0] for c in DOCUMENT.split(", ")]
-    return joined.select(*[(own[c] if c in own else F.coalesce(c, F.lit("")) if c in empty else F.col(c)).alias(c) for c in columns])
+    return joined.select(*[(own[c] if c in own else F.col(c)).alias(c) for c in columns])
 
 
 def embedder(config: EngineConfig):
@@ -158,8 +158,7 @@ def sync_to_mirror(source: store.TableStore, mirror: store.TableStore) -> DataFr
     """
     names = [*store.MANAGED_MIRROR_TABLES, *(["permit_extractions"] if mirror.exists("permit_extractions") else [])]
     tables = {name: source.read(name) for name in names}
-    mirrored = {name: MIRRORED[name](tables[name]) for name in names}
-    differing = reduce(DataFrame.unionAll, [store.differing_keys(mirrored[name], mirror.read(name)) for name in names]).distinct()
+    differing = reduce(DataFrame.unionAll, [store.differing_keys(store.mirrored(tables[name], name), mirror.read(name)) for name in names]).distinct()
     mirror.write("changed_keys", differing.join(tables["documents"].select("doc_id"), "doc_id", "left_semi"))
     keys = mirror.read("changed_keys")
     changed = {name: df.join(keys, "doc_id", "left_semi").select(df.columns) for name, df in tables.items()}
@@ -168,14 +167,7 @@ def sync_to_mirror(source: store.TableStore, mirror: store.TableStore) -> DataFr
     return store.sync_counts(tables)
 
 
-MIRRORED = {"documents": store.mirror_document, "document_chunks": store.mirror_chunk, "attachments": store.mirror_attachment, "permit_extractions": store.mirror_permit}
-
-
 def create_mirror(mirror: store.TableStore, permits_too: bool = False) -> None:
     spark = mirror.spark
-    empty = {name: spark.createDataFrame([], TABLES[name]) for name in TABLES}
-    mirror.write("documents", store.mirror_document(empty["documents"]))
-    mirror.write("document_chunks", store.mirror_chunk(empty["document_chunks"]))
-    mirror.write("attachments", store.mirror_attachment(empty["attachments"]))
-    if permits_too:
-        mirror.write("permit_extractions", store.mirror_permit(empty["permit_extractions"]))
+    for name in [*store.MANAGED_MIRROR_TABLES, *(["permit_extractions"] if permits_too else [])]:
+        mirror.write(name, store.mirrored(spark.createDataFrame([], TABLES[name]), name))
