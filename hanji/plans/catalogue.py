@@ -12,10 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hanji.config import EngineConfig
 from hanji.functions import dates, keywords, metadata, names, permits, text, vectors
 from hanji.operators import attachments, chunking, search, stats, store, vector_index
-from hanji.plans import templates
+from hanji.plans import files, ingest, templates
 from hanji.session import shared_folder, spread
+from hanji.sources import metadata as spreadsheets
+from hanji.sources import odt
 from hanji.streaming import ingest as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -560,6 +563,21 @@ def permit_run_on(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permits.extract(notices).select("c_custkey", *permits.stored(F.col("permit"))).select("c_custkey", *RUN_ON_COLUMNS)
 
 
+LABELLED_COLUMNS = ("org_nm", "ask_org_nm", "addr", "xtn", "purps_cn", "collection_volume", "permit_start_date", "permit_end_date", "amount")
+
+
+def labelled_sql() -> str:
+    said = lambda c: templates.pick_sql("c_custkey", tuple(fields.get(c) for _, fields in templates.LABELLED))
+    return "SELECT c_custkey, " + ", ".join(f"({said(c)}){'::DATE' if c.endswith('date') else ''} AS {c}" for c in LABELLED_COLUMNS) + " FROM customer"
+
+
+@query(labelled_sql())
+def permit_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notices of labelled lines: areas with purposes, volumes, periods in three forms, and agencies by label, head and address."""
+    notices = spread(table(spark, sf_dir, "customer")).select("c_custkey", templates.pick("c_custkey", tuple(x for x, _ in templates.LABELLED)).alias("text"))
+    return permits.extract(notices).select("c_custkey", *permits.stored(F.col("permit"))).select("c_custkey", *LABELLED_COLUMNS)
+
+
 @query(f"SELECT c_custkey, {templates.pick_sql('c_custkey', tuple(name for _, name in templates.SENTENCES))} AS applicant FROM customer")
 def permit_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Who applied, in the ways in which sentences say so, with addressees and bare marks refused."""
@@ -666,3 +684,110 @@ def magic_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY event_type")
 def event_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+
+
+# --- files ----------------------------------------------------------------------------------------------------------
+
+
+def own_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/hanji-{name}/{uuid.uuid4().hex}"
+
+
+#: White space, for DuckDB.
+WHITE_SQL = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+@query(
+    "SELECT 'DCT' || doc_id AS doc_id, coalesce(lang, 'und') || ' & 공문·' || doc_id AS title, CASE doc_id % 3 WHEN 0 THEN '홍길동, 김철수' WHEN 1 THEN '박영희' END AS author_name, "
+    "CASE doc_id % 3 WHEN 0 THEN '항만물류과' END AS dept_name, CASE doc_id % 3 WHEN 0 THEN '2024-03-' WHEN 1 THEN '2023-04-' ELSE '2022-05-' END || lpad((doc_id % 28 + 1)::VARCHAR, 2, '0') AS report_date, "
+    "(2 + (body <> '')::INTEGER)::INTEGER AS n_sections, sha256(body) AS text_sha256, '| lang | source | id |' || chr(10) || '| --- | --- | --- |' || chr(10) || '| ' || coalesce(lang, '') || ' | ' || coalesce(source, '') || ' | ' || doc_id || ' |' AS first_table "
+    "FROM (SELECT *, regexp_replace(array_to_string(list_filter(string_split(regexp_replace(coalesce(text, ''), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x{fffe}\\x{ffff}]', ' ', 'g'), chr(10)), "
+    f"lambda l: regexp_replace(l, '{WHITE_SQL}+', '', 'g') <> ''), chr(10)), '^{WHITE_SQL}+|{WHITE_SQL}+$', '', 'g') AS body FROM documents)"
+)
+def odt_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as OpenDocument texts, read back: names and dates from approval tables or spans, sections, titles."""
+    d, day = F.col("doc_id"), (F.col("doc_id") % 28 + 1).cast("string")
+    own = files.table_of((F.lit("lang"), F.lit("source"), F.lit("id")), (F.col("lang"), F.col("source"), d))
+    one = lambda *cells: files.table_of(*[(c if isinstance(c, Column) else F.lit(c),) for c in cells])
+    signed = one("수신자 이몽룡", "주무관 과장 전결", "", "홍길동 | 김철수과장", F.concat(F.lit("전결 2024. 3. "), day, F.lit(".")), "", "", F.concat(F.lit("항만물류과-"), d.cast("string")))
+    dated = one("결재 박영희", "", "제목", "", "없음", F.concat(F.lit("시행 2023. 1. 2. 접수 2023. 4. "), day), "", "")
+    tables = F.when(d % 3 == 0, F.array(own, signed)).when(d % 3 == 1, F.array(own, dated)).otherwise(F.array(own))
+    spans = F.when(d % 3 == 2, F.array(F.concat(F.lit("승인 2022. 5. "), day))).otherwise(F.array().cast("array<string>"))
+    path = F.concat(F.lit("/data/2024/DCT"), d.cast("string"), F.lit("/attachments/001_"), F.coalesce("lang", F.lit("und")), F.lit(" &amp; 공문・"), d.cast("string"), F.lit(".odt"))
+    rows = spread(table(spark, sf_dir, "documents")).select(path.alias("path"), "text", tables.alias("tables"), spans.alias("spans"))
+    read = odt.parse_documents(files.documents(rows).withColumn("file_hash", F.sha2("content", 256)))
+    texts = F.when(F.get("sections", F.lit(0))["section_type"] == "text", F.get("sections", F.lit(0))["content"]).otherwise("")
+    first = F.get(F.filter("sections", lambda s: s["section_type"] == "table"), F.lit(0))["content"]
+    return read.filter(F.col("error").isNull()).select("doc_id", "title", "author_name", "dept_name", "report_date", F.size("sections").alias("n_sections"), F.sha2(texts, 256).alias("text_sha256"), first.alias("first_table"))
+
+
+#: Rows of one spreadsheet, which one task reads.
+SPREADSHEET_ROWS = 100_000
+
+
+def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as rows of a list, under the names of the columns in hanji."""
+    d = F.col("doc_id")
+    return table(spark, sf_dir, "documents").select(
+        d.alias("k"), F.concat(F.when(d % 2 == 0, "P").otherwise("R"), (2000 + d % 25).cast("string")).alias("doc_type_raw"), F.concat(F.lit(" DCT"), d.cast("string"), F.lit(" ")).alias("doc_id"),
+        F.concat(F.lit('문서, "'), d.cast("string"), F.lit('"')).alias("title"), F.concat(F.lit("DPBT"), (d % 4).cast("string"), F.lit("(")).alias("open_code_raw"), F.when(d % 7 > 0, (d % 7).cast("string")).alias("attachment_count"),
+        F.lit("2024-05-06").alias("process_date"), F.col("lang").alias("biz_cate"), F.col("source").alias("biz_sub_cate"),
+    )
+
+
+@query(
+    "SELECT 'DCT' || doc_id AS doc_id, '문서, \"' || doc_id || '\"' AS title, CASE doc_id % 2 WHEN 0 THEN 'P' ELSE 'R' END AS doc_type, CASE doc_id % 2 WHEN 0 THEN '생산' ELSE '접수' END AS type_name, (2000 + doc_id % 25)::INTEGER AS doc_year, "
+    "CASE WHEN doc_id % 4 = 0 THEN 'DPBT0(' ELSE 'DPBT' || doc_id % 4 END AS open_code, CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN '대국민공개' WHEN 2 THEN '비공개' ELSE '부분공개' END AS open_name, "
+    "nullif(doc_id % 7, 0)::INTEGER AS attachment_count, '2024-05-06' AS process_date, concat_ws(' > ', lang, source) AS biz_full_path FROM documents"
+)
+def metadata_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of the documents as spreadsheets with Korean headers, with English ones, and with columns by position, after an
+    older list that says something else about every fifth document: the latest row of each, typed."""
+    root, rows = own_folder(spark, "lists"), listed(spark, sf_dir)
+    columns = [c for c in rows.columns if c != "k"]
+
+    def write(name: str, part: DataFrame) -> None:
+        part.write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, maxRecordsPerFile=SPREADSHEET_ROWS).csv(f"{root}/{name}")
+
+    korean = {"doc_type_raw": "구분(P:생산, R:접수)", "doc_id": "문서ID", "title": "문서명", "open_code_raw": "공개 여부", "attachment_count": "붙임파일갯수", "process_date": "처리일", "biz_cate": "구분1", "biz_sub_cate": "구분2"}
+    english = {"doc_type_raw": "SE", "doc_id": "doc_id", "title": "DOC_NM", "open_code_raw": "open", "attachment_count": "attach_seq", "process_date": "act_dt", "biz_cate": "exlpn_1", "biz_sub_cate": "exlpn_2"}
+    headed = lambda part, header: part.select(*[F.col(c).alias(header[c]) for c in columns])
+    write("older", headed(rows.filter("k % 5 = 0").withColumns({"title": F.lit("옛 문서"), "doc_type_raw": F.lit("P1999")}), english))
+    write("korean", headed(rows.filter("k % 3 = 0"), korean))
+    write("english", headed(rows.filter("k % 3 = 1"), english))
+    by_place = [(F.col(c) if c in columns else F.lit(None).cast("string")).alias(f"c{n}") for n, c in enumerate(spreadsheets.COLUMNS)]
+    write("places", rows.filter("k % 3 = 2").select(by_place))
+    # Where there are no documents by position, their file has one line, which is no document.
+    found = spreadsheets.document_metadata(spreadsheets.read_metadata(spark, root)).filter(F.col("doc_id").startswith("DCT"))
+    return found.select("doc_id", "title", "doc_type", "type_name", "doc_year", "open_code", "open_name", "attachment_count", "process_date", "biz_full_path")
+
+
+@query(
+    "SELECT 'DCT' || s_suppkey AS doc_id, '문서 ' || s_suppkey AS title, CASE s_suppkey % 2 WHEN 0 THEN DATE '2024-05-06' ELSE DATE '2020-03-04' END AS report_date, CASE s_suppkey % 2 WHEN 0 THEN '갑 > ' || s_nationkey ELSE '' END AS biz_full_path, "
+    "CASE s_suppkey % 2 WHEN 0 THEN '대국민공개' ELSE '' END AS open_name, s_name AS applicant, '부산광역시 영도구 ' || s_suppkey || '번지 지선 공유수면' AS place, 2::BIGINT AS chunks, 2::BIGINT AS attachments, count(*) OVER () AS skipped FROM supplier"
+)
+def ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of documents for each supplier, with a .pdf of it and a map, and a list that knows every second: taken in, taken
+    in once more (all are skipped), copied to a mirror, and read from there."""
+    root, k = own_folder(spark, "corpus"), F.col("s_suppkey").cast("string")
+    suppliers = spread(table(spark, sf_dir, "supplier"))
+    folder = F.concat(F.lit(f"{root}/data/2024/DCT"), k, F.lit("/attachments/"))
+    body = F.concat(F.when(F.col("s_suppkey") % 2 == 1, "결재 2020. 3. 4.\n").otherwise(""), F.lit("가. 위치 : 부산광역시 영도구 "), k, F.lit("번지 지선 공유수면"))
+    tables = F.array(files.table_of((F.lit("신청인"), F.col("s_name")), (F.lit("목적"), F.lit("선박 계류 시설"))))
+    made = files.documents(suppliers.select(F.concat(folder, F.lit("000_문서 "), k, F.lit(".odt")).alias("path"), body.alias("text"), tables.alias("tables"), F.array().cast("array<string>").alias("spans")))
+    beside = F.explode(F.array(F.concat(F.lit("000_문서 "), k, F.lit(".pdf")), F.lit("001_도면.hwp"))).alias("name")
+    files.write(made.unionByName(suppliers.select(folder.alias("folder"), beside).select(F.concat("folder", "name").alias("path"), F.encode(F.lit("%PDF"), "UTF-8").alias("content"))))
+    known = suppliers.filter("s_suppkey % 2 = 0").select(F.lit("P2024").alias("se"), F.concat(F.lit("DCT"), k).alias("doc_id"), F.lit("목록 제목").alias("doc_nm"), F.lit("갑").alias("exlpn_1"), F.col("s_nationkey").alias("exlpn_2"), F.lit("DPBT1").alias("open"), F.lit("2024-05-06").alias("act_dt"))
+    known.write.options(header=True, maxRecordsPerFile=SPREADSHEET_ROWS).csv(f"{root}/lists")
+
+    tables_, mirror = store.TableStore(spark, f"{root}/store", 8), store.TableStore(spark, f"{root}/mirror", 8)
+    ingest.create_tables(tables_)
+    ingest.create_mirror(mirror, permits_too=True)
+    config = EngineConfig(data_dirs=(f"{root}/data",), metadata_doc_list=f"{root}/lists", embedding_dimension=8)
+    ingest.ingest(spark, config, tables_)
+    again = ingest.ingest(spark, config, tables_)
+    ingest.sync_to_mirror(tables_, mirror)
+    counted = lambda name: mirror.read(name).groupBy("doc_id").agg(F.count("*").alias(name))
+    said = mirror.read("permit_extractions").select("doc_id", F.col("ask_org_nm").alias("applicant"), F.col("addr").alias("place"))
+    found = mirror.read("documents").select("doc_id", "title", "report_date", "biz_full_path", "open_name").join(said, "doc_id").join(counted("document_chunks"), "doc_id").join(counted("attachments"), "doc_id")
+    return found.withColumnRenamed("document_chunks", "chunks").join(F.broadcast(again.select("skipped")))

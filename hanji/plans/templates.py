@@ -96,6 +96,28 @@ VALUES = {
 }
 
 
+#: Notices of labelled lines: text, then the fields that it gives.
+LABELLED = (
+    (
+        "부산지방해양수산청\n수신 귀하\n제목 점용 허가\n1. 신청인 : 한빛{n}해운\n가. 위치 : 부산광역시 영도구 {n}번지 지선 공유수면\n나. 면적 : 1{n}㎡\n다. 목적 : 선박 계류 시설\n라. 허가기간 : 2020. 1. 2. ~ 2021. 3. 4.\n마. 점용료 : 1{n}원",
+        {"org_nm": "부산지방해양수산청", "addr": "부산광역시 영도구 {n}번지 지선 공유수면", "xtn": "1{n}㎡", "purps_cn": "선박 계류 시설", "permit_start_date": "2020-01-02", "permit_end_date": "2021-03-04", "amount": "1{n}원"},
+    ),
+    (
+        "기관명 : 여수지방해양수산청\n피허가자 : 새바다{n}건설\n○ 허가장소 : 여수시 돌산읍 {n}번지 지선\n○ 면적 및 목적 : 2{n}㎡ (부잔교 설치)\n○ 허가시작일 : 2022-05-06\n○ 허가종료일 : 2023년 7월 8일",
+        {"org_nm": "여수지방해양수산청", "ask_org_nm": "새바다{n}건설", "addr": "여수시 돌산읍 {n}번지 지선", "xtn": "2{n}㎡", "purps_cn": "부잔교 설치", "permit_start_date": "2022-05-06", "permit_end_date": "2023-07-08"},
+    ),
+    (
+        "담당 http://www.gunsan.mof.go.kr\n피허가자명 : 푸른{n}수산\n□ 소재지 : 군산시 옥도면 {n}번지 지선\n□ 면적(준설량) : 3{n}㎡\n□ 준설량 : 4{n}㎥\n□ 용도 : 항로 준설\n□ 점용기간 : 19.2.3 ~ 20/4/5\n□ 사용료 : 금 5{n}원정",
+        {"org_nm": "군산지방해양수산청", "ask_org_nm": "푸른{n}수산", "addr": "군산시 옥도면 {n}번지 지선", "xtn": "3{n}㎡", "purps_cn": "항로 준설", "collection_volume": "4{n}㎥", "permit_start_date": "2019-02-03", "permit_end_date": "2020-04-05", "amount": "5{n}원"},
+    ),
+    (
+        "해양수산부\n수신 대한{n}건설 귀하\n제목 허가 알림\n- 장소 : 울산광역시 북구 당사동 {n}번지 지선\n- 면적 및 용도 : 6{n}㎡ / 해수 인입관 설치\n- 허가 기간 : 2018년 2월 30일 ~ 2018년 12월 31일",
+        {"org_nm": "해양수산부", "ask_org_nm": "대한{n}건설", "addr": "울산광역시 북구 당사동 {n}번지 지선", "xtn": "6{n}㎡", "purps_cn": "해수 인입관 설치", "permit_start_date": "2018-12-31"},
+    ),
+    ("", {}),
+)
+
+
 def pick(key: str, choices: tuple[str | None, ...]) -> Column:
     """The choice that a row's key falls on, with the key in place of the mark."""
     number = F.col(key).cast("string")
