@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
+from .common import staged
 
 #: Lengths of the character n-grams, hash buckets, and pseudo-counts for a bucket.
 GRAMS, BUCKETS, SMOOTH = (1, 2, 3), 1 << 15, 0.5
@@ -20,8 +22,9 @@ GRAMS, BUCKETS, SMOOTH = (1, 2, 3), 1 << 15, 0.5
 WINDOW, SCALE, AMBIGUOUS = 65_536, 6.0, 0.6
 #: The score from which a text's language is beyond doubt, and the letters of the parts in which other texts are read again.
 SURE, PART = 0.95, 200
-#: Most languages that are learned: those with most documents, of equal ones the first in code-point order.
-MOST_LANGUAGES = 256
+#: Languages whose counts a task holds at once, languages that are compared at once when codewords are chosen, and the
+#: least weight of a bit for a language.
+HELD, BLOCK, LEAST = 64, 1024, 0.01
 
 
 def codewords(languages: int, seed: int = 5) -> np.ndarray:
@@ -33,12 +36,20 @@ def codewords(languages: int, seed: int = 5) -> np.ndarray:
     rng, bits, best = np.random.default_rng(seed), int(np.ceil(10 * np.log2(languages))), (-1, None)
     for _ in range(50):
         code = rng.choice([-1.0, 1.0], (languages, bits))
-        gram = code @ code.T
-        least = (bits - (gram - np.diag(np.full(languages, 2.0 * bits))).max()) / 2
-        best = max(best, (least, code), key=lambda x: x[0])
+        best = max(best, (least_distance(code), code), key=lambda x: x[0])
     return best[1]
 
 
+def least_distance(code: np.ndarray) -> float:
+    """The least number of bits in which two rows differ, some rows at a time."""
+    nearest = -np.inf
+    for at in range(0, len(code), BLOCK):
+        alike = code[at : at + BLOCK] @ code.T
+        alike[np.arange(len(alike)), np.arange(at, at + len(alike))] = -np.inf
+        nearest = max(nearest, alike.max())
+    return (code.shape[1] - nearest) / 2
+
+
 def gram_buckets(text: str, starts: int | None = None) -> np.ndarray:
     """Buckets of all n-grams of a text, hashed by code point; starts: only of those that begin so early."""
     codes = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.uint64)
@@ -76,17 +87,25 @@ def cleaned(text: str) -> str:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, lang) -> the n-gram counts of each language among a task's documents, as one row of BUCKETS counts."""
+    """(text, lang) -> the n-gram counts of each language among a task's documents, as one row of BUCKETS counts; with more
+    than HELD languages in parts, of which there are several for a language."""
     sums: dict[str, np.ndarray] = {}
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        for lang, counts in sums.items():
+            at = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(at), "bucket": at.astype(np.int32), "n": counts[at]})
+        sums.clear()
+
     for batch in batches:
         for part in tokens.portions(batch):
             for text, lang in zip(tokens.texts_of(part), part.column("lang").to_pylist(), strict=True):
+                if lang not in sums and len(sums) == HELD:
+                    yield from rows()
                 own = sums.setdefault(lang, np.zeros(BUCKETS, np.int64))
                 for found in windows(cleaned(text)):
                     own += np.bincount(found, minlength=BUCKETS)
-    for lang, counts in sums.items():
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_pydict({"lang": [lang] * len(at), "bucket": at.astype(np.int32), "n": counts[at]})
+    yield from rows()
 
 
 @dataclass
@@ -95,41 +114,88 @@ class Model:
     code: np.ndarray
     #: A row of weights for each bucket, a column for each bit of the code.
     weights: np.ndarray
+    #: For each language and bit, how far the bit's classifier is right about the language's training documents.
+    reliable: np.ndarray
 
-    def losses(self, text: str) -> tuple[np.ndarray, int]:
-        """Loss of each language: the exponential loss of each bit's margin against the language's codeword, weighted
-        by how sure the bit's classifier is; and the number of n-grams."""
+    def margins(self, text: str) -> tuple[np.ndarray, int]:
+        """Each bit's margin, and the number of n-grams."""
         total, n = np.zeros(self.code.shape[1]), 0
         for found in windows(cleaned(text)):
             total += self.weights[found].sum(axis=0, dtype=np.float64)
             n += len(found)
-        margin = np.clip(SCALE * total / max(n, 1), -20, 20)
-        weight = np.abs(margin) / max(np.abs(margin).sum(), 1e-12)
-        return np.exp(-self.code * margin / 2) @ weight, n
+        return np.clip(SCALE * total / max(n, 1), -20, 20), n
+
+    def losses(self, text: str) -> tuple[np.ndarray, int]:
+        """Loss of each language: the exponential loss of each bit's margin against the language's codeword, weighted by
+        how sure the bit's classifier is and how reliable it is for the language; and the number of n-grams."""
+        margin, n = self.margins(text)
+        weight = self.reliable * np.abs(margin)
+        weight /= np.maximum(weight.sum(axis=1, keepdims=True), 1e-12)
+        return (np.exp(-self.code * margin / 2) * weight).sum(axis=1), n
+
+
+def _sides(totals: dict[str, float], code: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, bucket, n) in order -> bucket, yes, no: for each bit the summed shares of the bucket in the languages that
+    have the bit set, and in those that have not."""
+    place = {lang: k for k, lang in enumerate(sorted(totals))}
+    seen: dict[int, int] = {}
+    sums = np.zeros((0, 2, code.shape[1]))
+    for batch in batches:
+        buckets, langs = batch.column("bucket").to_pylist(), batch.column("lang").to_pylist()
+        at = [seen.setdefault(b, len(seen)) for b in buckets]
+        sums = np.concatenate([sums, np.zeros((len(seen) - len(sums), 2, code.shape[1]))])
+        share = batch.column("n").to_numpy() / np.array([totals[x] for x in langs])
+        own = code[[place[x] for x in langs]] > 0
+        np.add.at(sums, at, share[:, None, None] * np.stack([own, ~own], axis=1))
+    lists = [pa.FixedSizeListArray.from_arrays(pa.array(sums[:, k].ravel()), code.shape[1]).cast(pa.list_(pa.float64())) for k in (0, 1)]
+    yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int32()), *lists], ["bucket", "yes", "no"])
+
+
+def _right(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text, lang) -> lang, bit, n, sure: a task's documents of each language, and those about which the bit is right."""
+    place = {lang: k for k, lang in enumerate(model.languages)}
+    right, n = np.zeros(model.code.shape, np.int64), np.zeros(len(place), np.int64)
+    for batch in batches:
+        for part in tokens.portions(batch):
+            for text, lang in zip(tokens.texts_of(part), part.column("lang").to_pylist(), strict=True):
+                n[place[lang]] += 1
+                right[place[lang]] += model.margins(text)[0] * model.code[place[lang]] > 0
+    found = np.flatnonzero(n)
+    bits = model.code.shape[1]
+    yield pa.RecordBatch.from_pydict({"place": np.repeat(found, bits), "bit": np.tile(np.arange(bits), len(found)), "n": np.repeat(n[found], bits), "right": right[found].ravel()})
 
 
 def train(labelled: DataFrame) -> Model | None:
-    """labelled (text, lang) -> a model, None without rows. All rows count: tasks add up n-gram counts by language, and
-    what reaches the driver has languages x BUCKETS rows at most, however many documents there are.
+    """labelled (text, lang) -> a model, None without rows. All rows and all languages count: tasks add up n-gram counts
+    by language and bucket, then shares by bucket and bit. What reaches the driver is BUCKETS rows of bits, and for each
+    language its name and its reliable bits; bits grow with the logarithm of the number of languages.
 
     The classifier of a bit holds, for each n-gram, the log-odds of its share in the languages that have the bit set
-    against those that have not, languages counting alike whatever their number of documents.
+    against those that have not, languages counting alike whatever their number of documents. A second pass over the rows
+    counts for each language how often a bit is right (one more right and one more wrong are added); 1 for always, LEAST
+    for half of the time or less.
     """
-    counts = labelled.mapInArrow(_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    found = counts.toArrow()
-    languages = sorted(set(found.column("lang").to_pylist()))
+    counts = staged(labelled.mapInArrow(_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "gram-counts")
+    total = counts.groupBy("lang").agg(F.sum("n").alias("n")).toArrow()
+    totals = {lang: n + SMOOTH * BUCKETS for lang, n in zip(total.column("lang").to_pylist(), total.column("n").to_pylist(), strict=True)}
+    languages = sorted(totals)
     if not languages:
         return None
-    table = np.full((len(languages), BUCKETS), SMOOTH)
-    place = {lang: k for k, lang in enumerate(languages)}
-    table[[place[x] for x in found.column("lang").to_pylist()], found.column("bucket").to_numpy()] += found.column("n").to_numpy()
-    shares = table / table.sum(axis=1, keepdims=True)
     code = codewords(len(languages))
-    weights = np.empty((BUCKETS, code.shape[1]), np.float32)
-    for bit in range(code.shape[1]):
-        yes, no = shares[code[:, bit] > 0], shares[code[:, bit] < 0]
-        weights[:, bit] = np.log(yes.mean(axis=0) / no.mean(axis=0)) if len(no) else 1.0
-    return Model(languages, code, weights)
+    sides = counts.repartition("bucket").sortWithinPartitions("bucket", "lang").mapInArrow(partial(_sides, totals, code), "bucket int, yes array<double>, no array<double>").toArrow()
+    floor = np.array([SMOOTH / totals[x] for x in languages])
+    weights = []
+    for name, has in (("yes", code > 0), ("no", code < 0)):
+        sums = np.tile(floor @ has, (BUCKETS, 1))
+        sums[sides.column("bucket").to_numpy()] += sides.column(name).combine_chunks().flatten().to_numpy().reshape(-1, code.shape[1])
+        weights.append(sums / np.maximum(has.sum(axis=0), 1))
+    alone = (code > 0).all(axis=0)
+    model = Model(languages, code, np.where(alone, 1.0, np.log(weights[0] / np.where(alone, 1.0, weights[1]))).astype(np.float32), np.ones(code.shape))
+    shared = labelled.sparkSession.sparkContext.broadcast(model)
+    right = labelled.mapInArrow(lambda batches: _right(shared.value, batches), "place long, bit long, n long, right long").groupBy("place", "bit").agg(F.sum("n").alias("n"), F.sum("right").alias("right")).toArrow()
+    at = right.column("place").to_numpy(), right.column("bit").to_numpy()
+    model.reliable[at] = np.maximum(2 * (right.column("right").to_numpy() + 1) / (right.column("n").to_numpy() + 2) - 1, LEAST)
+    return model
 
 
 FOUND = "lang_pred string, score double, runner_up string, evidence long, decided double"
@@ -190,8 +256,7 @@ def identify_languages(docs: DataFrame, carry: bool = False) -> DataFrame:
     of doc_id a struct `row` holds all columns; only the text goes through Python.
     """
     labelled = docs.filter(~held_out() & F.col("lang").isNotNull()).select("text", "lang")
-    most = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
-    model = train(labelled.join(F.broadcast(most.select("lang")), "lang"))
+    model = train(labelled)
     key = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row") if carry else F.col("doc_id")
     found = docs.select(key, held_out().alias("held_out"), predictor(docs, model)(F.col("text")).alias("found"))
     return found.select("row" if carry else "doc_id", "held_out", "found.*", (F.col("found.score") < AMBIGUOUS).alias("ambiguous"))
