@@ -10,16 +10,19 @@ from hanji.llm.common import join_hot, staged
 from hanji.llm.queries import tokenizer
 
 
-#: N-grams from which a text must show its language, and the share of them in parts whose language is beyond doubt.
-ENOUGH, DECIDED = 600, 0.2
+#: The share of a text's n-grams that must lie in parts whose language is beyond doubt, and n-grams that every text is given
+#: beside its own as such: a text has to show little where it is short, and the full share where it is long.
+DECIDED, PRESUMED = 0.2, 150
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in learned languages stay; where lang is null it becomes the prediction. Documents go whose language
-    can't be told (no letter, or nothing learned), and those long enough to show it of which most parts stay in doubt
-    between codewords: other languages and no language. Short texts are never rejected for doubt."""
+    can't be told (no letter, or nothing learned), and those of which most parts stay in doubt between codewords: other
+    languages and no language. One rule for all lengths, by the evidence: a text of which nothing is decided goes if it
+    has more than PRESUMED * (1 - DECIDED) / DECIDED n-grams (600)."""
     found = langid.identify_languages(docs, carry=True)
-    known = found.filter((F.col("lang_pred") != "und") & ((F.col("evidence") < ENOUGH) | (F.col("decided") >= DECIDED)))
+    shown = (F.col("decided") * F.col("evidence") + PRESUMED) / (F.col("evidence") + PRESUMED)
+    known = found.filter((F.col("lang_pred") != "und") & (shown >= DECIDED))
     lang = F.coalesce("row.lang", "lang_pred").alias("lang")
     return known.select(*[lang if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns])
 
