@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hanji.llm import langid, mixing, packing, simhash
-from hanji.llm.common import join_hot, staged
+from hanji.llm.common import join_hot, marked, staged
 from hanji.llm.queries import tokenizer
 
 
@@ -38,8 +38,8 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     found = staged(simhash.similar_components(rows.select("number", "doc_id", F.col("whole.text").alias("text"))), "components")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "number")
     stays = found.groupBy("component").agg(F.count("*").alias("rows"), F.min(order)["number"].alias("stays")).filter("rows > 1")
-    gone = staged(join_hot(found, staged(stays, "groups"), ["component"], counted="rows").filter("number <> stays").select("number"), "gone")
-    return rows.join(gone, "number", "left_anti").select("whole.*")
+    gone = join_hot(found, staged(stays, "groups"), ["component"], counted="rows").filter("number <> stays").select("number")
+    return marked(rows, gone, "number").filter(~F.col("marked")).select("whole.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

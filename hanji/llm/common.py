@@ -14,6 +14,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: Share of a table's rows above which a join key is hot: there can be no more than so many hot keys.
 HOT_KEYS = 1000
+#: Rows of a bitmap, 64 numbers each, up to which it is broadcast.
+BITMAP_ROWS = 1 << 22
 
 _own_folders: dict[str, str] = {}
 
@@ -80,6 +82,21 @@ def join_hot(many: DataFrame, one: DataFrame, keys: list[str], how: str = "inner
     return near.unionByName(many.filter(~is_hot).join(one, keys, how))
 
 
+def marked(rows: DataFrame, numbers: DataFrame, number: str, bitmap_rows: int = BITMAP_ROWS) -> DataFrame:
+    """Rows with a boolean `marked`: whether their `number` (a column of both, of numbers that lie close together) is among
+    `numbers`.
+
+    The numbers travel as bitmaps of 64, so rows that carry whole texts stay where they are instead of being shuffled to
+    meet a number. Beyond `bitmap_rows` bitmaps (some 64 times as many rows) Spark chooses the join.
+    """
+    at = F.shiftright(number, 6).alias("bitmap_at")
+    bit = F.col(number).bitwiseAND(63).cast("int")
+    bitmaps = staged(numbers.groupBy(at).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bitmap")), "bitmaps")
+    found = rows.withColumn("bitmap_at", at).join(F.broadcast(bitmaps) if bitmaps.count() <= bitmap_rows else bitmaps, "bitmap_at", "left")
+    is_set = F.call_function("shiftright", F.col("bitmap"), bit).bitwiseAND(1) == 1
+    return found.withColumn("marked", F.coalesce(is_set, F.lit(False))).drop("bitmap_at", "bitmap")
+
+
 def in_order(rows: DataFrame, *order: Column) -> DataFrame:
     """Stored rows with `position`, from 0, in the order given, which should leave no two rows equal.
 

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import join_hot, staged, word_count
+from .common import join_hot, marked, staged, word_count
 
 #: Weights of the sources in order, repeating; the mix's size against all sizes; the most that a source is repeated.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
@@ -161,8 +161,7 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: fl
     named = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("of")
     known = join_hot(rows.select("*", named), targets.withColumn("of", named).drop("source"), ["of"], counted="n")
     units = known.filter("chance > 0").join(numbered_units(rows), "row").select(F.col("of").alias("source"), "row", "unit", "size", "chance", "n")
-    extra = cube_sample(staged(units, "units"), seed=seed).filter("taken").select("row", F.lit(1).alias("extra"))
-    # Both sides grow with the documents, so neither is broadcast at any size.
-    mixed = known.join(extra.hint("merge"), "row", "left")
-    copies = (F.col("whole") + F.coalesce("extra", F.lit(0))).cast("int")
+    extra = cube_sample(staged(units, "units"), seed=seed).filter("taken").select("row")
+    mixed = marked(known, extra, "row")
+    copies = (F.col("whole") + F.col("marked").cast("int")).cast("int")
     return mixed.select("row", "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), *(["all"] if carry else []))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import connected_components, join_hot, staged
+from .common import connected_components, join_hot, marked, staged
 
 #: Words in a shingle, the hash's seed, and the number of differing bits up to which fingerprints link.
 SHINGLE, HASH_SEED, RADIUS = 3, 42, 2
@@ -227,6 +227,11 @@ def simhash_components(docs: DataFrame, table_rows: int = TABLE_ROWS) -> DataFra
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def node_of(words: list[bytes]) -> int:
+    """One number for all texts of equal words in equal order."""
+    return signed(xxhash.xxh3_64_intdigest(b" ".join(words)))
+
+
 SKETCH = "node long, fp0 long, fp1 long, n long, anchors array<long>"
 
 
@@ -239,7 +244,7 @@ def _sketches(shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
             for text in tokens.texts_of(part):
                 words = words_of(text)
                 hashes = np.unique(shingle_hashes(words, shingle))
-                own = (signed(xxhash.xxh3_64_intdigest(b" ".join(words))), signed(majority(hashes)), signed(majority(second_half(hashes))), len(hashes), hashes[:ANCHORS].astype(np.int64))
+                own = (node_of(words), signed(majority(hashes)), signed(majority(second_half(hashes))), len(hashes), hashes[:ANCHORS].astype(np.int64))
                 for column, value in zip(columns, own, strict=True):
                     column.append(value)
             out = part.drop_columns(["text"])
@@ -249,11 +254,12 @@ def _sketches(shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
 
 
 def _sets(shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, text) -> node, shingles: the sorted distinct hashes."""
+    """(text) -> node, shingles: the sorted distinct hashes."""
     for batch in batches:
         for part in tokens.portions(batch):
-            sets = [np.unique(shingle_hashes(words_of(text), shingle)).astype(np.int64) for text in tokens.texts_of(part)]
-            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+            words = [words_of(text) for text in tokens.texts_of(part)]
+            sets = [np.unique(shingle_hashes(w, shingle)).astype(np.int64) for w in words]
+            yield pa.RecordBatch.from_arrays([pa.array(map(node_of, words), pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
 
 def candidates(run: pa.RecordBatch, radius: int, similarity: float, labels: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -326,8 +332,8 @@ def similar_components(docs: DataFrame, shingle: int = 5, radius: int = WIDE, si
     def links_of(rows: DataFrame) -> DataFrame:
         runs = rows.select(kept).repartition("run").sortWithinPartitions("run", "node")
         partners = staged(runs.mapInArrow(partial(_partners, radius, similarity), schema), "partners")
-        wanted = partners.select("node").distinct().join(distinct.select("node", "number"), "node")
-        texts = docs.select("number", "text").join(wanted, "number").select("node", "text")
+        wanted = distinct.select("node", "number").join(partners.select("node").distinct(), "node", "left_semi").select("number")
+        texts = marked(docs.select("number", "text"), wanted, "number").filter("marked").select("text")
         sets = staged(texts.mapInArrow(partial(_sets, shingle), "node long, shingles array<long>"), "sets")
         full = partners.join(sets, "node").select(*kept, "shingles").repartition("run").sortWithinPartitions("run", "node")
         return full.mapInArrow(partial(_similar, radius, similarity), "a long, b long")

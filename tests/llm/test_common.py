@@ -38,3 +38,15 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="checkpoint"):
         common.shared_folder(Session())
+
+
+def test_rows_are_marked_by_number(spark):
+    rng = random.Random(2)
+    numbers = [(part << 33) + k for part in (0, 1, 900) for k in range(200)]
+    rows = spark.createDataFrame([(x, f"text {x}") for x in [*numbers, numbers[3]]], "number long, text string")
+    some = {0, 63, 64, *rng.sample(numbers, 150)}
+    for most in (common.BITMAP_ROWS, 0):
+        got = common.marked(rows, spark.createDataFrame([(x,) for x in some], "number long"), "number", most)
+        assert got.columns == ["number", "text", "marked"]
+        assert sorted((r.number, r.marked) for r in got.collect()) == sorted((x, x in some) for x in [*numbers, numbers[3]])
+    assert {r.marked for r in common.marked(rows, rows.filter("false"), "number").collect()} == {False}

@@ -84,3 +84,15 @@ def test_one_row_of_repeated_and_reused_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((r.doc_id, r.text or "") for r in corpus_pipeline.simhash_dedup(spark, docs, "").collect())
     assert got == [(1, text), (2, other), (3, "")]
+
+
+def test_whole_rows_stay_where_they_are(spark):
+    """At no size do whole rows meet the numbers of those that go by a shuffle."""
+    docs = spark.createDataFrame(list(enumerate(edited())), "doc_id long, text string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = corpus_pipeline.simhash_dedup(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
