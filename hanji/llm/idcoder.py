@@ -343,7 +343,7 @@ def _segments(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         return pa.RecordBatch.from_pylist([{"segment": (task.partitionId() << 32) + made, **write_segment(ids), "documents": documents}], schema=_SEGMENT)
 
     for batch in batches:
-        for part in tokens.portions(batch):
+        for part in tokens.portions(batch, chars=tokens.ENCODE_CHARS):
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(tokens.texts_of(part)), strict=True):
                 ids = np.append(ids, ids.dtype.type(END))
                 streams.append(ids)

@@ -29,7 +29,7 @@ def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 def _pieces(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     encoder = tokens.encoder(path, "byte")
     for batch in batches:
-        for part in tokens.portions(batch):
+        for part in tokens.portions(batch, chars=tokens.ENCODE_CHARS):
             rows, piece, start, length, crc = [], [], [], [], []
             for row, ids in enumerate(encoder.encode(tokens.texts_of(part))):
                 ids = np.append(ids, ids.dtype.type(END)).astype("<u4")

@@ -5,22 +5,25 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bounds on what a worker holds: characters of texts at once, pieces in each of the cache's two generations, and
+#: Bounds on what a worker holds: bytes of texts at once, the same where they become ids, pieces in each of the cache's two generations, and
 #: characters of a piece in the cache; and pieces that the tokenizer gets in one string.
-BATCH_CHARS, CACHE_PIECES, PIECE_CHARS, JOINED = 2_000_000, 500_000, 48, 500
+BATCH_CHARS, ENCODE_CHARS, CACHE_PIECES, PIECE_CHARS, JOINED = 2_000_000, 6_000_000, 500_000, 48, 500
 #: Bytes of a long text that are cut into words at once.
 SLICE_BYTES = 1 << 20
 
 #: A byte-level BPE with GPT-2's pattern always starts a new word at a space or line feed that anything but white space
 #: follows, and words are encoded one by one; so texts may be cut there, and pieces that begin so may be joined.
 SPACED = re.compile(r"[ \n]?(?:[^ \n]+|[ \n](?!\S))+")
-#: What a text must not hold for all its pieces to begin so.
-UNEVEN = re.compile(r"\s\s|[^\S \n]|\x00|\A\s|\s\Z")
+#: Marks that are words of their own after a letter, alone or in a row (an apostrophe may begin one with letters, and a
+#: low line counts as a letter for some tokenizers).
+MARKS = "".join(sorted(set(punctuation) - set("'_")))
 
 #: The characters by which byte-level tokenizers name bytes: printable ones of Latin-1 name themselves, the others take
 #: the code points from 256 on.
@@ -50,13 +53,11 @@ class PieceEncoder:
         self.older: dict[str, bytes] = {}
         self.line_feed = self.raw(["\n"])[0] if kind == "byte" else b""
 
-    def keys(self, text: str) -> list[str]:
-        if self.kind == "word":
-            return [p for p in text.replace("\n", " ").split(" ") if p]
-        if text and not UNEVEN.search(text):
-            first, *rest = text.replace("\n", " \n").split(" ")
-            return ["\x00" + first, *rest]
-        return [self.key(p) for p in SPACED.findall(text)]
+    @staticmethod
+    def even(text: str) -> bool:
+        """Whether white space is single spaces and line feeds between other characters, so that all pieces but the
+        first begin with one."""
+        return text.replace("\n", " ") == " ".join(text.split()) != "" and "\x00" not in text
 
     @staticmethod
     def key(piece: str) -> str:
@@ -114,27 +115,51 @@ class PieceEncoder:
         return out
 
     def learn(self, keys: set[str]) -> None:
-        """Encode new pieces. A full stop or comma at the end is a word of its own after a Latin letter
-        that stays one letter in lower case."""
-        stems = {k: k[:-1] for k in keys if len(k) > 2 and k[-1] in ".," and k[-2].isalpha() and k[-2] < "ɐ" and k[-2] != "İ"}
+        """Encode new pieces. Marks at the end are a word of their own after a Latin letter that stays one letter in
+        lower case."""
+        stems = {}
+        for k in keys:
+            if k[-1] in MARKS:
+                stem = k.rstrip(MARKS)
+                if len(stem) > 1 and stem[-1].isalpha() and stem[-1] < "ɐ" and stem[-1] != "İ":
+                    stems[k] = stem
         self.known.update(self.encoded(list(((keys - stems.keys()) | set(stems.values())) - self.known.keys())))
-        marks = dict(zip(".,", self.raw([".", ","]), strict=True)) if stems else {}
+        marks = list({k[len(stem) :] for k, stem in stems.items()})
+        of_marks = dict(zip(marks, self.raw(marks), strict=True))
         for k, stem in stems.items():
-            self.known[k] = self.known[stem] + marks[k[-1]]
+            self.known[k] = self.known[stem] + of_marks[k[len(stem) :]]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.keys(t) for t in texts]
-        wanted = set().union(*cut)
-        long = [k for k in wanted if len(k) > PIECE_CHARS]
-        new = wanted.difference(self.known, long)
+        """Each text's ids. Pieces are cut and numbered as columns, and only distinct ones are looked up."""
+        if self.kind == "word":
+            at, cut = list(range(len(texts))), [t.replace("\n", " ") for t in texts]
+        else:
+            at = [k for k, t in enumerate(texts) if self.even(t)]
+            cut = ["\x00" + texts[k].replace("\n", " \n") for k in at]
+        pieces = pc.split_pattern(pa.array(cut, pa.large_string()), " ")
+        numbered = pieces.flatten().dictionary_encode()
+        keys = numbered.dictionary.to_pylist()
+        others = {k: [self.key(p) for p in SPACED.findall(texts[k])] for k in set(range(len(texts))).difference(at)}
+        of_others = set().union(*others.values())
+        new = {k for k in chain(keys, of_others) if k not in self.known and k}
+        long = [k for k in new if len(k) > PIECE_CHARS]
+        new.difference_update(long)
         if len(self.known) + len(new) > CACHE_PIECES:  # what is still in use comes back from the older generation
             self.known, self.older = {}, self.known
-            new = wanted.difference(long)
+            new = of_others.union(keys).difference(long, [""])
         seen = new & self.older.keys()
         self.known.update({k: self.older[k] for k in seen})
         self.learn(new - seen)
         known = _Both(self.known, dict(zip(long, self.raw([self.piece(k) for k in long]), strict=True))) if long else self.known
-        return [np.frombuffer(b"".join(map(known.__getitem__, c)), self.dtype) for c in cut]
+        values = [known[k] if k else b"" for k in keys] if self.kind == "word" else [known[k] for k in keys]
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // self.dtype.itemsize
+        number = numbered.indices.to_numpy()
+        ends = np.r_[0, np.cumsum(sizes[number])]
+        source = np.repeat((np.cumsum(sizes) - sizes)[number] - ends[:-1], sizes[number]) + np.arange(ends[-1])
+        ids, bounds = np.frombuffer(b"".join(values), self.dtype)[source], ends[pieces.offsets.to_numpy()]
+        found = {k: ids[s:e] for k, s, e in zip(at, bounds[:-1], bounds[1:], strict=True)}
+        found |= {k: np.frombuffer(b"".join(map(known.__getitem__, c)), self.dtype) for k, c in others.items()}
+        return [found[k] for k in range(len(texts))]
 
 
 class _Both:

@@ -103,3 +103,15 @@ def test_pieces_give_the_tokenizers_ids(name, kind, monkeypatch):
         part = texts[at : at + 250]
         want = encoder.tokenizer.encode_batch(part, add_special_tokens=False)
         assert [g.tolist() for g in encoder.encode(part)] == [e.ids for e in want]
+
+
+@pytest.mark.parametrize(("name", "kind"), [("word_bpe_49k.json", "word"), ("byte_bpe_50k.json", "byte")])
+def test_words_are_looked_up_once_and_marks_apart(name, kind):
+    """However often a word stands in a batch and whatever marks follow it, it is encoded once."""
+    encoder = tokens.PieceEncoder(public_tokenizers.path(name), kind)
+    asked = []
+    encoder.encoded = lambda keys, own=encoder.encoded: (asked.extend(keys), own(keys))[1]
+    texts = ["start", *[f"start über{m} gone{m}\nüber{m} Gone" for m in ("", "***", "&&&", "...", "?!", ",")]]
+    want = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [g.tolist() for g in encoder.encode(texts)] == [e.ids for e in want]
+    assert len(asked) == len(set(asked)) and {k.strip("\x00\n") for k in asked} == {"start", "über", "gone", "Gone"}
