@@ -13,17 +13,19 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import in_order, join_hot, staged
+from .common import HOT_KEYS, in_order, join_hot, staged
 
 #: Words of the longest phrase, occurrences that a candidate needs, percentage of them at which a longer phrase drops it,
 #: and phrases that a language's list has.
 LONGEST, LEAST, SHARE, TOP = 5, 100, 100, 2000
 #: Words of a shard, bits of a filter for each phrase in it, the most bits that a filter may have, and its hashes.
 SHARD_WORDS, FILTER_BITS, MOST_BITS, PROBES = 1 << 20, 16, 1 << 28, 3
+#: Parts into which the pairs that begin with a hot word are dealt.
+SLOTS = 64
 #: Marks that end a piece, and the byte that stands for them, which UTF-8 never has.
 MARKS, BREAK = ".,;:!?\n\x0b\x0c\r", b"\xff"
 CUT = bytes.maketrans((ascii_uppercase + MARKS + "\t").encode(), ascii_lowercase.encode() + BREAK * len(MARKS) + b" ")
@@ -228,7 +230,9 @@ def phrase_counts(ids: np.ndarray, pairs: np.ndarray, upto: int, shortest: int,
         yield ids[order[heads[some]][:, None] + np.arange(length)], counts[some]
 
 
-def _phrases(shortest: int, longest: int, words: Broadcast, pairs: Broadcast | None, shard_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked(longest: int, words: Broadcast, pairs: Broadcast | None, shard_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Shard, np.ndarray, np.ndarray, np.ndarray]]:
+    """Shards with their words' hashes, their ids (0 for infrequent words) and whether position and next may stand in a
+    phrase."""
     for shard in shards(batches, longest, shard_words):
         if len(shard.words) < 2:
             continue
@@ -241,6 +245,11 @@ def _phrases(shortest: int, longest: int, words: Broadcast, pairs: Broadcast | N
         if pairs is not None:
             at = np.flatnonzero(both)
             both[at] = pairs.value.has(mixed(hashes[ids[at]], hashes[ids[at + 1]]))
+        yield shard, hashes, ids, both
+
+
+def _phrases(shortest: int, longest: int, words: Broadcast, pairs: Broadcast | None, shard_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for shard, _, ids, both in _linked(longest, words, pairs, shard_words, batches):
         names, lang_of = pa.array(shard.words, pa.binary()).cast(pa.string()), np.array(shard.lang_of, np.int64)
         for found, counts in phrase_counts(ids, both, shard.upto, shortest, longest):
             if len(counts):
@@ -248,20 +257,56 @@ def _phrases(shortest: int, longest: int, words: Broadcast, pairs: Broadcast | N
                 yield batch_of(shard, lang_of[found[:, 0]], pc.binary_join_element_wise(*columns, " "), counts)
 
 
+STRIPE = "head string, slot int, seconds string, counts array<int>"
+
+
+def _stripes(words: Broadcast, hot: np.ndarray, shard_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs as stripes: language and first word once, with all second words in order and their counts. A hot first word's
+    stripe is cut into SLOTS by the second word."""
+    for shard, hashes, ids, both in _linked(2, words, None, shard_words, batches):
+        for found, counts in phrase_counts(ids, both, shard.upto, 2, 2):
+            if not len(counts):
+                continue
+            names, lang_of = pa.array(shard.words, pa.binary()).cast(pa.string()), np.array(shard.lang_of, np.int64)
+            rank = np.empty(len(names), np.int64)
+            rank[pc.sort_indices(names).to_numpy()] = np.arange(len(names))
+            first, second = found[:, 0].astype(np.int64), found[:, 1]
+            stripe = first * SLOTS + np.where(np.isin(hashes, hot)[first], hashes[second] % np.uint64(SLOTS), 0).astype(np.int64)
+            order = np.argsort(stripe * len(names) + rank[second])
+            stripe = stripe[order]
+            starts = np.flatnonzero(np.r_[True, stripe[1:] != stripe[:-1]])
+            bounds, heads = pa.array(np.r_[starts, len(stripe)], pa.int32()), stripe[starts] // SLOTS
+            keys = pc.binary_join_element_wise(pa.array(shard.langs, pa.string()).take(pa.array(lang_of[heads])), names.take(pa.array(heads)), "\t")
+            seconds = pc.binary_join(pa.ListArray.from_arrays(bounds, names.take(pa.array(second[order]))), " ")
+            numbers = pa.ListArray.from_arrays(bounds, pa.array(counts[order].astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([keys, pa.array((stripe[starts] % SLOTS).astype(np.int32)), seconds, numbers], ["head", "slot", "seconds", "counts"])
+
+
+def hot_words(words: DataFrame) -> np.ndarray:
+    """The hashes of the words that make up more than a HOT_KEYS-th of all frequent words; there are fewer than that."""
+    total = words.agg(F.sum("a")).first()[0] or 0
+    rows = words.filter(F.col("a") > total / HOT_KEYS).select("lang", "phrase").collect()
+    return word_hashes([r["phrase"].encode() for r in rows], [r["lang"] for r in rows])
+
+
 def frequent_phrases(docs: DataFrame, longest: int, least: int, shard_words: int, most_bits: int) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, length, a) of all phrases of 1 to `longest` words with `least` occurrences, and (lang, n) of all
     languages.
 
     Three passes: words; pairs of frequent words; longer phrases of which all pairs are frequent. No frequent phrase has an
-    infrequent part, so the filters that say so lose none. Each shard's counts are added up by phrase.
+    infrequent part, so the filters that say so lose none. Each shard's counts are added up by phrase; pairs, of which
+    there are most, are shuffled as stripes (_stripes) and fall apart where they are added up.
     """
     read = docs.select("text", "lang")
     schema = "key string, count long"
 
+    def parts_of(key: str) -> tuple[Column, Column]:
+        phrase = F.substring_index(key, "\t", -1)
+        return F.substring(key, F.lit(1), F.length(key) - F.length(phrase) - 1), phrase
+
     def merged(counts: DataFrame, label: str) -> DataFrame:
         whole = counts.groupBy("key").agg(F.sum("count").alias("a"))
-        phrase = F.substring_index("key", "\t", -1)
-        lang = F.substring("key", F.lit(1), F.length("key") - F.length(phrase) - 1)
+        lang, phrase = parts_of("key")
         named = whole.select(lang.alias("lang"), phrase.alias("phrase"), "a").filter((F.col("a") >= least) | (F.col("phrase") == ""))
         return staged(named.withColumn("length", F.size(F.split("phrase", " "))), label)
 
@@ -270,7 +315,12 @@ def frequent_phrases(docs: DataFrame, longest: int, least: int, shard_words: int
     if longest < 2:
         return words, totals
     known = filter_of(words, most_bits)
-    pairs = merged(read.mapInArrow(partial(_phrases, 2, 2, known, None, shard_words), schema), "pairs")
+    stripes = read.mapInArrow(partial(_stripes, known, hot_words(words), shard_words), STRIPE).repartition("head", "slot")
+    each = stripes.select("head", "slot", F.split("seconds", " ").alias("second"), "counts").select("head", "slot", F.explode(F.arrays_zip("second", "counts")).alias("x"))
+    # Dealt by head and slot already, so this adds no shuffle.
+    whole = each.groupBy("head", "slot", F.col("x.second").alias("second")).agg(F.sum("x.counts").alias("a")).filter(F.col("a") >= least)
+    lang, first = parts_of("head")
+    pairs = staged(whole.select(lang.alias("lang"), F.concat_ws(" ", first, "second").alias("phrase"), "a", F.lit(2).alias("length")), "pairs")
     found = words.unionByName(pairs)
     if longest > 2:
         of_pairs = filter_of(pairs, most_bits)

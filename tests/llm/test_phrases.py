@@ -99,3 +99,20 @@ def test_products_beyond_64_bits(spark):
     assert found.score == 1000 * 3 * 6 // 9
     big = spark.sql("select (1000 * x.a * x.n) div (x.l * x.r) as score from (select struct(cast(9e12 as decimal(20,0)) a, cast(1e13 as decimal(20,0)) n, cast(9e12 as decimal(20,0)) l, cast(1e13 as decimal(20,0)) r) x)")
     assert big.first().score == 1000
+
+
+def test_pairs_are_shuffled_as_stripes(spark):
+    """One row for a first word and not for each pair; a hot first word's pairs are dealt into slots."""
+    import pyarrow as pa
+
+    class Known:
+        value = phrases.Filter(np.full(128, 255, np.uint8))
+
+    batch = pa.RecordBatch.from_pydict({"text": ["hot b hot c hot b x\x00 y x\x00 z, hot"] * 2, "lang": ["a\tb", None]})
+    got = pa.Table.from_batches(phrases._stripes(Known, phrases.word_hashes([b"hot"], ["und"]), 1000, iter([batch]))).to_pylist()
+    cold = {r["head"]: (r["slot"], r["seconds"], r["counts"]) for r in got if r["head"] != "und\thot"}
+    assert cold["a\tb\thot"] == (0, "b c", [2, 1]) and cold["und\tx\x00"] == (0, "y z", [1, 1]) and len(cold) == 9
+    hot = [r for r in got if r["head"] == "und\thot"]
+    assert sorted(zip(" ".join(r["seconds"] for r in hot).split(), sum((r["counts"] for r in hot), []), strict=True)) == [("b", 2), ("c", 1)]
+    slots = {h: int(phrases.word_hashes([h.encode()], ["und"])[0] % phrases.SLOTS) for h in "bc"}
+    assert {r["slot"] for r in hot} == set(slots.values())
