@@ -354,6 +354,8 @@ def _segments(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
                     made, streams, documents, held = made + 1, [], [], 0
     if documents:
         yield segment()
+    del streams, documents
+    tokens.give_back()
 
 
 class DamagedBlock(ValueError):

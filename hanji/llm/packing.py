@@ -41,6 +41,7 @@ def _pieces(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                     crc.append(zlib.crc32(ids[s : s + n]))
             columns = [part.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
+    tokens.give_back()
 
 
 def sum_of_squares(lengths: list[int], capacity: int = CAPACITY) -> tuple[list[int], list[int]]:

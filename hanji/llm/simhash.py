@@ -324,13 +324,14 @@ def similar_components(docs: DataFrame, shingle: int = 5, radius: int = WIDE, si
     rows = staged(docs.select("number", "doc_id", "text").mapInArrow(partial(_sketches, shingle), f"number long, doc_id long, {SKETCH}"), "sketches")
     first = F.min(F.struct("number", "fp0", "fp1", "n", "anchors")).alias("x")
     distinct = staged(rows.groupBy("node").agg(first).select("node", "x.*"), "distinct")
-    keyed = distinct.select("node", "fp0", "fp1", "n", "anchors", F.explode("anchors").alias("key"))
-    members = bucket_members(keyed, "n", block_shingles)
+    # Buckets are made of nodes alone; whole sketches move once, for members of buckets that have two or more.
+    members = bucket_members(distinct.select("node", "n", F.explode("anchors").alias("key")), "n", block_shingles)
+    sketches = distinct.select("node", "fp0", "fp1", "anchors")
     kept = ["run", "key", "label", "side", "node", "fp0", "fp1", "n", "anchors"]
     schema = f"run long, key long, label long, side int, {SKETCH}"
 
     def links_of(rows: DataFrame) -> DataFrame:
-        runs = rows.select(kept).repartition("run").sortWithinPartitions("run", "node")
+        runs = rows.join(sketches, "node").select(kept).repartition("run").sortWithinPartitions("run", "node")
         partners = staged(runs.mapInArrow(partial(_partners, radius, similarity), schema), "partners")
         wanted = distinct.select("node", "number").join(partners.select("node").distinct(), "node", "left_semi").select("number")
         texts = marked(docs.select("number", "text"), wanted, "number").filter("marked").select("text")

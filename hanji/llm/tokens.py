@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from array import array
 from collections.abc import Iterator
@@ -14,7 +15,7 @@ import pyarrow.compute as pc
 
 #: Bounds on what a worker holds: bytes of texts at once, the same where they become ids, pieces in each of the cache's two generations, and
 #: characters of a piece in the cache; and pieces that the tokenizer gets in one string.
-BATCH_CHARS, ENCODE_CHARS, CACHE_PIECES, PIECE_CHARS, JOINED = 2_000_000, 6_000_000, 500_000, 48, 500
+BATCH_CHARS, ENCODE_CHARS, CACHE_PIECES, PIECE_CHARS, JOINED = 2_000_000, 3_000_000, 500_000, 48, 500
 #: Bytes of a long text that are cut into words at once.
 SLICE_BYTES = 1 << 20
 
@@ -138,7 +139,8 @@ class PieceEncoder:
             cut = ["\x00" + texts[k].replace("\n", " \n") for k in at]
         pieces = pc.split_pattern(pa.array(cut, pa.large_string()), " ")
         numbered = pieces.flatten().dictionary_encode()
-        keys = numbered.dictionary.to_pylist()
+        keys, number, first = numbered.dictionary.to_pylist(), numbered.indices.to_numpy(), pieces.offsets.to_numpy()
+        del cut, pieces, numbered  # new pieces take room of their own
         others = {k: [self.key(p) for p in SPACED.findall(texts[k])] for k in set(range(len(texts))).difference(at)}
         of_others = set().union(*others.values())
         new = {k for k in chain(keys, of_others) if k not in self.known and k}
@@ -152,11 +154,14 @@ class PieceEncoder:
         self.learn(new - seen)
         known = _Both(self.known, dict(zip(long, self.raw([self.piece(k) for k in long]), strict=True))) if long else self.known
         values = [known[k] if k else b"" for k in keys] if self.kind == "word" else [known[k] for k in keys]
-        sizes = np.fromiter(map(len, values), np.int64, len(values)) // self.dtype.itemsize
-        number = numbered.indices.to_numpy()
-        ends = np.r_[0, np.cumsum(sizes[number])]
-        source = np.repeat((np.cumsum(sizes) - sizes)[number] - ends[:-1], sizes[number]) + np.arange(ends[-1])
-        ids, bounds = np.frombuffer(b"".join(values), self.dtype)[source], ends[pieces.offsets.to_numpy()]
+        sizes = np.fromiter(map(len, values), np.int32, len(values)) // self.dtype.itemsize
+        taken = sizes[number]
+        ends = np.zeros(len(taken) + 1, np.int64)
+        np.cumsum(taken, out=ends[1:])
+        place = np.int32 if max(ends[-1], sizes.sum()) < 1 << 31 else np.int64  # the largest columns here: one place for each id
+        source = np.repeat((np.cumsum(sizes, dtype=np.int64) - sizes).astype(place)[number] - ends[:-1].astype(place), taken)
+        source += np.arange(ends[-1], dtype=place)
+        ids, bounds = np.frombuffer(b"".join(values), self.dtype)[source], ends[first]
         found = {k: ids[s:e] for k, s, e in zip(at, bounds[:-1], bounds[1:], strict=True)}
         found |= {k: np.frombuffer(b"".join(map(known.__getitem__, c)), self.dtype) for k, c in others.items()}
         return [found[k] for k in range(len(texts))]
@@ -183,6 +188,15 @@ def encoder(path: str, kind: str) -> PieceEncoder:
     return _encoders[path, kind]
 
 
+def give_back() -> None:
+    """Return what is free to the system. A worker lives on after its task, beside others and the executor, and keeps the
+    most memory that any task took: after millions of short strings that is twice what it holds."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim:
+        trim(0)
+
+
 def slices(text: bytes, size: int = SLICE_BYTES) -> Iterator[bytes]:
     """A text in parts of about `size` bytes, cut at spaces."""
     start = 0

@@ -50,3 +50,10 @@ def test_rows_are_marked_by_number(spark):
         assert got.columns == ["number", "text", "marked"]
         assert sorted((r.number, r.marked) for r in got.collect()) == sorted((x, x in some) for x in [*numbers, numbers[3]])
     assert {r.marked for r in common.marked(rows, rows.filter("false"), "number").collect()} == {False}
+
+
+def test_staged_tables_are_packed_tight(spark):
+    import pyarrow.parquet as pq
+
+    file = common.staged(spark.range(5), "five").inputFiles()[0].removeprefix("file:").removeprefix("//")
+    assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"

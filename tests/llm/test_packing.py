@@ -89,3 +89,15 @@ def test_sum_of_squares_takes_the_smallest_sum():
             sums.append(sum(n * n for n in Counter(20 - x for x in level.values() if x < 20).values()))
         want, made = slow_rule(lengths, 20)
         assert sums == want and len(level) == made
+
+
+def test_a_worker_gives_memory_back_after_a_task(monkeypatch):
+    import public_tokenizers
+    import pyarrow as pa
+
+    from hanji.llm import packing, tokens
+
+    given = []
+    monkeypatch.setattr(tokens, "give_back", lambda own=tokens.give_back: (given.append(1), own()))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["one two", None]})
+    assert sum(map(len, packing._pieces(public_tokenizers.path("byte_bpe_50k.json"), iter([batch])))) == 2 and given == [1]

@@ -96,3 +96,13 @@ def test_whole_rows_stay_where_they_are(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_buckets_are_made_of_nodes_alone(spark, monkeypatch):
+    """Whole sketches aren't shuffled to meet their buckets' sizes."""
+    asked, own = [], simhash.bucket_members
+    monkeypatch.setattr(simhash, "bucket_members", lambda keyed, *rest: (asked.append(set(keyed.columns)), own(keyed, *rest))[1])
+    words = " ".join(map(str, range(60)))
+    docs = spark.createDataFrame([(0, 5, words), (1, 6, words + " more"), (2, 7, "other words")], "number long, doc_id long, text string")
+    got = {r.number: r.component for r in simhash.similar_components(docs).collect()}
+    assert asked == [{"node", "n", "key"}] and got[0] == got[1] != got[2]
