@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import ctypes
+import os
 import re
-from array import array
 from collections.abc import Iterator
 from itertools import chain
 from string import punctuation
@@ -14,14 +14,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bounds on what a worker holds: bytes of texts at once, the same where they become ids, pieces in each of the cache's two generations, and
-#: characters of a piece in the cache; and pieces that the tokenizer gets in one string.
-BATCH_CHARS, ENCODE_CHARS, CACHE_PIECES, PIECE_CHARS, JOINED = 2_000_000, 3_000_000, 500_000, 48, 500
+#: characters of a piece in the cache; and pieces and words that the tokenizer gets in one string.
+BATCH_CHARS, ENCODE_CHARS, CACHE_PIECES, PIECE_CHARS, JOINED, GROUP = 2_000_000, 3_000_000, 500_000, 48, 500, 50
 #: Bytes of a long text that are cut into words at once.
 SLICE_BYTES = 1 << 20
 
 #: A byte-level BPE with GPT-2's pattern always starts a new word at a space or line feed that anything but white space
 #: follows, and words are encoded one by one; so texts may be cut there, and pieces that begin so may be joined.
 SPACED = re.compile(r"[ \n]?(?:[^ \n]+|[ \n](?!\S))+")
+#: Letters and line feeds: Latin ones, of which none becomes two in lower case.
+LATIN = re.compile("[\x00-įı-ɏ]+")
 #: Marks that are words of their own after a letter, alone or in a row (an apostrophe may begin one with letters, and a
 #: low line counts as a letter for some tokenizers).
 MARKS = "".join(sorted(set(punctuation) - set("'_")))
@@ -32,6 +34,8 @@ PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTE_NAMES = {b: b if b in PRINTABLE else 256 + sum(x not in PRINTABLE for x in range(b)) for b in range(256)}
 
 SPACE_NAME = chr(BYTE_NAMES[32])
+#: The same for words in a column, between which line feeds stay.
+WORD_NAMES = {b: name for b, name in BYTE_NAMES.items() if b != 10}
 
 
 class PieceEncoder:
@@ -43,22 +47,29 @@ class PieceEncoder:
     """
 
     def __init__(self, path: str, kind: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
+        # The same model for words that have been through the tokenizer's first steps, a space between them.
+        self.words = Tokenizer(self.tokenizer.model)
+        self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() < 1 << 16 else "<u4")
+        #: Characters (that name bytes) of each id.
+        self.sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.sizes[number] = len(token.removesuffix("</w>") if kind == "word" else token)
         self.kind = kind
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.line_feed = self.raw(["\n"])[0] if kind == "byte" else b""
 
     @staticmethod
-    def even(text: str) -> bool:
-        """Whether white space is single spaces and line feeds between other characters, so that all pieces but the
-        first begin with one."""
-        return text.replace("\n", " ") == " ".join(text.split()) != "" and "\x00" not in text
+    def begins(key: str) -> bool:
+        """Whether a text may be cut before this key: it is the text's first, or anything but white space follows the
+        space or line feed."""
+        first = key[1:2] if key[:1] == "\n" else key[:1]
+        return key[:1] == "\x00" or first != "" and not first.isspace()
 
     @staticmethod
     def key(piece: str) -> str:
@@ -71,12 +82,6 @@ class PieceEncoder:
             return key
         return key[1:] if key[0] == "\x00" else " " + key
 
-    @staticmethod
-    def is_word(key: str) -> bool:
-        """Latin letters only, of which none becomes two in lower case; a line feed may stand before them."""
-        letters = key[1:] if key[0] == "\n" else key
-        return letters.isalpha() and (letters.isascii() or (max(letters) < "ɐ" and "İ" not in letters))
-
     def raw(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
@@ -92,68 +97,130 @@ class PieceEncoder:
                 yield ids[start:end]
                 start = end
 
-    def word(self, key: str) -> bytes:
-        """One word of Latin letters, given to the model as the tokenizer's own first steps would: they never cut
-        between letters."""
-        if key.isascii() and key[0] != "\n":  # these letters name themselves
-            seen = SPACE_NAME + key if self.kind == "byte" else key.lower()
-        else:
-            seen = " " + key if self.kind == "byte" and key[0] != "\n" else key.lstrip("\n")
-            seen = (seen if self.kind == "byte" else seen.lower()).encode().decode("latin-1").translate(BYTE_NAMES)
-        ids = array(self.dtype.char, [t.id for t in self.model.tokenize(seen)]).tobytes()
-        return self.line_feed + ids if key[0] == "\n" else ids
+    def of_words(self, words: list[str]) -> list[bytes]:
+        """Words of Latin letters (for `byte` with a space before those that have one), many in a string, as the
+        tokenizer's own first steps would hand them to the model: they never cut between letters. An id belongs to the
+        word in which its characters end; all bytes have an id, so the lengths of ids add up to those of words."""
+        if self.kind == "word":
+            words = " ".join(words).lower().split(" ")
+        text = "\n".join(words)
+        if not text.isascii():
+            text = text.encode().decode("latin-1").translate(WORD_NAMES)  # what joins words stays
+        elif self.kind == "byte":
+            text = text.replace(" ", SPACE_NAME)
+        words = text.split("\n")
+        groups = [" ".join(words[at : at + GROUP]) for at in range(0, len(words), GROUP)]
+        # Few groups at once: an encoding takes far more room than its ids.
+        parts = (self.words.encode_batch_fast(groups[at : at + GROUP], add_special_tokens=False) for at in range(0, len(groups), GROUP))
+        ids = np.fromiter(chain.from_iterable(e.ids for part in parts for e in part), self.dtype)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        upto = np.cumsum(self.sizes[ids])
+        if len(ids) == 0 or upto[-1] != ends[-1]:
+            raise ValueError("the tokenizer has no ids for some bytes")
+        at = ((np.searchsorted(upto, ends) + 1) * self.dtype.itemsize).tolist()
+        data = ids.tobytes()
+        return [data[s:e] for s, e in zip([0, *at[:-1]], at, strict=True)]
 
     def encoded(self, keys: list[str]) -> dict[str, bytes]:
-        simple = [k for k in keys if self.is_word(k)]
-        out = {k: self.word(k) for k in simple}
-        keys = [k for k in keys if k not in out]
-        alone = [k for k in keys if k[0] == "\x00"] if self.kind == "byte" else []
-        others = [k for k in keys if k[0] != "\x00"] if self.kind == "byte" else keys
+        ascii, latin, after_feed, others = [], [], [], []
+        for k in keys:
+            if k.isalpha():
+                (ascii if k.isascii() else latin if LATIN.fullmatch(k) else others).append(k)
+            elif k[0] == "\n" and k[1:].isalpha() and LATIN.fullmatch(k):
+                after_feed.append(k)
+            else:
+                others.append(k)
+        out = {}
+        space = " " if self.kind == "byte" else ""
+        for part in ascii, latin:
+            if part:
+                out.update(zip(part, self.of_words([space + k for k in part] if space else part), strict=True))
+        if after_feed:
+            out.update((k, self.line_feed + ids) for k, ids in zip(after_feed, self.of_words([k[1:] for k in after_feed]), strict=True))
+        alone = [k for k in others if k[0] == "\x00"] if self.kind == "byte" else []
+        others = [k for k in others if k[0] != "\x00"] if self.kind == "byte" else others
         out.update(zip(alone, self.raw([self.piece(k) for k in alone]), strict=True))
         for at in range(0, len(others), 20 * JOINED):
             part = others[at : at + 20 * JOINED]
             out.update(zip(part, self.joined([self.piece(k) for k in part]), strict=True))
         return out
 
-    def learn(self, keys: set[str]) -> None:
+    def learn(self, keys: list[str]) -> None:
         """Encode new pieces. Marks at the end are a word of their own after a Latin letter that stays one letter in
         lower case."""
-        stems = {}
+        known, stems, ask = self.known, {}, []
         for k in keys:
             if k[-1] in MARKS:
                 stem = k.rstrip(MARKS)
                 if len(stem) > 1 and stem[-1].isalpha() and stem[-1] < "ɐ" and stem[-1] != "İ":
                     stems[k] = stem
-        self.known.update(self.encoded(list(((keys - stems.keys()) | set(stems.values())) - self.known.keys())))
+                    continue
+            ask.append(k)
+        asked = dict.fromkeys(ask)
+        asked.update((stem, None) for stem in stems.values() if stem not in known)
+        known.update(self.encoded(list(asked)))
         marks = list({k[len(stem) :] for k, stem in stems.items()})
         of_marks = dict(zip(marks, self.raw(marks), strict=True))
-        for k, stem in stems.items():
-            self.known[k] = self.known[stem] + of_marks[k[len(stem) :]]
+        known.update((k, known[stem] + of_marks[k[len(stem) :]]) for k, stem in stems.items())
+
+    def seen(self, keys: list[str]) -> tuple[list[bytes | None], list[int]]:
+        """Each distinct key's ids, as far as they are known, and the places of the others."""
+        values = list(map(self.known.get, keys))
+        gone = [k for k, v in enumerate(values) if v is None]
+        if len(self.known) + len(gone) > CACHE_PIECES:  # what is still in use goes to the new generation
+            self.known, self.older = {k: v for k, v in zip(keys, values, strict=True) if v is not None}, self.known
+        known, older, new = self.known, self.older, []
+        for k in gone:
+            key = keys[k]
+            ids = older.get(key)
+            if ids is None:
+                new.append(k)
+            else:
+                values[k] = known[key] = ids
+        return values, new
+
+    def fill(self, keys: list[str], values: list[bytes | None], new: list[int]) -> None:
+        """The ids at the places `new`, learned but for those of long pieces. An empty key has none."""
+        long = [keys[k] for k in new if len(keys[k]) > PIECE_CHARS]
+        found = dict(zip(long, self.raw([self.piece(k) for k in long]), strict=True)) | {"": b""}
+        self.learn([keys[k] for k in new if keys[k] not in found])
+        known = self.known
+        for k in new:
+            key = keys[k]
+            values[k] = found[key] if key in found else known[key]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Each text's ids. Pieces are cut and numbered as columns, and only distinct ones are looked up."""
+        if not texts:
+            return []
         if self.kind == "word":
             at, cut = list(range(len(texts))), [t.replace("\n", " ") for t in texts]
         else:
-            at = [k for k, t in enumerate(texts) if self.even(t)]
+            at = [k for k, t in enumerate(texts) if "\x00" not in t]
             cut = ["\x00" + texts[k].replace("\n", " \n") for k in at]
         pieces = pc.split_pattern(pa.array(cut, pa.large_string()), " ")
         numbered = pieces.flatten().dictionary_encode()
-        keys, number, first = numbered.dictionary.to_pylist(), numbered.indices.to_numpy(), pieces.offsets.to_numpy()
+        number, first = numbered.indices.to_numpy(), pieces.offsets.to_numpy()
+        count = len(numbered.dictionary)
+        keys = pc.binary_join(pa.ListArray.from_arrays([0, count], numbered.dictionary), pa.scalar(" ", pa.large_string()))[0].as_py().split(" ") if count else []
         del cut, pieces, numbered  # new pieces take room of their own
-        others = {k: [self.key(p) for p in SPACED.findall(texts[k])] for k in set(range(len(texts))).difference(at)}
-        of_others = set().union(*others.values())
-        new = {k for k in chain(keys, of_others) if k not in self.known and k}
-        long = [k for k in new if len(k) > PIECE_CHARS]
-        new.difference_update(long)
-        if len(self.known) + len(new) > CACHE_PIECES:  # what is still in use comes back from the older generation
-            self.known, self.older = {}, self.known
-            new = of_others.union(keys).difference(long, [""])
-        seen = new & self.older.keys()
-        self.known.update({k: self.older[k] for k in seen})
-        self.learn(new - seen)
-        known = _Both(self.known, dict(zip(long, self.raw([self.piece(k) for k in long]), strict=True))) if long else self.known
-        values = [known[k] if k else b"" for k in keys] if self.kind == "word" else [known[k] for k in keys]
+        values, new = self.seen(keys)
+        unfit = [k for k in new if not self.begins(keys[k])] if self.kind == "byte" else []
+        apart = set(range(len(texts))).difference(at)
+        if unfit:
+            fit = np.ones(count, bool)
+            fit[unfit] = False
+            apart.update(np.array(at)[~np.logical_and.reduceat(fit[number], first[:-1])].tolist())
+            for k in unfit:
+                keys[k] = ""
+        others = {k: [self.key(p) for p in SPACED.findall(texts[k])] for k in apart}
+        if others:
+            more = list(set().union(*others.values()).difference(keys))
+            of_more, new_more = self.seen(more)
+            keys, values, new = keys + more, values + of_more, new + [count + k for k in new_more]
+        self.fill(keys, values, new)
+        of_others = dict(zip(keys, values, strict=True)) if others else {}
+        del values[count:]
         sizes = np.fromiter(map(len, values), np.int32, len(values)) // self.dtype.itemsize
         taken = sizes[number]
         ends = np.zeros(len(taken) + 1, np.int64)
@@ -163,26 +230,16 @@ class PieceEncoder:
         source += np.arange(ends[-1], dtype=place)
         ids, bounds = np.frombuffer(b"".join(values), self.dtype)[source], ends[first]
         found = {k: ids[s:e] for k, s, e in zip(at, bounds[:-1], bounds[1:], strict=True)}
-        found |= {k: np.frombuffer(b"".join(map(known.__getitem__, c)), self.dtype) for k, c in others.items()}
+        found |= {k: np.frombuffer(b"".join(map(of_others.__getitem__, c)), self.dtype) for k, c in others.items()}
         return [found[k] for k in range(len(texts))]
 
 
-class _Both:
-    """Look-up in two dictionaries."""
-
-    def __init__(self, first: dict[str, bytes], second: dict[str, bytes]):
-        self.first, self.second = first, second
-
-    def __getitem__(self, key: str) -> bytes:
-        value = self.first.get(key)
-        return self.second[key] if value is None else value
-
-
 _encoders: dict[tuple[str, str], PieceEncoder] = {}
 
 
 def encoder(path: str, kind: str) -> PieceEncoder:
-    """One encoder for a worker, kept between tasks."""
+    """One encoder for a worker, kept between tasks. Spark runs a task for each core, so the library gets one thread."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if (path, kind) not in _encoders:
         _encoders[path, kind] = PieceEncoder(path, kind)
     return _encoders[path, kind]

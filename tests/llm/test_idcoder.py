@@ -115,3 +115,24 @@ def test_words_are_looked_up_once_and_marks_apart(name, kind):
     want = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
     assert [g.tolist() for g in encoder.encode(texts)] == [e.ids for e in want]
     assert len(asked) == len(set(asked)) and {k.strip("\x00\n") for k in asked} == {"start", "über", "gone", "Gone"}
+
+
+@pytest.mark.parametrize(("name", "kind"), [("word_bpe_49k.json", "word"), ("byte_bpe_50k.json", "byte")])
+def test_new_words_reach_the_model_many_in_a_string(name, kind):
+    encoder = tokens.PieceEncoder(public_tokenizers.path(name), kind)
+    rng = random.Random(4)
+    texts = [rng.choice([" ", "\n"]).join("".join(rng.choices(["The", "ing", "er", "é", "ß", "ou", "Ž"], k=rng.randint(1, 6))) for _ in range(300)) for _ in range(20)]
+    texts += ["", " ", " a", "\ta b", "a\t b", "a \tb", "a\n\tb", "a \x00b", "\x00b a", "a  b", "a b ", "a\n", "a\nb\x1cc", "aİ b", "a\n\n b"]
+    strings = []
+
+    class Counted:
+        def encode_batch_fast(self, groups, own=encoder.words, **options):
+            strings.extend(groups)
+            return own.encode_batch_fast(groups, **options)
+
+    encoder.words = Counted()
+    want = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    for _ in range(2):
+        assert [g.tolist() for g in encoder.encode(texts)] == [e.ids for e in want]
+    words = sum(len(s.split(" ")) for s in strings)
+    assert words > 2000 and len(strings) <= words / tokens.GROUP + 3
