@@ -17,6 +17,8 @@ from .common import staging_folder
 
 #: The id that ends a document; ids in a block; ids after which a segment ends with its document; ids that there can be.
 END, BLOCK_IDS, SEGMENT_IDS, IDS = 2, 2048, 1 << 23, 1 << 16
+#: How often a pair of ids must stand in a segment to become a symbol, and bits of a slot of the table of pairs.
+LEAST, PAIR_BITS = 32, 18
 #: Slots of a block's table for order 2, steps of confidence in a guess, and bits of a probability.
 SLOTS, SURE, BITS = 1024, 16, 12
 #: Order 0: classes are TOPICS groups of blocks times tiers of frequency that end with these ranks; what a class's count
@@ -34,11 +36,88 @@ _NEXT = np.array([[(c >> 1) << 16 if c > 1 else 0, min(c + 1, SURE - 1) << 16 if
 _SQUASH = np.array([min(4095, max(1, round(4096 / (1 + math.exp(-x / 256))))) for x in range(-2048, 2048)], np.int32)
 
 
+class DamagedBlock(ValueError):
+    """A block whose ids don't have the checksum that was stored with it."""
+
+
+class Joins:
+    """A segment's commonest pairs of ids, each written as one symbol: an id that the segment doesn't have. So there are
+    far fewer symbols to code one after the other than ids, in fewer bits."""
+
+    def __init__(self, symbols: np.ndarray, pairs: np.ndarray):
+        self.symbols, self.pairs = symbols, pairs  # symbols and (first << 16 | second), both ascending
+        self.first, self.second = np.arange(IDS, dtype=np.int32), np.full(IDS, -1, np.int32)
+        self.first[symbols], self.second[symbols] = pairs >> 16, pairs & 0xFFFF
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> Joins:
+        free = np.flatnonzero(np.bincount(ids, minlength=IDS) == 0)
+        pairs = np.sort(cls.neighbours(ids))
+        starts = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]]) if len(pairs) else np.empty(0, np.int64)
+        n, pairs = np.diff(np.r_[starts, len(pairs)]), pairs[starts]
+        often = np.flatnonzero(n >= LEAST)
+        often = often[np.argsort(-n[often], kind="stable")[: len(free)]]
+        # Of pairs that share a slot of the look-up table the commonest counts.
+        _, at = np.unique(cls.slot(pairs[often]), return_index=True)
+        pairs = np.sort(pairs[often[at]])
+        return cls(free[: len(pairs)], pairs)
+
+    @staticmethod
+    def neighbours(ids: np.ndarray) -> np.ndarray:
+        ids = ids.astype(np.uint32)
+        return ids[:-1] << np.uint32(16) | ids[1:]
+
+    @staticmethod
+    def slot(pairs: np.ndarray) -> np.ndarray:
+        return (pairs.astype(np.uint32) * np.uint32(0x9E3779B1) >> np.uint32(32 - PAIR_BITS)).astype(np.int64)
+
+    def join(self, ids: np.ndarray, block_ids: int) -> tuple[np.ndarray, np.ndarray]:
+        """(symbols, their number in each block of block_ids ids): from left to right, every pair that is one, within
+        its block."""
+        if not len(self.pairs):
+            return ids.astype(np.int32), np.diff(np.r_[0 : len(ids) : block_ids, len(ids)])
+        table = np.zeros(1 << PAIR_BITS, np.uint32)
+        symbol = np.full(1 << PAIR_BITS, -1, np.int32)
+        at = self.slot(self.pairs)
+        table[at], symbol[at] = self.pairs, self.symbols
+        at_once = block_ids * max(1, (1 << 16) // block_ids)  # so that a processor's cache holds what is in between
+        parts = [self._join(ids[s : s + at_once], block_ids, table, symbol) for s in range(0, len(ids), at_once)]
+        return np.concatenate([x for x, _ in parts]), np.concatenate([n for _, n in parts])
+
+    @classmethod
+    def _join(cls, ids: np.ndarray, block_ids: int, table: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        pairs = cls.neighbours(ids)
+        at = cls.slot(pairs)
+        hit = table.take(at) == pairs
+        hit[pairs == 0] &= symbol[0] >= 0  # empty slots hold this pair
+        hit[block_ids - 1 :: block_ids] = False
+        # Of pairs that overlap, every other one counts from the first of their row.
+        row = np.arange(len(hit), dtype=np.int32)
+        row -= np.maximum.accumulate(np.where(hit, np.int32(-1), row))
+        hit &= (row & 1).astype(bool)
+        symbols, keep = ids.astype(np.int32), np.ones(len(ids), bool)
+        here = np.flatnonzero(hit)
+        symbols[here] = symbol.take(at[here])
+        keep[here + 1] = False
+        return symbols[keep], np.add.reduceat(keep, np.arange(0, len(ids), block_ids), dtype=np.int64)
+
+    def part(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The inverse of join: ids, and how many each block has."""
+        second = self.second.take(symbols)
+        two = second >= 0
+        ends = np.cumsum(two + np.int64(1))
+        ids = np.empty(ends[-1], np.int32)
+        ids[ends - 1 - two] = self.first.take(symbols)
+        ids[ends[two] - 1] = second[two]
+        return ids, np.diff(ends[np.cumsum(lengths) - 1], prepend=0)
+
+
 class Prior:
-    """The state to which every block of a segment is reset, stored with the segment: each id's class and share of it
-    (order 0), and the commonest successor of each id with its share in sixteenths (order 1)."""
+    """The state to which every block of a segment is reset, stored with the segment: the pairs that are symbols, each
+    symbol's class and share of it (order 0), and the commonest successor of each with its share in sixteenths (order 1)."""
 
-    def __init__(self, kind: np.ndarray, share: np.ndarray, weights: np.ndarray, after: np.ndarray, sure: np.ndarray):
+    def __init__(self, joins: Joins, kind: np.ndarray, share: np.ndarray, weights: np.ndarray, after: np.ndarray, sure: np.ndarray):
+        self.joins = joins
         self.kind, self.share, self.weights, self.after, self.sure = kind, share, weights, after, sure
         present = np.flatnonzero(share)
         order = present[np.argsort(kind[present], kind="stable")]
@@ -55,6 +134,11 @@ class Prior:
 
     @classmethod
     def of(cls, ids: np.ndarray, block_ids: int = BLOCK_IDS) -> Prior:
+        joins = Joins.of(ids)
+        return cls.of_symbols(joins.join(ids, block_ids)[0], joins, block_ids)
+
+    @classmethod
+    def of_symbols(cls, ids: np.ndarray, joins: Joins, block_ids: int = BLOCK_IDS) -> Prior:
         counts = np.bincount(ids, minlength=IDS)
         rank = np.empty(IDS, np.int64)
         rank[np.argsort(-counts, kind="stable")] = np.arange(IDS)
@@ -72,7 +156,7 @@ class Prior:
             inside = np.flatnonzero((kind == c) & (counts > 0))
             share[inside[np.argmax(counts[inside])]] += (1 << SHARE_BITS) - share[inside].sum()
         weights = np.maximum(1, np.round(START * totals / len(ids))).astype(np.int32)
-        pairs = np.sort(ids[:-1].astype(np.uint32) << 16 | ids[1:].astype(np.uint32))
+        pairs = np.sort(Joins.neighbours(ids))
         after, sure = np.zeros(IDS, np.int32), np.zeros(IDS, np.uint8)
         if len(pairs):
             starts = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])
@@ -83,26 +167,29 @@ class Prior:
             before, best = before[often], best[often]
             after[before] = best & 0xFFFF
             sure[before] = np.clip((best >> 16) * 16 // counts[before], 1, SURE - 1)
-        return cls(kind, share, weights, after, sure)
+        return cls(joins, kind, share, weights, after, sure)
 
     @staticmethod
     def topics(ids: np.ndarray, rank: np.ndarray, block_ids: int) -> np.ndarray:
-        """A group for each block, by a few rounds of k-means on the shares of the commonest ids."""
+        """A group for each block_ids symbols, by a few rounds of k-means on the shares of the commonest ids. Products are
+        einsum's: the threads that a BLAS keeps waiting would cost more."""
         seen = np.minimum(rank, PROFILE - 1).astype(np.uint8)[ids]
         profile = np.stack([np.bincount(seen[at : at + block_ids], minlength=PROFILE) for at in range(0, len(ids), block_ids)])
         profile = np.sqrt(profile / np.maximum(profile.sum(axis=1, keepdims=True), 1))
         chosen = [0]
         for _ in range(TOPICS - 1):  # farthest first
-            chosen.append(int((profile @ profile[chosen].T).max(axis=1).argmin()))
+            chosen.append(int(np.einsum("bi,ki->bk", profile, profile[chosen]).max(axis=1).argmin()))
         centres = profile[chosen]
         for _ in range(6):
-            topic = (profile @ centres.T - (centres * centres).sum(axis=1) / 2).argmax(axis=1)
+            topic = (np.einsum("bi,ki->bk", profile, centres) - (centres * centres).sum(axis=1) / 2).argmax(axis=1)
             centres = np.stack([profile[topic == k].mean(axis=0) if (topic == k).any() else centres[k] for k in range(TOPICS)])
         return topic
 
     def pack(self) -> bytes:
         present = np.flatnonzero(self.share)
         parts = [self.weights.astype("<u2"), np.array([len(present)], "<u4"), np.diff(present, prepend=0).astype("<u2"), self.kind[present], (self.share[present] - 1).astype("<u2"), self.sure[present], np.where(self.sure, self.after, 0)[present].astype("<u2")]
+        first, second = self.joins.pairs >> 16, self.joins.pairs & 0xFFFF
+        parts += [np.array([len(first)], "<u4"), *(x.astype("<u2") for x in (np.diff(self.joins.symbols, prepend=0), np.diff(first, prepend=0), second))]
         return zlib.compress(b"".join(x.tobytes() for x in parts), 6)
 
     @classmethod
@@ -123,7 +210,10 @@ class Prior:
             column[present] = take(dtype, n)
         kind, share, sure, after = columns
         share[present] += 1
-        return cls(kind, share, weights, after, sure)
+        n = int(take("<u4", 1)[0])
+        symbols, first, second = (take("<u2", n).astype(np.int64) for _ in range(3))
+        joins = Joins(np.cumsum(symbols), np.cumsum(first) << 16 | second)
+        return cls(joins, kind, share, weights, after, sure)
 
 
 class Model:
@@ -254,16 +344,35 @@ class Reader(Interval):
 def encode_blocks(ids: np.ndarray, prior: Prior, block_ids: int = BLOCK_IDS) -> list[bytes]:
     """Ids below IDS, all of which the prior knows -> a payload for each block of block_ids ids (the last may be
     shorter), all lanes in step."""
-    ids = ids.astype(np.int32)
-    lanes = -(-len(ids) // block_ids)
-    grid = np.zeros(lanes * block_ids, np.int32)
-    grid[: len(ids)] = ids
-    grid = np.ascontiguousarray(grid.reshape(lanes, block_ids).T)
-    last = len(ids) - (lanes - 1) * block_ids
-    model, out = Model(lanes, prior), Writer(lanes, 2 * block_ids + 16)
+    return encode_symbols(*prior.joins.join(ids, block_ids), prior)
+
+
+class Lanes:
+    """Where symbols of blocks lie in a grid of a row for each step and a lane for each block, long blocks first."""
+
+    def __init__(self, lengths: np.ndarray):
+        self.order = np.argsort(-lengths, kind="stable")
+        self.rank = np.empty(len(lengths), np.int64)
+        self.rank[self.order] = np.arange(len(lengths))
+        self.steps = int(lengths.max())
+        #: Lanes that a step still has.
+        self.open = np.searchsorted(-lengths[self.order], -np.arange(self.steps)).tolist()
+        before = np.repeat(np.cumsum(lengths) - lengths, lengths)
+        self.place = (np.arange(len(before)) - before) * len(lengths) + np.repeat(self.rank, lengths)
+
+
+def encode_symbols(symbols: np.ndarray, lengths: np.ndarray, prior: Prior) -> list[bytes]:
+    """Payloads of blocks of so many symbols each: their number, then what the coder makes of them."""
+    if not len(lengths):
+        return []
+    if lengths.max() >= 1 << 16:
+        raise ValueError("blocks must have fewer symbols")
+    at, lanes = Lanes(lengths), len(lengths)
+    grid = np.zeros((at.steps, lanes), np.int32)
+    grid.ravel()[at.place] = symbols
+    model, out = Model(lanes, prior), Writer(lanes, 2 * at.steps + 16)
     share, first, kinds = prior.share.astype(np.uint64), prior.first.astype(np.uint64), prior.kind.astype(np.int64)
-    for t in range(block_ids if lanes > 1 else last):
-        n = lanes if t < last else lanes - 1
+    for t, n in enumerate(at.open):
         actual = grid[t, :n]
         guess, p = model.predict(n)
         right = guess == actual
@@ -278,7 +387,8 @@ def encode_blocks(ids: np.ndarray, prior: Prior, block_ids: int = BLOCK_IDS) ->
         model.count(n, kind, right)
         out.settle(n, low, span)
         model.learn(t, n, right, actual)
-    return out.finish()
+    made = out.finish()
+    return [int(n).to_bytes(2, "little") + made[k] for n, k in zip(lengths, at.rank.tolist(), strict=True)]
 
 
 def decode_blocks(payloads: list[bytes], n_ids: int, prior: Prior, block_ids: int = BLOCK_IDS) -> np.ndarray:
@@ -286,12 +396,15 @@ def decode_blocks(payloads: list[bytes], n_ids: int, prior: Prior, block_ids: in
     lanes = len(payloads)
     if not lanes:
         return np.empty(0, np.int32)
-    grid = np.zeros((block_ids, lanes), np.int32)
-    last = n_ids - (lanes - 1) * block_ids
-    model, source = Model(lanes, prior), Reader(payloads)
+    want = np.full(lanes, block_ids)
+    want[-1] = n_ids - (lanes - 1) * block_ids
+    # A damaged number could be anything; a block has a symbol and no more symbols than ids.
+    lengths = np.clip([int.from_bytes(p[:2], "little") for p in payloads], 1, want)
+    at = Lanes(lengths)
+    grid = np.zeros((at.steps, lanes), np.int32)
+    model, source = Model(lanes, prior), Reader([payloads[k][2:] for k in at.order])
     share, first = prior.share.astype(np.uint64), prior.first.astype(np.uint64)
-    for t in range(block_ids if lanes > 1 else last):
-        n = lanes if t < last else lanes - 1
+    for t, n in enumerate(at.open):
         guess, p = model.predict(n)
         low, span = source.low[:n], source.span[:n]
         bound = (span >> np.uint64(BITS)) * p.astype(np.uint64)
@@ -314,7 +427,10 @@ def decode_blocks(payloads: list[bytes], n_ids: int, prior: Prior, block_ids: in
         source.settle(n, low, span)
         grid[t, :n] = ids
         model.learn(t, n, right, ids)
-    return grid.T.reshape(-1)[:n_ids]
+    ids, got = prior.joins.part(grid.ravel()[at.place], lengths)
+    if (got != want).any():
+        raise DamagedBlock(f"block {np.flatnonzero(got != want)[0]} of {lanes}")
+    return ids
 
 
 SEGMENT = "segment long, n_ids long, prior binary, blocks array<struct<n_ids:int,crc32:long,payload:binary>>, documents array<struct<doc_id:long,n_tokens:long>>"
@@ -358,16 +474,14 @@ def _segments(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
     tokens.give_back()
 
 
-class DamagedBlock(ValueError):
-    """A block whose ids don't have the checksum that was stored with it."""
-
-
 def write_segment(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> dict:
     """n_ids, prior and blocks of a segment; ids must be below IDS."""
     if len(ids) and not 0 <= int(ids.min()) <= int(ids.max()) < IDS:
         raise ValueError(f"ids must be below {IDS}")
-    prior = Prior.of(ids, block_ids)
-    payloads = encode_blocks(ids, prior, block_ids)
+    joins = Joins.of(ids)
+    symbols, lengths = joins.join(ids, block_ids)
+    prior = Prior.of_symbols(symbols, joins, block_ids)
+    payloads = encode_symbols(symbols, lengths, prior)
     cut = [ids[s : s + block_ids].astype("<u4") for s in range(0, len(ids), block_ids)]
     return {"n_ids": len(ids), "prior": prior.pack(), "blocks": [{"n_ids": len(x), "crc32": zlib.crc32(x), "payload": p} for x, p in zip(cut, payloads, strict=True)]}
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import os
 import re
 from collections.abc import Iterator
@@ -190,7 +191,17 @@ class PieceEncoder:
             values[k] = found[key] if key in found else known[key]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Each text's ids. Pieces are cut and numbered as columns, and only distinct ones are looked up."""
+        """Each text's ids. There are no cycles among the very many strings here, so none are looked for meanwhile."""
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self.ids_of(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def ids_of(self, texts: list[str]) -> list[np.ndarray]:
+        """Pieces are cut and numbered as columns, and only distinct ones are looked up."""
         if not texts:
             return []
         if self.kind == "word":

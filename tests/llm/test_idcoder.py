@@ -136,3 +136,36 @@ def test_new_words_reach_the_model_many_in_a_string(name, kind):
         assert [g.tolist() for g in encoder.encode(texts)] == [e.ids for e in want]
     words = sum(len(s.split(" ")) for s in strings)
     assert words > 2000 and len(strings) <= words / tokens.GROUP + 3
+
+
+@pytest.mark.parametrize("ids", [np.zeros(5001, int), np.arange(9000) % 3, np.arange(70_000) % 65536, np.r_[np.zeros(999, int), np.tile([65535, 65535, 7], 900)], np.arange(5), np.array([9])], ids=str)
+def test_common_pairs_are_one_symbol(ids):
+    """From left to right within blocks, with what overlaps, and back; a segment without free ids has no such pairs."""
+    joins = idcoder.Joins.of(ids)
+    for block in (7, 500, 2048):
+        symbols, lengths = joins.join(ids, block)
+        parted, n = joins.part(symbols, lengths)
+        assert (parted == ids).all() and n.tolist() == [len(ids[s : s + block]) for s in range(0, len(ids), block)]
+        pairs = set(joins.pairs.tolist())
+        for k in range(0, len(ids), max(block, 1500) // block * block):
+            part, want, at = ids[k : k + block].tolist(), 0, 0
+            while at < len(part):
+                at += 2 if at + 1 < len(part) and part[at] << 16 | part[at + 1] in pairs else 1
+                want += 1
+            assert lengths[k // block] == want
+    assert len(np.unique(ids)) < idcoder.IDS or not len(joins.pairs)
+    written = idcoder.write_segment(ids)
+    assert (idcoder.read_segment(len(ids), written["prior"], written["blocks"]) == ids).all()
+
+
+def test_the_coder_takes_fewer_steps_than_a_block_has_ids(monkeypatch):
+    ids, steps = np.random.default_rng(1).choice(8, 20_000) * 2 + np.arange(20_000) % 2 * 100, []
+    monkeypatch.setattr(idcoder.Model, "predict", lambda self, n, own=idcoder.Model.predict: (steps.append(n), own(self, n))[1])
+    written = idcoder.write_segment(ids)
+    assert (idcoder.read_segment(len(ids), written["prior"], written["blocks"]) == ids).all()
+    assert 0 < sum(steps) < 0.7 * 2 * len(ids)
+    for at in (0, 1):  # the number of a block's symbols
+        blocks = [dict(b) for b in written["blocks"]]
+        blocks[3]["payload"] = blocks[3]["payload"][:at] + bytes([blocks[3]["payload"][at] ^ 0x55]) + blocks[3]["payload"][at + 1 :]
+        with pytest.raises(idcoder.DamagedBlock):
+            idcoder.read_segment(len(ids), written["prior"], blocks)
