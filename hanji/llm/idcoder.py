@@ -450,6 +450,7 @@ def _segments(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
     from pyspark import TaskContext
 
     encoder = tokens.encoder(path, "word")
+    end = np.array([END], encoder.dtype)
     made, streams, documents, held = 0, [], [], 0
     task = TaskContext.get()
     assert task is not None
@@ -461,10 +462,9 @@ def _segments(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
     for batch in batches:
         for part in tokens.portions(batch, chars=tokens.ENCODE_CHARS):
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(tokens.texts_of(part)), strict=True):
-                ids = np.append(ids, ids.dtype.type(END))
-                streams.append(ids)
-                documents.append({"doc_id": doc_id, "n_tokens": len(ids)})
-                held += len(ids)
+                streams += ids, end
+                documents.append({"doc_id": doc_id, "n_tokens": len(ids) + 1})
+                held += len(ids) + 1
                 if held >= SEGMENT_IDS:
                     yield segment()
                     made, streams, documents, held = made + 1, [], [], 0

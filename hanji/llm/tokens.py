@@ -6,8 +6,8 @@ import ctypes
 import gc
 import os
 import re
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
+from itertools import chain, compress
 from string import punctuation
 
 import numpy as np
@@ -25,6 +25,10 @@ SLICE_BYTES = 1 << 20
 SPACED = re.compile(r"[ \n]?(?:[^ \n]+|[ \n](?!\S))+")
 #: Letters and line feeds: Latin ones, of which none becomes two in lower case.
 LATIN = re.compile("[\x00-įı-ɏ]+")
+#: Latin letters that take as many bytes in lower case; and pairs of bytes, as numbers, to those of the lower case.
+LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and len(c.lower().encode()) == len(c.encode()))
+LOWER = np.arange(1 << 16, dtype=np.uint16)
+LOWER[[int.from_bytes(c.encode()) for c in LETTERS if c > "\x7f"]] = [int.from_bytes(c.lower().encode()) for c in LETTERS if c > "\x7f"]
 #: Marks that are words of their own after a letter, alone or in a row (an apostrophe may begin one with letters, and a
 #: low line counts as a letter for some tokenizers).
 MARKS = "".join(sorted(set(punctuation) - set("'_")))
@@ -34,9 +38,76 @@ MARKS = "".join(sorted(set(punctuation) - set("'_")))
 PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTE_NAMES = {b: b if b in PRINTABLE else 256 + sum(x not in PRINTABLE for x in range(b)) for b in range(256)}
 
-SPACE_NAME = chr(BYTE_NAMES[32])
-#: The same for words in a column, between which line feeds stay.
-WORD_NAMES = {b: name for b, name in BYTE_NAMES.items() if b != 10}
+#: The same for words with a line feed between them, which becomes a space.
+WORD_NAMES = np.array([32 if b == 10 else BYTE_NAMES[b] for b in range(256)], "<u2")
+
+
+def strings_of(pieces: pa.LargeStringArray) -> list[str]:
+    """A column of pieces without spaces as a list."""
+    count = len(pieces)
+    return pc.binary_join(pa.LargeListArray.from_arrays([0, count], pieces), pa.scalar(" ", pa.large_string()))[0].as_py().split(" ") if count else []
+
+
+def in_lower_case(data: np.ndarray) -> np.ndarray:
+    """UTF-8 of LETTERS and line feeds."""
+    data = np.frombuffer(data.tobytes().lower(), np.uint8).copy()
+    lead = np.flatnonzero(data >= 0xC0)
+    pair = LOWER[data[lead].astype(np.uint16) << 8 | data[lead + 1]]
+    data[lead], data[lead + 1] = pair >> 8, pair & 0xFF
+    return data
+
+
+class ShortWords:
+    """Ids of short words that a worker has met, for columns of them. The table has one row for each hash, which a word
+    takes from the one before: its bytes (none of them 0), the number of its ids, and those."""
+
+    SLOT_BITS, KEY, IDS = 20, 3, 16
+    MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+    def __init__(self, dtype: np.dtype):
+        self.dtype = dtype
+        self.table = np.zeros((1 << self.SLOT_BITS, self.KEY + 1 + self.IDS * dtype.itemsize // 8), np.uint64)
+
+    def keys(self, words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, slots) of the words, of which one with more than 8 * KEY bytes has a key that no other has."""
+        bounds = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1, words.offset * 8)
+        data = np.frombuffer((words.buffers()[2] or pa.py_buffer(b"")).to_pybytes() + bytes(8 * self.KEY), np.uint8)
+        eights = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+        size, keys = np.diff(bounds), np.empty((len(words), self.KEY), np.uint64)
+        for k in range(self.KEY):
+            keys[:, k] = eights[np.minimum(bounds[:-1] + 8 * k, len(eights) - 1)] & self.MASKS[np.clip(size - 8 * k, 0, 8)]
+        keys[size > 8 * self.KEY] = 0  # rows of the table that hold nothing count no ids
+        h = keys[:, 0] ^ keys[:, 1] * np.uint64(0x9E3779B97F4A7C15) ^ keys[:, 2] * np.uint64(0xC2B2AE3D27D4EB4F)
+        h = (h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+        return keys, (h >> np.uint64(64 - self.SLOT_BITS)).astype(np.int64)
+
+    def encode(self, words: pa.LargeStringArray, encoded: Callable[[list[str]], list[bytes]]) -> pa.LargeBinaryArray:
+        """The words' ids, by `encoded` if they aren't in the table."""
+        keys, slots = self.keys(words)
+        rows = self.table[slots]
+        known = (rows[:, : self.KEY] == keys).all(axis=1) & (keys[:, 0] != 0)
+        new = encoded(strings_of(words.filter(pa.array(~known))))
+        ids, size = rows[known, self.KEY + 1 :].view(self.dtype), rows[known, self.KEY].astype(np.int64)
+        ends = np.r_[0, np.cumsum(size * self.dtype.itemsize)]
+        of_known = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(ids[np.arange(self.IDS) < size[:, None]])])
+        self.keep(keys[~known], slots[~known], new)
+        return in_place(known, of_known, pa.array(new, pa.large_binary()))
+
+    def keep(self, keys: np.ndarray, slots: np.ndarray, values: list[bytes]) -> None:
+        size = np.fromiter(map(len, values), np.int64, len(values)) // self.dtype.itemsize
+        fit = (keys[:, 0] != 0) & (size <= self.IDS)
+        rows = np.zeros((fit.sum(), self.table.shape[1]), np.uint64)
+        rows[:, : self.KEY], rows[:, self.KEY] = keys[fit], size[fit]
+        ids = np.zeros((len(rows), self.IDS), self.dtype)
+        ids[np.arange(self.IDS) < size[fit, None]] = np.frombuffer(b"".join(compress(values, fit.tolist())), self.dtype)
+        rows[:, self.KEY + 1 :] = ids.view(np.uint64)
+        self.table[slots[fit]] = rows  # of rows with one slot, a whole one stays
+
+
+def in_place(chosen: np.ndarray, some: pa.Array, others: pa.Array) -> pa.Array:
+    """One column of `some`, where `chosen`, and others, each in order."""
+    place = np.where(chosen, np.cumsum(chosen) - 1, len(some) + np.cumsum(~chosen) - 1)
+    return pa.concat_arrays([some, others]).take(pa.array(place))
 
 
 class PieceEncoder:
@@ -61,6 +132,7 @@ class PieceEncoder:
         for token, number in self.tokenizer.get_vocab().items():
             self.sizes[number] = len(token.removesuffix("</w>") if kind == "word" else token)
         self.kind = kind
+        self.short = ShortWords(self.dtype) if kind == "word" else None
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.line_feed = self.raw(["\n"])[0] if kind == "byte" else b""
@@ -99,22 +171,20 @@ class PieceEncoder:
                 start = end
 
     def of_words(self, words: list[str]) -> list[bytes]:
-        """Words of Latin letters (for `byte` with a space before those that have one), many in a string, as the
-        tokenizer's own first steps would hand them to the model: they never cut between letters. An id belongs to the
-        word in which its characters end; all bytes have an id, so the lengths of ids add up to those of words."""
+        """Words of LETTERS (for `byte` with a space before those that have one), many in a string, as the tokenizer's own
+        first steps would hand them to the model: they never cut between letters. An id belongs to the word in which its
+        characters end; all bytes have an id, so the lengths of ids add up to those of words."""
+        data = np.frombuffer("\n".join(words).encode(), np.uint8)
         if self.kind == "word":
-            words = " ".join(words).lower().split(" ")
-        text = "\n".join(words)
-        if not text.isascii():
-            text = text.encode().decode("latin-1").translate(WORD_NAMES)  # what joins words stays
-        elif self.kind == "byte":
-            text = text.replace(" ", SPACE_NAME)
-        words = text.split("\n")
-        groups = [" ".join(words[at : at + GROUP]) for at in range(0, len(words), GROUP)]
+            data = in_lower_case(data)
+        text = WORD_NAMES[data].tobytes().decode("utf-16-le")
+        ends = np.append(np.flatnonzero(data == 10), len(data))
+        last = np.append(ends[GROUP - 1 : -1 : GROUP], len(data)).tolist()
+        groups = [text[s:e] for s, e in zip([0, *(e + 1 for e in last)], last, strict=False)]
         # Few groups at once: an encoding takes far more room than its ids.
         parts = (self.words.encode_batch_fast(groups[at : at + GROUP], add_special_tokens=False) for at in range(0, len(groups), GROUP))
         ids = np.fromiter(chain.from_iterable(e.ids for part in parts for e in part), self.dtype)
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        ends -= np.arange(len(ends))
         upto = np.cumsum(self.sizes[ids])
         if len(ids) == 0 or upto[-1] != ends[-1]:
             raise ValueError("the tokenizer has no ids for some bytes")
@@ -122,7 +192,14 @@ class PieceEncoder:
         data = ids.tobytes()
         return [data[s:e] for s, e in zip([0, *at[:-1]], at, strict=True)]
 
-    def encoded(self, keys: list[str]) -> dict[str, bytes]:
+    def joined_all(self, pieces: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(pieces), 20 * JOINED):
+            yield from self.joined(pieces[at : at + 20 * JOINED])
+
+    def encoded(self, keys: list[str]) -> list[bytes]:
+        if self.kind == "word":
+            latin = keys and not pc.utf8_ltrim(pa.scalar("".join(keys), pa.large_string()), LETTERS).as_py()
+            return self.of_words(keys) if latin else list(self.joined_all(keys))
         ascii, latin, after_feed, others = [], [], [], []
         for k in keys:
             if k.isalpha():
@@ -132,19 +209,16 @@ class PieceEncoder:
             else:
                 others.append(k)
         out = {}
-        space = " " if self.kind == "byte" else ""
         for part in ascii, latin:
             if part:
-                out.update(zip(part, self.of_words([space + k for k in part] if space else part), strict=True))
+                out.update(zip(part, self.of_words([" " + k for k in part]), strict=True))
         if after_feed:
             out.update((k, self.line_feed + ids) for k, ids in zip(after_feed, self.of_words([k[1:] for k in after_feed]), strict=True))
-        alone = [k for k in others if k[0] == "\x00"] if self.kind == "byte" else []
-        others = [k for k in others if k[0] != "\x00"] if self.kind == "byte" else others
+        alone = [k for k in others if k[0] == "\x00"]
+        others = [k for k in others if k[0] != "\x00"]
         out.update(zip(alone, self.raw([self.piece(k) for k in alone]), strict=True))
-        for at in range(0, len(others), 20 * JOINED):
-            part = others[at : at + 20 * JOINED]
-            out.update(zip(part, self.joined([self.piece(k) for k in part]), strict=True))
-        return out
+        out.update(zip(others, self.joined_all([self.piece(k) for k in others]), strict=True))
+        return [out[k] for k in keys]
 
     def learn(self, keys: list[str]) -> None:
         """Encode new pieces. Marks at the end are a word of their own after a Latin letter that stays one letter in
@@ -159,7 +233,7 @@ class PieceEncoder:
             ask.append(k)
         asked = dict.fromkeys(ask)
         asked.update((stem, None) for stem in stems.values() if stem not in known)
-        known.update(self.encoded(list(asked)))
+        known.update(zip(asked, self.encoded(list(asked)), strict=True))
         marks = list({k[len(stem) :] for k, stem in stems.items()})
         of_marks = dict(zip(marks, self.raw(marks), strict=True))
         known.update((k, known[stem] + of_marks[k[len(stem) :]]) for k, stem in stems.items())
@@ -195,28 +269,46 @@ class PieceEncoder:
         collects = gc.isenabled()
         gc.disable()
         try:
-            return self.ids_of(texts)
+            return self.ids_of_words(texts) if self.kind == "word" else self.ids_of(texts)
         finally:
             if collects:
                 gc.enable()
 
+    def ids_of_words(self, texts: list[str]) -> list[np.ndarray]:
+        """Pieces of letters, with or without marks at the end, stay columns from text to ids; others are looked up."""
+        pieces = pc.split_pattern(pa.array([t.replace("\n", " ") for t in texts], pa.large_string()), " ")
+        numbered = pieces.flatten().dictionary_encode()
+        distinct = numbered.dictionary
+        marks = pc.utf8_ltrim(distinct, LETTERS)
+        size, of_marks = pc.binary_length(distinct), pc.binary_length(marks)
+        plain = pc.and_(pc.less(of_marks, size), pc.equal(pc.binary_length(pc.utf8_trim(marks, MARKS)), 0))
+        words = pc.utf8_rtrim(distinct.filter(plain), MARKS).dictionary_encode()
+        of_words = self.short.encode(words.dictionary, self.encoded).take(words.indices)
+        marks = marks.filter(plain).dictionary_encode()
+        of_marks = pa.array(self.raw(marks.dictionary.to_pylist()), pa.large_binary()).take(marks.indices)
+        keys = strings_of(distinct.filter(pc.invert(plain)))
+        values, new = self.seen(keys)
+        self.fill(keys, values, new)
+        of_words = pc.binary_join_element_wise(of_words, of_marks, pa.scalar(b"", pa.large_binary()))
+        ids = in_place(plain.to_numpy(zero_copy_only=False), of_words, pa.array(values, pa.large_binary())).take(numbered.indices)
+        data = np.frombuffer(ids.buffers()[2] or b"", self.dtype)
+        bounds = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1, ids.offset * 8)[pieces.offsets.to_numpy()] // self.dtype.itemsize
+        return [data[s:e] for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
+
     def ids_of(self, texts: list[str]) -> list[np.ndarray]:
         """Pieces are cut and numbered as columns, and only distinct ones are looked up."""
         if not texts:
             return []
-        if self.kind == "word":
-            at, cut = list(range(len(texts))), [t.replace("\n", " ") for t in texts]
-        else:
-            at = [k for k, t in enumerate(texts) if "\x00" not in t]
-            cut = ["\x00" + texts[k].replace("\n", " \n") for k in at]
+        at = [k for k, t in enumerate(texts) if "\x00" not in t]
+        cut = ["\x00" + texts[k].replace("\n", " \n") for k in at]
         pieces = pc.split_pattern(pa.array(cut, pa.large_string()), " ")
         numbered = pieces.flatten().dictionary_encode()
         number, first = numbered.indices.to_numpy(), pieces.offsets.to_numpy()
         count = len(numbered.dictionary)
-        keys = pc.binary_join(pa.ListArray.from_arrays([0, count], numbered.dictionary), pa.scalar(" ", pa.large_string()))[0].as_py().split(" ") if count else []
+        keys = strings_of(numbered.dictionary)
         del cut, pieces, numbered  # new pieces take room of their own
         values, new = self.seen(keys)
-        unfit = [k for k in new if not self.begins(keys[k])] if self.kind == "byte" else []
+        unfit = [k for k in new if not self.begins(keys[k])]
         apart = set(range(len(texts))).difference(at)
         if unfit:
             fit = np.ones(count, bool)

@@ -169,3 +169,22 @@ def test_the_coder_takes_fewer_steps_than_a_block_has_ids(monkeypatch):
         blocks[3]["payload"] = blocks[3]["payload"][:at] + bytes([blocks[3]["payload"][at] ^ 0x55]) + blocks[3]["payload"][at + 1 :]
         with pytest.raises(idcoder.DamagedBlock):
             idcoder.read_segment(len(ids), written["prior"], blocks)
+
+
+def test_words_of_letters_stay_columns(monkeypatch):
+    """They aren't looked up one by one as Python strings; the table of short words may have far too few places, hold
+    words of any length up to its own, and keep none that have more ids than it has room for."""
+    monkeypatch.setattr(tokens.ShortWords, "SLOT_BITS", 6)
+    encoder = tokens.PieceEncoder(PATH, "word")
+    rng = random.Random(5)
+    letters = [c for c in map(chr, range(0x250)) if c.isalpha()]
+    words = ["".join(rng.choices(letters, k=n)) for n in range(1, 40) for _ in range(20)] + [*letters, *("Ab" * n for n in range(1, 20))]
+    texts = ["", "\n", "?!", "".join(letters), *(" ".join(rng.choice(words) + rng.choice(["", "", ",", "...", "'s", "_"]) for _ in range(60)) for _ in range(80))]
+    want = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    seen = []
+    monkeypatch.setattr(encoder, "seen", lambda keys, own=encoder.seen: (seen.extend(keys), own(keys))[1])
+    for _ in range(3):
+        for at in range(0, len(texts), 30):
+            assert [g.tolist() for g in encoder.encode(texts[at : at + 30])] == want[at : at + 30]
+    plain = set(tokens.LETTERS)
+    assert seen and not [k for k in seen if k.rstrip(",.") and set(k.rstrip(",.")) <= plain]
