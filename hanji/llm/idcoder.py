@@ -103,13 +103,11 @@ class Joins:
 
     def part(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The inverse of join: ids, and how many each block has."""
-        second = self.second.take(symbols)
-        two = second >= 0
-        ends = np.cumsum(two + np.int64(1))
-        ids = np.empty(ends[-1], np.int32)
-        ids[ends - 1 - two] = self.first.take(symbols)
-        ids[ends[two] - 1] = second[two]
-        return ids, np.diff(ends[np.cumsum(lengths) - 1], prepend=0)
+        both = np.stack([self.first, self.second], axis=1).view(np.int64).ravel()
+        parts = (both.take(symbols[s : s + (1 << 15)]).view(np.int32) for s in range(0, len(symbols), 1 << 15))
+        ids = np.concatenate([x.take(np.flatnonzero(x >= 0)) for x in parts])
+        n = 1 + (self.second >= 0).astype(np.int8)
+        return ids, np.add.reduceat(n.take(symbols), np.cumsum(lengths) - lengths, dtype=np.int64)
 
 
 class Prior:
@@ -229,15 +227,15 @@ class Model:
         self.weight = np.repeat(np.array([[16_000], [30_000], [30_000]], np.int32), lanes, axis=1)
         # Order 0: the classes' counts below each class and, last, all together.
         self.below = np.repeat(np.r_[0, np.cumsum(prior.weights)].astype(np.int16)[:, None], lanes, axis=1)
-        self.last = np.zeros((2, lanes), np.int64)
+        self.last = np.zeros((2, lanes), np.uint32)
         self.slot0, self.hit0 = np.arange(lanes) * SLOTS, np.arange(lanes) * (2 * SURE)
-        self.names, self.classes = np.arange(lanes), np.arange(CLASSES, dtype=np.int16)[:, None]
+        self.names, self.classes = np.arange(lanes), np.arange(CLASSES, dtype=np.int8)[:, None]
 
     def predict(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(guessed id, chance that it is right of 2^BITS) for the first n lanes: the longest context that knows an id
         guesses; its chances by order 2, order 1 and order 0 are mixed in the logistic domain with learned weights."""
         c1, c2 = self.last[0, :n], self.last[1, :n]
-        self.at2 = self.slot0[:n] + (((c1 * 0x85EBCA6B + c2 * 0xC2B2AE35) >> 17) & (SLOTS - 1))
+        self.at2 = self.slot0[:n] + ((c1 * np.uint32(0x85EBCA6B) + c2 * np.uint32(0xC2B2AE35) >> np.uint32(17)) & np.uint32(SLOTS - 1))
         e2, e1 = self.table.take(self.at2), self.prior.guess.take(c1)
         self.n2, self.i2, i1 = e2 >> 16, e2 & 0xFFFF, e1 & 0xFFFF
         guess = np.where(self.n2, self.i2, i1)
@@ -279,8 +277,8 @@ class Model:
 
     def count(self, n: int, kind: np.ndarray, right: np.ndarray) -> None:
         """Order 0 learns the class of ids that weren't guessed; a lane whose counts grow large halves them."""
-        step = np.where(right, 0, STEP).astype(np.int16)
-        self.below[1:, :n] += (self.classes >= kind.astype(np.int16)) * step
+        step = ~right * np.int8(STEP)
+        self.below[1:, :n] += (self.classes >= kind.astype(np.int8)).view(np.int8) * step
         big = np.flatnonzero(self.below[-1] > LIMIT)
         if len(big):
             self.below[1:, big] = np.cumsum((np.diff(self.below[:, big], axis=0) + 1) >> 1, axis=0)
@@ -290,7 +288,7 @@ class Interval:
     """The range coder's state of many lanes; `move` says what happens to the 16 bits that leave a lane's interval."""
 
     def __init__(self, lanes: int):
-        self.low, self.span, self.at = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64), np.zeros(lanes, np.int64)
+        self.low, self.span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
 
     def move(self, lanes: np.ndarray, top: np.ndarray) -> None:
         raise NotImplementedError
@@ -300,7 +298,7 @@ class Interval:
         interval that has become small across a unit's border is cut there."""
         go = np.flatnonzero(((low ^ (low + span)) < TOP) | (span < BOTTOM))
         while len(go):
-            l, s = low[go], span[go]
+            l, s = low.take(go), span.take(go)
             s = np.where((l ^ (l + s)) >= TOP, np.negative(l) & (BOTTOM - np.uint64(1)), s)
             self.move(go, l >> np.uint64(48))
             l, s = l << UNIT, s << UNIT
@@ -312,32 +310,34 @@ class Interval:
 class Writer(Interval):
     def __init__(self, lanes: int, capacity: int):
         super().__init__(lanes)
-        self.out = np.zeros((lanes, capacity), "<u2")
+        self.out, self.start = np.zeros(lanes * capacity, "<u2"), np.arange(lanes) * capacity
+        self.at = self.start.copy()
 
     def move(self, lanes: np.ndarray, top: np.ndarray) -> None:
-        at = self.at[lanes]
-        self.out[lanes, at] = top
+        at = self.at.take(lanes)
+        self.out[at] = top
         self.at[lanes] = at + 1
 
     def finish(self) -> list[bytes]:
         for shift in (48, 32, 16, 0):
             self.move(np.arange(len(self.at)), self.low >> np.uint64(shift) & np.uint64(0xFFFF))
-        return [self.out[k, :n].tobytes() for k, n in enumerate(self.at)]
+        return [self.out[s:e].tobytes() for s, e in zip(self.start.tolist(), self.at.tolist(), strict=True)]
 
 
 class Reader(Interval):
     def __init__(self, payloads: list[bytes]):
         super().__init__(len(payloads))
-        self.data = np.zeros((len(payloads), max(map(len, payloads)) // 2 + 8), np.uint64)
-        for k, p in enumerate(payloads):
-            self.data[k, : len(p) // 2] = np.frombuffer(p[: len(p) // 2 * 2], "<u2")
+        width = max(map(len, payloads)) // 2 + 8
+        self.at = np.arange(len(payloads)) * width
+        self.data = np.frombuffer(b"".join([p[: len(p) // 2 * 2].ljust(2 * width, b"\0") for p in payloads]), "<u2")
         self.code = np.zeros(len(payloads), np.uint64)
         for _ in range(4):
             self.move(np.arange(len(payloads)), self.code)
 
     def move(self, lanes: np.ndarray, top: np.ndarray) -> None:
-        at = self.at[lanes]
-        self.code[lanes] = self.code[lanes] << UNIT | self.data[lanes, np.minimum(at, self.data.shape[1] - 1)]
+        at = self.at.take(lanes)
+        # Only a damaged block reads beyond its own units.
+        self.code[lanes] = self.code.take(lanes) << UNIT | self.data.take(at, mode="clip")
         self.at[lanes] = at + 1
 
 

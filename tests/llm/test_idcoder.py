@@ -188,3 +188,12 @@ def test_words_of_letters_stay_columns(monkeypatch):
             assert [g.tolist() for g in encoder.encode(texts[at : at + 30])] == want[at : at + 30]
     plain = set(tokens.LETTERS)
     assert seen and not [k for k in seen if k.rstrip(",.") and set(k.rstrip(",.")) <= plain]
+
+
+def test_a_damaged_end_reads_no_further_than_the_payloads():
+    ids = np.arange(5000, dtype=np.int32) % 977
+    written = idcoder.write_segment(ids)
+    for block in written["blocks"]:
+        damaged = [dict(b, payload=b["payload"][:7]) if b is block else b for b in written["blocks"]]
+        with pytest.raises(idcoder.DamagedBlock):
+            idcoder.read_segment(5000, written["prior"], damaged)
