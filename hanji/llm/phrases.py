@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import partial
@@ -22,8 +21,10 @@ from .common import HOT_KEYS, in_order, join_hot, staged
 #: Words of the longest phrase, occurrences that a candidate needs, percentage of them at which a longer phrase drops it,
 #: and phrases that a language's list has.
 LONGEST, LEAST, SHARE, TOP = 5, 100, 100, 2000
-#: Words of a shard, bits of a filter for each phrase in it, the most bits that a filter may have, and its hashes.
-SHARD_WORDS, FILTER_BITS, MOST_BITS, PROBES = 1 << 20, 16, 1 << 28, 3
+#: Words of a shard, bits of a filter for each phrase in it, the most bits that a filter may have, those of its slices, and its hashes.
+SHARD_WORDS, FILTER_BITS, MOST_BITS, SLICE_BITS, PROBES = 1 << 20, 16, 1 << 28, 1 << 20, 3
+#: Phrases that a worker puts into one batch.
+BATCH_ROWS = 1 << 16
 #: Parts into which the pairs that begin with a hot word are dealt.
 SLOTS = 64
 #: Marks that end a piece, and the byte that stands for them, which UTF-8 never has.
@@ -43,19 +44,15 @@ class Shard:
     upto: int = 0
 
     def __post_init__(self) -> None:
-        self.known: dict[str, defaultdict] = {}
-        self.name(None, b"")  # id 0
-
-    def name(self, lang: int | None, word: bytes) -> int:
-        self.words.append(word)
-        self.lang_of.append(-1 if lang is None else lang)
-        return len(self.words) - 1
+        self.known: dict[str, _Ids] = {}
+        self.words.append(b"")  # id 0
+        self.lang_of.append(-1)
 
     def ids_of(self, lang: str, words: list[bytes]) -> np.ndarray:
         if lang not in self.known:
             number = len(self.langs)
             self.langs.append(lang)
-            self.known[lang] = _Ids(self, number)
+            self.known[lang] = _Ids(self.words, self.lang_of, number)
         return np.fromiter(map(self.known[lang].__getitem__, words), np.int32, len(words))
 
     def add(self, ids: np.ndarray) -> None:
@@ -67,20 +64,25 @@ class Shard:
 
 
 class _Ids(dict):
-    """word -> id, given when first asked for."""
+    """word -> id, given when first asked for. It knows the shard's lists and not the shard: objects that know each other
+    stay until Python looks for such rings, which it seldom does where there are few."""
 
-    def __init__(self, shard: Shard, lang: int):
+    def __init__(self, words: list[bytes], lang_of: list[int], lang: int):
         super().__init__({BREAK: 0})
-        self.shard, self.lang = shard, lang
+        self.words, self.lang_of, self.lang = words, lang_of, lang
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = number = self.shard.name(self.lang, word)
+        self[word] = number = len(self.words)
+        self.words.append(word)
+        self.lang_of.append(self.lang)
         return number
 
 
 def shards(batches: Iterator[pa.RecordBatch], longest: int, shard_words: int) -> Iterator[Shard]:
     """Rows (text, lang) -> shards of about shard_words words. A text may go on in the next shard, which then begins with
-    the words that phrases across the cut need; those phrases belong to the shard in which they begin."""
+    the words that phrases across the cut need; those phrases belong to the shard in which they begin.
+
+    A shard's memory goes back to the system before the next is filled, if whoever took it has let go of it by then."""
     shard = Shard()
     for batch in batches:
         for part in tokens.portions(batch):
@@ -92,6 +94,8 @@ def shards(batches: Iterator[pa.RecordBatch], longest: int, shard_words: int) ->
                         tail = [shard.words[i] or BREAK for i in ids[max(0, len(ids) - longest + 1) :].tolist()]
                         shard.upto = shard.size - len(tail)
                         yield shard
+                        del shard, ids
+                        tokens.give_back()
                         shard = Shard()
                         shard.add(shard.ids_of(lang, tail))
                     shard.add(shard.ids_of(lang, piece.split()))
@@ -99,9 +103,13 @@ def shards(batches: Iterator[pa.RecordBatch], longest: int, shard_words: int) ->
                 if shard.size >= shard_words:
                     shard.upto = shard.size
                     yield shard
+                    del shard
+                    tokens.give_back()
                     shard = Shard()
     shard.upto = shard.size
     yield shard
+    del shard
+    tokens.give_back()
 
 
 def batch_of(shard: Shard, langs: np.ndarray, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
@@ -113,15 +121,22 @@ def batch_of(shard: Shard, langs: np.ndarray, phrases: pa.Array, counts: np.ndar
 def _words(shard_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of single words; under an empty phrase, all words of the language."""
     for shard in shards(batches, 1, shard_words):
-        counts = np.bincount(shard.ids()[: shard.upto], minlength=len(shard.words))[1:]
-        langs = np.array(shard.lang_of[1:], np.int64)
-        if len(counts):
-            counted = np.flatnonzero(counts)
-            words = pa.array(shard.words[1:], pa.binary()).cast(pa.string())
-            yield batch_of(shard, langs[counted], words.take(pa.array(counted)), counts[counted])
-            totals = np.bincount(langs, weights=counts, minlength=len(shard.langs)).astype(np.int64)
-            some = np.flatnonzero(totals)
-            yield batch_of(shard, some, pa.array([""] * len(some), pa.string()), totals[some])
+        yield from _words_of(shard)
+        del shard
+
+
+def _words_of(shard: Shard) -> Iterator[pa.RecordBatch]:
+    counts = np.bincount(shard.ids()[: shard.upto], minlength=len(shard.words))[1:]
+    langs = np.array(shard.lang_of[1:], np.int64)
+    if len(counts):
+        counted = np.flatnonzero(counts)
+        words = pa.array(shard.words[1:], pa.binary()).cast(pa.string())
+        for at in range(0, len(counted), BATCH_ROWS):
+            some = counted[at : at + BATCH_ROWS]
+            yield batch_of(shard, langs[some], words.take(pa.array(some)), counts[some])
+        totals = np.bincount(langs, weights=counts, minlength=len(shard.langs)).astype(np.int64)
+        some = np.flatnonzero(totals)
+        yield batch_of(shard, some, pa.array([""] * len(some), pa.string()), totals[some])
 
 
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -131,9 +146,15 @@ def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(29)
 
 
+def slice_of(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The slice of a filter of so many bits that has all of a hash's places."""
+    return hashes >> np.uint64(44) & np.uint64(max(1, bits // SLICE_BITS) - 1)
+
+
 def places(hashes: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    start, inside = slice_of(hashes, bits) * np.uint64(SLICE_BITS), np.uint64(min(bits, SLICE_BITS) - 1)
     for k in range(PROBES):
-        yield (hashes + np.uint64(k) * (hashes >> np.uint64(32) | np.uint64(1))) & np.uint64(bits - 1)
+        yield start + ((hashes + np.uint64(k) * (hashes >> np.uint64(24) | np.uint64(1))) & inside)
 
 
 class Filter:
@@ -154,27 +175,51 @@ def word_hashes(words: list[bytes], langs: list[str]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, seeds[lang]) for w, lang in zip(words, langs, strict=True)), np.uint64, len(words))
 
 
-def _filter_bits(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    data = np.zeros(bits // 8, np.uint8)
+def _filter_hashes(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Phrases -> their hashes and the slices that these go to."""
     for batch in batches:
         langs = batch.column("lang").to_pylist()
         words = [p.encode().split(b" ") for p in batch.column("phrase").to_pylist()]
         if words:
             first, *rest = (word_hashes(list(w), langs) for w in zip(*words, strict=True))
-            for at in places(mixed(first, rest[0]) if rest else first, bits):
-                np.bitwise_or.at(data, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
-    yield pa.RecordBatch.from_arrays([pa.array([data.tobytes()], pa.binary())], ["bits"])
+            hashes = mixed(first, rest[0]) if rest else first
+            yield pa.RecordBatch.from_arrays([pa.array(slice_of(hashes, bits).astype(np.int32)), pa.array(hashes.view(np.int64))], ["slice", "hash"])
+    tokens.give_back()
+
+
+def _filter_slices(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (slice, hash) in order of slices -> each slice's bytes."""
+    made = lambda at, data: pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([data.tobytes()], pa.binary())], ["slice", "bits"])
+    at, data = None, None
+    for batch in batches:
+        slices, hashes = batch.column("slice").to_numpy(), batch.column("hash").to_numpy().view(np.uint64)
+        starts = np.flatnonzero(np.r_[True, slices[1:] != slices[:-1]]) if len(slices) else []
+        for s, e in zip(starts, [*starts[1:], len(slices)], strict=True):
+            if at != slices[s]:
+                if data is not None:
+                    yield made(at, data)
+                at, data = int(slices[s]), np.zeros(min(bits, SLICE_BITS) // 8, np.uint8)
+            for place in places(hashes[s:e], bits):
+                place = place - np.uint64(at * SLICE_BITS)
+                np.bitwise_or.at(data, place >> np.uint64(3), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
+    if data is not None:
+        yield made(at, data)
 
 
 def filter_of(phrases: DataFrame, most_bits: int) -> Broadcast:
     """Stored phrases (lang, phrase), all single words or all pairs -> a broadcast Filter that has them.
 
-    FILTER_BITS bits for each phrase, but most_bits in all: beyond that the filter lets more through and loses nothing.
+    FILTER_BITS bits for each phrase, but most_bits in all: beyond that the filter lets more through and loses nothing. A
+    task makes one slice after the other, from the hashes that fall into it, so none holds the whole; the driver puts them
+    together.
     """
-    sc = phrases.sparkSession.sparkContext
     bits = min(most_bits, 1 << max(10, (FILTER_BITS * phrases.count() - 1).bit_length()))
-    parts = phrases.select("lang", "phrase").mapInArrow(partial(_filter_bits, bits), "bits binary").rdd.map(lambda r: np.frombuffer(r[0], np.uint8))
-    return sc.broadcast(Filter(sc.union([parts, sc.parallelize([np.zeros(bits // 8, np.uint8)], 1)]).treeReduce(np.bitwise_or)))
+    hashes = phrases.select("lang", "phrase").mapInArrow(partial(_filter_hashes, bits), "slice int, hash long")
+    parts = hashes.repartition("slice").sortWithinPartitions("slice").mapInArrow(partial(_filter_slices, bits), "slice int, bits binary")
+    data, size = np.zeros(bits // 8, np.uint8), min(bits, SLICE_BITS) // 8
+    for row in parts.collect():
+        data[row["slice"] * size : (row["slice"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
+    return phrases.sparkSession.sparkContext.broadcast(Filter(data))
 
 
 def suffix_array(ids: np.ndarray, depth: int) -> np.ndarray:
@@ -235,6 +280,7 @@ def _linked(longest: int, words: Broadcast, pairs: Broadcast | None, shard_words
     phrase."""
     for shard in shards(batches, longest, shard_words):
         if len(shard.words) < 2:
+            del shard
             continue
         hashes = np.r_[np.uint64(0), word_hashes(shard.words[1:], [shard.langs[i] for i in shard.lang_of[1:]])]
         frequent = words.value.has(hashes)
@@ -246,15 +292,22 @@ def _linked(longest: int, words: Broadcast, pairs: Broadcast | None, shard_words
             at = np.flatnonzero(both)
             both[at] = pairs.value.has(mixed(hashes[ids[at]], hashes[ids[at + 1]]))
         yield shard, hashes, ids, both
+        del shard, hashes, frequent, ids, both
 
 
 def _phrases(shortest: int, longest: int, words: Broadcast, pairs: Broadcast | None, shard_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for shard, _, ids, both in _linked(longest, words, pairs, shard_words, batches):
-        names, lang_of = pa.array(shard.words, pa.binary()).cast(pa.string()), np.array(shard.lang_of, np.int64)
-        for found, counts in phrase_counts(ids, both, shard.upto, shortest, longest):
-            if len(counts):
-                columns = [names.take(pa.array(column)) for column in found.T]
-                yield batch_of(shard, lang_of[found[:, 0]], pc.binary_join_element_wise(*columns, " "), counts)
+    for shard, hashes, ids, both in _linked(longest, words, pairs, shard_words, batches):
+        yield from _phrases_of(shard, ids, both, shortest, longest)
+        del shard, hashes, ids, both
+
+
+def _phrases_of(shard: Shard, ids: np.ndarray, both: np.ndarray, shortest: int, longest: int) -> Iterator[pa.RecordBatch]:
+    names, lang_of = pa.array(shard.words, pa.binary()).cast(pa.string()), np.array(shard.lang_of, np.int64)
+    for found, counts in phrase_counts(ids, both, shard.upto, shortest, longest):
+        for at in range(0, len(counts), BATCH_ROWS):
+            some = found[at : at + BATCH_ROWS]
+            columns = [names.take(pa.array(column)) for column in some.T]
+            yield batch_of(shard, lang_of[some[:, 0]], pc.binary_join_element_wise(*columns, " "), counts[at : at + BATCH_ROWS])
 
 
 STRIPE = "head string, slot int, seconds string, counts array<int>"
@@ -264,22 +317,32 @@ def _stripes(words: Broadcast, hot: np.ndarray, shard_words: int, batches: Itera
     """Pairs as stripes: language and first word once, with all second words in order and their counts. A hot first word's
     stripe is cut into SLOTS by the second word."""
     for shard, hashes, ids, both in _linked(2, words, None, shard_words, batches):
-        for found, counts in phrase_counts(ids, both, shard.upto, 2, 2):
-            if not len(counts):
-                continue
-            names, lang_of = pa.array(shard.words, pa.binary()).cast(pa.string()), np.array(shard.lang_of, np.int64)
-            rank = np.empty(len(names), np.int64)
-            rank[pc.sort_indices(names).to_numpy()] = np.arange(len(names))
-            first, second = found[:, 0].astype(np.int64), found[:, 1]
-            stripe = first * SLOTS + np.where(np.isin(hashes, hot)[first], hashes[second] % np.uint64(SLOTS), 0).astype(np.int64)
-            order = np.argsort(stripe * len(names) + rank[second])
-            stripe = stripe[order]
-            starts = np.flatnonzero(np.r_[True, stripe[1:] != stripe[:-1]])
-            bounds, heads = pa.array(np.r_[starts, len(stripe)], pa.int32()), stripe[starts] // SLOTS
+        yield from _stripes_of(shard, hashes, hot, ids, both)
+        del shard, hashes, ids, both
+
+
+def _stripes_of(shard: Shard, hashes: np.ndarray, hot: np.ndarray, ids: np.ndarray, both: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for found, counts in phrase_counts(ids, both, shard.upto, 2, 2):
+        if not len(counts):
+            continue
+        names, lang_of = pa.array(shard.words, pa.binary()).cast(pa.string()), np.array(shard.lang_of, np.int64)
+        rank = np.empty(len(names), np.int64)
+        rank[pc.sort_indices(names).to_numpy()] = np.arange(len(names))
+        first, second = found[:, 0].astype(np.int64), found[:, 1]
+        stripe = first * SLOTS + np.where(np.isin(hashes, hot)[first], hashes[second] % np.uint64(SLOTS), 0).astype(np.int64)
+        order = np.argsort(stripe * len(names) + rank[second])
+        stripe, second, counts = stripe[order], second[order], counts[order].astype(np.int32)
+        del first, order, rank
+        starts = np.flatnonzero(np.r_[True, stripe[1:] != stripe[:-1]])
+        bounds = np.r_[starts, len(stripe)].astype(np.int32)
+        # Whole stripes up to about BATCH_ROWS pairs.
+        cuts = np.flatnonzero(np.r_[True, np.diff(starts // BATCH_ROWS) > 0])
+        for s, e in zip(cuts, [*cuts[1:], len(starts)], strict=True):
+            own, inside, heads = slice(bounds[s], bounds[e]), pa.array(bounds[s : e + 1] - bounds[s]), stripe[starts[s:e]] // SLOTS
             keys = pc.binary_join_element_wise(pa.array(shard.langs, pa.string()).take(pa.array(lang_of[heads])), names.take(pa.array(heads)), "\t")
-            seconds = pc.binary_join(pa.ListArray.from_arrays(bounds, names.take(pa.array(second[order]))), " ")
-            numbers = pa.ListArray.from_arrays(bounds, pa.array(counts[order].astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([keys, pa.array((stripe[starts] % SLOTS).astype(np.int32)), seconds, numbers], ["head", "slot", "seconds", "counts"])
+            seconds = pc.binary_join(pa.ListArray.from_arrays(inside, names.take(pa.array(second[own]))), " ")
+            numbers = pa.ListArray.from_arrays(inside, pa.array(counts[own]))
+            yield pa.RecordBatch.from_arrays([keys, pa.array((stripe[starts[s:e]] % SLOTS).astype(np.int32)), seconds, numbers], ["head", "slot", "seconds", "counts"])
 
 
 def hot_words(words: DataFrame) -> np.ndarray:

@@ -116,3 +116,44 @@ def test_pairs_are_shuffled_as_stripes(spark):
     assert sorted(zip(" ".join(r["seconds"] for r in hot).split(), sum((r["counts"] for r in hot), []), strict=True)) == [("b", 2), ("c", 1)]
     slots = {h: int(phrases.word_hashes([h.encode()], ["und"])[0] % phrases.SLOTS) for h in "bc"}
     assert {r["slot"] for r in hot} == set(slots.values())
+
+
+def test_a_shard_is_gone_before_the_next():
+    """A worker holds one shard, without waiting for Python to look for rings of objects."""
+    import gc
+    import weakref
+
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"text": ["a b c d", "b c d e", "c d e f"], "lang": ["en", "fr", None]})
+    seen, found = [], phrases.shards(iter([batch]), 2, 3)
+    gc.disable()
+    try:
+        for shard in found:
+            assert all(ref() is None for ref in seen) and shard.upto <= 5
+            seen.append(weakref.ref(shard))
+            del shard
+    finally:
+        gc.enable()
+    assert len(seen) > 2 and seen[-1]() is None
+
+
+def test_filter_is_made_in_slices(spark):
+    """No task makes more than a slice, and a filter of several has all its phrases and few others."""
+    import pyarrow as pa
+
+    bits = 4 * phrases.SLICE_BITS
+    hashes = np.random.default_rng(5).integers(0, 1 << 64, 200_000, np.uint64)
+    hashes = hashes[np.argsort(phrases.slice_of(hashes, bits), kind="stable")]
+    columns = {"slice": phrases.slice_of(hashes, bits).astype(np.int32), "hash": hashes.view(np.int64)}
+    batches = pa.Table.from_pydict(columns).to_batches(max_chunksize=30_000)
+    made = pa.Table.from_batches(phrases._filter_slices(bits, iter(batches))).to_pylist()
+    assert [r["slice"] for r in made] == [0, 1, 2, 3] and {len(r["bits"]) for r in made} == {phrases.SLICE_BITS // 8}
+    whole = phrases.Filter(np.frombuffer(b"".join(r["bits"] for r in made), np.uint8))
+    others = np.random.default_rng(6).integers(0, 1 << 64, 10_000, np.uint64)
+    assert whole.has(hashes).all() and whole.has(others).mean() < 0.02
+
+    rows = [(lang, f"w{k} é{k}") for k in range(3000) for lang in ("en", "a\tb")]
+    known = phrases.filter_of(spark.createDataFrame(rows, "lang string, phrase string"), phrases.MOST_BITS).value
+    first, second = (phrases.word_hashes([p.encode().split()[at] for _, p in rows], [lang for lang, _ in rows]) for at in (0, 1))
+    assert known.has(phrases.mixed(first, second)).all() and known.has(phrases.mixed(second, first)).mean() < 0.05
