@@ -7,11 +7,13 @@ before the first quantity is an applicant, a place and a purpose, which the name
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import applicants
-from .permits import clean, dates, found, quantity
+from .permits import clean, dates, found, has_any, quantity
 from .text import let, strip
 
 FIELDS = ("permittee_name", "location", "purpose", "area", "collection_volume", "amount", "period")
@@ -59,8 +61,11 @@ def spaced(words: tuple[str, ...]) -> str:
 
 
 ANY_COLUMN = rf"{spaced(tuple(w for words in COLUMNS.values() for w in words))}(?:\((?!유\)|주\))[^)]*\))?[\s/]*"
-#: Columns of a flattened header; a longer one is no header.
-MOST_COLUMNS = 40
+#: Columns of a flattened header; one with fewer or more is no header.
+LEAST_COLUMNS, MOST_COLUMNS = 4, 40
+#: Characters of GAP, and the names of columns that hold no other: each column's name holds one of them.
+GAPS = " \t\n\x0b\x0c\r·․･ㆍ‧."
+CORES = tuple(w for words in COLUMNS.values() for w in words if not any(o != w and o in w for others in COLUMNS.values() for o in others))
 KNOWN = rf"(?<!{any_of(PROVINCES)}\s{{0,3}}){any_of(PLACES)}"
 #: How a place may begin, in order of trust: a known name, a town or county, a township or quarter.
 BEGINNINGS = (KNOWN, r"[가-힣]{2}(?:시|군|구)\s", r"[가-힣]{2}(?:읍|면|동)")
@@ -105,10 +110,16 @@ def where_and_purpose(text: Column) -> Column:
     return let(end, lambda e: let(upto(e), cut))
 
 
+def may_have_header(x: Column) -> Column:
+    """Whether enough names of columns occur at all, wherever they stand: without gaps each holds one of CORES."""
+    times = lambda v, w: F.length(v) - F.length(F.replace(v, F.lit(w), F.lit(w[1:])))
+    return let(F.translate(x, GAPS, ""), lambda v: reduce(lambda a, b: a + b, [times(v, w) for w in CORES]) >= LEAST_COLUMNS)
+
+
 def flattened(x: Column) -> Column:
     """The first row of a run-on table: a header of four columns or more, and values with a quantity among them. Values in
     which another header stands are no row."""
-    head = F.regexp_extract(x, f"(?:{ANY_COLUMN}){{4,{MOST_COLUMNS}}}", 0)
+    head = F.when(may_have_header(x), F.regexp_extract(x, f"(?:{ANY_COLUMN}){{{LEAST_COLUMNS},{MOST_COLUMNS}}}", 0))
     parts = F.when(head != "", F.struct(head.alias("head"), strip(F.substring(x, F.instr(x, head) + F.length(head), F.length(x))).alias("body")))
     return let(parts, lambda p: let(measured(p["head"], p["body"]), lambda m: let(row_of(p["head"], m), lambda r: F.when(r["permittee_name"].isNotNull() & r["location"].isNotNull(), r))))
 
@@ -158,7 +169,7 @@ def changes(x: Column) -> Column:
     said = {f: clean(F.regexp_replace(found(x, rf"(?s){GAP.join(label)}(.+?){stop}"), r"변경\s*없음.*$", "")) for f, label in CHANGED.items()}
     iso = lambda ds, k: F.date_format(F.try_element_at(ds, F.lit(k)), "yyyy-MM-dd")
     last = let(dates(said["period"]), lambda ds: F.when(F.size(ds) >= 2, F.concat_ws(" ", iso(ds, -2), iso(ds, -1))))
-    return F.when(x.rlike(r"변경\s*전") & x.rlike(r"변경\s*후"), fields(**(said | {"period": last})))
+    return F.when(F.contains(x, F.lit("변경")) & x.rlike(r"변경\s*전") & x.rlike(r"변경\s*후"), fields(**(said | {"period": last})))
 
 
 # What follows the sender of an application, and how a sentence names ground, quotes a purpose and goes on.
@@ -173,17 +184,20 @@ BEGIN = "|".join(BEGINNINGS)
 def sender(x: Column) -> Column:
     """Who sent an application, from what the first sentence of that kind says before its verb; a person's name will do."""
     after = rf"(?=[“\"『]|공유수면|{BEGIN})"
-    sent = F.coalesce(found(x, rf"(?:^|\n)([^\n]+?){SENDER}{after}(?=[\s\S]{{0,200}}(?:신청|목적|위한))"), found(x, r"(?:^|\n)([^\n]{2,40}?)의\s+공유수면[^\n]*신청에"))
+    from_body = F.when(has_any(x, ("에서", "로부터")), found(x, rf"(?:^|\n)([^\n]+?){SENDER}{after}(?=[\s\S]{{0,200}}(?:신청|목적|위한))"))
+    of_body = F.when(F.contains(x, F.lit("신청에")), found(x, r"(?:^|\n)([^\n]{2,40}?)의\s+공유수면[^\n]*신청에"))
+    sent = F.coalesce(from_body, of_body)
     name = let(sent, lambda v: F.when(v.isNotNull(), clean(applicants.entity(applicants.cleared(v)))))
     return let(name, lambda v: F.when(F.coalesce(applicants.refusal(v), F.lit("")).isin("", applicants.NO_BODY), v))
 
 
-#: The ways in which a sentence tells the ground and the purpose of an application, and which of the two it tells first.
+#: The ways in which a sentence tells the ground and the purpose of an application, which of the two it tells first, and a
+#: word without which it doesn't.
 PLACE = rf"(?m)^([^\n]*?{GROUND}[^\n“\"『]{{0,12}}?)에\s*"
 TOLD = (
-    (rf"{QUOTED}\s*\(([^()]{{0,200}}{GROUND}[^()]{{0,200}})\)\s*목적", ("purpose", "where")),
-    (rf"{PLACE}{QUOTED}(?:를|을)\s*위한", ("where", "purpose")),
-    (rf"{PLACE}([^“\"『]{{2,120}}?)\s*목적의\s*공유수면", ("where", "purpose")),
+    (rf"{QUOTED}\s*\(([^()]{{0,200}}{GROUND}[^()]{{0,200}})\)\s*목적", ("purpose", "where"), "목적"),
+    (rf"{PLACE}{QUOTED}(?:를|을)\s*위한", ("where", "purpose"), "위한"),
+    (rf"{PLACE}([^“\"『]{{2,120}}?)\s*목적의\s*공유수면", ("where", "purpose"), "목적의"),
 )
 
 
@@ -195,14 +209,16 @@ def ground(x: Column) -> Column:
 
 def sentences(x: Column) -> Column:
     """What the first of the ways that is used says: ground and purpose, and with them who sent the application."""
-    named = [let(groups(x, pattern, *order), lambda g: F.when(g.isNotNull(), F.struct(g["where"].alias("where"), g["purpose"].alias("purpose")))) for pattern, order in TOLD]
+    told = lambda g: F.when(g.isNotNull(), F.struct(g["where"].alias("where"), g["purpose"].alias("purpose")))
+    named = [F.when(F.contains(x, F.lit(word)), let(groups(x, pattern, *order), told)) for pattern, order, word in TOLD]
     return let(F.coalesce(*named), lambda t: F.when(t.isNotNull(), fields(permittee_name=sender(x), location=ground(t["where"]), purpose=clean(t["purpose"]))))
 
 
 def quantities(x: Column) -> Column:
     """Areas and volumes that stand in brackets or in sentences."""
-    area = F.coalesce(found(x, rf"(?i)면\s*적\s*\(\s*준설량\s*\)\s*[:：]?\s*({SQUARE})"), found(x, rf"(?i)투기면적\s*[:：]\s*({SQUARE})"))
-    volume = found(x, rf"(?i)준설량\s*\)?\s*[:：]?\s*(?:{SQUARE}\s*\(\s*)?({CUBIC})")
+    dredged, dumped = (F.contains(x, F.lit(word)) for word in ("준설량", "투기면적"))
+    area = F.coalesce(F.when(dredged, found(x, rf"(?i)면\s*적\s*\(\s*준설량\s*\)\s*[:：]?\s*({SQUARE})")), F.when(dumped, found(x, rf"(?i)투기면적\s*[:：]\s*({SQUARE})")))
+    volume = F.when(dredged, found(x, rf"(?i)준설량\s*\)?\s*[:：]?\s*(?:{SQUARE}\s*\(\s*)?({CUBIC})"))
     return fields(area=quantity(area), collection_volume=quantity(volume))
 
 

@@ -250,3 +250,21 @@ def test_long_texts_take_time_in_proportion(spark):
         start = time.perf_counter()
         permits.extract(spark.createDataFrame([(x,)], "text string")).select("permit").collect()
         assert time.perf_counter() - start < 60, (x[:30], len(x))
+
+
+def test_permits_do_little_for_what_a_text_lacks(spark):
+    """Patterns that need a word are asked only where it occurs; texts are cut into lines once for all labels."""
+    from hanji.functions import run_on
+
+    columns = list(permits.steps(spark.sparkContext.applicationId))
+    assert "__lines" in [name for name, _ in columns]
+    text = "제목 허가\n나. 점용료 : 금 100원\n다. 채취량 : 3 ㎥ 이하\n라. 신청인 : 갑 ."
+    rows = [(text,), ("신 청 자 위 치 사 용 목 적 면적 기간 갑",), ("신청인 갑 위치 을\n목\t적 병 면·적",), ("위치 위치 위치 위치",), ("위 치(구역) / 목적(㎡)/면적",)]
+    plan = spark.createDataFrame(rows, "x string")
+    head = F.regexp_extract("x", f"(?:{run_on.ANY_COLUMN}){{4,{run_on.MOST_COLUMNS}}}", 0) != ""
+    found = [tuple(r) for r in plan.select(run_on.may_have_header(F.col("x")), head).collect()]
+    assert found == [(False, False), (True, True), (True, False), (True, True), (False, False)]
+    assert all(any(core in name for core in run_on.CORES) for names_ in run_on.COLUMNS.values() for name in names_)
+    assert all(domain.endswith(permits.DOMAIN_END) for domain in permits.DOMAINS)
+    done = permits.extract(plan.select(F.col("x").alias("text"))).first()
+    assert done.permit.permittee_name == "갑" and done.permit.amount == "100원" and done.permit.collection_volume == "3㎥" and "__lines" not in done.asDict()
