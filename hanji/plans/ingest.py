@@ -16,7 +16,7 @@ from hanji.config import EngineConfig
 from hanji.functions import dates, permits, text, vectors
 from hanji.operators import chunking, stats, store
 from hanji.operators.attachments import attachments_of
-from hanji.sources import metadata, odt
+from hanji.sources import listing, metadata, odt
 
 log = logging.getLogger(__name__)
 
@@ -100,21 +100,31 @@ def ingest(spark: SparkSession, config: EngineConfig, tables: store.TableStore,
     superseded).
 
     paths: single files or folders instead of the configured ones. A first scan reads hashes only; what has changed is
-    read once more by its paths, so no content is shuffled to learn that it is known. Of several files with one doc_id the
+    read once more by its paths, so no content is shuffled to learn that it is known. Files in folders that driver and
+    executors share are listed and opened by tasks; others by Spark's readers, whose driver holds their names. Of several files with one doc_id the
     last one counts (latest_files); the others are superseded. The parse is written once, beside the tables, and
     everything else reads that. Documents without any chunk count as processed but aren't stored. Only touched buckets are
     rewritten, documents last: a run that breaks off leaves their old hashes, so the next one does the work again.
     """
     now = F.lit(datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None))
     folders = paths or config.data_folders()
-    tables.write("found_files", odt.hash_files(spark, *folders))
+    shared = listing.shared_roots(spark, folders)
+    if shared:
+        listed = listing.list_files(spark, tables.path("listed_files"), shared)
+        tables.write("found_files", listing.hash_files(listed))
+    else:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folders)
+        tables.write("found_files", odt.hash_files(spark, *folders))
     found = tables.read("found_files")
     latest = latest_files(found)
     todo = changed_files(latest, tables.read("documents")) if incremental else latest
-    # The driver lists every file anyway; these are some of their names.
-    wanted = [r["path"] for r in todo.select("path").collect()]
-    files = odt.read_files(spark, *(wanted or folders))
-    tables.write("parsed", odt.parse_documents(files if wanted else files.limit(0)))
+    if shared:
+        tables.write("parsed", listing.parse_documents(todo))
+    else:
+        # The driver lists every file anyway; these are some of their names.
+        wanted = [r["path"] for r in todo.select("path").collect()]
+        files = odt.read_files(spark, *(wanted or folders))
+        tables.write("parsed", odt.parse_documents(files if wanted else files.limit(0)))
     parsed = tables.read("parsed")
     fine = parsed.filter(F.col("error").isNull())
 
@@ -132,9 +142,8 @@ def ingest(spark: SparkSession, config: EngineConfig, tables: store.TableStore,
     documents = document_rows(kept_docs, known_metadata(spark, config.metadata_doc_list, tables), now)
     fields = permits.extract(kept_docs.select("doc_id", text.marked_text(F.col("sections")).alias("text")))
     permit_rows = fields.select("doc_id", *permits.stored(F.col("permit"))).withColumn("created_at", now).withColumn("updated_at", now)
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folders).select("path")
     superseded = found.join(latest.select("path"), "path", "left_anti").select("path")
-    beside = attachments_of(listed.join(superseded, "path", "left_anti")).join(kept_docs.select("doc_id"), "doc_id", "left_semi").withColumn("created_at", now)
+    beside = attachments_of(listed.select("path").join(superseded, "path", "left_anti")).join(kept_docs.select("doc_id"), "doc_id", "left_semi").withColumn("created_at", now)
 
     keys = counted.select("doc_id")
     tables.change("document_chunks", keys, lambda old: store.replace_children(old, chunks))

@@ -211,3 +211,44 @@ def test_documents_that_arrive_while_it_breaks_off(spark, tmp_path, monkeypatch)
         assert ours == theirs, name
     # A batch whose number is kept isn't done again.
     streaming.once(tables, "documents", lambda batch: 1 / 0)(tables.read("documents"), 2)
+
+
+def test_tasks_list_files(spark, corpus, tmp_path):
+    """However few folders a task may list, the files, their times and hashes are those of Spark's reader; the driver asks
+    for no path."""
+    from hanji.sources import listing, odt
+
+    root = tmp_path / "data"
+    for k in range(7):
+        for name in ("a 한.odt", ".hidden.odt", "_temporary.odt", "_a=b.odt", "x[1].pdf"):
+            (root / f"DCT{k}" / "deep" / f"{k % 3}").mkdir(parents=True, exist_ok=True)
+            (root / f"DCT{k}" / "deep" / f"{k % 3}" / name).write_bytes(odt_bytes(f"<text:p>{k}</text:p>"))
+    (root / "_left_out").mkdir()
+    (root / "_left_out" / "b.odt").write_bytes(b"x")
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(root))
+    want = sorted(map(tuple, read.select("path", "modificationTime").collect()))
+    assert len(want) == 21
+    for most in (1, 2, 1000):
+        for roots in ([str(root)], [f"file:{root}", str(root / "DCT3")]):
+            shared = listing.shared_roots(spark, roots)
+            got = listing.list_files(spark, str(tmp_path / "listed"), shared, most)
+            assert sorted(map(tuple, got.collect())) == want
+    assert sorted(map(tuple, listing.hash_files(got).collect())) == sorted(map(tuple, odt.hash_files(spark, str(root)).collect()))
+    assert sorted(map(str, listing.parse_documents(got.filter("path like '%.odt'")).collect())) == sorted(map(str, odt.read_documents(spark, str(root)).collect()))
+    one = listing.shared_roots(spark, [str(root / "DCT1" / "deep" / "1" / "a 한.odt")])
+    assert listing.list_files(spark, str(tmp_path / "listed"), one).count() == 1
+    assert listing.shared_roots(spark, [str(root / "nowhere")]) is None and listing.shared_roots(spark, ["hdfs://x/y"]) is None
+
+
+def test_driver_gets_no_paths(spark, corpus, tmp_path, monkeypatch):
+    """The plan asks neither Spark's reader for folders that tasks can list, nor the driver for files."""
+    from hanji.sources import odt
+
+    def refused(*_, **__):
+        raise AssertionError("files listed by the driver")
+
+    monkeypatch.setattr(odt, "read_files", refused)
+    config = EngineConfig(data_dirs=(str(corpus / "data"),), metadata_doc_list=str(tmp_path / "nowhere"), embedding_dimension=8)
+    tables = store.TableStore(spark, str(tmp_path / "store"), buckets=4)
+    ingest.create_tables(tables)
+    assert ingest.ingest(spark, config, tables).first()["processed"] > 0
